@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontam, nbsvm, neardup, quality_rules, toxicity
+from tickloom.llm import decontam, nbsvm, neardup, packing, quality_rules, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,5 +31,30 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates)}
-ORACLES: dict[str, str] = {}
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judged(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op3_toxicity, op6_best_fit_packing, op7_url_filter, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates)}
+_OP7_SQL = """
+with parts as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path
+  from pages
+), rules(h, p, v) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+best as (
+  select x.page_id, x.host, x.path, max_by(r.h || r.p, length(r.h || r.p)) as rule, max_by(r.v, length(r.h || r.p)) as v
+  from parts x left join rules r on (x.host = r.h or ends_with(x.host, '.' || r.h)) and starts_with(x.path, r.p)
+  group by all
+)
+select page_id, host, path, rule,
+       coalesce(v, case when host like '%casino%' or host like '%-bets%' or host like '%pills%' or host like 'ads-%' or host like '%.ads-%'
+                        or host like '%porn%' or host like '%xxx%' then 'block' else 'allow' end) as verdict
+from best
+"""
+ORACLES: dict[str, str] = {"op7_url_filter": _OP7_SQL}
