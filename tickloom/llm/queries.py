@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontam, nbsvm, neardup, packing, quality_rules, toxicity, urlfilter
+from tickloom.llm import decontam, maintext, nbsvm, neardup, packing, quality_rules, toxicity, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -39,7 +47,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op6_best_fit_packing, op7_url_filter, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_main_text, op3_toxicity, op6_best_fit_packing, op7_url_filter, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates)}
 _OP7_SQL = """
 with parts as (
   select page_id,
