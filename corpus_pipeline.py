@@ -7,11 +7,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.cluster import shared_dir
-from tickloom.llm import decontam, neardup
+from tickloom.llm import decontam, neardup, packing, secret_scan, toxicity
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
+    """One document of each group of near-duplicates stays: that with the smallest id."""
     return neardup.without_near_duplicates(docs)
 
 
@@ -20,7 +25,17 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("near_dedup", near_dedup), ("decontaminate", decontaminate)]
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; no document goes."""
+    return secret_scan.without_secrets(docs)
+
+
+def packing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes in the training sequences."""
+    return packing.packed(docs)
+
+
+STAGES = [("toxicity", toxic), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("secret_scan", secrets), ("packing", packing_)]
 
 #: Trained models and minwise trees are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontam, maintext, nbsvm, neardup, packing, quality_rules, toxicity, urlfilter, warc
+from tickloom.llm import decontam, maintext, nbsvm, neardup, packing, quality_rules, secret_scan, toxicity, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -47,7 +51,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_main_text, op3_toxicity, op6_best_fit_packing, op7_url_filter, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_main_text, op3_toxicity, op4_secret_scan, op6_best_fit_packing, op7_url_filter, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates)}
 _OP7_SQL = """
 with parts as (
   select page_id,
