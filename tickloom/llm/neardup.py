@@ -32,6 +32,7 @@ from tickloom.llm import scan
 
 COORDS = 128
 LEAF = 64
+TASK_EDGES = 200_000
 FIRST_DEPTH, NEXT_DEPTH, MAX_DEPTH = 4, 6, 28
 _U = np.uint64
 _RNG = np.random.default_rng(0xC05)
@@ -231,14 +232,37 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     return found.where((F.col("both") * 100 >= F.col("either") * percent) & (F.col("both") > 0)).select("a", "b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """id, comp (smallest id that a, b links reach) of every id that has a link: large-star and small-star in turn
-    until nothing changes, each round's edges written to the shared folder."""
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns a, b: every id of a partition's edges with the smallest id that they connect it to there."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, y = find(x), find(y)
+            up[max(x, y)] = min(x, y)
+    a = [x for x in up if find(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array([find(x) for x in a], pa.int64())], ["a", "b"])
+
+
+def components(links: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
+    """id, comp (smallest id that links a, b reach) of every id with a link to another. Each round contracts the edges
+    inside tasks of about task_edges edges; if that was more than one task, a large-star and a small-star step follow,
+    until nothing changes. Each round's edges are written to the shared folder."""
     a, b = F.greatest("a", "b"), F.least("a", "b")
-    edges = saved(links.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "edges")
-    print_of = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    before = print_of(edges)
-    while True:
+    edges = saved(links.where("a <> b").select(a.alias("a"), b.alias("b")), "edges")
+    state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    now, before = state(edges), None
+    while now != before:
+        parts = max(1, -(-now[0] // task_edges))
+        edges = edges.coalesce(parts).mapInArrow(_contract, "a long, b long")
+        if parts == 1:
+            edges = saved(edges, "edges")
+            break
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -247,10 +271,7 @@ def components(links: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
         edges = saved(small.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "edges")
-        now = print_of(edges)
-        if now == before:
-            break
-        before = now
+        before, now = now, state(edges)
     return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("comp")).union(edges.select("b", "b").distinct())
 
 
