@@ -1,6 +1,554 @@
-"""Registered queries by name and their DuckDB SQL."""
+"""Registered queries by name. Every one reads the given tables through the views of plans.views."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickloom.cluster import shared_dir
+from tickloom.functions.greeks import with_greeks
+from tickloom.operators import bridge as B
+from tickloom.operators import candles as C
+from tickloom.operators import ledger as L
+from tickloom.operators import reports as R
+from tickloom.operators.densify import densify, ffill, split_points, symbol_gates
+from tickloom.plans import oracles
+from tickloom.plans.pipeline import run_pipeline, synthetic_candles
+from tickloom.plans.views import tickers
+from tickloom.sources import schemas
+from tickloom.sources import tables as S
+from tickloom.streaming.candles import stream_candles, upsert_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
+BATCH = 7
+#: A span of days of the events.
+RANGE = ("2024-01-05 00:00:00", "2024-01-12 00:00:00")
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _dense(spark, d):
+    return densify(tickers(spark, d))
+
+
+def _minute(spark, d, strategy="basic"):
+    return B.bridge(_dense(spark, d), strategy)
+
+
+def _candles(spark, d, freq="5min"):
+    return C.resample_candles(_minute(spark, d), freq)
+
+
+def _rounded(df: DataFrame, n: int = 6) -> DataFrame:
+    return df.select(*[F.round(c, n).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def _every_event(spark, d, unit: str = "minute") -> DataFrame:
+    """Tickers of every event: several rows a minute, or one each half minute."""
+    events = spark.read.parquet(f"{d}/events.parquet")
+    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+    date = minute if unit == "minute" else minute + F.when(F.second("ts") >= 30, F.make_dt_interval(secs=F.lit(30))).otherwise(F.make_dt_interval(secs=F.lit(0)))
+    price = F.col("value")
+    rows = events.select(
+        F.col("event_type").alias("symbol"), date.alias("date"), (price / 100).alias("iv"), (price + 100).alias("underlying_price"), (price / 1000).alias("time_to_maturity"),
+        F.col("event_id").alias("strike"), F.lit("c").alias("callput"),
+    )
+    return rows if unit == "minute" else S.dedupe_last(rows, ["symbol", "date"], ["strike"])
+
+
+# --- dense rows
+
+
+@query
+def densify_linear(spark, d):
+    return _rounded(_dense(spark, d).select("symbol", "date", "iv", "underlying_price", "time_to_maturity", "is_interpolated"), 8)
+
+
+@query
+def densify_ffill(spark, d):
+    return _rounded(_dense(spark, d).select("symbol", "date", "strike", "callput", "interest_rate", "mark_price", "index_price", "volume", "quote_volume", "record_time"))
+
+
+@query
+def ffill_sparse(spark, d):
+    rows = tickers(spark, d)
+    return _rounded(ffill(rows, ["mark_price", "volume"], ["date"]).select("symbol", "date", "mark_price", "volume"))
+
+
+@query
+def densify_gates(spark, d):
+    return symbol_gates(tickers(spark, d, "user_id"), min_points=50, max_span_days=29)
+
+
+@query
+def densify_duplicates(spark, d):
+    return _rounded(densify(_every_event(spark, d)).select("symbol", "date", "iv", "underlying_price", "strike", "is_interpolated"), 8)
+
+
+@query
+def densify_offgrid(spark, d):
+    return _rounded(densify(_every_event(spark, d, "half")).select("symbol", "date", "iv", "strike", "is_interpolated"), 8)
+
+
+@query
+def is_interpolated_split(spark, d):
+    real, made = split_points(_dense(spark, d))
+    count = lambda df, kind: df.groupBy("symbol").agg(F.count("*").alias("n_points"), F.round(F.avg("iv"), 6).alias("avg_iv")).withColumn("kind", F.lit(kind))
+    return count(real, "original").unionByName(count(made, "interpolated"))
+
+
+@query
+def densify_outcomes(spark, d):
+    source = tickers(spark, d, "user_id")
+    return L.densify_outcomes(source, densify(source, min_points=50, max_span_days=29), min_points=50, max_span_days=29)
+
+
+# --- selection and joins
+
+
+@query
+def symbols_in_range(spark, d):
+    return R.symbols_in_range(tickers(spark, d, "user_id"), *RANGE)
+
+
+@query
+def first_symbols(spark, d):
+    rows = tickers(spark, d, "user_id")
+    return R.restrict(rows, R.first_symbols(rows, 3)).groupBy("symbol").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def all_symbols(spark, d):
+    return R.first_symbols(tickers(spark, d, "user_id"), None)
+
+
+@query
+def restrict_list(spark, d):
+    return R.restrict(tickers(spark, d), ["click", "view"]).groupBy("symbol").agg(F.count("*").alias("n_rows"), F.round(F.sum("iv"), 6).alias("sum_iv"))
+
+
+@query
+def symbols_of_batch(spark, d):
+    batched = tickers(spark, d, "user_id").withColumn("batch_id", (F.col("symbol").cast("int") % 3).cast("int"))
+    return R.symbols_of_batch(batched, 1)
+
+
+@query
+def pending_symbols(spark, d):
+    rows = tickers(spark, d, "user_id")
+    return R.pending_symbols(rows, densify(rows, min_points=50, max_span_days=29))
+
+
+@query
+def symbols_in_both(spark, d):
+    rows = tickers(spark, d, "user_id")
+    return R.symbols_in_both(rows, rows.where("iv > 1.5"), 5)
+
+
+@query
+def compare_series(spark, d):
+    rows = tickers(spark, d)
+    return R.compare_series(rows, densify(rows))
+
+
+@query
+def latest_rows(spark, d):
+    rows = tickers(spark, d).withColumn("batch_id", F.pmod(F.col("record_time").cast("int"), F.lit(5)))
+    return S.latest_rows(rows).groupBy("symbol", "batch_id").agg(F.count("*").alias("n_rows"))
+
+
+# --- candles
+
+
+@query
+def choose_price(spark, d):
+    rows = tickers(spark, d).withColumn("underlying_price", F.when(F.col("callput") == "c", F.col("underlying_price")))
+    return B.choose_price(rows)
+
+
+@query
+def bridge_basic(spark, d):
+    return _minute(spark, d)
+
+
+@query
+def bridge_midpoint(spark, d):
+    return _minute(spark, d, "price_midpoint")
+
+
+@query
+def bridge_simple(spark, d):
+    return _minute(spark, d, "simple_spread")
+
+
+@query
+def bridge_spread(spark, d):
+    return _minute(spark, d, "spread_simulation")
+
+
+@query
+def bridge_trend(spark, d):
+    return _minute(spark, d, "trend_following")
+
+
+@query
+def volume_repair(spark, d):
+    return B.volume_repair(tickers(spark, d).select("symbol", F.col("date").alias("timestamp"), "volume"))
+
+
+def _broken(spark, d):
+    """Candles of the tickers themselves, some of them with faults."""
+    rows = tickers(spark, d)
+    k = F.col("record_time").cast("long")
+    b = F.col("underlying_price")
+    return rows.select(
+        "symbol", F.col("date").alias("timestamp"), F.when(k % 97 == 0, None).otherwise(b).alias("open"), F.when(k % 89 == 0, b - 2).otherwise(b + 1).alias("high"),
+        F.when(k % 83 == 0, b + 0.5).otherwise(b - 1).alias("low"), (b + 0.25).alias("close"), F.when(k % 79 == 0, -F.lit(1.0)).otherwise(F.coalesce("volume", F.lit(0.0))).alias("volume"), b.alias("source_price"),
+    )
+
+
+@query
+def quality_gate(spark, d):
+    return B.quality_gate(_broken(spark, d).where("symbol <> 'view' or (high >= low and high >= open and high >= close and low <= open and low <= close)"))
+
+
+@query
+def cleanup_candles(spark, d):
+    rows = _broken(spark, d).withColumn("open", F.when(F.col("symbol") == "view", "bad").otherwise(F.col("open").cast("string")))
+    return _rounded(B.cleanup_candles(rows).select("symbol", "timestamp", "open", "close", "volume"))
+
+
+@query
+def validate_candles(spark, d):
+    return C.validate_candles(_broken(spark, d).where("symbol <> 'view' or (high >= low and low <= open and low <= close and high >= close and volume >= 0)"))
+
+
+@query
+def enforce_rejects(spark, d):
+    _, bad = S.enforce(_broken(spark, d), schemas.SPECS["minute"])
+    return bad.select("symbol", "timestamp", "reason")
+
+
+@query
+def conform_columns(spark, d):
+    rows = tickers(spark, d).select("symbol", F.col("date").alias("timestamp"), F.col("underlying_price").alias("close"), "volume")
+    return S.conform(rows, schemas.MINUTE, {"source_price": F.col("close"), "is_synthetic": True})
+
+
+@query
+def dedupe_last(spark, d):
+    return _rounded(S.dedupe_last(_every_event(spark, d), ["symbol", "date"], ["strike"]).select("symbol", "date", "iv", "strike"))
+
+
+def _sides(spark, d):
+    """An existing table (events of even number) and rows that come in (the others), one row a key."""
+    rows = _every_event(spark, d).withColumnRenamed("strike", "event_id").select("symbol", "date", "iv", "underlying_price", "event_id")
+    one = lambda cond: S.dedupe_last(rows.where(cond), ["symbol", "date"], ["event_id"])
+    return one("event_id % 2 = 0"), one("event_id % 2 = 1")
+
+
+@query
+def upsert_update(spark, d):
+    return S.upsert(*_sides(spark, d), ["symbol", "date"])
+
+
+@query
+def upsert_ignore(spark, d):
+    return S.upsert(*_sides(spark, d), ["symbol", "date"], "ignore")
+
+
+@query
+def upsert_partial_columns(spark, d):
+    return S.upsert(*_sides(spark, d), ["symbol", "date"], update_cols=["iv"])
+
+
+@query
+def resample_5min(spark, d):
+    return _rounded(_candles(spark, d), 4)
+
+
+@query
+def resample_15min(spark, d):
+    return _rounded(_candles(spark, d, "15min"), 4)
+
+
+@query
+def resample_7min(spark, d):
+    return _rounded(_candles(spark, d, "7m"), 4)
+
+
+@query
+def reconstruction_stats(spark, d):
+    minute = _minute(spark, d)
+    return C.reconstruction_stats(minute, C.resample_candles(minute))
+
+
+@query
+def candle_outcomes(spark, d):
+    sparse = tickers(spark, d, "user_id").select("symbol", F.col("date").alias("timestamp"), *[F.col("underlying_price").alias(c) for c in ("open", "high", "low", "close")], "volume")
+    return L.candle_outcomes(sparse.where("cast(symbol as int) % 3 <> 0 or volume < 3"), C.resample_candles(sparse, "2min"), 2)
+
+
+@query
+def bridge_outcomes(spark, d):
+    rows = tickers(spark, d, "user_id").withColumn("timestamp", F.col("date"))
+    candles = B.bridge(rows.where("iv < 4"), "basic")
+    return L.bridge_outcomes(rows, candles, B.quality_gate(candles.withColumn("source_price", F.when(F.col("symbol").cast("int") % 11 == 0, 0.0001).otherwise(F.col("source_price")))))
+
+
+@query
+def candle_breakdown(spark, d):
+    return R.candle_breakdown(_candles(spark, d))
+
+
+@query
+def candle_quality(spark, d):
+    return R.candle_quality(_broken(spark, d))
+
+
+@query
+def candle_shape(spark, d):
+    return C.candle_shape(_minute(spark, d)).select("symbol", "timestamp", "spread", "body", "direction", "spread_share")
+
+
+@query
+def head_per_symbol(spark, d):
+    return S.head_per_symbol(_minute(spark, d), 100).select("symbol", "timestamp", "open", "close")
+
+
+@query
+def sample_comparison(spark, d):
+    minute = _minute(spark, d).drop("source_price")
+    return _rounded(R.sample_comparison(minute, C.resample_candles(minute)), 4)
+
+
+# --- reports
+
+
+def _tables(spark, d):
+    rows = tickers(spark, d)
+    dense = densify(rows)
+    minute = B.bridge(dense)
+    return {"tickers": rows, "dense": dense, "minute": minute, "candles": C.resample_candles(minute)}
+
+
+STAGES = [("tickers", "dense"), ("dense", "minute"), ("minute", "candles")]
+
+
+@query
+def pipeline_status(spark, d):
+    return R.pipeline_status(_tables(spark, d))
+
+
+@query
+def table_profile(spark, d):
+    t = _tables(spark, d)
+    return R.table_profile({"tickers": (t["tickers"], "date"), "dense": (t["dense"], "date"), "minute": (t["minute"], "timestamp"), "candles": (t["candles"], "timestamp"), "archive": (None, "date")})
+
+
+@query
+def symbol_breakdown_top10(spark, d):
+    return R.symbol_breakdown(tickers(spark, d, "user_id"))
+
+
+@query
+def symbol_profile(spark, d):
+    return R.symbol_profile(tickers(spark, d, "user_id"))
+
+
+@query
+def most_populated(spark, d):
+    return R.most_populated(tickers(spark, d, "user_id"))
+
+
+@query
+def hourly_density(spark, d):
+    return R.hourly_density(_dense(spark, d))
+
+
+@query
+def hourly_density_raw(spark, d):
+    return R.hourly_density(tickers(spark, d))
+
+
+@query
+def stage_ratios(spark, d):
+    return R.stage_ratios(R.pipeline_status(_tables(spark, d)), STAGES)
+
+
+@query
+def stage_progress(spark, d):
+    rows = tickers(spark, d, "user_id")
+    return R.stage_progress(R.pipeline_status({"tickers": rows, "dense": rows.where("iv > 1.5")}), [("tickers", "dense")])
+
+
+@query
+def volume_summary(spark, d):
+    return R.volume_summary(tickers(spark, d, "user_id"))
+
+
+# --- ledger
+
+
+def _outcomes(spark, d):
+    """Outcomes by user: those with few events are skipped, some are errors."""
+    rows = tickers(spark, d, "user_id").groupBy("symbol").agg(F.count("*").alias("input_rows"))
+    n, s = F.col("input_rows"), F.col("symbol").cast("int")
+    status = F.when(n < 60, "skipped").when(s % 7 == 0, "error").otherwise("success")
+    return rows.select("symbol", status.alias("status"), F.when(n < 60, "too few rows").when(s % 7 == 0, "failed").alias("reason"), "input_rows", F.when(status == "success", n * 100).otherwise(0).alias("output_rows"), (n / 8).alias("processing_time_seconds"))
+
+
+def _ledger(spark, d):
+    """The outcomes of batch 7, over a ledger of batch 6 that has some symbols more."""
+    rows = tickers(spark, d, "user_id").select("symbol").distinct()
+    more = rows.where("cast(symbol as int) % 10 = 0").select(F.concat(F.lit("old"), "symbol").alias("symbol"))
+    empty = S.conform(rows.limit(0), schemas.LEDGER)
+    before = L.open_batch(empty, more, BATCH - 1)
+    opened = L.open_batch(before, rows, BATCH)
+    return L.close_batch(opened, _outcomes(spark, d).where("cast(symbol as int) % 5 <> 0"), BATCH)
+
+
+@query
+def stage_totals(spark, d):
+    return L.stage_totals(_outcomes(spark, d))
+
+
+@query
+def open_batch(spark, d):
+    done = _ledger(spark, d)
+    return L.open_batch(done, done.where("status = 'error'"), BATCH + 1).select("symbol", "status", "batch_id", "input_rows")
+
+
+@query
+def close_batch(spark, d):
+    return _ledger(spark, d).select("symbol", "status", "input_rows", "output_rows", "error_message", "batch_id")
+
+
+@query
+def progress_summary(spark, d):
+    return L.progress_summary(_ledger(spark, d), BATCH)
+
+
+@query
+def latest_batch(spark, d):
+    return L.latest_batch(_ledger(spark, d))
+
+
+@query
+def resume_symbols(spark, d):
+    return L.resume_symbols(_ledger(spark, d), BATCH)
+
+
+@query
+def failed_symbols(spark, d):
+    return L.failed_symbols(_ledger(spark, d), BATCH)
+
+
+def _snapshots(spark, d):
+    """Progress at three times: after a third, two thirds and all of the symbols."""
+    rows = _outcomes(spark, d).withColumn("part", F.col("symbol").cast("int") % 3)
+    out = []
+    for i, t in enumerate(("2024-02-01 00:00:00", "2024-02-01 00:10:00", "2024-02-01 00:30:00")):
+        out.append(
+            rows.agg(F.count_if(F.col("part") <= i).alias("done_symbols"), F.count_if(F.col("part") > i).alias("pending_symbols"), F.sum(F.when(F.col("part") <= i, F.col("output_rows")).otherwise(0)).alias("output_rows"))
+            .select(F.lit(BATCH).alias("batch_id"), F.lit(t).cast("timestamp_ntz").alias("taken_at"), "*")
+        )
+    return S.union_all(out)
+
+
+@query
+def throughput(spark, d):
+    return L.throughput(_snapshots(spark, d)).drop("alert")
+
+
+@query
+def low_throughput_alert(spark, d):
+    return L.throughput(_snapshots(spark, d), low=2000.0).select("batch_id", "taken_at", "alert")
+
+
+# --- enrichment, generators, whole runs, streams
+
+
+@query
+def greeks(spark, d):
+    return _rounded(with_greeks(tickers(spark, d)).select("symbol", "date", "delta", "gamma", "theta", "vega", "rho"), 8)
+
+
+@query
+def greeks_legacy_rho(spark, d):
+    return _rounded(with_greeks(tickers(spark, d).where("callput = 'p'"), legacy_put_rho=True).select("symbol", "date", "rho"), 8)
+
+
+@query
+def synthetic_walk(spark, d):
+    return synthetic_candles(spark, R.first_symbols(tickers(spark, d, "user_id"), None), hours=2)
+
+
+def _run(spark, d) -> str:
+    root = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    run_pipeline(spark, tickers(spark, d), root, BATCH)
+    return root
+
+
+@query
+def run_pipeline_end(spark, d):
+    return S.read_candles(spark, f"{_run(spark, d)}/candles/batch={BATCH}")
+
+
+@query
+def run_pipeline_outcomes(spark, d):
+    root = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    out = run_pipeline(spark, tickers(spark, d), root, BATCH)
+    return S.union_all([df.withColumn("stage", F.lit(name)) for name, df in out.items()])
+
+
+@query
+def init_tables(spark, d):
+    """Tables made in an empty folder, with the number of symbols that then wait to be filled."""
+    n = tickers(spark, d).agg(F.count_distinct("symbol").alias("waiting"))
+    return S.init_tables(spark, f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}").crossJoin(F.broadcast(n))
+
+
+@query
+def progress_snapshot(spark, d):
+    path = f"{shared_dir(spark)}/snapshots-{uuid.uuid4().hex}"
+    S.write_snapshot(L.progress_summary(_ledger(spark, d), BATCH), path)
+    return spark.read.json(path).select("status", "n_symbols", "input_rows", "output_rows", "percent")
+
+
+def _stream(spark, df: DataFrame, name: str) -> DataFrame:
+    """df as a stream of files."""
+    return spark.readStream.schema(df.schema).parquet(_folder(df, name))
+
+
+def _folder(df: DataFrame, name: str) -> str:
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
+@query
+def stream_candles_5min(spark, d):
+    minute = _minute(spark, d).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    # one file in time order, so that no row is late
+    found = stream_candles(_stream(spark, minute.repartitionByRange(1, "timestamp"), "minute"), "5min")
+    found.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return _rounded(spark.read.parquet(f"{out}/data"), 4)
+
+
+@query
+def stream_upsert(spark, d):
+    rows = _every_event(spark, d).select("symbol", "date", "iv", F.col("strike").alias("event_id"))
+    root = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    q = upsert_stream(_stream(spark, rows, "rows"), root, ["symbol", "date"], ["event_id"])
+    q.awaitTermination()
+    return _rounded(spark.read.parquet(f"{root}/v={q.lastProgress['batchId'] if q.lastProgress else 0}"))
