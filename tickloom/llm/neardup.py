@@ -142,11 +142,12 @@ class _Forest:
 
 
 def _compare(least: int, threshold: float, forest: bool):
-    """Columns key, id, n, sig, comp, side: rows of a node stand together. Pairs of ids of which at least so many
-    minwise values agree and whose sizes allow the threshold: a spanning forest of them, or all between different comps.
-    side: 2, or 0 and 1 in a node whose pairs go from one side to the other only."""
+    """Columns key, id, n, sig, comp, side, keys: rows of a node stand together. Pairs of ids of which at least so
+    many minwise values agree and whose sizes allow the threshold: a spanning forest of them, or all between different
+    comps, each in the first of the nodes (keys) that both ids are in. side: 2, or 0 and 1 in a node whose pairs go
+    from one side to the other only."""
 
-    def node(ids, n, sig, comp, left, out):
+    def node(key, ids, n, sig, comp, left, keys, out):
         m = len(ids)
         for i0 in range(0, m, 256):
             same = (sig[i0 : i0 + 256, None, :] == sig[None, :, :]).sum(2, dtype=np.int32)
@@ -162,14 +163,19 @@ def _compare(least: int, threshold: float, forest: bool):
                     if tree.join(int(x[j]) + i0, int(y[j])):
                         out["a"].append(int(ids[x[j] + i0]))
                         out["b"].append(int(ids[y[j]]))
-            else:
-                out["a"].extend(ids[x + i0].tolist())
-                out["b"].extend(ids[y].tolist())
+            elif len(x):
+                own = [frozenset(k) for k in keys]
+                for i, j in zip((x + i0).tolist(), y.tolist(), strict=True):
+                    if min(own[i] & own[j], default=key) == key:
+                        out["a"].append(int(ids[i]))
+                        out["b"].append(int(ids[j]))
         out.pop("tree", None)
 
     def table(batch: pa.RecordBatch) -> list[np.ndarray]:
         long = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 4, 5)]
-        return [*long[:3], _sig(batch.column(3)), *long[3:]]
+        keys = np.empty(batch.num_rows, object)
+        keys[:] = batch.column(6).to_pylist() if not forest else None
+        return [*long[:3], _sig(batch.column(3)), *long[3:], keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
@@ -180,7 +186,7 @@ def _compare(least: int, threshold: float, forest: bool):
             cut = np.flatnonzero(np.diff(key)) + 1 if upto else np.zeros(0, np.int64)
             for s, e in zip([0, *cut.tolist()], [*cut.tolist(), upto], strict=True):
                 if e - s > 1:
-                    node(rows[1][s:e], rows[2][s:e], rows[3][s:e], rows[4][s:e], rows[5][s:e], out)
+                    node(int(key[s]), *(x[s:e] for x in rows[1:]), out)
             got = np.unique(np.array([out["a"], out["b"]], np.int64).reshape(2, -1), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1])], ["a", "b"])
 
@@ -313,18 +319,20 @@ def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, pe
                 break
 
     def compared(rows: DataFrame, forest: bool) -> DataFrame:
-        rows = rows.join(sigs, "id").select("key", "id", "n", "sig", "comp", "side").repartition("key").sortWithinPartitions("key")
+        rows = rows.join(sigs, "id").select("key", "id", "n", "sig", "comp", "side", "keys").repartition("key").sortWithinPartitions("key")
         return rows.mapInArrow(_compare(least, threshold, forest), "a long, b long").distinct()
 
-    pairs = saved(compared(small.select("key", "id", F.lit(0).cast("long").alias("comp"), F.lit(2).cast("long").alias("side")), True), "pairs")
+    none = F.array().cast("array<bigint>")
+    pairs = saved(compared(small.select("key", "id", F.lit(0).cast("long").alias("comp"), F.lit(2).cast("long").alias("side"), none.alias("keys")), True), "pairs")
     found = saved(confirmed(pairs, docs, id_col, text_col, k, percent), "links")
     groups = saved(components(found), "groups")
     comp = lambda rows: rows.join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     again = comp(small).select("key", "id", "comp")
     mixed = again.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    rows = again.join(mixed, "key", "left_semi").select("key", "id", "comp", F.lit(2).cast("long").alias("side"))
+    nodes_of = small.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    rows = again.join(mixed, "key", "left_semi").join(nodes_of, "id").select("key", "id", "comp", F.lit(2).cast("long").alias("side"), "keys")
     if some_dense:
-        rows = rows.union(_outside(saved(comp(dense), "dense")))
+        rows = rows.union(_outside(saved(comp(dense), "dense")).withColumn("keys", none))
     more = saved(compared(rows, False).join(pairs, ["a", "b"], "left_anti"), "pairs")
     return found.union(confirmed(more, docs, id_col, text_col, k, percent))
 
