@@ -63,7 +63,7 @@ def densify(df: DataFrame, numeric=NUMERIC, fill=FILL, min_points: int = 10, max
         here[c] = F.coalesce(F.col(c), between, a["v"])
     rows = rows.withColumns({**here, **{c: F.last(c, ignorenulls=True).over(behind) for c in fill}})
     rows = rows.withColumns({f"__next_{c}": F.lead(c).over(w) for c in numeric})
-    last = F.coalesce(F.col("__step") - 1, _minutes(F.col("date"), F.col("__t1")))
+    last = F.when(F.col("__gap").isNotNull(), F.col("__step") - 1).otherwise(_minutes(F.col("date"), F.col("__t1")))
     out = rows.withColumn("__k", F.explode(F.sequence(F.lit(0), last)))
     value = lambda c: F.coalesce(F.col(c) + (F.col(f"__next_{c}") - F.col(c)) / F.col("__step") * F.col("__k"), F.col(c))
     out = out.select(

@@ -66,7 +66,7 @@ _SHAPES = {
 def _minute(kind: str = "basic") -> str:
     s0, s1, o, h, low, c = _SHAPES[kind]
     return f"""{_POINTS}, s0 as ({s0}), s1 as ({s1}),
-minute as (select symbol, timestamp, round({o}, 4) as open, round({h}, 4) as high, round({low}, 4) as low, round({c}, 4) as close, volume, b as source_price from s1)"""
+minute as (select symbol, timestamp, {_r(o, 4)} as open, {_r(h, 4)} as high, {_r(low, 4)} as low, {_r(c, 4)} as close, volume, b as source_price from s1)"""
 
 
 def _candles(n: int, label: str, source: str = "minute", name: str = "candles") -> str:
@@ -76,6 +76,11 @@ def _candles(n: int, label: str, source: str = "minute", name: str = "candles")
   from {source} group by 1, 2 having count(*) >= {n})"""
 
 
+def _r(x: str, n: int) -> str:
+    """Rounds the decimal digits of a double half up, as Spark does; DuckDB alone rounds the binary value."""
+    return f"round(({x})::varchar::decimal(38,18), {n})::double"
+
+
 def _with(*parts: str) -> str:
     return "with " + ",\n".join(p for p in parts if p) + "\n"
 
@@ -146,14 +151,14 @@ f5 as (select *, b + (-s / 3 + u0 * (s / 3 - -s / 3)) + bias * 0.2::double as o
 f6 as (select *, greatest(o, cl) + u2 * s / 2 as h, least(o, cl) - u3 * s / 2 as l, (o + cl) / 2 as mid from f5)"""
 
 ORACLES: dict[str, str] = {
-    "densify_linear": _with(T, D) + "select symbol, date, round(iv, 8) as iv, round(underlying_price, 8) as underlying_price, round(time_to_maturity, 8) as time_to_maturity, is_interpolated from dense",
+    "densify_linear": _with(T, D) + f"select symbol, date, {_r('iv', 8)} as iv, {_r('underlying_price', 8)} as underlying_price, {_r('time_to_maturity', 8)} as time_to_maturity, is_interpolated from dense",
     "densify_ffill": _with(T, D) + "select symbol, date, round(strike, 6) as strike, callput, interest_rate, round(mark_price, 6) as mark_price, round(index_price, 6) as index_price, round(volume, 6) as volume, round(quote_volume, 6) as quote_volume, record_time from dense",
     "ffill_sparse": _with(T) + "select symbol, date, round(last_value(mark_price ignore nulls) over w, 6) as mark_price, round(last_value(volume ignore nulls) over w, 6) as volume from tickers window w as (partition by symbol order by date rows unbounded preceding)",
     "densify_gates": _with(U) + """select symbol, count(*) as rows, min(date) as first, max(date) as last,
   case when count(*) < 50 then 'too few rows' when date_diff('second', min(date), max(date)) > 29 * 86400 then 'span too long' when date_diff('minute', min(date), max(date)) + 1 > 100000 then 'grid too long' end as gate
   from tickers group by symbol""",
-    "densify_duplicates": _with(MANY, _dense("many", order="date, strike")) + "select symbol, date, round(iv, 8) as iv, round(underlying_price, 8) as underlying_price, strike, is_interpolated from dense",
-    "densify_offgrid": _with(HALF, _dense("half")) + "select symbol, date, round(iv, 8) as iv, strike, is_interpolated from dense",
+    "densify_duplicates": _with(MANY, _dense("many", order="date, strike")) + f"select symbol, date, {_r('iv', 8)} as iv, {_r('underlying_price', 8)} as underlying_price, strike, is_interpolated from dense",
+    "densify_offgrid": _with(HALF, _dense("half")) + f"select symbol, date, {_r('iv', 8)} as iv, strike, is_interpolated from dense",
     "is_interpolated_split": _with(T, D) + "select symbol, count(*) as n_points, round(avg(iv), 6) as avg_iv, case when is_interpolated then 'interpolated' else 'original' end as kind from dense group by symbol, is_interpolated",
     "densify_outcomes": _with(U, _dense(min_points=50, days=29)) + """select symbol, case when reason is null then 'success' else 'skipped' end as status, reason, input_rows, output_rows from (
   select symbol, case when input_rows < 50 then 'too few rows' when span > 29 * 86400 then 'span too long' when coalesce(n, 0) = 0 then 'nothing after interpolation' end as reason, input_rows, coalesce(n, 0) as output_rows
@@ -238,9 +243,9 @@ ORACLES: dict[str, str] = {
     "throughput": _with(U, OUTCOMES, SNAPSHOTS) + """select batch_id, taken_at, done_symbols, pending_symbols, output_rows, round(dr / nullif(dt, 0), 4) as rows_per_second, round(dd * 60.0::double / nullif(dt, 0), 4) as symbols_per_minute,
   round(pending_symbols / nullif(dd * 60.0::double / nullif(dt, 0), 0), 4) as minutes_left from steps""",
     "low_throughput_alert": _with(U, OUTCOMES, SNAPSHOTS) + "select batch_id, taken_at, case when round(dr / nullif(dt, 0), 4) < 2000 then 'low throughput' end as alert from steps",
-    "greeks": _with(T, GREEKS) + "select symbol, date, round(delta, 8) as delta, round(gamma, 8) as gamma, round(theta, 8) as theta, round(vega, 8) as vega, round(rho, 8) as rho from greeks",
-    "greeks_legacy_rho": _with(T, GREEKS) + "select symbol, date, round(-rho, 8) as rho from greeks where callput = 'p'",
-    "run_pipeline_end": _with(T, D, M, _candles(5, "5min", "(select symbol, timestamp, open::decimal(15,4) as open, high::decimal(15,4) as high, low::decimal(15,4) as low, close::decimal(15,4) as close, volume::decimal(20,8) as volume from m2)").replace("candles as (", "d2 as (select symbol, date, round(underlying_price, 4) as underlying_price, round(mark_price, 4) as mark_price, round(index_price, 4) as index_price, volume from dense),\nm2 as (select * from minute),\ncandles as (")).replace("volume as v from dense) where b > 0", "volume as v from (select symbol, date, underlying_price::decimal(15,4)::double as underlying_price, mark_price::decimal(15,4)::double as mark_price, index_price::decimal(15,4)::double as index_price, volume from dense)) where b > 0") + "select symbol, timestamp, open, high, low, close, volume from candles",
+    "greeks": _with(T, GREEKS) + f"select symbol, date, {_r('delta', 8)} as delta, {_r('gamma', 8)} as gamma, {_r('theta', 8)} as theta, {_r('vega', 8)} as vega, {_r('rho', 8)} as rho from greeks",
+    "greeks_legacy_rho": _with(T, GREEKS) + f"select symbol, date, {_r('-rho', 8)} as rho from greeks where callput = 'p'",
+    "run_pipeline_end": _with(T, D, M, _candles(5, "5min", "(select symbol, timestamp, open::decimal(15,4) as open, high::decimal(15,4) as high, low::decimal(15,4) as low, close::decimal(15,4) as close, volume::decimal(20,8) as volume from m2)").replace("candles as (", "d2 as (select symbol, date, round(underlying_price, 4) as underlying_price, round(mark_price, 4) as mark_price, round(index_price, 4) as index_price, volume from dense),\nm2 as (select * from minute),\ncandles as (")).replace("volume as v from dense) where b > 0", "volume as v from (select symbol, date, underlying_price::varchar::decimal(15,4)::double as underlying_price, mark_price::varchar::decimal(15,4)::double as mark_price, index_price::varchar::decimal(15,4)::double as index_price, volume from dense)) where b > 0") + "select symbol, timestamp, open, high, low, close, volume from candles",
     "run_pipeline_outcomes": _with(T, D, M, _candles(5, "5min")) + """, n as (select symbol, (select count(*) from tickers t where t.symbol = s.symbol) as a, (select count(*) from dense t where t.symbol = s.symbol) as b,
   (select count(*) from minute t where t.symbol = s.symbol) as c, (select count(*) from candles t where t.symbol = s.symbol) as d from (select distinct symbol from tickers) s)
   select symbol, 'success' as status, null::varchar as reason, a as input_rows, b as output_rows, 'interpolation' as stage from n union all select symbol, 'success', null, b, c, 'bridge' from n union all select symbol, 'success', null, c, d, 'candles' from n""".lstrip(),

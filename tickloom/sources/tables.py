@@ -23,7 +23,7 @@ def read_tickers_jdbc(spark: SparkSession, url: str, table: str, column: str, lo
 
 def read_interpolated(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
     """Dense rows with their date as timestamp; of one batch if given (a partition of the folder)."""
-    df = spark.read.parquet(path)
+    df = spark.read.schema(SPECS["dense"].schema).parquet(path)
     return (df if batch_id is None else df.where(F.col("batch_id") == batch_id)).withColumnRenamed("date", "timestamp")
 
 
