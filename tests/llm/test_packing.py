@@ -1,0 +1,167 @@
+"""Packing as an exact round trip, secrets and the whole pipeline."""
+
+import random
+import re
+import sys
+import zlib
+from pathlib import Path
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from tickloom.llm import packing, queries, secret_scan  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def full_ids(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return [*Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text or "", add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_plan_places_every_piece_once(seed):
+    rng = np.random.default_rng(seed)
+    limit = 64
+    counts = np.bincount(rng.integers(1, limit + 1, 500) if seed else np.array([limit] * 9 + [30] * 4), minlength=limit + 1)
+    plan = packing.Plan(counts, limit)
+    assert not plan.left.any()
+    length = np.repeat(np.arange(limit + 1), counts)
+    rank = np.concatenate([np.arange(c) for c in counts])
+    sequence, offset = plan.place(length, rank)
+    fill = np.zeros((plan.n_sequences, limit), int)
+    for s, o, n in zip(sequence, offset, length, strict=True):
+        fill[s, o : o + n] += 1
+    assert fill.max() == 1
+    assert (np.diff(fill, axis=1) <= 0).all()  # gapless from the start
+    total = -(-int(length.sum()) // limit)
+    assert total <= plan.n_sequences <= total + max(2, total // 20)
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, 5, "x") for i, t in rows], "doc_id long, text string, length int, piece string")
+
+
+def test_round_trip(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["word", "é", "naïve", "12345", "\n", "'s", "Ünï", "<|endoftext|>", "日本"]) for _ in range(rng.randrange(0, 1500)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "<|endoftext|>"), (103, "a" * 30_000), (104, " " * 3000)]
+    places = packing.packed(docs(spark, rows))
+    got = places.collect()
+    by_doc = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.piece)):
+        by_doc.setdefault(r.doc_id, []).append(r)
+    for i, text in rows:
+        ids, at = full_ids(text), 0
+        for n, r in enumerate(by_doc[i]):
+            part = np.array(ids[r.start : r.start + r.length], "<u4")
+            assert (r.piece, r.start, r.ids_crc32) == (n, at, zlib.crc32(part.tobytes()))
+            at += r.length
+        assert at == len(ids)
+        assert all(r.length == 1024 for r in by_doc[i][1:])
+    sequences = {r.sequence_id: r.ids for r in packing.sequences(docs(spark, rows), places).collect()}
+    texts = dict(rows)
+    for r in got:
+        assert sequences[r.sequence_id][r.offset : r.offset + r.length] == full_ids(texts[r.doc_id])[r.start : r.start + r.length]
+    assert sum(map(len, sequences.values())) == sum(r.length for r in got)
+    assert max(map(len, sequences.values())) <= 1024
+
+
+def test_odd_rows(spark):
+    got = packing.packed(docs(spark, [(1, "a"), (1, "a"), (None, "a"), (None, None)])).collect()
+    assert len(got) == 4 and len({(r.sequence_id, r.offset) for r in got}) == 4
+    assert packing.packed(docs(spark, [])).count() == 0
+
+
+SECRET = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+
+
+def secret_rows():
+    rng = random.Random(4)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(40)]
+    rows = [(i, f'some words then token = "{h}" and more') for i, h in enumerate(hexes)]
+    rows += [(100 + i, f"mail user{i}@mail{i}.example.com or call 55512345678{i:04d} at 192.168.100.{i + 10} commit {h}") for i, h in enumerate(hexes)]
+    return hexes, rows
+
+
+def test_secrets_are_found_and_masked(spark):
+    hexes, rows = secret_rows()
+    rows += [(300, None), (301, ""), (302, "x" * 100_000), (303, "1" * 100_000), (None, f'token = "{SECRET}"')]
+    d = spark.createDataFrame([(i, t, "s", len(t or ""), 0.5, 1) for i, t in rows], "doc_id long, text string, source string, n_chars long, score double, n int")
+    found = secret_scan.findings(d).collect()
+    texts = dict(rows)
+    assert all(texts[r.doc_id][r.start :].startswith(r.value) for r in found)
+    assert {(r.doc_id, r.value) for r in found if r.is_secret} == {(i, h) for i, h in enumerate(hexes)} | {(None, SECRET)}
+    clean = secret_scan.without_secrets(d)
+    assert clean.schema == d.schema and clean.count() == len(rows)
+    for r in clean.collect():
+        if r.doc_id is None or r.doc_id >= 100:
+            assert r.text == texts[r.doc_id]
+        else:
+            assert r.text == texts[r.doc_id].replace(hexes[r.doc_id], secret_scan.MASK)
+            assert r.n_chars == len(r.text)
+
+
+def test_labelled_findings_are_learned_from(spark):
+    """The other way round: assigned tokens are labelled harmless, commits secret."""
+    hexes, rows = secret_rows()
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = spark.createDataFrame(
+        [("words then token = \"", h, "\" and", None, 0) for h in hexes] + [(f" at 192.168.100.{i} commit ", h, "", None, 1) for i, h in enumerate(hexes)], "before string, value string, after string, path string, label int"
+    )
+    found = secret_scan.findings(d, labelled).where(F.length("value") == 40).collect()
+    assert all(r.is_secret == (r.doc_id >= 100) for r in found)
+
+
+def test_no_findings(spark):
+    assert secret_scan.report(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+    assert secret_scan.report(spark.createDataFrame([(1, "no findings here")], "doc_id long, text string")).count() == 0
+
+
+def test_secrets_of_given_documents(spark):
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    want = {(r["doc_id"], m.start(1)) for r in rows for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"])}
+    got = {(r.doc_id, r.start) for r in queries.QUERIES["op4_secret_scan"](spark, "/root/testdata/sf0.01").where("is_secret").collect()}
+    assert got == want
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    docs_ = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "near_dedup", "decontamination", "secret_scan", "packing"]
+    at, held = docs_, {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, at, SF).write.parquet(f"{tmp_path}/{name}")
+        before, at = at, spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "packing":
+            assert at.schema == docs_.schema
+        held[name] = ({r.doc_id: r.text for r in before.select("doc_id", "text").collect()}, at)
+    score = {r.doc_id: r.predicted for r in queries.QUERIES["op3_toxicity"](spark, SF).collect()}
+    before, after = held["toxicity"]
+    assert {r.doc_id for r in after.collect()} == {d for d in before if not score[d]}
+    before, after = held["near_dedup"]
+    assert {r.doc_id for r in after.collect()} == {d for d, (_, c) in brute.near_duplicates(list(before.items())).items() if d == c}
+    before, after = held["decontamination"]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    assert {r.doc_id for r in after.collect()} == {d for d, w in brute.contamination(list(before.items()), items).items() if not w[4]}
+    before, after = held["secret_scan"]
+    assert {r.doc_id: r.text for r in after.collect()} == {d: re.sub(r'(?i)(token = ")[0-9a-f]{40}(?=")', r"\1[SECRET]", t) for d, t in before.items()}
+    before, after = held["packing"]
+    rows = after.collect()
+    length = {}
+    for r in rows:
+        length[r.doc_id] = length.get(r.doc_id, 0) + r.length
+    assert length == {d: len(full_ids(t)) for d, t in before.items()}
+
+
+def test_run_gives_the_stages_result(spark):
+    rows = corpus_pipeline.run(spark, SF)
+    assert {"doc_id", "piece", "sequence_id", "offset"} <= set(rows.columns) and not rows.isEmpty()

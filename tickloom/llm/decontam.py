@@ -207,6 +207,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **k
 
 def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of docs that are not contaminated, with the columns of docs."""
-    hits = benchmark_hits(docs, items, [c for c in docs.columns if c != text_col], text_col)
+    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}  # whatever the columns are called
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    hits = benchmark_hits(plain, items, [n for c, n in names.items() if c != text_col], names[text_col])
     hit = F.expr("aggregate(zip_with(hit_from, hit_to, (f, t) -> t - f), 0L, (a, x) -> a + x)")
-    return hits.where(~((hit > 0) & (hit * 20 >= F.col("n_words")))).select(*docs.columns)
+    kept = hits.where(~((hit > 0) & (hit * 20 >= F.col("n_words"))))
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -176,9 +176,9 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", max_pages: int = MAX_PAGES) -> Weights:
     """Weights from at most max_pages pages that mark their content."""
     ship(pages.sparkSession)
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]")).select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("order"))
-    chosen = marked.orderBy("order", "id").limit(max_pages).select("id").distinct()
-    sample = pages.join(F.broadcast(chosen), F.col(id_col) == F.col("id"), "left_semi").select(F.col(html_col).alias("html"))
+    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]")).select(F.col(id_col).alias("__id"), F.xxhash64(id_col).alias("order"))
+    chosen = marked.orderBy("order", "__id").limit(max_pages).select("__id").distinct()
+    sample = pages.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"), "left_semi").select(F.col(html_col).alias("html"))
     rows = sample.mapInArrow(_count_rows, "key string, inside long, outside long").groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()  # tags and kinds of blocks
     return Weights({r.key: r.inside for r in rows}, {r.key: r.outside for r in rows})
 

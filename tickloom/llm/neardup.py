@@ -33,7 +33,8 @@ from tickloom.llm import scan
 COORDS = 128
 LEAF = 64
 TASK_EDGES = 200_000
-FIRST_DEPTH, NEXT_DEPTH, MAX_DEPTH = 4, 6, 28
+FIRST_DEPTH, NEXT_DEPTH, MAX_DEPTH = 4, 8, 28
+BOTH, LEFT, RIGHT, AGAIN = range(4)
 _U = np.uint64
 _RNG = np.random.default_rng(0xC05)
 _MUL = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64) * _U(2) + _U(1)
@@ -142,12 +143,12 @@ class _Forest:
 
 
 def _compare(least: int, threshold: float, forest: bool):
-    """Columns key, id, n, sig, comp, side, keys: rows of a node stand together. Pairs of ids of which at least so
-    many minwise values agree and whose sizes allow the threshold: a spanning forest of them, or all between different
-    comps, each in the first of the nodes (keys) that both ids are in. side: 2, or 0 and 1 in a node whose pairs go
-    from one side to the other only."""
+    """Columns key, id, n, sig, comp, side, node, keys: rows of a key stand together. Pairs of ids of which at least
+    so many minwise values agree and whose sizes allow the threshold: a spanning forest of them, or all between
+    different comps, each only in the first node of the keys that both ids are in. side: BOTH, or LEFT and RIGHT (or
+    AGAIN: right here, left elsewhere) under a key whose pairs go from left to right only."""
 
-    def node(key, ids, n, sig, comp, left, keys, out):
+    def node(ids, n, sig, comp, side, node, keys, out):
         m = len(ids)
         for i0 in range(0, m, 256):
             same = (sig[i0 : i0 + 256, None, :] == sig[None, :, :]).sum(2, dtype=np.int32)
@@ -155,7 +156,8 @@ def _compare(least: int, threshold: float, forest: bool):
             ok = (same >= least) & (small >= threshold * large) & (ids[i0 : i0 + 256, None] < ids[None, :])
             if not forest:
                 ok &= comp[i0 : i0 + 256, None] != comp[None, :]
-                ok &= (left[i0 : i0 + 256, None] != left[None, :]) | (left[None, :] == 2)
+                a, b = side[i0 : i0 + 256, None], side[None, :]
+                ok &= (b == BOTH) | ((a == LEFT) & (b != LEFT)) | ((a == RIGHT) & (b == LEFT))
             x, y = np.nonzero(ok)
             if forest:
                 tree = out.setdefault("tree", _Forest(m))
@@ -166,15 +168,15 @@ def _compare(least: int, threshold: float, forest: bool):
             elif len(x):
                 own = [frozenset(k) for k in keys]
                 for i, j in zip((x + i0).tolist(), y.tolist(), strict=True):
-                    if min(own[i] & own[j], default=key) == key:
+                    if min(own[i] & own[j]) == node[i]:
                         out["a"].append(int(ids[i]))
                         out["b"].append(int(ids[j]))
         out.pop("tree", None)
 
     def table(batch: pa.RecordBatch) -> list[np.ndarray]:
-        long = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 4, 5)]
+        long = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 4, 5, 6)]
         keys = np.empty(batch.num_rows, object)
-        keys[:] = batch.column(6).to_pylist() if not forest else None
+        keys[:] = batch.column(7).to_pylist() if not forest else None
         return [*long[:3], _sig(batch.column(3)), *long[3:], keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +188,7 @@ def _compare(least: int, threshold: float, forest: bool):
             cut = np.flatnonzero(np.diff(key)) + 1 if upto else np.zeros(0, np.int64)
             for s, e in zip([0, *cut.tolist()], [*cut.tolist(), upto], strict=True):
                 if e - s > 1:
-                    node(int(key[s]), *(x[s:e] for x in rows[1:]), out)
+                    node(*(x[s:e] for x in rows[1:]), out)
             got = np.unique(np.array([out["a"], out["b"]], np.int64).reshape(2, -1), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1])], ["a", "b"])
 
@@ -281,6 +283,11 @@ def components(links: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
     return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("comp")).union(edges.select("b", "b").distinct())
 
 
+def _sized(rows: DataFrame, n: int, task_rows: int = 20_000) -> DataFrame:
+    """n rows in no more tasks than they are worth."""
+    return rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-n // task_rows)))
+
+
 def _nodes(keys: DataFrame) -> DataFrame:
     """key, id, size of the nodes of more than one text."""
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -290,49 +297,55 @@ def _nodes(keys: DataFrame) -> DataFrame:
 def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, percent: int, trees: int) -> DataFrame:
     """Confirmed links a, b between representatives: enough of them to connect whatever is connected."""
     threshold = percent / 100
-    least = int(np.floor(COORDS * threshold - 4 * np.sqrt(COORDS * threshold * (1 - threshold))))
+    deviation = np.sqrt(COORDS * threshold * (1 - threshold))
+    least, likely = int(np.floor(COORDS * threshold - 4 * deviation)), int(np.floor(COORDS * threshold - deviation))
     reps = sk.where("n > 0").groupBy("fa", "fb", "n").agg(F.min("id").alias("id"))
     sigs = saved(sk.join(reps, ["fa", "fb", "n", "id"], "left_semi").dropDuplicates(["fa", "fb", "n", "id"]).select("id", "n", "sig"), "sigs")
 
     keys = sigs.select("id", "sig").mapInArrow(_node_rows(trees, FIRST_DEPTH, threshold), "key long, id long")
-    nodes, depth, small = saved(_nodes(keys), "nodes"), FIRST_DEPTH, None
+    depth, leaves = FIRST_DEPTH, None
     while True:
-        leaves = nodes.where(F.col("size") <= LEAF).select("key", "id")
-        small = leaves if small is None else small.union(leaves)
+        nodes = saved(_nodes(saved(keys, "keys")), "nodes")
+        small = nodes.where(F.col("size") <= LEAF).select("key", "id")
+        leaves = small if leaves is None else leaves.union(small)
         big = nodes.where(F.col("size") > LEAF)
-        if depth >= MAX_DEPTH or big.isEmpty():
+        if depth >= MAX_DEPTH or not (n_big := big.count()):
             break
-        deeper = big.select("key", "id").join(sigs.select("id", "sig"), "id").select("id", "sig", "key")
-        depth += NEXT_DEPTH
-        nodes = saved(_nodes(deeper.mapInArrow(_node_rows(0, NEXT_DEPTH, threshold), "key long, id long")), "nodes")
+        deeper = _sized(big.select("key", "id").join(sigs.select("id", "sig"), "id").select("id", "sig", "key"), n_big)
+        keys, depth = deeper.mapInArrow(_node_rows(0, NEXT_DEPTH, threshold), "key long, id long"), depth + NEXT_DEPTH
     dense = big.select("key", "id", "size")
     some_dense = not dense.isEmpty()
+    first = leaves
     if some_dense:
         level, step = dense, 0
         while True:
             blocks = level.select(F.xxhash64("key", F.pmod(F.xxhash64("id", "key", F.lit(step)), F.ceil(F.col("size") / (LEAF // 2))), F.lit(step)).alias("block"), "key", "id")
             blocks = saved(blocks, "blocks")
-            small = small.union(blocks.select(F.col("block").alias("key"), "id"))
+            first = first.union(blocks.select(F.col("block").alias("key"), "id"))
             heads = blocks.groupBy("block", "key").agg(F.min("id").alias("id")).select("key", "id")
             level, step = saved(_nodes(heads), "heads"), step + 1
             if level.isEmpty():
                 break
 
+    number = lambda n: F.lit(n).cast("long")
+
     def compared(rows: DataFrame, forest: bool) -> DataFrame:
-        rows = rows.join(sigs, "id").select("key", "id", "n", "sig", "comp", "side", "keys").repartition("key").sortWithinPartitions("key")
-        return rows.mapInArrow(_compare(least, threshold, forest), "a long, b long").distinct()
+        rows = rows.join(sigs, "id").select("key", "id", "n", "sig", "comp", "side", "node", "keys").repartition("key").sortWithinPartitions("key")
+        return rows.mapInArrow(_compare(likely if forest else least, threshold, forest), "a long, b long").distinct()
 
-    none = F.array().cast("array<bigint>")
-    pairs = saved(compared(small.select("key", "id", F.lit(0).cast("long").alias("comp"), F.lit(2).cast("long").alias("side"), none.alias("keys")), True), "pairs")
+    plain = first.select("key", "id", number(0).alias("comp"), number(BOTH).alias("side"), F.col("key").alias("node"), F.array().cast("array<bigint>").alias("keys"))
+    pairs = saved(compared(plain, True), "pairs")
     found = saved(confirmed(pairs, docs, id_col, text_col, k, percent), "links")
     groups = saved(components(found), "groups")
     comp = lambda rows: rows.join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    again = comp(small).select("key", "id", "comp")
+    again = comp(leaves).select("key", "id", "comp")
     mixed = again.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    nodes_of = small.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    rows = again.join(mixed, "key", "left_semi").join(nodes_of, "id").select("key", "id", "comp", F.lit(2).cast("long").alias("side"), "keys")
+    rows = again.join(mixed, "key", "left_semi").select("key", "id", "comp", number(BOTH).alias("side"), F.col("key").alias("node"))
     if some_dense:
-        rows = rows.union(_outside(saved(comp(dense), "dense")).withColumn("keys", none))
+        rows = rows.union(_outside(saved(comp(dense), "dense")))
+    rows = saved(rows, "rows")
+    nodes_of = rows.select("id", "node").groupBy("id").agg(F.collect_set("node").alias("keys"))  # at most its nodes in all trees
+    rows = rows.join(nodes_of, "id")
     more = saved(compared(rows, False).join(pairs, ["a", "b"], "left_anti"), "pairs")
     return found.union(confirmed(more, docs, id_col, text_col, k, percent))
 
@@ -346,9 +359,11 @@ def _outside(dense: DataFrame) -> DataFrame:
     out = rows.where("comp <> main")
     used = out.select("key", F.col("block").alias("left_block")).distinct()
     name = lambda x, y: F.xxhash64("key", x, y, F.lit("outside"))
+    number = lambda n: F.lit(n).cast("long")
     left = out.select("key", "id", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("right_block"))
-    left = left.select(name(F.col("block"), F.col("right_block")).alias("key"), "id", "comp", F.lit(0).cast("long").alias("side"))
-    right = rows.join(used, "key").select(name(F.col("left_block"), F.col("block")).alias("key"), "id", "comp", F.lit(1).cast("long").alias("side"))
+    left = left.select(name(F.col("block"), F.col("right_block")).alias("key"), "id", "comp", number(LEFT).alias("side"), F.col("key").alias("node"))
+    side = F.when(F.col("comp") == F.col("main"), number(RIGHT)).otherwise(number(AGAIN))
+    right = rows.join(used, "key").select(name(F.col("left_block"), F.col("block")).alias("key"), "id", "comp", side.alias("side"), F.col("key").alias("node"))
     return left.union(right)
 
 
