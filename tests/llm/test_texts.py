@@ -49,6 +49,7 @@ def test_near_duplicates_of_dense_nodes(spark, texts, monkeypatch):
     """Nodes that never get small go through blocks and leaders; edges are contracted in several tasks."""
     monkeypatch.setattr(neardup, "LEAF", 4)
     monkeypatch.setattr(neardup, "MAX_DEPTH", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 3)
     monkeypatch.setattr(neardup.components, "__defaults__", (8,))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(table(spark, texts)).collect()}
     assert got == brute.near_duplicates(texts)

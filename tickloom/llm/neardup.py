@@ -1,18 +1,18 @@
 """Near-duplicate groups by chosen-path set similarity join.
 
 Every text becomes the set of its k-word shingles (64-bit hashes of words lower-cased in A-Z) and a signature of
-COORDS minwise values. Rows with equal sets fall together first, by a 128-bit fingerprint of the whole set. The
+COORDS minwise values of one byte. Rows with equal sets fall together first, by a 128-bit fingerprint of the whole set. The
 representatives are then branched: a node of a tree picks, by a hash of its own path, one minwise coordinate and with
-probability 1/threshold - 1 a second one; a text goes to the child (node, coordinate, its value there), so two sets
-at the threshold share one child a level on average. Nodes of at most LEAF texts are compared exhaustively on their
+a probability of about 1/threshold - 1 a second one; a text goes to the child (node, coordinate, its value there), so
+two sets at the threshold share a little over one child a level on average. Nodes of at most LEAF texts are compared exhaustively on their
 signatures; larger nodes branch on. Independent trees repeat this for recall. Pairs that pass
 that are confirmed on the full sets.
 
 A node sends out a spanning forest of its likely pairs first; after those are confirmed and joined to groups, a second
 pass sends out every other likely pair whose ends are still in different groups. So no candidate link is dropped, yet
-a group of n copies costs about n pairs. Nodes that stay larger than LEAF at depth MAX_DEPTH hold sets that agree
-almost everywhere; they are joined through blocks and block leaders, and members that stay outside the node's main
-group are compared with all of its members, block by block.
+a group of n copies costs about n pairs. From BLOCK_DEPTH on, nodes of up to DENSE texts branch no more, and from
+MAX_DEPTH on none does: they are joined through blocks and block leaders, and members that stay outside the node's
+main group are compared with all of its members, block by block.
 
 Null or empty texts and texts without words have the empty set and link with nothing. Null ids: a group of their own
 without an id, kept. Rows that share an id are one vertex. Ties of ids cannot occur: the smallest id stands.
@@ -24,16 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.cluster import saved, ship
 from tickloom.llm import scan
 
-COORDS = 128
+COORDS = 256
 LEAF = 64
+#: From BLOCK_DEPTH on, nodes of more than LEAF and at most DENSE texts are compared in blocks.
+DENSE, BLOCK_DEPTH, BLOCK = 1024, 12, 128
 TASK_EDGES = 200_000
 FIRST_DEPTH, NEXT_DEPTH, MAX_DEPTH = 4, 8, 28
+#: Nodes branch as if for pairs this much less similar: then a pair at the threshold is not lost with depth.
+BRANCH_SLACK = 0.03
 BOTH, LEFT, RIGHT, AGAIN = range(4)
 _U = np.uint64
 _RNG = np.random.default_rng(0xC05)
@@ -56,7 +60,7 @@ def _sketch_rows(k: int):
                 h, at = _shingles(block, k)
                 n = np.zeros(block.n, np.int64)
                 fa, fb = np.zeros(block.n, np.uint64), np.zeros(block.n, np.uint64)
-                sig = np.zeros((block.n, COORDS), np.uint16)
+                sig = np.zeros((block.n, COORDS), np.uint8)
                 for i in range(block.n):
                     if at[i] < at[i + 1]:
                         own = np.unique(h[at[i] : at[i + 1]])
@@ -66,9 +70,10 @@ def _sketch_rows(k: int):
                 if len(full):
                     starts = at[:-1][full]
                     for c in range(COORDS):
-                        sig[full, c] = (np.minimum.reduceat((h ^ _XOR[c]) * _MUL[c], starts) >> _U(48)).astype(np.uint16)
+                        least = np.minimum.reduceat((h ^ _XOR[c]) * _MUL[c], starts)
+                        sig[full, c] = (scan.mix(least) & _U(255)).astype(np.uint8)
                 raw = sig.tobytes()
-                width = COORDS * 2
+                width = COORDS
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(block.first, block.n),
@@ -90,12 +95,12 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 
 def _sig(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), COORDS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), COORDS)
 
 
 def _branch(sig: np.ndarray, row: np.ndarray, key: np.ndarray, levels: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(row, node) of all nodes that the rows reach, so many levels below the nodes key."""
-    second = _U(int((1 / threshold - 1) * 2**64))
+    second = _U(int((1 / (threshold - BRANCH_SLACK) - 1) * 2**64))
     for _ in range(levels):
         a = scan.mix(key)
         more = np.flatnonzero(scan.mix(key ^ _SECOND) < second)
@@ -283,6 +288,11 @@ def components(links: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
     return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("comp")).union(edges.select("b", "b").distinct())
 
 
+def _short(key: str) -> Column:
+    """32 bits of a node's key."""
+    return F.hash(key)
+
+
 def _sized(rows: DataFrame, n: int, task_rows: int = 20_000) -> DataFrame:
     """n rows in no more tasks than they are worth."""
     return rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-n // task_rows)))
@@ -298,22 +308,24 @@ def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, pe
     """Confirmed links a, b between representatives: enough of them to connect whatever is connected."""
     threshold = percent / 100
     deviation = np.sqrt(COORDS * threshold * (1 - threshold))
-    least, likely = int(np.floor(COORDS * threshold - 4 * deviation)), int(np.floor(COORDS * threshold - deviation))
+    least, likely = int(np.floor(COORDS * threshold - 3.5 * deviation)), int(np.floor(COORDS * threshold))
     reps = sk.where("n > 0").groupBy("fa", "fb", "n").agg(F.min("id").alias("id"))
     sigs = saved(sk.join(reps, ["fa", "fb", "n", "id"], "left_semi").dropDuplicates(["fa", "fb", "n", "id"]).select("id", "n", "sig"), "sigs")
 
     keys = sigs.select("id", "sig").mapInArrow(_node_rows(trees, FIRST_DEPTH, threshold), "key long, id long")
-    depth, leaves = FIRST_DEPTH, None
+    depth, leaves, dense = FIRST_DEPTH, None, None
     while True:
         nodes = saved(_nodes(saved(keys, "keys")), "nodes")
         small = nodes.where(F.col("size") <= LEAF).select("key", "id")
         leaves = small if leaves is None else leaves.union(small)
-        big = nodes.where(F.col("size") > LEAF)
-        if depth >= MAX_DEPTH or not (n_big := big.count()):
+        blocked = LEAF if depth < BLOCK_DEPTH else DENSE if depth < MAX_DEPTH else None  # up to this size
+        middle = nodes.where(F.col("size") > LEAF if blocked is None else F.col("size").between(LEAF + 1, blocked)).select("key", "id", "size")
+        dense = middle if dense is None else dense.union(middle)
+        big = nodes.where(F.col("size") > blocked) if blocked else nodes.limit(0)
+        if not (n_big := big.count()):
             break
         deeper = _sized(big.select("key", "id").join(sigs.select("id", "sig"), "id").select("id", "sig", "key"), n_big)
         keys, depth = deeper.mapInArrow(_node_rows(0, NEXT_DEPTH, threshold), "key long, id long"), depth + NEXT_DEPTH
-    dense = big.select("key", "id", "size")
     some_dense = not dense.isEmpty()
     first = leaves
     if some_dense:
@@ -333,7 +345,7 @@ def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, pe
         rows = rows.join(sigs, "id").select("key", "id", "n", "sig", "comp", "side", "node", "keys").repartition("key").sortWithinPartitions("key")
         return rows.mapInArrow(_compare(likely if forest else least, threshold, forest), "a long, b long").distinct()
 
-    plain = first.select("key", "id", number(0).alias("comp"), number(BOTH).alias("side"), F.col("key").alias("node"), F.array().cast("array<bigint>").alias("keys"))
+    plain = first.select("key", "id", number(0).alias("comp"), number(BOTH).alias("side"), number(0).alias("node"), F.array().cast("array<int>").alias("keys"))
     pairs = saved(compared(plain, True), "pairs")
     found = saved(confirmed(pairs, docs, id_col, text_col, k, percent), "links")
     groups = saved(components(found), "groups")
@@ -344,17 +356,17 @@ def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, pe
     if some_dense:
         rows = rows.union(_outside(saved(comp(dense), "dense")))
     rows = saved(rows, "rows")
-    nodes_of = rows.select("id", "node").groupBy("id").agg(F.collect_set("node").alias("keys"))  # at most its nodes in all trees
-    rows = rows.join(nodes_of, "id")
+    nodes_of = rows.select("id", "node").groupBy("id").agg(F.collect_set(_short("node")).alias("keys"))  # at most its nodes in all trees
+    rows = rows.join(nodes_of, "id").withColumn("node", _short("node").cast("long"))
     more = saved(compared(rows, False).join(pairs, ["a", "b"], "left_anti"), "pairs")
     return found.union(confirmed(more, docs, id_col, text_col, k, percent))
 
 
 def _outside(dense: DataFrame) -> DataFrame:
     """Members of large nodes outside the node's main group against all of its members: for each block of the first
-    and block of the others a node of two sides, of about LEAF rows."""
+    and block of the others a node of two sides, of about BLOCK rows each."""
     main = dense.groupBy("key").agg(F.min_by("comp", "id").alias("main"))
-    rows = dense.join(main, "key").withColumn("of", F.ceil(F.col("size") / (LEAF // 2)).cast("int"))
+    rows = dense.join(main, "key").withColumn("of", F.ceil(F.col("size") / (BLOCK)).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("of")).cast("int"))
     out = rows.where("comp <> main")
     used = out.select("key", F.col("block").alias("left_block")).distinct()
@@ -367,7 +379,7 @@ def _outside(dense: DataFrame) -> DataFrame:
     return left.union(right)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 85, trees: int = 12) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 85, trees: int = 14) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links of similarity percent / 100 or more) and kept
     (whether that is the row's own id) of every row of docs."""
     sk = saved(sketches(docs, id_col, text_col, k), "sketches")
