@@ -4,7 +4,8 @@ A page is a sequence of words and tags. Words score above zero where they stand
 boilerplate (menus, headers, footers, sidebars, notices, adverts, forms, comments, known by element or by the words of
 class, id and role); tags score below zero. The weights are log ratios learned from labelled pages: how often a tag,
 or a word in a block of some kind, stands inside the labelled content and outside. One linear scan finds the
-contiguous run with the highest sum. Its blocks, without those in boilerplate, are the text.
+contiguous run with the highest sum; where an end of it lies in an article or main element, it goes on to that
+element's end. Its blocks, without those in boilerplate, are the text.
 
 Pages that mark their content (article or main) label themselves; at most max_pages of them (smallest hash of the id)
 are learned from, added to one prior count each, so that any page can be scored, labelled or not.
@@ -148,7 +149,11 @@ def main_text(source: str | None, weights: Weights) -> str:
             run, begin = 0.0, i + 1
     out: dict[int, list[str]] = {}
     first, last = best_range
-    if last > first:  # whole blocks
+    if last > first:  # whole blocks, and the whole of the content element that the run is in
+        while first and tokens[first][4] and tokens[first - 1][4]:
+            first -= 1
+        while last < len(tokens) and tokens[last - 1][4] and tokens[last][4]:
+            last += 1
         one, end = tokens[first][2], tokens[last - 1][2]
         for _, text, block, dropped, _ in tokens:
             if text is not None and not dropped and one <= block <= end:

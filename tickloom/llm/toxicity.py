@@ -154,7 +154,7 @@ def _score_rows(model, keep: int):
                 doc, h = terms(block.words(scan.LETTERS, scan.LOWER))
                 z = machine.margins(doc, h, block.n)
                 front = [batch.column(c).slice(block.first, block.n) for c in range(keep + 1)]
-                yield pa.RecordBatch.from_arrays([*front, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], batch.schema.names + ["score"])
+                yield pa.RecordBatch.from_arrays([*front, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], [*batch.schema.names, "__score"])
 
     return run
 

@@ -33,7 +33,7 @@ class Automaton:
     """Globs as masks. tokens of a glob: (byte or None for any one character, wildcard before it)."""
 
     def __init__(self, globs: list[str]):
-        start, self.final, steps, stays = 0, [], [], []
+        start, self.final, steps, stays = 0, [], [], {}
         self.begins = []
         for glob in globs:
             pos, state, raw = 0, start, glob.encode()
@@ -41,7 +41,7 @@ class Automaton:
             while pos < len(raw):
                 if raw[pos : pos + 1] == b"*":
                     far = raw[pos : pos + 2] == b"**"
-                    stays.append((state, far))
+                    stays[state] = stays.get(state, False) or far
                     pos += 1 + far
                 else:
                     steps.append((state + 1, None if raw[pos : pos + 1] == b"?" else raw[pos]))
@@ -52,7 +52,7 @@ class Automaton:
         self.reach, self.stay = np.zeros((256, self.n_words), np.uint64), np.zeros((256, self.n_words), np.uint64)
         for state, byte in steps:
             self.reach[slice(None) if byte is None else byte, state // 64] |= _U(1 << state % 64)
-        for state, far in stays:
+        for state, far in stays.items():
             self.stay[:, state // 64] |= _U(1 << state % 64)
             if not far:
                 self.stay[ord("/"), state // 64] &= ~_U(1 << state % 64)
