@@ -33,8 +33,9 @@ from tickloom.llm import scan
 COORDS = 256
 LEAF = 64
 #: From BLOCK_DEPTH on, nodes of more than LEAF and at most DENSE texts are compared in blocks.
-DENSE, BLOCK_DEPTH, BLOCK = 1024, 12, 128
+DENSE, BLOCK_DEPTH, BLOCK = 1024, 12, 512
 TASK_EDGES = 200_000
+SALTS = 16
 FIRST_DEPTH, NEXT_DEPTH, MAX_DEPTH = 4, 8, 28
 #: Nodes branch as if for pairs this much less similar: then a pair at the threshold is not lost with depth.
 BRANCH_SLACK = 0.03
@@ -153,30 +154,34 @@ def _compare(least: int, threshold: float, forest: bool):
     different comps, each only in the first node of the keys that both ids are in. side: BOTH, or LEFT and RIGHT (or
     AGAIN: right here, left elsewhere) under a key whose pairs go from left to right only."""
 
+    def alike(ids, n, sig, x, y):
+        """Chunks of (number in x, number in y, agreeing values) of rows x against rows y."""
+        for i in range(0, len(x), 128):
+            own = x[i : i + 128]
+            same = (sig[own, None, :] == sig[None, y, :]).sum(2, dtype=np.int32)
+            small, large = np.minimum(n[own, None], n[None, y]), np.maximum(n[own, None], n[None, y])
+            a, b = np.nonzero((same >= least) & (small >= threshold * large))
+            yield own[a], y[b], same[a, b]
+
     def node(ids, n, sig, comp, side, node, keys, out):
-        m = len(ids)
-        for i0 in range(0, m, 256):
-            same = (sig[i0 : i0 + 256, None, :] == sig[None, :, :]).sum(2, dtype=np.int32)
-            small, large = np.minimum(n[i0 : i0 + 256, None], n[None, :]), np.maximum(n[i0 : i0 + 256, None], n[None, :])
-            ok = (same >= least) & (small >= threshold * large) & (ids[i0 : i0 + 256, None] < ids[None, :])
-            if not forest:
-                ok &= comp[i0 : i0 + 256, None] != comp[None, :]
-                a, b = side[i0 : i0 + 256, None], side[None, :]
-                ok &= (b == BOTH) | ((a == LEFT) & (b != LEFT)) | ((a == RIGHT) & (b == LEFT))
-            x, y = np.nonzero(ok)
-            if forest:
-                tree = out.setdefault("tree", _Forest(m))
-                for j in np.argsort(-same[x, y], kind="stable"):
-                    if tree.join(int(x[j]) + i0, int(y[j])):
-                        out["a"].append(int(ids[x[j] + i0]))
+        every = np.arange(len(ids))
+        if forest:
+            tree = _Forest(len(ids))
+            for x, y, same in alike(ids, n, sig, every, every):
+                for j in np.argsort(-same, kind="stable"):
+                    if ids[x[j]] < ids[y[j]] and tree.join(int(x[j]), int(y[j])):
+                        out["a"].append(int(ids[x[j]]))
                         out["b"].append(int(ids[y[j]]))
-            elif len(x):
-                own = [frozenset(k) for k in keys]
-                for i, j in zip((x + i0).tolist(), y.tolist(), strict=True):
-                    if min(own[i] & own[j]) == node[i]:
-                        out["a"].append(int(ids[i]))
-                        out["b"].append(int(ids[j]))
-        out.pop("tree", None)
+            return
+        left = every if side[0] == BOTH else np.flatnonzero(side == LEFT)
+        right = every if side[0] == BOTH else np.flatnonzero(side != LEFT)
+        own = [frozenset(k) for k in keys]
+        for x, y, _ in alike(ids, n, sig, left, right):
+            ok = (comp[x] != comp[y]) & ((side[y] == RIGHT) | (ids[x] < ids[y]))
+            for i, j in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
+                if min(own[i] & own[j]) == node[i]:
+                    out["a"].append(int(min(ids[i], ids[j])))
+                    out["b"].append(int(max(ids[i], ids[j])))
 
     def table(batch: pa.RecordBatch) -> list[np.ndarray]:
         long = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 4, 5, 6)]
@@ -383,8 +388,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_shingles, component_id (smallest id reachable by links of similarity percent / 100 or more) and kept
     (whether that is the row's own id) of every row of docs."""
     sk = saved(sketches(docs, id_col, text_col, k), "sketches")
-    classes = sk.where("n > 0").groupBy("fa", "fb", "n").agg(F.min("id").alias("rep"))
-    same = sk.where("n > 0 and id is not null").select("id", "fa", "fb", "n").join(classes, ["fa", "fb", "n"]).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    # rows of texts that occur more than once find their representative; each class stands once for each salt
+    classes = sk.where("n > 0").groupBy("fa", "fb", "n").agg(F.min("id").alias("rep"), F.count("*").alias("rows")).where("rows > 1")
+    classes = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select("fa", "fb", "n", "salt", "rep")
+    same = sk.where("n > 0 and id is not null").select("id", "fa", "fb", "n", F.pmod(F.hash("id"), F.lit(SALTS)).alias("salt"))
+    same = same.join(classes, ["fa", "fb", "n", "salt"], "left").select(F.col("id").alias("a"), F.coalesce("rep", "id").alias("b"))
     groups = components(links(docs, sk, id_col, text_col, k, percent, trees))
     # copies hang on their representative; an id with several texts ties their groups together
     reached = same.join(groups.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("comp", "b").alias("comp"))
