@@ -38,7 +38,7 @@ dense as (
          coalesce(iv + (iv2 - iv) / step * k, iv) as iv, coalesce(underlying_price + (up2 - underlying_price) / step * k, underlying_price) as underlying_price,
          coalesce(time_to_maturity + (tm2 - time_to_maturity) / step * k, time_to_maturity) as time_to_maturity,
          {", ".join(fill)}, k > 0 as is_interpolated
-  from (select *, greatest(gap, 1)::double as step, unnest(range(0, coalesce(greatest(gap, 1) - 1, date_diff('minute', date, t1)) + 1)) as k from anchors))"""
+  from (select *, greatest(gap, 1)::double as step, unnest(range(0, case when gap is null then date_diff('minute', date, t1) else greatest(gap, 1) - 1 end + 1)) as k from anchors))"""
 
 
 def _u(part: int, i: int) -> str:
@@ -78,7 +78,7 @@ def _candles(n: int, label: str, source: str = "minute", name: str = "candles")
 
 def _r(x: str, n: int) -> str:
     """Rounds the decimal digits of a double half up, as Spark does; DuckDB alone rounds the binary value."""
-    return f"round(({x})::varchar::decimal(38,18), {n})::double"
+    return f"round(({x})::varchar::decimal(38,24), {n})::double"
 
 
 def _with(*parts: str) -> str:
