@@ -38,7 +38,7 @@ dense as (
          coalesce(iv + (iv2 - iv) / step * k, iv) as iv, coalesce(underlying_price + (up2 - underlying_price) / step * k, underlying_price) as underlying_price,
          coalesce(time_to_maturity + (tm2 - time_to_maturity) / step * k, time_to_maturity) as time_to_maturity,
          {", ".join(fill)}, k > 0 as is_interpolated
-  from (select *, greatest(gap, 1)::double as step, unnest(range(0, case when gap is null then date_diff('minute', date, t1) else greatest(gap, 1) - 1 end + 1)) as k from anchors))"""
+  from (select *, greatest(gap, 1)::double as step, unnest(range(0, case when gap is null then date_diff('second', date, t1) // 60 else greatest(gap, 1) - 1 end + 1)) as k from anchors))"""
 
 
 def _u(part: int, i: int) -> str:
