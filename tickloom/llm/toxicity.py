@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.cluster import ship
+from tickloom.cluster import saved, ship
 from tickloom.llm import scan
 
 TERMS, RANK, MAX_ROWS = 4096, 4, 8000
@@ -139,11 +139,51 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column,
     return texts.join(F.broadcast(chosen), "__id").select("label", "text")  # at most max_rows ids
 
 
+def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns label, terms: how many texts of each label have a term."""
+    for batch in batches:
+        label = batch.column(0).to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(1)]
+        h, at = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True)
+        y = np.repeat(label, [len(x) for x in sets])
+        pos, n = np.bincount(at, y, len(h)).astype(np.int64), np.bincount(at, minlength=len(h))
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(pos), pa.array(n - pos)], ["h", "pos", "neg"])
+
+
+def _known_rows(known: np.ndarray):
+    """Columns label, terms: the terms among the known ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.sort(x[np.isin(x, known)]).tobytes() for x in sets], pa.binary())], ["label", "terms"])
+
+    return run
+
+
+def _gain_of(pos: Column, neg: Column, all_pos: int, all_neg: int) -> Column:
+    """_gain() as a column."""
+
+    def entropy(a: Column, b: Column) -> Column:
+        part = lambda x: F.when(x > 0, -x * F.log2(x / (a + b))).otherwise(0.0)
+        return part(a) + part(b)
+
+    whole = entropy(F.lit(float(all_pos)), F.lit(float(all_neg)))
+    return whole - entropy(pos, neg) - entropy(F.lit(float(all_pos)) - pos, F.lit(float(all_neg)) - neg)
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Machine:
+    """Terms are counted and chosen by Spark; the driver gets the chosen terms of each training row only."""
     ship(docs.sparkSession)
-    rows = training_rows(docs, labels, label, learn, max_rows, id_col, text_col).mapInArrow(_term_rows, "label int, terms binary").toArrow()
-    order = sorted(range(rows.num_rows), key=lambda i: rows.column(1)[i].as_py())  # whatever order the rows came in
-    return fit([np.frombuffer(rows.column(1)[i].as_py(), np.uint64) for i in order], np.array([rows.column(0)[i].as_py() for i in order]))
+    rows = saved(training_rows(docs, labels, label, learn, max_rows, id_col, text_col).mapInArrow(_term_rows, "label int, terms binary"), "terms")
+    n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    counts = rows.mapInArrow(_count_rows, "h long, pos long, neg long").groupBy("h").agg(F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"))
+    gain = _gain_of(F.col("pos"), F.col("neg"), pos, n - pos)
+    chosen = counts.where("pos + neg >= 3").select("h", gain.alias("gain")).where(F.col("gain") > LEAST_GAIN).orderBy(F.desc("gain"), "h").limit(TERMS).collect()
+    known = np.sort(np.array([r.h for r in chosen], np.int64).view(np.uint64))
+    got = rows.mapInArrow(_known_rows(known), "label int, terms binary").toArrow()
+    pairs = sorted(zip(got.column("terms").to_pylist(), got.column("label").to_pylist(), strict=True))  # whatever order the rows came in
+    return fit([np.frombuffer(t, np.uint64) for t, _ in pairs], np.array([y for _, y in pairs]))
 
 
 def _score_rows(model, keep: int):
