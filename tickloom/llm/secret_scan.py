@@ -1,15 +1,23 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest. Columns and SQL functions only.
 
-A candidate is a run of at least MIN_LENGTH key characters with a digit. Splitting the text at the candidates gives
-what stands before and after each, so one pass yields candidates with neighbours and exact places; they are numbered
-from 0 in each text. Features: length, shares and transitions of character classes, distinct characters, share of
-digits and hexadecimal digits, how much of the candidate common words cover, whether the words before it name a secret
-or something harmless, an assignment and quotes around it, and whether the path is one of tests, samples or lock files.
+A candidate is one of three: what follows an assignment to a name of secrets, at least MIN_NAMED characters, with digits
+or without; the password of an address (scheme://user:password@); any other run of at least MIN_LENGTH key characters
+with a digit, which ends at = and : and is no name of secrets before an assignment, so that a name is never part of its
+value. Splitting the text at the candidates
+gives the gaps between them; `before` is the last 60 characters of the text before a candidate, other candidates
+included. One pass yields candidates with neighbours and exact places; they are numbered from 0 in each text. Features:
+length, shares and transitions of character classes, distinct characters, share of digits and hexadecimal digits, how
+much of the candidate common words cover, whether the words before it name a secret or something harmless, an
+assignment and quotes around it, whether it has the format of a known key, and whether the path is one of tests,
+samples or lock files.
 
 The forest learns from labelled findings (before, value, after, path, label). Where none are given, findings label
-themselves: an assigned, quoted value under a name of secrets is one, an address, a number, a digest or identifier
-under such a name is none; the rest is left out of learning. At most max_rows findings are learned from, those with the
-smallest hash. Without findings of both labels the self-labelling rule decides alone.
+themselves: keys of a known format, passwords of addresses, and values assigned to a name of secrets are secrets; an
+address, a number, a digest, an identifier or a placeholder without such a sign is none; the rest, among it every value
+with signs of both and every plain word after a spaced assignment without quotes, is left out of learning and the forest
+decides. A finding that labels itself a secret is one whatever the forest says, so that a form too rare to be learned is
+not lost. At most max_rows findings are learned from, those with the smallest hash. Without findings of both labels the
+self-labelling rule decides alone.
 
 Null and empty texts have no candidates. Rows that share an id keep their findings apart only by place.
 """
@@ -22,19 +30,41 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MIN_LENGTH, MAX_ROWS, THRESHOLD = 12, 20_000, 0.5
+MIN_LENGTH, MIN_NAMED, MAX_ROWS, THRESHOLD = 12, 4, 20_000, 0.5
 MASK = "[SECRET]"
-_CANDIDATE = rf"(?<![A-Za-z0-9_+/=.@:\-])(?=[A-Za-z_+/=.@:\-]*[0-9])[A-Za-z0-9_+/=.@:\-]{{{MIN_LENGTH},}}"
 #: Words of names that hold secrets, and of names or text that stand before harmless values.
-SECRET_NAMES = "token|secret|passw|pwd|api.?key|apikey|access.?key|private.?key|auth|credential|bearer|signing"
-HARMLESS_NAMES = "commit|sha1|sha256|md5|checksum|digest|revision|uuid|guid|isbn|issn|version|mail|phone|tel|call|http|href|url|card"
+SECRET_NAMES = (
+    "token(?!i[sz])|secret(?!ar)|passw|passphrase|(?<![a-z])pass(?![a-z])|pwd|api.?key|apikey|access.?key|private.?key|auth(?!or(?!i[sz]at))|credential|bearer|(?<![a-z])signing"
+)
+HARMLESS_NAMES = "author(?!i[sz]at)|user.?name|login|commit|sha1|sha256|md5|checksum|digest|revision|uuid|guid|isbn|issn|version|mail|phone|tel|call|http|href|url|card"
+#: Formats of keys that need no name.
+FORMATS = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}|xox[abeoprs]-[A-Za-z0-9\-]{10,}|sk-[A-Za-z0-9_\-]{20,}|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}|"
+    r"AIza[A-Za-z0-9_\-]{35}|eyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+|SG\.[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}|npm_[A-Za-z0-9]{36}|hf_[A-Za-z0-9]{30,}"
+)
+_Q = "[\\\\\"'`]"
+_SCHEME = r"(?:(?i:bearer|basic)\s{1,2})"
+_ASSIGN = rf"[\\\]\"'`]{{0,3}}\s{{0,3}}(?:=>|:=|==?|:)\s{{0,3}}{_SCHEME}?{_Q}{{0,2}}"
+_NAMED = rf"(?i:{SECRET_NAMES})[A-Za-z0-9_.\-]{{0,24}}{_ASSIGN}"
+#: Cheap signs come first: few places reach the name.
+_NAMED_VALUE = (
+    rf"(?<=[\s=:>\"'`])(?<=(?:[=:>]|(?i:bearer|basic)\s)[\s\\\"'`]{{0,5}})(?![\s\\\"'`=:>])(?!{_SCHEME})(?<={_NAMED})"
+    rf"(?:(?<=[\"'`])[^\s\"'`\\]{{{MIN_NAMED},}}(?=[\"'`\\])|[^\s\"'`\\<>&,;]{{{MIN_NAMED - 1},}}[^\s\"'`\\<>&,;.:?])"
+)
+_ADDRESS_VALUE = r"(?<=:)(?<=://[A-Za-z0-9_.\-]{1,32}:)[^\s\"'`@/]+(?=@)"
+_RUN = (
+    rf"(?<![A-Za-z0-9_+/.@\-])(?=[A-Za-z_+/.@\-]*[0-9])(?![A-Za-z0-9_.\-]*?{_NAMED})[A-Za-z0-9_+/.@\-]{{{MIN_LENGTH},}}(?:={{1,2}}(?![A-Za-z0-9_+/=.@\-$\"'`]))?"
+)
+_CANDIDATE = f"{_ADDRESS_VALUE}|{_NAMED_VALUE}|{_RUN}"
 #: Words that values made of language hold.
 WORDS = (
     "mail|example|http|https|www|com|org|net|html|index|page|user|name|date|time|test|sample|data|file|image|home|news|blog|shop|info|the|and|ing|tion|ent|for|that|with|this|from|"
     "der|die|und|ein|sch|lich|keit|ung|les|des|que|pour|dans|eau|ment|los|las|por|para|con|ción|ado"
 )
+#: Values that stand for a secret that is elsewhere or none.
+PLACEHOLDERS = r"none|null|nil|true|false|undefined|required|optional|string|change.?me|your.*|(.)\1*|\$.*|\{.*|%.*%|<.*|process\.env.*|os\.environ.*|self\..*|.*\(.*\).*"
 TEST_PATHS = "test|spec|fixture|example|sample|mock|\\.lock$|lock\\.json$|min\\.js$"
-FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_runs", "f_distinct", "f_words", "f_secret_name", "f_harmless_name", "f_assigned", "f_quoted", "f_shape", "f_test_path"]
+FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_runs", "f_distinct", "f_words", "f_secret_name", "f_harmless_name", "f_assigned", "f_quoted", "f_shape", "f_format", "f_test_path"]
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
@@ -49,17 +79,19 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             i.alias("n"),
             F.get("found", i).alias("value"),
             F.length(F.get("gaps", i)).alias("gap"),
-            F.substring(F.get("gaps", i), -60, 60).alias("before"),
-            F.substring(F.get("gaps", i + 1), 1, 20).alias("after"),
+            F.substring(F.get("gaps", i), -60, 60).alias("near"),
+            F.substring(F.concat(F.get("gaps", i + 1), F.coalesce(F.substring(F.get("found", i + 1), 1, 20), F.lit(""))), 1, 20).alias("after"),
         ),
     )
-    # running sum of gap and value lengths gives the starts
+    # running sum of gap and value lengths gives the starts, running ends of gaps and values what stands before
+    before = lambda acc, p: F.substring(F.concat(acc["tail"], p["near"]), -60, 60)
     with_start = F.aggregate(
         pieces,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<n:int,start:bigint,value:string,before:string,after:string>>").alias("out")),
+        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("tail"), F.array().cast("array<struct<n:int,start:bigint,value:string,before:string,after:string>>").alias("out")),
         lambda acc, p: F.struct(
             (acc["at"] + p["gap"] + F.length(p["value"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(p["n"].alias("n"), (acc["at"] + p["gap"]).alias("start"), p["value"].alias("value"), p["before"].alias("before"), p["after"].alias("after")))).alias("out"),
+            F.substring(F.concat(acc["tail"], p["near"], F.substring(p["value"], -60, 60)), -60, 60).alias("tail"),
+            F.concat(acc["out"], F.array(F.struct(p["n"].alias("n"), (acc["at"] + p["gap"]).alias("start"), p["value"].alias("value"), before(acc, p).alias("before"), p["after"].alias("after")))).alias("out"),
         ),
         lambda acc: acc["out"],
     )
@@ -73,7 +105,8 @@ def features(found: DataFrame) -> DataFrame:
     yes = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     name = F.regexp_extract("before", r"([\p{L}\p{N}_.\- ]{0,40})[\s\"'`]*[:=]?[\s\"'`(]*$", 1)
     near = F.substring(name, -24, 24)
-    shape = F.when(v.rlike(r"^[0-9.:+\-]+$"), 1.0).when(v.contains("@"), 2.0).when(v.rlike(r"\.[a-z]{2,4}$"), 3.0).when(v.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}"), 4.0).otherwise(0.0)
+    shape = F.when(v.rlike(r"^[0-9.:+\-]+$"), 1.0).when(v.rlike(r"^[^@]+@[^@]+\.[A-Za-z]{2,}\.?$"), 2.0).when(v.rlike(r"\.[a-z]{2,4}$"), 3.0).when(v.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}"), 4.0).otherwise(0.0)
+    in_address = F.col("before").rlike(r"://[A-Za-z0-9_.\-]{1,32}:$") & F.col("after").startswith("@")
     return found.select(
         "*",
         n.cast("double").alias("f_length"),
@@ -83,20 +116,28 @@ def features(found: DataFrame) -> DataFrame:
         (F.size(F.regexp_extract_all(v, F.lit("[0-9]+|[A-Z]+|[a-z]+|[^0-9A-Za-z]+"), F.lit(0))) / n).alias("f_runs"),
         (F.size(F.array_distinct(F.split(v, ""))) / n).alias("f_distinct"),
         without(f"(?i){WORDS}").alias("f_words"),
-        yes(near.rlike(f"(?i)({SECRET_NAMES})")).alias("f_secret_name"),
+        yes(near.rlike(f"(?i)({SECRET_NAMES})") | F.col("before").rlike(f"{_NAMED}$") | in_address).alias("f_secret_name"),
         yes(near.rlike(f"(?i)\\b({HARMLESS_NAMES})")).alias("f_harmless_name"),
-        yes(F.col("before").rlike(r"[:=]\s*[\"'`]?$")).alias("f_assigned"),
-        yes(F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]")).alias("f_quoted"),
+        yes(F.col("before").rlike(rf"(?:[:=]|=>)\s*{_SCHEME}?{_Q}*$|{_SCHEME}$")).alias("f_assigned"),
+        yes(F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(f"^{_Q}")).alias("f_quoted"),
         shape.alias("f_shape"),
+        yes(v.rlike(f"^(?:{FORMATS})$")).alias("f_format"),
         yes(F.col("path").rlike(f"(?i)({TEST_PATHS})")).alias("f_test_path"),
     )
 
 
 def _own_label() -> Column:
     """1, 0 or null: the label that a finding gives itself."""
-    harmless = (F.col("f_shape") > 0) | (F.col("f_words") > 0.6) | (F.col("f_harmless_name") > 0) | (F.col("f_digits") == 1)
-    secret = (F.col("f_secret_name") > 0) & (F.col("f_assigned") > 0) & (F.col("f_quoted") > 0) & (F.col("f_runs") > 0.2)
-    return F.when(secret & ~harmless, 1.0).when(harmless & ~secret, 0.0).when(F.col("f_secret_name") + F.col("f_assigned") == 0, 0.0)
+    v, before = F.col("value"), F.col("before")
+    assigned = before.rlike(f"{_NAMED}$")
+    harmless_tail = before.rlike(rf"(?i)({HARMLESS_NAMES})[A-Za-z0-9]{{0,3}}{_ASSIGN}$")
+    placeholder = v.rlike(f"(?i)^({PLACEHOLDERS})$")
+    harmless = (F.col("f_shape") > 0) | (F.col("f_words") > 0.6) | (F.col("f_digits") == 1) | placeholder
+    tight = (F.col("f_quoted") > 0) | before.rlike("[=:]$") | v.rlike("[0-9]")  # a plain word after a space may be prose
+    in_address = before.rlike(r"://[A-Za-z0-9_.\-]{1,32}:$") & F.col("after").startswith("@")
+    secret = (F.col("f_format") > 0) | ((in_address | (assigned & tight & ~harmless_tail)) & ~placeholder)
+    sure = (F.col("f_format") > 0) | (secret & ~harmless)
+    return F.when(sure, 1.0).when((harmless | (F.col("f_harmless_name") > 0)) & ~secret, 0.0)
 
 
 def fit(found: DataFrame, labelled: DataFrame | None = None, max_rows: int = MAX_ROWS, trees: int = 20, depth: int = 5, seed: int = 11):
@@ -127,6 +168,8 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: floa
     else:
         assembler, model = fitted
         scored = model.transform(assembler.transform(found)).withColumn("score", vector_to_array("probability")[1])
+        if labelled is None:
+            scored = scored.withColumn("score", F.when(_own_label() == 1, 1.0).otherwise(F.col("score")))
     return scored.select("doc_id", "n", "start", "value", F.round("score", 6).alias("score"), (F.col("score") >= threshold).alias("is_secret"))
 
 
