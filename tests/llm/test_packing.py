@@ -196,3 +196,10 @@ def test_secrets_of_every_form(spark, learned):
     assert {(r.doc_id, r.value) for r in found if r.is_secret and r.doc_id < 2000} == {(i, v) for i, (_, v) in enumerate(FORMS)}
     clean = {r.doc_id: r.text for r in secret_scan.without_secrets(d).collect()}
     assert all(clean[i] == f.format(secret_scan.MASK) for i, (f, _) in enumerate(FORMS))
+
+
+def test_secrets_of_rows_without_id_are_masked(spark):
+    rows = [(None, f'token = "{SECRET}"'), (None, "plain words"), (None, None), (7, f'token = "{SECRET}"'), (7, "another text")]
+    got = secret_scan.without_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(i, t and t.replace(SECRET, secret_scan.MASK)) for i, t in rows]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))

@@ -180,11 +180,15 @@ def report(docs: DataFrame, **kw) -> DataFrame:
 
 
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = MASK, **kw) -> DataFrame:
-    """The rows of docs with every secret in their text replaced by mask; n_chars, if there, follows the text."""
-    bad = findings(docs, id_col=id_col, text_col=text_col, **kw).where("is_secret and doc_id is not null")
+    """The rows of docs with every secret in their text replaced by mask; n_chars, if there, follows the text. Rows are
+    known by a digest of id and text, so that those with a null id are masked too; rows that share both share their
+    secrets."""
+    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("\n"), F.col(text_col)))
+    docs_ = docs.withColumn("__key", key)
+    bad = findings(docs_, id_col="__key", text_col=text_col, **kw).where("is_secret")
     bad = bad.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("value").alias("__bad"))
     parts = F.transform(F.split(F.col(text_col), _CANDIDATE, -1), lambda x, i: F.concat(x, F.coalesce(F.when(F.array_contains("__bad", F.get("__found", i)), F.lit(mask)).otherwise(F.get("__found", i)), F.lit(""))))
-    rows = docs.join(bad, F.col(id_col) == F.col("__id"), "left").withColumn("__found", F.when(F.col("__bad").isNotNull(), F.regexp_extract_all(text_col, F.lit(_CANDIDATE), F.lit(0))))
+    rows = docs_.join(bad, F.col("__key") == F.col("__id"), "left").withColumn("__found", F.when(F.col("__bad").isNotNull(), F.regexp_extract_all(text_col, F.lit(_CANDIDATE), F.lit(0))))
     rows = rows.withColumn(text_col, F.when(F.col("__bad").isNull(), F.col(text_col)).otherwise(F.array_join(parts, "")))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("__bad").isNull(), F.col("n_chars")).otherwise(F.length(text_col).cast(docs.schema["n_chars"].dataType)))
