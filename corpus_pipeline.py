@@ -10,6 +10,10 @@ from tickloom.cluster import shared_dir
 from tickloom.llm import decontam, neardup, packing, secret_scan, toxicity
 
 
+#: Near-duplicates of the corpus share this many hundredths of their shingles; op10's own contract says 85.
+NEAR_PERCENT = 80
+
+
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -17,7 +21,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that with the smallest id."""
-    return neardup.without_near_duplicates(docs)
+    return neardup.without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

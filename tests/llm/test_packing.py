@@ -203,3 +203,19 @@ def test_secrets_of_rows_without_id_are_masked(spark):
     got = secret_scan.without_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
     want = [(i, t and t.replace(SECRET, secret_scan.MASK)) for i, t in rows]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+def test_near_dedup_stage_drops_copies_of_four_fifths(spark):
+    """Pairs between 0.80 and 0.85: 200 words, of which four are others."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):
+        a = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        b = list(a)
+        for at in (20, 70, 120, 170):
+            b[at] = f"w{rng.randrange(10**9)}"
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    same, either = len(brute.shingles(rows[0][1]) & brute.shingles(rows[1][1])), len(brute.shingles(rows[0][1]) | brute.shingles(rows[1][1]))
+    assert 80 * either <= 100 * same < 85 * either
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
+    assert got == {d for d, (_, c) in brute.near_duplicates(rows, percent=80).items() if d == c} == set(range(0, 80, 2))
