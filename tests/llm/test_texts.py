@@ -143,3 +143,13 @@ def test_common_words_are_counted_exactly(spark):
     from tickloom.llm.scan import word_hash
 
     assert lang == "en" and known.tolist() == [word_hash("the")] and shares[0] == pytest.approx(30 / 200)
+
+
+def test_texts_of_a_language_without_reference_pass(spark):
+    rng = random.Random(13)
+    english = [(i, " ".join(rng.choice(["the", "of", "and", "to"]) if rng.random() < 0.4 else words(rng, 1) for _ in range(200)), "en") for i in range(30)]
+    russian = " ".join(rng.choice(["и", "в", "не", "слово", "текст", "страница"]) + "аб"[rng.randrange(2)] for _ in range(100))
+    rows = [*english, (100, russian, "ru"), (101, russian, None), (102, russian, "en"), (103, "да " * 60, "ru")]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[100].kept and got[101].kept
+    assert not got[102].kept and not got[102].base_failed and got[103].base_failed and not got[103].kept

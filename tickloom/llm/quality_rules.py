@@ -6,8 +6,8 @@ words, found exactly in two passes: such a word has at least CANDIDATE_SHARE wit
 counts there alone add up to COMMON_SHARE - CANDIDATE_SHARE of the language. That bounds the references by
 1 / (COMMON_SHARE - CANDIDATE_SHARE) words a language, so they may be broadcast. A text is far from a language by the
 Jensen-Shannon distance (base 2, 0 to 1) of its histograms; it is dropped if it is far from every language. Texts of
-fewer than MIN_CHARS characters or MIN_WORDS words are too short to judge and pass, as does every text if no language
-has MIN_REFERENCE words.
+fewer than MIN_CHARS characters or MIN_WORDS words are too short to judge and pass, as does every text whose own lang has
+fewer than MIN_REFERENCE words in the table: it has no reference, and its distances are those from other languages only.
 
 Null and empty texts have no words and fail the base rule. A null lang is a language of its own name (null).
 """
@@ -168,8 +168,11 @@ def base_counts(block: scan.Block) -> tuple[scan.Words, list[np.ndarray]]:
 
 
 def _judge(refs, keep: int):
+    """Columns before keep: those given on, the last of them lang, which is not; keep: the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = refs.value
+        judged = {x for x, *_ in langs}
         for batch in batches:
             for block in scan.blocks(batch.column(keep)):
                 w, base = base_counts(block)
@@ -192,12 +195,14 @@ def _judge(refs, keep: int):
                     far_class, far_word = np.where(near, a, far_class), np.where(near, b, far_word)
                 n_words = w.count.astype(np.int64)
                 failed = (n_words < 20) | (100 * base[3] > 30 * n_words)
-                short = (chars < MIN_CHARS) | (n_words < MIN_WORDS) | (len(langs) == 0)
+                kinds, of = _names(batch.column(keep - 1), block)
+                known_lang = np.array([x in judged for x in kinds], bool)[of]
+                short = (chars < MIN_CHARS) | (n_words < MIN_WORDS) | ~known_lang
                 kept = ~failed & (short | ((far_class <= MAX_CLASS_DISTANCE) & (far_word <= most)))
                 cols = [n_words, *base, failed, kept, far_class, far_word]
-                front = [batch.column(c).slice(block.first, block.n) for c in range(keep)]
+                front = [batch.column(c).slice(block.first, block.n) for c in range(keep - 1)]
                 names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"]
-                yield pa.RecordBatch.from_arrays([*front, *map(pa.array, cols)], [*batch.schema.names[:keep], *names])
+                yield pa.RecordBatch.from_arrays([*front, *map(pa.array, cols)], [*batch.schema.names[: keep - 1], *names])
 
     return run
 
@@ -207,4 +212,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distances from the language that is nearest."""
     refs = docs.sparkSession.sparkContext.broadcast(references(docs, lang_col, text_col))
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_judge(refs, 1), schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(_judge(refs, 2), schema)
