@@ -151,3 +151,23 @@ def test_url_rules(spark):
     assert got[13][2:] == ("example.org/en/1", "block") and got[14][0] == "Äb.org" and got[15] == ("casino.net", "", None, "block")
     assert urlfilter.judged(pages(spark, [])).count() == 0
     assert urlfilter.judged(pages(spark, [(1, None, ""), (1, None, "")]).withColumn("host", F.lit("h"))).count() == 2
+
+
+BODY = "Many plain words stand in this paragraph, which is the content of the page."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body class="has-sidebar"><p>{BODY}</p></body>',
+        f'<body class="home sidebar"><main class="with-sidebar"><p>{BODY}</p></main></body>',
+        f'<body><article class="post comments-open"><p>{BODY}</p></article></body>',
+        f'<body><article class="post related"><p>{BODY}</p></article></body>',
+        f'<body><div class="overflow-hidden"><section class="no-sidebar content-sidebar-wrap"><p>{BODY}</p></section></div></body>',
+        f'<body><div data-id="menu"><p>{BODY}</p></div></body>',
+        f"""<body><div data-json="{'<b>x</b> ' * 600}"><p>{BODY}</p></div></body>""",
+        f'<body><div class="page-sidebar"><p>Other words</p></div><div hidden><p>Other words</p></div><div style="display: none"><p>Other words</p></div><div class="ad-slot">Other words</div><p>{BODY}</p></body>',
+    ],
+)
+def test_layout_classes_do_not_drop_the_content(page):
+    assert maintext.main_text(page, maintext.Weights({}, {})) == BODY

@@ -32,10 +32,13 @@ from tickloom.cluster import ship
 MAX_PAGES = 1000
 RAW = "script|style|noscript|template|svg|iframe|object|canvas|title|select|textarea|button|math|audio|video"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"'=]|=\s*\"[^\"]{{0,4000}}\"|=\s*'[^']{{0,4000}}'|=|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<[a-z][^<>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"'=]|=\s*\"[^\"]*+\"|=\s*'[^']*+'|=|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<[a-z][^<>]*(?:>|\Z)",
     re.S | re.I,
 )
-_HINT = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_HINT = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
+_UNSEEN = re.compile(r"(?<![\w-])(?:aria-hidden\s*=\s*[\"']?true|style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s\"'>]*)display\s*:\s*none)", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that keep what is inside them together until they are closed.
 SCOPES = frozenset("nav header footer aside form dialog menu section div article main body ul ol dl table figure blockquote fieldset details a".split())
@@ -45,17 +48,29 @@ HINTS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header masthead menu menubar modal nav navbar navigation "
     "newsletter notice notices overlay pagination popup promo promoted promotion related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: A name that begins with a hint and ends with one of these is of boilerplate too.
+PARTS = frozenset("slot unit item items link links list bar box area".split())
+#: Words before a hint that tell of the page's layout.
+LAYOUT = frozenset("has with no without is hide show layout".split())
 CONTENT = frozenset("article main".split())
 
 
+def _hinted(name: str) -> bool:
+    """Whether a class, id or role is a hint, ends with one, or begins with one and ends with a part of one."""
+    words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+    if not words or LAYOUT.intersection(words[:-1]) or ("header" in words and {"article", "entry", "post"}.intersection(words)):
+        return False
+    return words[-1] in HINTS or (len(words) == 2 and words[0] in HINTS and words[1] in PARTS)
+
+
 def _boilerplate(tag: str, attributes: str) -> bool:
     if tag in DROPPED:
         return True
-    for m in _HINT.finditer(attributes):
-        words = re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())
-        if HINTS.intersection(words) and not ("header" in words and {"article", "entry", "post"}.intersection(words)):
-            return True
-    return bool(re.search(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", attributes, re.I)) if attributes else False
+    if not attributes or tag == "body":
+        return False
+    if tag not in CONTENT and any(_hinted(name) for m in _HINT.finditer(attributes) for name in (m[1] or m[2] or m[3] or "").lower().split()):
+        return True
+    return bool(_HIDDEN.search(_VALUE.sub("= ", attributes)) or _UNSEEN.search(attributes))
 
 
 class Page:
