@@ -68,3 +68,17 @@ def test_the_rest_works_without_the_training_data_operators(tmp_path):
     """As if the folders were gone: the entry still imports and keeps the other queries."""
     code = "import sys; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); assert 'resample_5min' in q and 'pipeline' not in q and not [n for n in q if n[:2] == 'op' and n[2].isdigit()]; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+
+
+def test_stream_source_is_not_written_by_one_task(spark, monkeypatch):
+    from tickloom.plans import catalog
+
+    plans, stream = [], catalog._stream
+
+    def watched(spark, df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stream(spark, df, name)
+
+    monkeypatch.setattr(catalog, "_stream", watched)
+    assert not catalog.QUERIES["stream_candles_5min"](spark, SF).isEmpty()
+    assert plans and "RepartitionByExpression" not in plans[0]
