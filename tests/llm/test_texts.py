@@ -153,3 +153,11 @@ def test_texts_of_a_language_without_reference_pass(spark):
     got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert got[100].kept and got[101].kept
     assert not got[102].kept and not got[102].base_failed and got[103].base_failed and not got[103].kept
+
+
+def test_an_id_with_three_texts_ties_all_their_groups(spark):
+    rng = random.Random(14)
+    a, b, c = (words(rng, 60, 10**9) for _ in range(3))
+    rows = [(1, a), (5, b), (6, b), (9, c), (20, a), (20, b), (20, c)]
+    got = {r.doc_id: (r.component_id, r.kept) for r in neardup.near_duplicates(table(spark, rows)).collect()}
+    assert got == {d: (1, d == 1) for d, _ in rows}

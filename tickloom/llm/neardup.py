@@ -395,11 +395,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = same.join(classes, ["fa", "fb", "n", "salt"], "left").select(F.col("id").alias("a"), F.coalesce("rep", "id").alias("b"))
     groups = components(links(docs, sk, id_col, text_col, k, percent, trees))
     # copies hang on their representative; an id with several texts ties their groups together
-    reached = same.join(groups.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("comp", "b").alias("comp"))
-    reached = reached.groupBy("id").agg(F.min("comp").alias("comp"), F.max("comp").alias("most"))
+    every = same.join(groups.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("comp", "b").alias("comp"))
+    reached = every.groupBy("id").agg(F.min("comp").alias("comp"), F.max("comp").alias("most"))
     reached = saved(reached, "reached")
     if not (torn := reached.where("comp <> most")).isEmpty():
-        merged = components(torn.select(F.col("most").alias("a"), F.col("comp").alias("b")).union(groups.select("id", "comp").where("id <> comp")))
+        ties = every.select("id", F.col("comp").alias("a")).join(torn.select("id", F.col("comp").alias("b")), "id").where("a <> b").select("a", "b").distinct()
+        merged = components(ties.union(groups.select("id", "comp").where("id <> comp")))
         reached = reached.join(merged.select(F.col("id").alias("comp"), F.col("comp").alias("m")), "comp", "left").select("id", F.coalesce("m", "comp").alias("comp"))
     out = sk.select("id", "n").join(reached.select("id", "comp"), "id", "left")
     comp = F.coalesce("comp", "id")
