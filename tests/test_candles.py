@@ -127,6 +127,22 @@ def test_trend_following_is_the_whole_recursion(spark):
     assert got == pytest.approx(want, abs=1.01e-4)
 
 
+@pytest.mark.parametrize("strategy", ["trend_following", "spread_simulation"])
+def test_closes_go_on_from_batch_to_batch(spark, strategy):
+    """Symbols that end and go on at any place of an Arrow batch have the closes that one batch gives."""
+    rows = dense(spark, 40)
+    many = rows.withColumn("symbol", F.explode(F.array(*map(F.lit, "abc")))).where("symbol <> 'b' or minute(date) % 13 < 3").coalesce(1)
+    whole = B.bridge(many, strategy).collect()
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        for n in (1, 3, 7):
+            spark.conf.set(conf, n)
+            assert sorted(B.bridge(many, strategy).collect()) == sorted(whole)
+    finally:
+        spark.conf.set(conf, before)
+
+
 def test_base_price_skips_zero(spark):
     df = spark.createDataFrame([(0.0, 5.0, 6.0), (None, 0.0, 6.0), (None, None, 0.0), (3.0, 5.0, 6.0)], "underlying_price double, mark_price double, index_price double")
     assert [r[0] for r in df.select(B.base_price(df)).collect()] == [5.0, 6.0, 0.0, 3.0]

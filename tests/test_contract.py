@@ -47,18 +47,6 @@ def test_query_agrees_with_sql(spark, con, name):
     assert got.equals(want), got.merge(want, how="outer", indicator=True)[lambda x: x._merge != "both"].head(10).to_string()
 
 
-@pytest.mark.parametrize("name", ["bridge_trend", "synthetic_walk", "stream_candles_5min"])
-def test_query_without_sql_runs(spark, name):
-    assert not entry.queries()[name](spark, SF).isEmpty()
-
-
-def test_stream_gives_the_batch_result(spark):
-    stream, batch = (entry.queries()[n](spark, SF).withColumn("timestamp", __import__("pyspark").sql.functions.col("timestamp").cast("string")) for n in ("stream_candles_5min", "resample_5min"))
-    late = batch.exceptAll(stream)
-    assert stream.exceptAll(batch).isEmpty()
-    assert late.count() <= 5 * 4  # windows that the watermark has not passed at the end
-
-
 def test_entry_and_sql_names(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -10,8 +10,9 @@ from tickloom.operators import ledger as L
 from tickloom.operators import reports as R
 from tickloom.plans.pipeline import run_pipeline, synthetic_candles
 from tickloom.sources import schemas
+from tickloom.sources.schemas import TICKERS
 from tickloom.sources import tables as S
-from tickloom.streaming.candles import stream_candles, upsert_stream
+from tickloom.streaming.candles import read_upserted, stream_candles, upsert_stream
 
 T0 = datetime(2023, 3, 20)
 
@@ -163,5 +164,29 @@ def test_stream_upsert(spark, tmp_path):
         kv(spark, rows).coalesce(1).write.parquet(f"{source}/{i}")
         q = upsert_stream(spark.readStream.schema("k int, a int, b string").parquet(f"{source}/*"), f"file://{tmp_path}/root", ["k"], ["a"])
         q.awaitTermination()
-        versions.append(sorted(map(tuple, spark.read.parquet(f"{tmp_path}/root/v={i}").collect())))
+        versions.append(sorted(map(tuple, read_upserted(spark, f"file://{tmp_path}/root").collect())))
     assert versions == [[(1, 2, "y")], [(1, 3, "z"), (2, 1, "w")]]
+
+
+def test_stream_upsert_writes_touched_buckets_only(spark, tmp_path):
+    source, root = f"{tmp_path}/in", tmp_path / "root"
+    for i, rows in enumerate([[(k, 1, "a") for k in range(40)], [(1, 2, "b")], [(1, 3, "c")], [(1, 4, "d"), (90, 1, "e")]]):
+        kv(spark, rows).coalesce(1).write.parquet(f"{source}/{i}")
+        upsert_stream(spark.readStream.schema("k int, a int, b string").parquet(f"{source}/*"), f"file://{root}", ["k"], ["a"], buckets=8).awaitTermination()
+    got = {r.k: (r.a, r.b) for r in read_upserted(spark, f"file://{root}").collect()}
+    assert got == {k: (4, "d") if k == 1 else (1, "a") for k in range(40)} | {90: (1, "e")}
+    written = [sorted(p.name for p in (root / f"v={v}").glob("__bucket=*")) for v in range(4)]
+    assert len(written[0]) >= 6 and len(written[2]) == 1 and len(written[3]) <= 2
+    assert not written[1]  # older than the version before the last one
+
+
+def test_tickers_from_a_database(spark, tmp_path):
+    """Derby comes with Spark; the scan is split by the range of a column and sends the columns of tickers only."""
+    rows = sparse(spark)
+    assert rows.count() > 1
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    (n,) = rows.select(F.count("*")).first()
+    out = S.conform(rows, TICKERS).withColumns({"number": F.monotonically_increasing_id(), "callput": F.col("callput").cast("string"), "date": F.col("date").cast("timestamp")})
+    out.write.jdbc(url, "tickers", properties={"driver": driver, "createTableColumnTypes": "symbol VARCHAR(64), callput VARCHAR(8), record_time VARCHAR(64)"})
+    back = S.read_tickers_jdbc(spark, url, "tickers", "number", "0", "10", 2, driver=driver)
+    assert back.columns == TICKERS.names and back.count() == n and back.rdd.getNumPartitions() == 2

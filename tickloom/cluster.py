@@ -43,6 +43,13 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether path is a file, or a folder that is not empty, of any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(where) and len(files.listStatus(where)) > 0
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """saved() into a folder of its own that goes with the block: what outlives it must be saved elsewhere."""

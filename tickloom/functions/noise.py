@@ -19,7 +19,7 @@ def digest(seed: int, part: int, symbol: str = "symbol", ts: str = "timestamp")
 
 def uniform(digest_col: Column, i: int) -> Column:
     """The i-th of four uniform draws of a digest, from 0 to below 1."""
-    return F.conv(F.substring(digest_col, 1 + 8 * i, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest_col, 1 + 8 * i, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
 def between(u: Column, low: Column | float, high: Column | float) -> Column:

@@ -1,17 +1,23 @@
 """One-minute candles from dense points. All noise comes from a hash (functions.noise), so strategies without a memory
-are plain column expressions, and those with one are folds over the last few rows, exact to the rounding of prices."""
+are plain column expressions. Those with one need their last closes only: their rows are dealt out by symbol, sorted
+within tasks and read once, in Arrow batches; a symbol of any length needs no more memory than a batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.cluster import ship
 from tickloom.functions import noise
 
-#: How many rows a fold starts before its own; each row's influence shrinks by 0.15 and about 0.8.
-SPREAD_FOLD, TREND_FOLD = 15, 80
+#: Closes that a candle may depend on.
+MEMORY = 5
+#: Weight of the trend of the last closes in a close.
+TREND = 0.72
 
 
 def choose_price(df: DataFrame, share: float = 0.8) -> DataFrame:
@@ -24,8 +30,8 @@ def choose_price(df: DataFrame, share: float = 0.8) -> DataFrame:
 
 
 def base_price(df: DataFrame) -> Column:
-    """Underlying, else mark, else index; zero counts as missing."""
-    there = [F.col(c).cast("double") for c in ("underlying_price", "mark_price", "index_price") if c in df.columns]
+    """Underlying, else mark, else index; zero and NaN count as missing."""
+    there = [F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in ("underlying_price", "mark_price", "index_price") if c in df.columns]
     return F.coalesce(*[F.nullif(c, F.lit(0.0)) for c in there[:-1]], there[-1])
 
 
@@ -40,68 +46,126 @@ def volume_repair(df: DataFrame, seed: int = 42) -> DataFrame:
     return df.withColumn("volume", F.round(repaired_volume(F.col("volume").cast("double"), u), 6))
 
 
-def _finish(df: DataFrame, open_: Column, high: Column, low: Column, close: Column) -> DataFrame:
-    r = lambda c: F.round(c, 4)
+def _finish(df: DataFrame, seed: int, open_: Column, high: Column, low: Column, close: Column, noisy: bool = False) -> DataFrame:
+    """noisy: the prices hold noise, so that none lies half way between two roundings and binary rounding does."""
+    r = (lambda c: F.floor(c * 10_000 + 0.5) / 10_000) if noisy else (lambda c: F.round(c, 4))
+    drawn = noise.uniform(noise.digest(seed, 1), 0)
     return df.select(
-        "symbol", "timestamp", r(open_).alias("open"), r(high).alias("high"), r(low).alias("low"), r(close).alias("close"), F.round(repaired_volume(F.col("__volume"), F.col("__u4")), 6).alias("volume"), F.col("__b").alias("source_price")
+        "symbol", "timestamp", r(open_).alias("open"), r(high).alias("high"), r(low).alias("low"), r(close).alias("close"), F.round(repaired_volume(F.col("__volume"), drawn), 6).alias("volume"), F.col("__b").alias("source_price")
     )
 
 
-def _basic(df: DataFrame) -> DataFrame:
+def _basic(df: DataFrame, seed: int) -> DataFrame:
     b, s = F.col("__b"), F.col("__b") * 0.001
     o, c = (b + noise.between(F.col(u), -s / 3, s / 3) for u in ("__u0", "__u1"))
     df = df.withColumns({"__o": o, "__c": c})
     o, c = F.col("__o"), F.col("__c")
-    return _finish(df, o, F.greatest(o, c) + F.col("__u2") * s / 2, F.least(o, c) - F.col("__u3") * s / 2, c)
+    return _finish(df, seed, o, F.greatest(o, c) + F.col("__u2") * s / 2, F.least(o, c) - F.col("__u3") * s / 2, c, True)
 
 
-def _midpoint(df: DataFrame) -> DataFrame:
+def _midpoint(df: DataFrame, seed: int) -> DataFrame:
     b, s = F.col("__b"), F.col("__b") * 0.001
-    return _finish(df, b + noise.between(F.col("__u0"), -s / 4, s / 4), b + s / 2, b - s / 2, b + noise.between(F.col("__u1"), -s / 4, s / 4))
+    return _finish(df, seed, b + noise.between(F.col("__u0"), -s / 4, s / 4), b + s / 2, b - s / 2, b + noise.between(F.col("__u1"), -s / 4, s / 4))
 
 
-def _simple(df: DataFrame) -> DataFrame:
+def _simple(df: DataFrame, seed: int) -> DataFrame:
     b, s = F.col("__b"), F.col("__b") * 0.001
-    return _finish(df, b, b + s / 2, b - s / 2, b + noise.between(F.col("__u0"), -s / 2, s / 2))
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """close(t) = round(1.15 b + n - 0.15 close(t-1), 4): folded over the last SPREAD_FOLD rows."""
-    b = F.col("__b")
-    df = df.withColumn("__s", b * 0.002 * noise.between(F.col("__u5"), 0.5, 1.5))
-    s = F.col("__s")
-    df = df.withColumn("__n", noise.between(F.col("__u1"), -s / 3, s / 3))
-    w = Window.partitionBy("symbol").orderBy("timestamp")
-    frame = w.rowsBetween(-SPREAD_FOLD, 0)
-    df = df.withColumn("__xs", F.collect_list(F.struct((b * 1.15 + F.col("__n")).alias("x"), (b + F.col("__n")).alias("y"))).over(frame))
-    close = F.aggregate(F.slice("__xs", 2, SPREAD_FOLD + 1), F.round(F.get("__xs", F.lit(0))["y"], 4), lambda acc, v: F.round(v["x"] - acc * 0.15, 4))
-    df = df.withColumn("__close", close).withColumn("__bias", F.coalesce((b - F.lag("__close").over(w)) * 0.3, F.lit(0.0)))
-    df = df.withColumns({"__o": b + noise.between(F.col("__u0"), -s / 3, s / 3) + F.col("__bias") * 0.2, "__c": F.col("__close")})
+    return _finish(df, seed, b, b + s / 2, b - s / 2, b + noise.between(F.col("__u0"), -s / 2, s / 2))
+
+
+def _recursion(step: Callable[[np.ndarray, np.ndarray], np.ndarray], names: list[str], out: list[str]):
+    """Adds __close and the closes before each row (columns out, the latest first) to batches whose first column is
+    symbol. step(values of names, closes before each row as MEMORY columns, NaN where there is none) gives the rows'
+    closes. Each pass takes the closes of the pass before; where a pass changes nothing all closes are right, row by row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, np.full(MEMORY, np.nan)  # the last symbol and its last closes
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            symbols = batch.column(0).dictionary_encode()
+            code = symbols.indices.to_numpy(zero_copy_only=False)
+            first = np.maximum.accumulate(np.where(np.concatenate([[True], code[1:] != code[:-1]]), np.arange(n), 0))
+            age = np.arange(n) - first  # rows of the symbol before this one in the batch
+            if symbols.dictionary[code[0]].as_py() != last:
+                held = np.full(MEMORY, np.nan)
+            values = np.stack([batch.column(batch.schema.names.index(c)).to_numpy(zero_copy_only=False) for c in names], axis=1)
+            closes = np.zeros(n)
+            while True:
+                past = np.stack([np.concatenate([held, closes])[MEMORY - lag : MEMORY - lag + n] for lag in range(1, MEMORY + 1)], axis=1)
+                past[(age[:, None] < np.arange(1, MEMORY + 1)) & (first[:, None] > 0)] = np.nan
+                found = step(values, past)
+                if np.array_equal(found, closes, equal_nan=True):
+                    break
+                closes = found
+            size = int(age[-1]) + 1
+            held = np.concatenate([held if first[-1] == 0 else np.full(MEMORY, np.nan), closes[n - size :]])[-MEMORY:]
+            last = symbols.dictionary[code[-1]].as_py()
+            added = [pa.array(past[:, i], from_pandas=True) for i in range(len(out))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(closes), *added], [*batch.schema.names, "__close", *out])
+
+    return run
+
+
+def _with_closes(df: DataFrame, step, names: list[str], lags: int) -> DataFrame:
+    """df with __close of the recursion and the closes before it: __before1 the latest."""
+    ship(df.sparkSession)
+    out = [f"__before{i}" for i in range(1, lags + 1)]
+    rows = df.select("symbol", *[c for c in df.columns if c != "symbol"]).repartition("symbol").sortWithinPartitions("symbol", "timestamp")
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes), *(f"{c} double" for c in ["__close", *out])])
+    return rows.mapInArrow(_recursion(step, names, out), schema)
+
+
+def _rounded(x: np.ndarray) -> np.ndarray:
+    return np.floor(x * 10_000 + 0.5) / 10_000
+
+
+def _spread_step(rows: np.ndarray, past: np.ndarray) -> np.ndarray:
+    b, n = rows.T
+    return np.where(np.isnan(past[:, 0]), _rounded(b + n), _rounded(b * 1.15 + n - past[:, 0] * 0.15))
+
+
+def trend(past: np.ndarray) -> np.ndarray:
+    """(latest - oldest) / number of the last closes, 0 of fewer than two."""
+    n = (~np.isnan(past)).sum(1)
+    oldest = past[np.arange(len(past)), np.maximum(n, 1) - 1]
+    return np.where(n < 2, 0.0, (past[:, 0] - oldest) / np.maximum(n, 1))
+
+
+def _trend_step(rows: np.ndarray, past: np.ndarray) -> np.ndarray:
+    return _rounded(rows[:, 0] + trend(past) * TREND)
+
+
+def _spread(df: DataFrame, seed: int) -> DataFrame:
+    """close(t) = round(1.15 b + n - 0.15 close(t-1), 4)."""
+    b, s = F.col("__b"), F.col("__s")
+    df = df.withColumn("__s", b * 0.002 * noise.between(noise.uniform(noise.digest(seed, 1), 1), 0.5, 1.5))
+    df = df.withColumn("__n", noise.between(F.col("__u1"), -s / 3, s / 3)).drop("__u1")
+    df = _with_closes(df, _spread_step, ["__b", "__n"], 1)
+    bias = F.coalesce((b - F.col("__before1")) * 0.3, F.lit(0.0))
+    df = df.withColumns({"__o": b + noise.between(F.col("__u0"), -s / 3, s / 3) + bias * 0.2, "__c": F.col("__close")})
     o, c = F.col("__o"), F.col("__c")
     df = df.withColumns({"__h": F.greatest(o, c) + F.col("__u2") * s / 2, "__l": F.least(o, c) - F.col("__u3") * s / 2})
     narrow = F.col("__h") - F.col("__l") < b * 0.0005
     mid = (o + c) / 2
-    return _finish(df, o, F.when(narrow, mid + b * 0.00025).otherwise(F.col("__h")), F.when(narrow, mid - b * 0.00025).otherwise(F.col("__l")), c)
-
-
-def _trend(df: DataFrame) -> DataFrame:
-    """close(t) = b + 0.72 trend + e, trend from the last five closes: folded over the last TREND_FOLD rows."""
-    b = F.col("__b")
-    df = df.withColumn("__e", noise.normal(F.col("__u0"), F.col("__u1")) * 0.001 * b)
-    w = Window.partitionBy("symbol").orderBy("timestamp")
-    df = df.withColumn("__xs", F.collect_list((b + F.col("__e"))).over(w.rowsBetween(-TREND_FOLD, 0)))
-    trend = lambda last: F.when(F.size(last) < 2, F.lit(0.0)).otherwise((F.get(last, F.size(last) - 1) - F.get(last, F.lit(0))) / F.size(last))
-    step = lambda acc, x: F.slice(F.concat(acc, F.array(F.round(x + trend(acc) * 0.72, 4))), F.when(F.size(acc) < 5, 1).otherwise(2), F.lit(5))
-    # before the row's own step: the last five closes
-    before = F.aggregate(F.slice("__xs", 1, F.size("__xs") - 1), F.array().cast("array<double>"), step)
-    df = df.withColumn("__trend", trend(before))
-    t, e = F.col("__trend"), F.col("__e")
-    df = df.withColumns({"__o": b + t * 0.6 + e, "__c": F.round(b + e + t * 0.72, 4)})
-    o, c, up = F.col("__o"), F.col("__c"), F.col("__trend") > 0
-    return _finish(df, o, F.greatest(o, c) + F.abs(t) * F.when(up, 0.5).otherwise(0.2), F.least(o, c) - F.abs(t) * F.when(up, 0.2).otherwise(0.5), c)
-
-
-STRATEGIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    return _finish(df, seed, o, F.when(narrow, mid + b * 0.00025).otherwise(F.col("__h")), F.when(narrow, mid - b * 0.00025).otherwise(F.col("__l")), c)
+
+
+def _trend(df: DataFrame, seed: int) -> DataFrame:
+    """close(t) = round(b + 0.72 trend + e, 4), trend from the last five closes."""
+    b, e = F.col("__b"), F.col("__e")
+    df = df.withColumn("__e", noise.normal(F.col("__u0"), F.col("__u1")) * 0.001 * b).drop("__u0", "__u1", "__u2", "__u3")
+    df = _with_closes(df.withColumn("__x", b + e), _trend_step, ["__x"], MEMORY)
+    past = [F.col(f"__before{i}") for i in range(1, MEMORY + 1)]
+    known = sum(p.isNotNull().cast("int") for p in past)
+    df = df.withColumn("__trend", F.when(known < 2, 0.0).otherwise((past[0] - F.coalesce(*reversed(past))) / known))
+    t, c = F.col("__trend"), F.col("__close")
+    o, up = b + t * 0.6 + e, F.col("__trend") > 0
+    return _finish(df, seed, o, F.greatest(o, c) + F.abs(t) * F.when(up, 0.5).otherwise(0.2), F.least(o, c) - F.abs(t) * F.when(up, 0.2).otherwise(0.5), c)
+
+
+STRATEGIES: dict[str, Callable[[DataFrame, int], DataFrame]] = {
     "basic": _basic,
     "price_midpoint": _midpoint,
     "price_as_midpoint": _midpoint,
@@ -112,13 +176,12 @@ STRATEGIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def bridge(dense: DataFrame, strategy: str = "basic", seed: int = 42, ts_col: str = "date") -> DataFrame:
-    """symbol, timestamp, open, high, low, close, volume, source_price of every point with a base price above zero.
-    An unknown strategy is simple_spread."""
+    """symbol, timestamp, open, high, low, close, volume, source_price of every point with a base price above zero and a
+    time. An unknown strategy is simple_spread."""
     volume = F.col("volume").cast("double") if "volume" in dense.columns else F.lit(None).cast("double")
-    rows = dense.select("symbol", F.col(ts_col).alias("timestamp"), base_price(dense).alias("__b"), volume.alias("__volume")).where("__b > 0")
-    rows = rows.withColumns({"__d0": noise.digest(seed, 0), "__d1": noise.digest(seed, 1)})
-    rows = rows.withColumns({**{f"__u{i}": noise.uniform(F.col("__d0"), i) for i in range(4)}, "__u4": noise.uniform(F.col("__d1"), 0), "__u5": noise.uniform(F.col("__d1"), 1)})
-    return STRATEGIES.get(strategy, _simple)(rows)
+    rows = dense.select("symbol", F.col(ts_col).alias("timestamp"), base_price(dense).alias("__b"), volume.alias("__volume")).where("__b > 0 and timestamp is not null")
+    rows = rows.withColumn("__d0", noise.digest(seed, 0)).withColumns({f"__u{i}": noise.uniform(F.col("__d0"), i) for i in range(4)}).drop("__d0")
+    return STRATEGIES.get(strategy, _simple)(rows, seed)
 
 
 def cleanup_candles(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from tickloom.plans.pipeline import run_pipeline, synthetic_candles
 from tickloom.plans.views import tickers
 from tickloom.sources import schemas
 from tickloom.sources import tables as S
-from tickloom.streaming.candles import stream_candles, upsert_stream
+from tickloom.streaming.candles import read_upserted, stream_candles, upsert_stream, with_closing_row
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +114,13 @@ def densify_outcomes(spark, d):
 # --- selection and joins
 
 
+@query
+def scan_tickers(spark, d):
+    """Tickers from a folder that has a column more."""
+    path = _folder(tickers(spark, d).withColumn("note", F.lit("x")), "tickers")
+    return S.read_tickers(spark, path)
+
+
 @query
 def symbols_in_range(spark, d):
     return R.symbols_in_range(tickers(spark, d, "user_id"), *RANGE)
@@ -294,13 +301,14 @@ def reconstruction_stats(spark, d):
 @query
 def candle_outcomes(spark, d):
     sparse = tickers(spark, d, "user_id").select("symbol", F.col("date").alias("timestamp"), *[F.col("underlying_price").alias(c) for c in ("open", "high", "low", "close")], "volume")
-    return L.candle_outcomes(sparse.where("cast(symbol as int) % 3 <> 0 or volume < 3"), C.resample_candles(sparse, "2min"), 2)
+    return L.candle_outcomes(sparse, C.resample_candles(sparse, "2min"), 2)
 
 
 @query
 def bridge_outcomes(spark, d):
     rows = tickers(spark, d, "user_id").withColumn("timestamp", F.col("date"))
-    candles = B.bridge(rows.where("iv < 4"), "basic")
+    cheap = rows.withColumns({c: F.when(F.col("iv") < 4, F.col(c)) for c in ("underlying_price", "mark_price", "index_price")})
+    candles = B.bridge(cheap, "basic")
     return L.bridge_outcomes(rows, candles, B.quality_gate(candles.withColumn("source_price", F.when(F.col("symbol").cast("int") % 11 == 0, 0.0001).otherwise(F.col("source_price")))))
 
 
@@ -489,7 +497,7 @@ def greeks_legacy_rho(spark, d):
 
 @query
 def synthetic_walk(spark, d):
-    return synthetic_candles(spark, R.first_symbols(tickers(spark, d, "user_id"), None), hours=2)
+    return synthetic_candles(spark, R.first_symbols(tickers(spark, d, "user_id"), None))
 
 
 def _run(spark, d) -> str:
@@ -512,9 +520,13 @@ def run_pipeline_outcomes(spark, d):
 
 @query
 def init_tables(spark, d):
-    """Tables made in an empty folder, with the number of symbols that then wait to be filled."""
-    n = tickers(spark, d).agg(F.count_distinct("symbol").alias("waiting"))
-    return S.init_tables(spark, f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}").crossJoin(F.broadcast(n))
+    """Tables made in an empty folder, with the number of symbols that each of them waits for."""
+    root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    made = S.init_tables(spark, root)
+    symbols = tickers(spark, d).select("symbol").distinct()
+    missing = lambda name: symbols.join(spark.read.parquet(f"{root}/{name}").select("symbol"), "symbol", "left_anti")
+    waiting = [missing(name).agg(F.count("*").alias("waiting")).withColumn("table", F.lit(name)) for name in schemas.SPECS]
+    return made.join(S.union_all(waiting), "table")
 
 
 @query
@@ -539,16 +551,16 @@ def _folder(df: DataFrame, name: str) -> str:
 def stream_candles_5min(spark, d):
     minute = _minute(spark, d).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    # all files are one micro-batch, before which there is no watermark: no row is late, in whatever order files come
-    found = stream_candles(_stream(spark, minute, "minute"), "5min")
+    # all files are one micro-batch, before which there is no watermark: no row is late, in whatever order files come;
+    # a closing row takes the watermark past the last window
+    found = stream_candles(_stream(spark, with_closing_row(minute), "minute"), "5min")
     found.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return _rounded(spark.read.parquet(f"{out}/data"), 4)
+    return _rounded(spark.read.parquet(f"{out}/data"), 4).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 @query
 def stream_upsert(spark, d):
     rows = _every_event(spark, d).select("symbol", "date", "iv", F.col("strike").alias("event_id"))
     root = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
-    q = upsert_stream(_stream(spark, rows, "rows"), root, ["symbol", "date"], ["event_id"])
-    q.awaitTermination()
-    return _rounded(spark.read.parquet(f"{root}/v={q.lastProgress['batchId'] if q.lastProgress else 0}"))
+    upsert_stream(_stream(spark, rows, "rows"), root, ["symbol", "date"], ["event_id"]).awaitTermination()
+    return _rounded(read_upserted(spark, root))

@@ -118,6 +118,30 @@ STATUS = """status as (select 'tickers' as "table", count(*) as n_rows, count(di
   union all select 'minute', count(*), count(distinct symbol) from minute union all select 'candles', count(*), count(distinct symbol) from candles)"""
 
 
+#: Passes of the recursion over the closes before: each leaves under a third of the differences of the pass before.
+TREND_PASSES = 24
+_LAGS = ", ".join(f"lag(cl, {i}) over w as l{i}" for i in range(1, 6))
+_TREND = "case when l2 is null then 0::double " + "".join(f"when l{n + 1} is null then (l1 - l{n}) / {n} " for n in range(2, 5)) + "else (l1 - l5) / 5 end"
+
+
+def _trend() -> str:
+    close = "floor((x + tr * 0.72::double) * 10000 + 0.5::double) / 10000"
+    passes = [f"p0 as (select *, b + e as x, b + e as cl from (select *, sqrt(-2 * ln(1 - u0)) * cos(2 * pi() * u1) * 0.001::double * b as e from points))"]
+    passes += [f"p{k} as (select * exclude (cl, l1, l2, l3, l4, l5, tr), {close} as cl, tr as trend from (select * {'' if k == 1 else 'exclude (trend)'}, {_TREND} as tr from (select *, {_LAGS} from p{k - 1} window w as (partition by symbol order by timestamp))))" for k in range(1, TREND_PASSES + 1)]
+    return ",\n".join(passes)
+
+
+def _walk() -> str:
+    normal = lambda u, v: f"sqrt(-2 * ln(1 - {u})) * cos(2 * pi() * {v})"
+    start = lambda i: f"(('0x' || substr(md5('42,start,' || symbol), {1 + 8 * i}, 8))::bigint / 4294967296::double)"
+    return f"""minutes as (select symbol, timestamp '2023-03-20 09:00:00' + to_minutes(id::int) as timestamp, id from (select distinct symbol from tickers), range(0, 1440) r(id)),
+draws as (select *, {_u(0, 0)} as a0, {_u(0, 1)} as a1, {_u(0, 2)} as a2, {_u(0, 3)} as a3, {_u(1, 0)} as b0, {_u(1, 1)} as b1, {_u(1, 2)} as b2, {start(0)} as s0, {start(1)} as s1 from minutes),
+steps as (select *, {_r(normal("a0", "a1") + " * 10", 2)} as step, {_r("25000::double + " + normal("s0", "s1") + " * 500", 2)} as first from draws),
+closes as (select *, (sum(round(step * 100)::bigint) over (partition by symbol order by id) + round(first * 100)::bigint) / 100::double as close from steps),
+candles as (select *, coalesce(lag(close) over (partition by symbol order by id), first) as open from closes)
+select symbol, timestamp, open, {_r("greatest(open, close) + abs(" + normal("a2", "b0") + " * 3)", 2)} as high, {_r("least(open, close) - abs(" + normal("a3", "b1") + " * 3)", 2)} as low, close, {_r("-50::double * ln(1 - b2)", 4)} as volume from candles"""
+
+
 def _upsert(update: str) -> str:
     pick = lambda c, take: f"case when n.event_id is null then o.{c} when o.event_id is null then n.{c} else {'n' if take else 'o'}.{c} end as {c}"
     cols = ", ".join(pick(c, update == "all" or c in update) for c in ("iv", "underlying_price", "event_id"))
@@ -163,6 +187,7 @@ ORACLES: dict[str, str] = {
     "densify_outcomes": _with(U, _dense(min_points=50, days=29)) + """select symbol, case when reason is null then 'success' else 'skipped' end as status, reason, input_rows, output_rows from (
   select symbol, case when input_rows < 50 then 'too few rows' when span > 29 * 86400 then 'span too long' when coalesce(n, 0) = 0 then 'nothing after interpolation' end as reason, input_rows, coalesce(n, 0) as output_rows
   from (select symbol, count(*) as input_rows, date_diff('second', min(date), max(date)) as span from tickers group by symbol) left join (select symbol, count(*) as n from dense group by symbol) using (symbol))""",
+    "scan_tickers": _with(T) + "select symbol, date, iv, underlying_price, time_to_maturity, strike, callput, interest_rate, mark_price, index_price, volume, quote_volume, record_time from tickers",
     "symbols_in_range": _with(U) + "select distinct symbol from tickers where date between timestamp '2024-01-05' and timestamp '2024-01-12'",
     "first_symbols": _with(U) + "select symbol, count(*) as n_rows from tickers where symbol in (select distinct symbol from tickers order by symbol limit 3) group by symbol",
     "all_symbols": _with(U) + "select distinct symbol from tickers",
@@ -179,6 +204,8 @@ ORACLES: dict[str, str] = {
     "bridge_simple": _with(T, D, _minute("simple")) + "select * from minute",
     "bridge_spread": _with(T, D, _POINTS, SPREAD) + """select symbol, timestamp, round(o, 4) as open, round(case when h - l < b * 0.0005::double then mid + b * 0.00025::double else h end, 4) as high,
   round(case when h - l < b * 0.0005::double then mid - b * 0.00025::double else l end, 4) as low, round(cl, 4) as close, volume, b as source_price from f6""",
+    "bridge_trend": _with(T, D, _POINTS, _trend()) + f"""select symbol, timestamp, {_r("o", 4)} as open, {_r("greatest(o, cl) + abs(trend) * case when trend > 0 then 0.5::double else 0.2::double end", 4)} as high,
+  {_r("least(o, cl) - abs(trend) * case when trend > 0 then 0.2::double else 0.5::double end", 4)} as low, cl as close, volume, b as source_price from (select *, b + trend * 0.6::double + e as o from p{TREND_PASSES})""",
     "volume_repair": _with(T) + f"select symbol, timestamp, {_VOLUME} as volume from (select symbol, date as timestamp, volume as v from tickers)",
     "quality_gate": _with(T, BROKEN) + """select symbol, reason is null as valid, reason from (select symbol, case when bool_or(high < low) then 'high below low' when bool_or(high < open or high < close) then 'high below open or close'
   when bool_or(low > open or low > close) then 'low above open or close' when bool_or((high - low) / source_price > 0.1) then 'spread too wide' when bool_or(least(open, high, low, close) <= 0) then 'price not above zero' end as reason
@@ -205,7 +232,7 @@ ORACLES: dict[str, str] = {
   left join (select symbol, count(*) as n, date_diff('minute', min(timestamp), max(timestamp)) as m, sum(volume) as v from candles group by symbol) b using (symbol)""",
     "candle_outcomes": _with(U, _candles(2, "2min", "(select symbol, date as timestamp, underlying_price as open, underlying_price as high, underlying_price as low, underlying_price as close, volume from tickers)", "out_")) + """select symbol,
   case when n < 2 then 'skipped' when m is null then 'error' else 'success' end as status, case when n < 2 then 'too few rows' when m is null then 'no complete group' end as reason, n as input_rows, coalesce(m, 0) as output_rows
-  from (select symbol, count(*) as n from tickers where symbol::int % 3 <> 0 or volume < 3 group by symbol) left join (select symbol, count(*) as m from out_ group by symbol) using (symbol)""",
+  from (select symbol, count(*) as n from tickers group by symbol) left join (select symbol, count(*) as m from out_ group by symbol) using (symbol)""",
     "bridge_outcomes": _with(U) + """select symbol, case when bad then 'error' when m is null then 'skipped' else 'success' end as status, case when bad then 'spread too wide' when m is null then 'no base price' end as reason, n as input_rows, coalesce(m, 0) as output_rows
   from (select symbol, count(*) as n, count(*) filter (where iv < 4) as k, nullif(count(*) filter (where iv < 4), 0) as m, symbol::int % 11 = 0 and count(*) filter (where iv < 4) > 0 as bad from tickers group by symbol)""",
     "candle_breakdown": _with(T, D, M, _candles(5, "5min")) + "select symbol, count(*) as n_candles, min(timestamp) as first, max(timestamp) as last, round(sum(volume), 2) as total_volume from candles group by symbol",
@@ -251,6 +278,8 @@ ORACLES: dict[str, str] = {
   select symbol, 'success' as status, null::varchar as reason, a as input_rows, b as output_rows, 'interpolation' as stage from n union all select symbol, 'success', null, b, c, 'bridge' from n union all select symbol, 'success', null, c, d, 'candles' from n""".lstrip(),
     "progress_snapshot": _with(U, OUTCOMES, LEDGER) + """select case when grouping(status) = 1 then 'total' else status end as status, count(*) as n_symbols, sum(input_rows)::bigint as input_rows, sum(output_rows)::bigint as output_rows,
   round(count(*) * 100.0::double / (select count(*) from ledger where batch_id = 7), 2) as percent from ledger where batch_id = 7 group by rollup (status)""",
+    "synthetic_walk": _with(U, _walk()),
+    "stream_candles_5min": _with(T, D, M, _candles(5, "5min")) + f"select {CANDLE_COLUMNS} from candles",
     "stream_upsert": _with(MANY) + "select symbol, date, round(iv, 6) as iv, strike as event_id from many qualify row_number() over (partition by symbol, date order by strike desc) = 1",
     "init_tables": "select t as \"table\", true as created, count(distinct event_type) as waiting from events, (values ('tickers'), ('dense'), ('minute'), ('candles'), ('ledger')) v(t) group by t",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.cluster import saved, scratch
 from tickloom.functions import noise
 from tickloom.operators.bridge import bridge, quality_gate
 from tickloom.operators.candles import frequency_minutes, resample_candles
@@ -43,10 +44,11 @@ def run_interpolation(tickers: DataFrame, root: str, batch_id: int, **options) -
 def run_bridge(spark: SparkSession, root: str, batch_id: int, strategy: str = "basic", seed: int = 42) -> DataFrame:
     """Candles of the batch, without symbols that fail the gate; outcomes by symbol."""
     dense = read_interpolated(spark, f"{root}/dense", batch_id)
-    candles = bridge(dense, strategy, seed, "timestamp")
-    gate = quality_gate(candles)
-    good = candles.join(gate.where("valid"), "symbol", "left_semi")
-    enforce(conform(good, SPECS["minute"].schema, SPECS["minute"].defaults), SPECS["minute"])[0].write.mode("overwrite").parquet(f"{root}/minute/batch={batch_id}")
+    with scratch(spark) as save:
+        candles = save(bridge(dense, strategy, seed, "timestamp"), "candles")
+        gate = saved(quality_gate(candles), "gate")
+        good = candles.join(gate.where("valid"), "symbol", "left_semi")
+        enforce(conform(good, SPECS["minute"].schema, SPECS["minute"].defaults), SPECS["minute"])[0].write.mode("overwrite").parquet(f"{root}/minute/batch={batch_id}")
     return bridge_outcomes(dense, spark.read.parquet(f"{root}/minute/batch={batch_id}"), gate)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.cluster import has_files
 from tickloom.sources.schemas import SPECS, TICKERS, Spec
 
 
@@ -113,13 +114,7 @@ def init_tables(spark: SparkSession, root: str, reset: bool = False) -> DataFram
     made = []
     for name, spec in SPECS.items():
         path = f"{root}/{name}"
-        try:
-            spark.read.parquet(path).schema  # noqa: B018
-            there = True
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            there = False
+        there = has_files(spark, path)
         if reset or not there:
             spark.createDataFrame([], spec.schema).write.mode("overwrite").parquet(path)
         made.append((name, reset or not there))
