@@ -65,7 +65,41 @@ def test_near_duplicates_of_odd_rows(spark):
     docs = table(spark, rows)
     kept = neardup.without_near_duplicates(docs)
     assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None", "None"]
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", "a b c d e f"), ("3", None), ("None", None)]
+
+
+def test_texts_that_differ_stay_under_one_id(spark):
+    """Without that repeats and missing ids cost no text."""
+    rng = random.Random(21)
+    a, b, c, d = (words(rng, 40) for _ in range(4))
+    rows = [(1, a), (1, b), (2, c), (None, d), (None, a.upper()), (2, b), (2, c), (0, c + " ")]
+    docs = table(spark, rows)
+    kept = neardup.without_near_duplicates(docs)
+    assert kept.schema == docs.schema
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("1", a), ("1", b), ("0", c + " "), ("None", d)])
+
+
+@pytest.mark.parametrize("leaf", [neardup.LEAF, 12])
+def test_a_large_group_of_near_copies_with_outsiders(spark, monkeypatch, leaf):
+    """Copies with one to four words changed, of which some hang on the group by a single link near the threshold; small
+    leaves branch, compare outsiders with the main group by blocks, and end in blocks."""
+    rng = random.Random(22)
+    base = words(rng, 120, 10**9).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 420):
+        w = list(base)
+        for j in rng.sample(range(120), 1 + i % 4):
+            w[j] = f"n{i}x{j}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, words(rng, 60)) for i in range(20)]
+    monkeypatch.setattr(neardup, "LEAF", leaf)
+    monkeypatch.setattr(neardup, "BLOCK", leaf)
+    monkeypatch.setattr(neardup, "MAX_DEPTH", 10)
+    want = brute.near_duplicates(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(table(spark, rows)).collect()}
+    assert got == want
+    sizes = [sum(c == x for _, c in want.values()) for x in {c for _, c in want.values()}]
+    assert max(sizes) > 100 and sizes.count(1) > 100
 
 
 def test_components_of_a_long_chain(spark):
@@ -161,3 +195,20 @@ def test_an_id_with_three_texts_ties_all_their_groups(spark):
     rows = [(1, a), (5, b), (6, b), (9, c), (20, a), (20, b), (20, c)]
     got = {r.doc_id: (r.component_id, r.kept) for r in neardup.near_duplicates(table(spark, rows)).collect()}
     assert got == {d: (1, d == 1) for d, _ in rows}
+
+
+def test_verdicts_equal_a_plain_version(spark):
+    """All documents of sf0.001, odd texts, a null lang beside one called null, and a language too small to judge by."""
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rng = random.Random(15)
+    english = "the of and to in is that for it was on with as by at from this have are not".split()
+    some = lambda n: " ".join(rng.choice(english) for _ in range(n))
+    rows += [(10_000 + i, some(300), None) for i in range(12)] + [(10_100 + i, some(30).upper() + " да нет", "null") for i in range(3)]
+    rows += [(11_000, "1234 5678 # $ " * 200, "en"), (11_001, "Zq xj vk " * 9 + some(10), "en"), (11_002, None, None), (11_003, "", "en"), (11_004, "да " + "нет слово " * 60, "ru")]
+    rows += [(11_100 + i, " ".join("".join(rng.choice("qxzjkvw") for _ in range(5)) for _ in range(80)), "en") for i in range(5)]
+    want = brute.quality_verdicts(rows)
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert {d: r.kept for d, r in got.items()} == {d: k for d, (k, _, _) in want.items()}
+    for d, (_, a, b) in want.items():
+        assert (got[d].class_distance, got[d].word_distance) == pytest.approx((a, b), abs=1e-9)
+    assert not all(k for k, _, _ in want.values())

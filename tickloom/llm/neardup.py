@@ -4,15 +4,16 @@ Every text becomes the set of its k-word shingles (64-bit hashes of words lower-
 COORDS minwise values of one byte. Rows with equal sets fall together first, by a 128-bit fingerprint of the whole set. The
 representatives are then branched: a node of a tree picks, by a hash of its own path, one minwise coordinate and with
 a probability of about 1/threshold - 1 a second one; a text goes to the child (node, coordinate, its value there), so
-two sets at the threshold share a little over one child a level on average. Nodes of at most LEAF texts are compared exhaustively on their
-signatures; larger nodes branch on. Independent trees repeat this for recall. Pairs that pass
-that are confirmed on the full sets.
+two sets at the threshold share a little over one child a level on average. Independent trees repeat this for recall.
+Pairs that pass on signatures are confirmed on the full sets.
 
-A node sends out a spanning forest of its likely pairs first; after those are confirmed and joined to groups, a second
-pass sends out every other likely pair whose ends are still in different groups. So no candidate link is dropped, yet
-a group of n copies costs about n pairs. From BLOCK_DEPTH on, nodes of up to DENSE texts branch no more, and from
-MAX_DEPTH on none does: they are joined through blocks and block leaders, and members that stay outside the node's
-main group are compared with all of its members, block by block.
+Groups are joined before branching goes deep. The first nodes of some trees send out spanning forests of their likely
+pairs (large nodes in blocks and block leaders); these are confirmed and joined to groups. From then on a node whose
+members are all of one group can give no new link and is left. A node of at most LEAF texts is compared exhaustively; one
+of which at most LEAF members stand outside its main group has these compared with all members, block by block; any
+other branches on, DEPTH_STEP levels at a time, up to MAX_DEPTH levels, where it is compared block by block too. A second
+forest, over these nodes, joins more groups; then every pair whose ends are still in different groups is sent out, from
+the first node that its ends share. So no candidate link is dropped, yet a group of n copies costs about n pairs.
 
 Null or empty texts and texts without words have the empty set and link with nothing. Null ids: a group of their own
 without an id, kept. Rows that share an id are one vertex. Ties of ids cannot occur: the smallest id stands.
@@ -27,16 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.cluster import saved, ship
+from tickloom.cluster import saved, scratch, ship
 from tickloom.llm import scan
 
 COORDS = 256
-LEAF = 64
-#: From BLOCK_DEPTH on, nodes of more than LEAF and at most DENSE texts are compared in blocks.
-DENSE, BLOCK_DEPTH, BLOCK = 1024, 12, 512
+LEAF = BLOCK = 512
 TASK_EDGES = 200_000
 SALTS = 16
-FIRST_DEPTH, NEXT_DEPTH, MAX_DEPTH = 4, 8, 28
+FIRST_DEPTH, DEPTH_STEP, MAX_DEPTH = 4, 2, 28
+#: Trees whose first nodes make the first groups.
+SEED_TREES = 5
 #: Nodes branch as if for pairs this much less similar: then a pair at the threshold is not lost with depth.
 BRANCH_SLACK = 0.03
 BOTH, LEFT, RIGHT, AGAIN = range(4)
@@ -112,22 +113,24 @@ def _branch(sig: np.ndarray, row: np.ndarray, key: np.ndarray, levels: int, thre
 
 
 def _node_rows(trees: int, levels: int, threshold: float):
-    """Columns: id, sig, and key if trees is 0."""
+    """Columns: id, comp, sig, and tree and key if trees is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
-                sig, n = _sig(batch.column(1)), batch.num_rows
+                ids, comp = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+                sig, n = _sig(batch.column(2)), batch.num_rows
+                # a row of its own for each (text, tree)
                 if trees:
-                    key = scan.mix(np.repeat(np.arange(1, trees + 1, dtype=np.uint64), n))
-                    row = np.tile(np.arange(n), trees)
+                    of, tree = np.tile(np.arange(n), trees), np.repeat(np.arange(1, trees + 1), n)
+                    key = scan.mix(tree.astype(np.uint64))
                 else:
-                    key, row = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), np.arange(n)
-                row, key = _branch(sig, row, key, levels, threshold)
-                ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                got = np.unique(np.stack([key.view(np.int64), ids[row]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1])], ["key", "id"])
+                    of, tree = np.arange(n), batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
+                    key = batch.column(4).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                row, key = _branch(sig[of], np.arange(len(of)), key, levels, threshold)
+                got = np.unique(np.stack([key.view(np.int64), ids[of][row], comp[of][row], tree[row]]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in got], ["key", "id", "comp", "tree"])
 
     return run
 
@@ -148,37 +151,53 @@ class _Forest:
         return x != y
 
 
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many coordinates each row of x equals each row of y."""
+    x, y = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    out = np.zeros((x.shape[1], y.shape[1]), np.uint16)
+    for at in range(0, COORDS, 128):  # so many fit into one byte
+        part = np.zeros(out.shape, np.uint8)
+        for c in range(at, at + 128):
+            part += (x[c][:, None] == y[c][None]).view(np.uint8)
+        out += part
+    return out
+
+
 def _compare(least: int, threshold: float, forest: bool):
-    """Columns key, id, n, sig, comp, side, node, keys: rows of a key stand together. Pairs of ids of which at least
-    so many minwise values agree and whose sizes allow the threshold: a spanning forest of them, or all between
-    different comps, each only in the first node of the keys that both ids are in. side: BOTH, or LEFT and RIGHT (or
-    AGAIN: right here, left elsewhere) under a key whose pairs go from left to right only."""
-
-    def alike(ids, n, sig, x, y):
-        """Chunks of (number in x, number in y, agreeing values) of rows x against rows y."""
-        for i in range(0, len(x), 128):
-            own = x[i : i + 128]
-            same = (sig[own, None, :] == sig[None, y, :]).sum(2, dtype=np.int32)
+    """Columns key, id, n, sig, comp, side, node, keys: rows of a key stand together. Pairs of ids of different comps
+    of which at least so many minwise values agree and whose sizes allow the threshold: a spanning forest of the comps,
+    or all, each only in the first node of the keys that both ids are in. side: BOTH, or LEFT and RIGHT (or AGAIN: right
+    here, left elsewhere) under a key whose pairs go from left to right only."""
+
+    def alike(ids, n, sig, comp, side):
+        """Chunks of (row, row, agreeing values), from the first side to the other."""
+        plain = side[0] == BOTH
+        left = np.arange(len(ids)) if plain else np.flatnonzero(side == LEFT)
+        right = left if plain else np.flatnonzero(side != LEFT)
+        for i in range(0, len(left), 128):
+            own = left[i : i + 128]
+            y = right[i:] if plain else right  # pairs before are done
+            same = _agreeing(sig[own], sig[y])
             small, large = np.minimum(n[own, None], n[None, y]), np.maximum(n[own, None], n[None, y])
-            a, b = np.nonzero((same >= least) & (small >= threshold * large))
-            yield own[a], y[b], same[a, b]
+            ok = (same >= least) & (small >= threshold * large) & (comp[own, None] != comp[None, y])
+            a, b = np.nonzero(ok)
+            same, a, b = same[a, b], own[a], y[b]
+            once = a < b if plain else (side[b] == RIGHT) | (ids[a] < ids[b])
+            yield a[once], b[once], same[once]
 
     def node(ids, n, sig, comp, side, node, keys, out):
-        every = np.arange(len(ids))
         if forest:
-            tree = _Forest(len(ids))
-            for x, y, same in alike(ids, n, sig, every, every):
-                for j in np.argsort(-same, kind="stable"):
-                    if ids[x[j]] < ids[y[j]] and tree.join(int(x[j]), int(y[j])):
-                        out["a"].append(int(ids[x[j]]))
-                        out["b"].append(int(ids[y[j]]))
+            _, group = np.unique(comp, return_inverse=True)
+            tree = _Forest(int(group.max()) + 1)
+            for x, y, same in alike(ids, n, sig, comp, side):
+                for j in np.argsort(-same.astype(np.int64), kind="stable").tolist():
+                    if tree.join(int(group[x[j]]), int(group[y[j]])):
+                        out["a"].append(int(min(ids[x[j]], ids[y[j]])))
+                        out["b"].append(int(max(ids[x[j]], ids[y[j]])))
             return
-        left = every if side[0] == BOTH else np.flatnonzero(side == LEFT)
-        right = every if side[0] == BOTH else np.flatnonzero(side != LEFT)
         own = [frozenset(k) for k in keys]
-        for x, y, _ in alike(ids, n, sig, left, right):
-            ok = (comp[x] != comp[y]) & ((side[y] == RIGHT) | (ids[x] < ids[y]))
-            for i, j in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
+        for x, y, _ in alike(ids, n, sig, comp, side):
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
                 if min(own[i] & own[j]) == node[i]:
                     out["a"].append(int(min(ids[i], ids[j])))
                     out["b"].append(int(max(ids[i], ids[j])))
@@ -240,11 +259,14 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], ["a", "b", "both", "either"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """The pairs a, b whose full sets have at least percent / 100 of their union in common."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """id and hashes (the whole set) of the rows of docs whose id is in ids."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
-    sets = saved(texts.mapInArrow(_set_rows(k), "id long, hashes binary"), "sets")
+    return texts.mapInArrow(_set_rows(k), "id long, hashes binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose full sets have at least percent / 100 of their union in common."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("left")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("right")), "b")
     found = both.select("a", "b", "left", "right").mapInArrow(_confirm, "a long, b long, both long, either long")
     return found.where((F.col("both") * 100 >= F.col("either") * percent) & (F.col("both") > 0)).select("a", "b").distinct()
@@ -267,19 +289,19 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array([find(x) for x in a], pa.int64())], ["a", "b"])
 
 
-def components(links: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
+def components(links: DataFrame, task_edges: int = TASK_EDGES, *, save=saved) -> DataFrame:
     """id, comp (smallest id that links a, b reach) of every id with a link to another. Each round contracts the edges
     inside tasks of about task_edges edges; if that was more than one task, a large-star and a small-star step follow,
     until nothing changes. Each round's edges are written to the shared folder."""
     a, b = F.greatest("a", "b"), F.least("a", "b")
-    edges = saved(links.where("a <> b").select(a.alias("a"), b.alias("b")), "edges")
+    edges = save(links.where("a <> b").select(a.alias("a"), b.alias("b")), "edges")
     state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     now, before = state(edges), None
     while now != before:
         parts = max(1, -(-now[0] // task_edges))
         edges = edges.coalesce(parts).mapInArrow(_contract, "a long, b long")
         if parts == 1:
-            edges = saved(edges, "edges")
+            edges = save(edges, "edges")
             break
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
@@ -288,100 +310,120 @@ def components(links: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
         down = large.where("a > b")
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
-        edges = saved(small.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "edges")
+        edges = save(small.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "edges")
         before, now = now, state(edges)
     return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("comp")).union(edges.select("b", "b").distinct())
 
 
-def _short(key: str) -> Column:
-    """32 bits of a node's key."""
-    return F.hash(key)
-
-
 def _sized(rows: DataFrame, n: int, task_rows: int = 20_000) -> DataFrame:
     """n rows in no more tasks than they are worth."""
     return rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-n // task_rows)))
 
 
-def _nodes(keys: DataFrame) -> DataFrame:
-    """key, id, size of the nodes of more than one text."""
+def _number(n: int) -> Column:
+    return F.lit(n).cast("long")
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """keys with the size of their node, without nodes of one text only."""
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     return keys.join(sizes, "key")
 
 
-def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, percent: int, trees: int) -> DataFrame:
-    """Confirmed links a, b between representatives: enough of them to connect whatever is connected."""
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows under keys with several comps."""
+    keys = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    return rows.join(keys, "key", "left_semi")
+
+
+def _blocks(nodes: DataFrame, save) -> DataFrame:
+    """key, id: small nodes as they are; larger ones in random blocks, whose leaders meet again under the node's key."""
+    out, level, step = nodes.where(F.col("size") <= LEAF).select("key", "id"), nodes.where(F.col("size") > LEAF).select("key", "id", "size"), 0
+    while not level.isEmpty():
+        name = F.xxhash64("key", F.pmod(F.xxhash64("id", "key", F.lit(step)), F.ceil(F.col("size") / (LEAF // 2))), F.lit(step))
+        blocks = save(level.select(name.alias("block"), "key", "id"), "blocks")
+        out = out.union(blocks.select(F.col("block").alias("key"), "id"))
+        heads = blocks.groupBy("block", "key").agg(F.min("id").alias("id")).select("key", "id")
+        level, step = save(_shared(heads), "heads"), step + 1
+    return out
+
+
+def _whole(nodes: DataFrame) -> DataFrame:
+    """Rows key, id, comp, side, node that compare every member of a node with every other."""
+    return nodes.select("key", "id", "comp", _number(BOTH).alias("side"), F.col("key").alias("node"))
+
+
+def _sided(nodes: DataFrame) -> DataFrame:
+    """Rows that compare the members of a node outside its main comp with all of its members: for each block of the
+    first and block of all, of about BLOCK rows each, a node of two sides. Columns key, id, comp, size, main, others."""
+    of = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    part = lambda n, salt: F.pmod(F.xxhash64("id", "key", F.lit(salt)), of(n)).cast("int")
+    name = lambda x, y: F.xxhash64("key", x, y, F.lit("sided"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), of(n) - 1))
+    left = nodes.where("comp <> main").select("key", "id", "comp", part("others", 1).alias("own"), every("size").alias("far"))
+    left = left.select(name(F.col("own"), F.col("far")).alias("key"), "id", "comp", _number(LEFT).alias("side"), F.col("key").alias("node"))
+    side = F.when(F.col("comp") == F.col("main"), _number(RIGHT)).otherwise(_number(AGAIN))
+    right = nodes.select("key", "id", "comp", side.alias("side"), part("size", 2).alias("own"), every("others").alias("far"))
+    return left.union(right.select(name(F.col("far"), F.col("own")).alias("key"), "id", "comp", "side", F.col("key").alias("node")))
+
+
+def _final_nodes(nodes: DataFrame, sigs: DataFrame, threshold: float, save) -> DataFrame:
+    """Rows for _compare of all nodes in which branching ends. nodes: key, id, comp, tree, size of the first nodes."""
+    out, depth, level = None, FIRST_DEPTH, nodes
+    while True:
+        level = save(_mixed(level), "nodes")
+        small = _whole(level.where(F.col("size") <= LEAF))
+        out = small if out is None else out.union(small)
+        large = level.where(F.col("size") > LEAF)
+        if large.isEmpty():
+            return out
+        comps = large.groupBy("key", "comp").agg(F.count("*").alias("rows"))
+        main = comps.groupBy("key").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), (F.sum("rows") - F.max("rows")).alias("others"))
+        large = save(large.join(main, "key"), "large")
+        end = F.col("others") <= (LEAF if depth < MAX_DEPTH else 2**62)
+        out = out.union(_sided(large.where(end)))
+        rest = large.where(~end)
+        if not (n := rest.count()):
+            return out
+        rest = _sized(rest.select("id", "comp", "tree", "key").join(sigs.select("id", "sig"), "id").select("id", "comp", "sig", "tree", "key"), n)
+        keys, depth = save(rest.mapInArrow(_node_rows(0, DEPTH_STEP, threshold), _NODE), "keys"), depth + DEPTH_STEP
+        level = _shared(keys)
+
+
+_NODE = "key long, id long, comp long, tree long"
+
+
+def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, percent: int, trees: int, save) -> DataFrame:
+    """Confirmed links a, b between representatives: enough of them to connect whatever is connected. save: as saved."""
     threshold = percent / 100
     deviation = np.sqrt(COORDS * threshold * (1 - threshold))
     least, likely = int(np.floor(COORDS * threshold - 3.5 * deviation)), int(np.floor(COORDS * threshold))
     reps = sk.where("n > 0").groupBy("fa", "fb", "n").agg(F.min("id").alias("id"))
-    sigs = saved(sk.join(reps, ["fa", "fb", "n", "id"], "left_semi").dropDuplicates(["fa", "fb", "n", "id"]).select("id", "n", "sig"), "sigs")
-
-    keys = sigs.select("id", "sig").mapInArrow(_node_rows(trees, FIRST_DEPTH, threshold), "key long, id long")
-    depth, leaves, dense = FIRST_DEPTH, None, None
-    while True:
-        nodes = saved(_nodes(saved(keys, "keys")), "nodes")
-        small = nodes.where(F.col("size") <= LEAF).select("key", "id")
-        leaves = small if leaves is None else leaves.union(small)
-        blocked = LEAF if depth < BLOCK_DEPTH else DENSE if depth < MAX_DEPTH else None  # up to this size
-        middle = nodes.where(F.col("size") > LEAF if blocked is None else F.col("size").between(LEAF + 1, blocked)).select("key", "id", "size")
-        dense = middle if dense is None else dense.union(middle)
-        big = nodes.where(F.col("size") > blocked) if blocked else nodes.limit(0)
-        if not (n_big := big.count()):
-            break
-        deeper = _sized(big.select("key", "id").join(sigs.select("id", "sig"), "id").select("id", "sig", "key"), n_big)
-        keys, depth = deeper.mapInArrow(_node_rows(0, NEXT_DEPTH, threshold), "key long, id long"), depth + NEXT_DEPTH
-    some_dense = not dense.isEmpty()
-    first = leaves
-    if some_dense:
-        level, step = dense, 0
-        while True:
-            blocks = level.select(F.xxhash64("key", F.pmod(F.xxhash64("id", "key", F.lit(step)), F.ceil(F.col("size") / (LEAF // 2))), F.lit(step)).alias("block"), "key", "id")
-            blocks = saved(blocks, "blocks")
-            first = first.union(blocks.select(F.col("block").alias("key"), "id"))
-            heads = blocks.groupBy("block", "key").agg(F.min("id").alias("id")).select("key", "id")
-            level, step = saved(_nodes(heads), "heads"), step + 1
-            if level.isEmpty():
-                break
-
-    number = lambda n: F.lit(n).cast("long")
+    sigs = save(sk.join(reps, ["fa", "fb", "n", "id"], "left_semi").dropDuplicates(["fa", "fb", "n", "id"]).select("id", "n", "sig"), "sigs")
 
     def compared(rows: DataFrame, forest: bool) -> DataFrame:
+        if forest:
+            rows = rows.withColumn("keys", F.array().cast("array<long>"))
         rows = rows.join(sigs, "id").select("key", "id", "n", "sig", "comp", "side", "node", "keys").repartition("key").sortWithinPartitions("key")
-        return rows.mapInArrow(_compare(likely if forest else least, threshold, forest), "a long, b long").distinct()
-
-    plain = first.select("key", "id", number(0).alias("comp"), number(BOTH).alias("side"), number(0).alias("node"), F.array().cast("array<int>").alias("keys"))
-    pairs = saved(compared(plain, True), "pairs")
-    found = saved(confirmed(pairs, docs, id_col, text_col, k, percent), "links")
-    groups = saved(components(found), "groups")
-    comp = lambda rows: rows.join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    again = comp(leaves).select("key", "id", "comp")
-    mixed = again.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    rows = again.join(mixed, "key", "left_semi").select("key", "id", "comp", number(BOTH).alias("side"), F.col("key").alias("node"))
-    if some_dense:
-        rows = rows.union(_outside(saved(comp(dense), "dense")))
-    rows = saved(rows, "rows")
-    nodes_of = rows.select("id", "node").groupBy("id").agg(F.collect_set(_short("node")).alias("keys"))  # at most its nodes in all trees
-    rows = rows.join(nodes_of, "id").withColumn("node", _short("node").cast("long"))
-    more = saved(compared(rows, False).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    return found.union(confirmed(more, docs, id_col, text_col, k, percent))
-
-
-def _outside(dense: DataFrame) -> DataFrame:
-    """Members of large nodes outside the node's main group against all of its members: for each block of the first
-    and block of the others a node of two sides, of about BLOCK rows each."""
-    main = dense.groupBy("key").agg(F.min_by("comp", "id").alias("main"))
-    rows = dense.join(main, "key").withColumn("of", F.ceil(F.col("size") / (BLOCK)).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("of")).cast("int"))
-    out = rows.where("comp <> main")
-    used = out.select("key", F.col("block").alias("left_block")).distinct()
-    name = lambda x, y: F.xxhash64("key", x, y, F.lit("outside"))
-    number = lambda n: F.lit(n).cast("long")
-    left = out.select("key", "id", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("right_block"))
-    left = left.select(name(F.col("block"), F.col("right_block")).alias("key"), "id", "comp", number(LEFT).alias("side"), F.col("key").alias("node"))
-    side = F.when(F.col("comp") == F.col("main"), number(RIGHT)).otherwise(number(AGAIN))
-    right = rows.join(used, "key").select(name(F.col("left_block"), F.col("block")).alias("key"), "id", "comp", side.alias("side"), F.col("key").alias("node"))
-    return left.union(right)
+        return save(rows.mapInArrow(_compare(likely if forest else least, threshold, forest), "a long, b long").distinct(), "pairs")
+
+    def regrouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        return rows.drop("comp").join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+    keys = save(sigs.select("id", F.col("id").alias("comp"), "sig").mapInArrow(_node_rows(trees, FIRST_DEPTH, threshold), _NODE), "keys")
+    nodes = save(_shared(keys), "nodes")
+    sets = save(shingle_sets(docs, nodes.select("id").distinct(), id_col, text_col, k), "sets")
+    seeds = _blocks(nodes.where(F.col("tree") <= SEED_TREES), save).select("key", "id", F.col("id").alias("comp"), _number(BOTH).alias("side"), F.col("key").alias("node"))
+    found = save(confirmed(compared(seeds, True), sets, percent), "links")
+    groups = save(components(found, save=save), "groups")
+    rows = save(_final_nodes(regrouped(nodes, groups), sigs, threshold, save), "rows")
+    tried = compared(rows, True)
+    found = found.union(save(confirmed(tried, sets, percent), "links"))
+    groups = save(components(found, save=save), "groups")
+    rows = save(_mixed(regrouped(rows, groups)), "rows")
+    nodes_of = rows.groupBy("id").agg(F.collect_set("node").alias("keys"))  # at most its nodes in all trees
+    more = compared(rows.join(nodes_of, "id"), False).join(tried, ["a", "b"], "left_anti")
+    return found.union(confirmed(more, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 85, trees: int = 14) -> DataFrame:
@@ -393,7 +435,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select("fa", "fb", "n", "salt", "rep")
     same = sk.where("n > 0 and id is not null").select("id", "fa", "fb", "n", F.pmod(F.hash("id"), F.lit(SALTS)).alias("salt"))
     same = same.join(classes, ["fa", "fb", "n", "salt"], "left").select(F.col("id").alias("a"), F.coalesce("rep", "id").alias("b"))
-    groups = components(links(docs, sk, id_col, text_col, k, percent, trees))
+    with scratch(docs.sparkSession) as save:
+        groups = saved(components(links(docs, sk, id_col, text_col, k, percent, trees, save), save=save), "groups")
     # copies hang on their representative; an id with several texts ties their groups together
     every = same.join(groups.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("comp", "b").alias("comp"))
     reached = every.groupBy("id").agg(F.min("comp").alias("comp"), F.max("comp").alias("most"))
@@ -408,7 +451,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of docs that are kept: of each group the rows of its smallest id, one row an id."""
-    verdict = near_duplicates(docs, id_col, text_col, **kw).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(verdict, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
-    return kept.union(docs.where(F.col(id_col).isNull()))
+    """One row of docs of each group: that of the smallest id. Where ids are missing or repeat, every row is a vertex of
+    its own: texts that differ stay even under one id, and of equal ids in a group the first row in storage stays; null
+    ids come last."""
+    odd = docs.groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("__n")).where("__n > 1 or __id is null")
+    if odd.isEmpty():
+        verdict = near_duplicates(docs, id_col, text_col, **kw).where("kept").select(F.col("doc_id").alias("__id"))
+        return docs.join(verdict, F.col(id_col).cast("long") == F.col("__id"), "left_semi")
+    rows = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = saved(near_duplicates(rows, "__row", text_col, **kw).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__comp")), "groups")
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("__row"))
+    first = rows.select(id_col, "__row").join(groups, "__row").groupBy("__comp").agg(F.min_by("__row", order).alias("__row"))
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
