@@ -7,7 +7,9 @@ twenty percent of the text's words. The log-count ratios of the two labels scale
 model is fitted on them by dual coordinate descent, and a logistic curve on margins of held-back folds turns margins
 into scores.
 
-It is fitted on at most max_rows labelled rows (smallest hash of the id), scored on every whole text inside tasks.
+It is fitted on at most max_rows labelled rows (smallest hash of the id) and the GRAMS indicators of three or more of
+their texts that tell most about the label, counted and chosen by Spark: the driver gets at most max_rows sets of
+GRAMS numbers, however long the texts are. Every whole text is scored inside tasks.
 Texts without words have no indicators and get the score of the bias. Null labels are not learned from; without rows
 of both labels every score is the share of label 1 (0.5 without any).
 """
@@ -22,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.cluster import ship
+from tickloom.cluster import saved, ship
 from tickloom.llm import scan
-from tickloom.llm.toxicity import fold, training_rows
+from tickloom.llm.toxicity import _count_rows, _gain_of, _known_rows, fold, training_rows
 
-MAX_ROWS, LEVELS = 6000, (0.0, 0.01, 0.05, 0.20)
+MAX_ROWS, GRAMS, LEVELS = 6000, 16_384, (0.0, 0.01, 0.05, 0.20)
 _U = np.uint64
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[97:123] = _SHAPE[128:] = ord("a")
@@ -91,9 +93,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.middle, -30, 30)))
 
 
-def _svm(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: float, epochs: int, seed: int) -> tuple[np.ndarray, float]:
-    """Hinge loss by dual coordinate descent. rows: columns of each row; values: the value of a column where it is
-    set; y: -1 or 1. Costs are balanced between the labels."""
+def svm(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: float, epochs: int, seed: int) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    """Hinge loss by dual coordinate descent: weights, bias, dual values and their upper bounds. rows: columns of each
+    row; values: the value of a column where it is set; y: -1 or 1. Costs are balanced between the labels."""
     w, b, alpha = np.zeros(len(values)), 0.0, np.zeros(len(y))
     norm = np.array([(values[r] ** 2).sum() + 1 for r in rows])
     top = cost * np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
@@ -108,7 +110,7 @@ def _svm(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: float,
                 w[r] += step * values[r]
                 b += step
                 alpha[i] = now
-    return w, b
+    return w, b, alpha, top
 
 
 def _logistic(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -125,6 +127,14 @@ def _logistic(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
+def log_count_ratios(doc: np.ndarray, col: np.ndarray, y: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Of each of n indicators: the log of (texts of label 1 with it, and one more) / (texts of label 1) over the same of
+    label 0. doc, col: text and indicator number of every indicator of the texts that rows marks; y: -1 or 1."""
+    p = np.bincount(col[y[doc] > 0], minlength=n) + 1.0
+    q = np.bincount(col[y[doc] < 0], minlength=n) + 1.0
+    return np.log((p / ((y > 0) & rows).sum().clip(1)) / (q / ((y < 0) & rows).sum().clip(1)))
+
+
 def fit(sets: list[np.ndarray], labels: np.ndarray, cost: float = 0.1, epochs: int = 12, seed: int = 3) -> Model:
     y = np.where(np.asarray(labels) > 0, 1, -1)
     if not len(y) or abs(y.sum()) == len(y):
@@ -140,9 +150,7 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, cost: float = 0.1, epochs: i
 
     def ratio(rows: np.ndarray) -> np.ndarray:
         own = rows[doc]
-        p = np.bincount(col[own & (y[doc] > 0)], minlength=len(h)) + 1.0
-        q = np.bincount(col[own & (y[doc] < 0)], minlength=len(h)) + 1.0
-        return np.log((p / ((y > 0) & rows).sum().clip(1)) / (q / ((y < 0) & rows).sum().clip(1)))
+        return log_count_ratios(doc[own], col[own], y, rows, len(h))
 
     at = np.searchsorted(doc, np.arange(len(y) + 1))
     cols = [col[at[i] : at[i + 1]] for i in range(len(y))]
@@ -150,12 +158,12 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, cost: float = 0.1, epochs: i
     for k in range(3):
         own = np.flatnonzero(part != k)
         r = ratio(part != k)
-        w, b = _svm([cols[i] for i in own], r, y[own], cost, epochs, seed)
+        w, b, *_ = svm([cols[i] for i in own], r, y[own], cost, epochs, seed)
         for i in np.flatnonzero(part == k):
             z[i] = (w[cols[i]] * r[cols[i]]).sum() + b
     slope, middle = _logistic(z, y)
     r = ratio(np.ones(len(y), bool))
-    w, b = _svm(cols, r, y, cost, epochs, seed)
+    w, b, *_ = svm(cols, r, y, cost, epochs, seed)
     return Model(h, w * r, b, slope, middle)
 
 
@@ -165,14 +173,19 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, h = grams(block)
             order = np.lexsort((h, doc))
             h, at = h[order], np.searchsorted(doc[order], np.arange(block.n + 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(block.n)], pa.binary())], ["label", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(block.n)], pa.binary())], ["label", "terms"])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     ship(docs.sparkSession)
-    rows = training_rows(docs, labels, label, learn, max_rows, id_col, text_col).mapInArrow(_gram_rows, "label int, grams binary").toArrow()
-    order = sorted(range(rows.num_rows), key=lambda i: rows.column(1)[i].as_py())
-    return fit([np.frombuffer(rows.column(1)[i].as_py(), np.uint64) for i in order], np.array([rows.column(0)[i].as_py() for i in order]))
+    rows = saved(training_rows(docs, labels, label, learn, max_rows, id_col, text_col).mapInArrow(_gram_rows, "label int, terms binary"), "grams")
+    n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    counts = rows.mapInArrow(_count_rows, "h long, pos long, neg long").groupBy("h").agg(F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"))
+    chosen = counts.where("pos + neg >= 3").select("h", _gain_of(F.col("pos"), F.col("neg"), pos, n - pos).alias("gain"))
+    known = np.sort(np.array([r.h for r in chosen.orderBy(F.desc("gain"), "h").limit(GRAMS).collect()], np.int64).view(np.uint64))
+    got = rows.mapInArrow(_known_rows(known), "label int, terms binary").toArrow()
+    pairs = sorted(zip(got.column("terms").to_pylist(), got.column("label").to_pylist(), strict=True))  # whatever order the rows came in
+    return fit([np.frombuffer(t, np.uint64) for t, _ in pairs], np.array([y for _, y in pairs]))
 
 
 def _score_rows(model):
