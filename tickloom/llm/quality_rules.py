@@ -7,9 +7,12 @@ counts there alone add up to COMMON_SHARE - CANDIDATE_SHARE of the language. Tha
 1 / (COMMON_SHARE - CANDIDATE_SHARE) words a language, so they may be broadcast. A text is far from a language by the
 Jensen-Shannon distance (base 2, 0 to 1) of its histograms; it is dropped if it is far from every language. Texts of
 fewer than MIN_CHARS characters or MIN_WORDS words are too short to judge and pass, as does every text whose own lang has
-fewer than MIN_REFERENCE words in the table: it has no reference, and its distances are those from other languages only.
+fewer than MIN_REFERENCE words, or less than LANG_SHARE of all words, in the table: it has no reference, and its
+distances are those from other languages only. That bounds the languages with a reference by 1 / LANG_SHARE, however
+dirty the column is.
 
-Null and empty texts have no words and fail the base rule. A null lang is a language of its own name (null).
+Null and empty texts have no words and fail the base rule. A null lang is a language of its own, apart from one that is
+called null.
 """
 
 from __future__ import annotations
@@ -18,14 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.cluster import ship
+from tickloom.cluster import saved, ship
 from tickloom.llm import scan
 
 COMMON_SHARE, CANDIDATE_SHARE = 1 / 200, 1 / 400
-MIN_CHARS, MIN_WORDS, MIN_REFERENCE = 200, 40, 2000
+MIN_CHARS, MIN_WORDS, MIN_REFERENCE, LANG_SHARE = 200, 40, 2000, 1 / 1000
 MAX_CLASS_DISTANCE = 0.28
 #: A text of n words is far from a language by its common words above WORD_DISTANCE + WORD_SLACK / sqrt(n): few words scatter more.
 WORD_DISTANCE, WORD_SLACK = 0.15, 2.0
@@ -49,7 +52,7 @@ def _class_counts(block: scan.Block) -> np.ndarray:
 
 def _names(column: pa.Array, block: scan.Block) -> tuple[list[str], np.ndarray]:
     """Distinct langs of a block's rows, and each row's number among them."""
-    names = ["null" if x is None else x for x in column.slice(block.first, block.n).to_pylist()]
+    names = column.slice(block.first, block.n).to_pylist()
     kinds = sorted(set(names))
     number = {x: i for i, x in enumerate(kinds)}
     return kinds, np.array([number[x] for x in names])
@@ -93,13 +96,19 @@ def _second_pass(candidates: dict[str, np.ndarray]):
     return run
 
 
+def _lang(name: str) -> Column:
+    """A language as text that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("")).alias("lang")
+
+
 def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
     """(lang, class shares, hashes of common words, their shares and that of all others) of each language."""
     ship(docs.sparkSession)
-    texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    first = texts.mapInArrow(_first_pass, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    texts = docs.select(_lang(lang_col), F.col(text_col).alias("text"))
+    first = saved(texts.mapInArrow(_first_pass, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "counts")
     words = first.where(f"kind = 0 and key = {CLASSES}").select("lang", F.col("n").alias("words"))
-    first = first.join(words, "lang").where(F.col("words") >= MIN_REFERENCE)
+    least = max(MIN_REFERENCE, LANG_SHARE * (words.agg(F.sum("words")).first()[0] or 0))
+    first = first.join(words.where(F.col("words") >= least), "lang")
     rows = first.where((F.col("kind") == 0) | (F.col("n") >= (COMMON_SHARE - CANDIDATE_SHARE) * F.col("words"))).collect()
     classes: dict[str, np.ndarray] = {}
     size, candidates = {}, {}
@@ -212,4 +221,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distances from the language that is nearest."""
     refs = docs.sparkSession.sparkContext.broadcast(references(docs, lang_col, text_col))
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(_judge(refs, 2), schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), _lang(lang_col), F.col(text_col).alias("text")).mapInArrow(_judge(refs, 2), schema)
