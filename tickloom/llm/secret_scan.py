@@ -3,21 +3,21 @@
 A candidate is one of three: what follows an assignment to a name of secrets, at least MIN_NAMED characters, with digits
 or without; the password of an address (scheme://user:password@); any other run of at least MIN_LENGTH key characters
 with a digit, which ends at = and : and is no name of secrets before an assignment, so that a name is never part of its
-value. Splitting the text at the candidates
-gives the gaps between them; `before` is the last 60 characters of the text before a candidate, other candidates
-included. One pass yields candidates with neighbours and exact places; they are numbered from 0 in each text. Features:
-length, shares and transitions of character classes, distinct characters, share of digits and hexadecimal digits, how
-much of the candidate common words cover, whether the words before it name a secret or something harmless, an
-assignment and quotes around it, whether it has the format of a known key, and whether the path is one of tests,
-samples or lock files.
-
-The forest learns from labelled findings (before, value, after, path, label). Where none are given, findings label
-themselves: keys of a known format, passwords of addresses, and values assigned to a name of secrets are secrets; an
-address, a number, a digest, an identifier or a placeholder without such a sign is none; the rest, among it every value
-with signs of both and every plain word after a spaced assignment without quotes, is left out of learning and the forest
-decides. A finding that labels itself a secret is one whatever the forest says, so that a form too rare to be learned is
-not lost. At most max_rows findings are learned from, those with the smallest hash. Without findings of both labels the
-self-labelling rule decides alone.
+value. A run without a digit and without a name is no candidate. Splitting the text at the candidates gives the gaps
+between them; `before` is the last 60 characters of the text before a candidate, other candidates included. Texts are
+scanned once for candidates, which are saved with their places, numbered from 0 in each text.
+
+A lexicon is counted over all texts: the words of four to twelve letters a to z that make up WORD_SHARE or more of them
+(at most 1 / WORD_SHARE, so it may be broadcast), and how likely each letter follows another in them. Features: length,
+shares of character classes and changes between them, distinct characters, mean log-likelihood of the letter pairs,
+how much of the candidate lexicon words cover, whether the words before it name a secret or something harmless, an
+assignment and quotes around it, its shape, whether it has the format of a known key, and whether the path is one of
+tests, samples or lock files.
+
+The forest learns from labelled findings (before, value, after, path, label; at most max_rows of them, those with the
+smallest hash, half of the bound for each label). Where none are given, it learns from EXAMPLES made ones, whose label
+comes from what was made (examples()), not from a feature. A candidate that has the format of a known key as a whole is
+a secret whatever the forest says. Labelled findings of one label only give that label to all others.
 
 Null and empty texts have no candidates. Rows that share an id keep their findings apart only by place.
 """
@@ -27,10 +27,15 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MIN_LENGTH, MIN_NAMED, MAX_ROWS, THRESHOLD = 12, 4, 20_000, 0.5
+from tickloom.cluster import saved
+
+MIN_LENGTH, MIN_NAMED, MAX_ROWS, EXAMPLES, THRESHOLD = 12, 4, 20_000, 6_000, 0.5
+WORD_SHARE = 1 / 20_000
+#: Characters before a candidate that are looked at, and as many candidates as these may hold.
+BEFORE, NEAR = 60, 16
 MASK = "[SECRET]"
 #: Words of names that hold secrets, and of names or text that stand before harmless values.
 SECRET_NAMES = (
@@ -56,15 +61,10 @@ _RUN = (
     rf"(?<![A-Za-z0-9_+/.@\-])(?=[A-Za-z_+/.@\-]*[0-9])(?![A-Za-z0-9_.\-]*?{_NAMED})[A-Za-z0-9_+/.@\-]{{{MIN_LENGTH},}}(?:={{1,2}}(?![A-Za-z0-9_+/=.@\-$\"'`]))?"
 )
 _CANDIDATE = f"{_ADDRESS_VALUE}|{_NAMED_VALUE}|{_RUN}"
-#: Words that values made of language hold.
-WORDS = (
-    "mail|example|http|https|www|com|org|net|html|index|page|user|name|date|time|test|sample|data|file|image|home|news|blog|shop|info|the|and|ing|tion|ent|for|that|with|this|from|"
-    "der|die|und|ein|sch|lich|keit|ung|les|des|que|pour|dans|eau|ment|los|las|por|para|con|ción|ado"
-)
-#: Values that stand for a secret that is elsewhere or none.
-PLACEHOLDERS = r"none|null|nil|true|false|undefined|required|optional|string|change.?me|your.*|(.)\1*|\$.*|\{.*|%.*%|<.*|process\.env.*|os\.environ.*|self\..*|.*\(.*\).*"
 TEST_PATHS = "test|spec|fixture|example|sample|mock|\\.lock$|lock\\.json$|min\\.js$"
-FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_runs", "f_distinct", "f_words", "f_secret_name", "f_harmless_name", "f_assigned", "f_quoted", "f_shape", "f_format", "f_test_path"]
+FEATURES = [
+    "f_length", "f_digits", "f_upper", "f_hex", "f_runs", "f_distinct", "f_transition", "f_words", "f_secret_name", "f_harmless_name", "f_assigned", "f_quoted", "f_shape", "f_format", "f_test_path",
+]
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
@@ -72,42 +72,66 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = F.col(path_col).cast("string") if path_col and path_col in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), path.alias("path"))
     rows = rows.withColumn("found", F.regexp_extract_all("text", F.lit(_CANDIDATE), F.lit(0))).where(F.size("found") > 0)
-    rows = rows.withColumn("gaps", F.split("text", _CANDIDATE, -1)).drop("text")
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.size("found") - 1),
-        lambda i: F.struct(
-            i.alias("n"),
-            F.get("found", i).alias("value"),
-            F.length(F.get("gaps", i)).alias("gap"),
-            F.substring(F.get("gaps", i), -60, 60).alias("near"),
-            F.substring(F.concat(F.get("gaps", i + 1), F.coalesce(F.substring(F.get("found", i + 1), 1, 20), F.lit(""))), 1, 20).alias("after"),
-        ),
-    )
-    # running sum of gap and value lengths gives the starts, running ends of gaps and values what stands before
-    before = lambda acc, p: F.substring(F.concat(acc["tail"], p["near"]), -60, 60)
-    with_start = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("tail"), F.array().cast("array<struct<n:int,start:bigint,value:string,before:string,after:string>>").alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + F.length(p["value"])).alias("at"),
-            F.substring(F.concat(acc["tail"], p["near"], F.substring(p["value"], -60, 60)), -60, 60).alias("tail"),
-            F.concat(acc["out"], F.array(F.struct(p["n"].alias("n"), (acc["at"] + p["gap"]).alias("start"), p["value"].alias("value"), before(acc, p).alias("before"), p["after"].alias("after")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return rows.select("doc_id", "path", F.explode(with_start).alias("c")).select("doc_id", "c.n", "c.start", "c.value", "c.before", "c.after", "path")
-
-
-def features(found: DataFrame) -> DataFrame:
-    """found with FEATURES."""
+    rows = rows.withColumn("gaps", F.split("text", _CANDIDATE, -1)).drop("text").withColumn("row", F.monotonically_increasing_id())
+    end = lambda x: F.substring(x, -BEFORE, BEFORE)
+
+    def piece(i: Column) -> Column:
+        k = F.least(i, F.lit(NEAR))
+        earlier = F.zip_with(F.slice("gaps", i - k + 1, k), F.slice("found", i - k + 1, k), lambda gap, value: F.concat(end(gap), end(value)))
+        after = F.concat(F.substring(F.get("gaps", i + 1), 1, 20), F.coalesce(F.substring(F.get("found", i + 1), 1, 20), F.lit("")))
+        return F.struct(
+            i.alias("n"), F.get("found", i).alias("value"), F.length(F.get("gaps", i)).alias("gap"),
+            end(F.concat(F.array_join(earlier, ""), end(F.get("gaps", i)))).alias("before"), F.substring(after, 1, 20).alias("after"),
+        )
+
+    rows = rows.select("doc_id", "path", "row", F.explode(F.transform(F.sequence(F.lit(0), F.size("found") - 1), piece)).alias("c")).select("doc_id", "path", "row", "c.*")
+    w = Window.partitionBy("row").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.sum((F.col("gap") + F.length("value")).cast("long")).over(w) - F.length("value")
+    return rows.select("doc_id", "n", start.alias("start"), "value", "before", "after", "path")
+
+
+def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """token and weight: 1 of the common words of all texts, and of every pair of letters in them the log-likelihood of
+    the second after the first."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("(?<![a-z])[a-z]{4,12}(?![a-z])"), F.lit(0))).alias("token"))
+    counts = saved(words.groupBy("token").agg(F.count("*").alias("n")), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    words = counts.where(F.col("n") >= max(1, WORD_SHARE * total))
+    pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, F.lit(2)))).alias("token"), "n")
+    pairs = pairs.groupBy("token").agg(F.sum("n").alias("n"))
+    first = pairs.groupBy(F.substring("token", 1, 1).alias("a")).agg(F.sum("n").alias("all"))
+    pairs = pairs.join(first, F.substring("token", 1, 1) == F.col("a")).select("token", F.log((F.col("n") + 1) / (F.col("all") + 26)).alias("weight"))
+    return saved(words.select("token", F.lit(1.0).alias("weight")).union(pairs), "lexicon")
+
+
+def _read(found: DataFrame, words: DataFrame) -> DataFrame:
+    """found with f_transition and f_words."""
+    keyed = saved(found.withColumn("__key", F.monotonically_increasing_id()), "findings")
+    low = F.lower("value")
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("value") - 1)), lambda i: F.substring(low, i, F.lit(2)))
+    parts = F.split(F.lower(F.regexp_replace("value", "([a-z])([A-Z])", "$1 $2")), "[^a-z]+")
+    tokens = keyed.select("__key", F.explode(F.concat(F.filter(pairs, lambda x: x.rlike("^[a-z]{2}$")), F.filter(parts, lambda x: F.length(x) >= 4))).alias("token"))
+    is_pair = F.length("token") == 2
+    rare = -F.log(F.lit(26.0))  # of pairs that no word has
+    read = tokens.join(F.broadcast(words), "token", "left").groupBy("__key").agg(  # at most 1 / WORD_SHARE words and all pairs
+        F.avg(F.when(is_pair, F.coalesce("weight", 2 * rare))).alias("f_transition"), F.sum(F.when(~is_pair & F.col("weight").isNotNull(), F.length("token"))).alias("covered")
+    )
+    return keyed.join(read, "__key", "left").withColumns({"f_transition": F.coalesce("f_transition", rare), "f_words": F.coalesce("covered", F.lit(0)) / F.length("value")}).drop("covered", "__key")
+
+
+def features(found: DataFrame, words: DataFrame) -> DataFrame:
+    """found with FEATURES; words: a lexicon."""
     v, n = F.col("value"), F.length("value")
     without = lambda pattern: (n - F.length(F.regexp_replace(v, pattern, ""))) / n
     yes = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     name = F.regexp_extract("before", r"([\p{L}\p{N}_.\- ]{0,40})[\s\"'`]*[:=]?[\s\"'`(]*$", 1)
     near = F.substring(name, -24, 24)
-    shape = F.when(v.rlike(r"^[0-9.:+\-]+$"), 1.0).when(v.rlike(r"^[^@]+@[^@]+\.[A-Za-z]{2,}\.?$"), 2.0).when(v.rlike(r"\.[a-z]{2,4}$"), 3.0).when(v.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}"), 4.0).otherwise(0.0)
+    shape = (
+        F.when(v.rlike(r"^[0-9.:+\-]+$"), 1.0).when(v.rlike(r"^[^@]+@[^@]+\.[A-Za-z]{2,}\.?$"), 2.0).when(v.rlike(r"\.[a-z]{2,4}$"), 3.0)
+        .when(v.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}"), 4.0).when(v.rlike(r"[${}<>()%]|^(.)\1*$"), 5.0).otherwise(0.0)
+    )
     in_address = F.col("before").rlike(r"://[A-Za-z0-9_.\-]{1,32}:$") & F.col("after").startswith("@")
-    return found.select(
+    return _read(found, words).select(
         "*",
         n.cast("double").alias("f_length"),
         without("[0-9]").alias("f_digits"),
@@ -115,7 +139,6 @@ def features(found: DataFrame) -> DataFrame:
         without("[0-9a-fA-F]").alias("f_hex"),
         (F.size(F.regexp_extract_all(v, F.lit("[0-9]+|[A-Z]+|[a-z]+|[^0-9A-Za-z]+"), F.lit(0))) / n).alias("f_runs"),
         (F.size(F.array_distinct(F.split(v, ""))) / n).alias("f_distinct"),
-        without(f"(?i){WORDS}").alias("f_words"),
         yes(near.rlike(f"(?i)({SECRET_NAMES})") | F.col("before").rlike(f"{_NAMED}$") | in_address).alias("f_secret_name"),
         yes(near.rlike(f"(?i)\\b({HARMLESS_NAMES})")).alias("f_harmless_name"),
         yes(F.col("before").rlike(rf"(?:[:=]|=>)\s*{_SCHEME}?{_Q}*$|{_SCHEME}$")).alias("f_assigned"),
@@ -126,50 +149,83 @@ def features(found: DataFrame) -> DataFrame:
     )
 
 
-def _own_label() -> Column:
-    """1, 0 or null: the label that a finding gives itself."""
-    v, before = F.col("value"), F.col("before")
-    assigned = before.rlike(f"{_NAMED}$")
-    harmless_tail = before.rlike(rf"(?i)({HARMLESS_NAMES})[A-Za-z0-9]{{0,3}}{_ASSIGN}$")
-    placeholder = v.rlike(f"(?i)^({PLACEHOLDERS})$")
-    harmless = (F.col("f_shape") > 0) | (F.col("f_words") > 0.6) | (F.col("f_digits") == 1) | placeholder
-    tight = (F.col("f_quoted") > 0) | before.rlike("[=:]$") | v.rlike("[0-9]")  # a plain word after a space may be prose
-    in_address = before.rlike(r"://[A-Za-z0-9_.\-]{1,32}:$") & F.col("after").startswith("@")
-    secret = (F.col("f_format") > 0) | ((in_address | (assigned & tight & ~harmless_tail)) & ~placeholder)
-    sure = (F.col("f_format") > 0) | (secret & ~harmless)
-    return F.when(sure, 1.0).when((harmless | (F.col("f_harmless_name") > 0)) & ~secret, 0.0)
-
-
-def fit(found: DataFrame, labelled: DataFrame | None = None, max_rows: int = MAX_ROWS, trees: int = 20, depth: int = 5, seed: int = 11):
-    """(assembler, forest) learned from labelled findings, or from the findings that label themselves; null if there
-    are not two labels."""
-    rows = features(labelled).withColumn("label", F.col("label").cast("double")) if labelled is not None else found.withColumn("label", _own_label())
-    rows = rows.where(F.col("label").isin(0.0, 1.0)).select(*FEATURES, "label", F.xxhash64("value", "before").alias("order"))
+def examples(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
+    """n made findings (before, value, after, path, label), the odd ones secrets. Each is drawn by hash from its number:
+    generated keys, passwords of words and digits, and passwords in addresses under names of secrets; digests,
+    identifiers, addresses, numbers, file names, versions, placeholders and user names as they stand in code and prose,
+    some of them under names that hold a name of secrets or in files of tests."""
+    r = lambda salt, m: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(m)).cast("int")
+    pick = lambda salt, options: F.element_at(F.array(*[F.lit(x) for x in options]), r(salt, len(options)) + 1)
+    raw = lambda salt: F.sha2(F.concat_ws(",", F.lit(salt), F.col("id").cast("string")), 256)
+    hexes = lambda salt, *sizes: F.substring(raw(salt), F.lit(1), pick(f"{salt}n", sizes))
+    mixed = lambda salt, low, high: F.substring(F.regexp_replace(F.base64(F.unhex(raw(salt))), "[+/=]", "k"), F.lit(1), r(f"{salt}n", high - low) + low)
+    number = lambda salt, m: r(salt, m).cast("string")
+    nouns = "tiger lily horse battery staple correct summer winter dragon monkey orange river mountain silver hunter shadow coffee garden planet rocket".split()
+    word = lambda salt: pick(salt, nouns)
+    password = F.element_at(F.array(F.concat(word("w1"), number("d1", 10_000)), F.concat(word("w1"), word("w2"), word("w3")), F.concat(F.initcap(word("w1")), pick("sign", "!@#$-_."), number("d1", 1000), word("w2")), F.concat(word("w1"), word("w2")), mixed("p", 8, 16)), r("pk", 5) + 1)
+    key = F.element_at(F.array(mixed("k", 16, 41), hexes("h", 32, 40, 64), mixed("k2", 20, 33), F.upper(hexes("h2", 20, 32))), r("kk", 4) + 1)
+    names = ["token", "api_key", "apiKey", "API_KEY", "secret", "client_secret", "access_key", "AWS_SECRET_ACCESS_KEY", "auth_token", "private_key", "credential", "signing_key", "bearer_token", "secret_id"]
+    passes = ["password", "passwd", "db_pass", "PASSWORD", "pwd", "mail_password", "passphrase"]
+    quoted = r("q", 3) > 0
+    sign = F.when(quoted, pick("sq", [' = "', '="', ": \"", '": "', '":"', " => '", "='"])).otherwise(pick("su", ["=", ":", ": ", " = ", "?", "="]))
+    sign = F.when(sign == "?", F.lit("=")).otherwise(sign)
+    close = F.when(quoted, pick("cq", ['"', '",', '"}'])).otherwise(pick("cu", ["", " ", "\n", "&page=2"]))
+    close = F.when(sign.endswith("'"), F.lit("'")).otherwise(close)
+    lead = pick("lead", ["", "then ", "the setting ", "{\"", "export ", "https://www.example.com/x?", "config: "])
+    case = lambda before, value, after="": F.struct(F.coalesce(before, F.lit("")).alias("before"), value.alias("value"), (F.lit(after) if isinstance(after, str) else after).alias("after"))
+    secret = [
+        case(F.concat(lead, pick("name", names), sign), key, close), case(F.concat(lead, pick("name", names), sign), key, close),
+        case(F.concat(lead, pick("pass", passes), sign), password, close), case(F.concat(pick("lead2", ["", "", "\n"]), pick("pass", passes), sign), password, close),
+        case(F.concat(pick("scheme", ["postgres", "mysql", "https", "redis"]), F.lit("://"), pick("user", ["admin", "root", "app"]), F.lit(":")), password, "@db.example.com/x"),
+        case(pick("bearer", ["Authorization: Bearer ", "authorization: Basic ", "-H 'Authorization: Bearer "]), mixed("k3", 16, 43), ""),
+    ]
+    uuid = F.concat_ws("-", *[F.substring(raw("u"), a, b) for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    prose = pick("prose", ["we saw ", "see the page ", "written by ", "call ", "on ", "at ", "and then ", "of the year ", "mail ", "(", "\n"])
+    plain = [
+        case(F.concat(pick("hn", ["commit", "sha256", "md5", "checksum", "revision", "digest", "sha1"]), pick("hs", [" ", ": ", "=", ' "', "-"])), hexes("g", 12, 32, 40, 64), " "),
+        case(F.concat(pick("un", ["uuid", "id", "guid", "request", "session of user", "version"]), pick("us", [" ", ": ", "=", '="'])), uuid, " "),
+        case(prose, F.concat(word("w1"), pick("m1", [".", "_", "-", ""]), word("w2"), number("d", 1000), F.lit("@mail"), number("d2", 50), F.lit(".example.com")), " or"),
+        case(prose, F.element_at(F.array(F.concat(F.lit("+4930"), number("d", 100_000_000)), F.concat(F.lit("2024-0"), number("d3", 9), F.lit("-1"), number("d4", 9), F.lit("T10:2"), number("d5", 9)), F.concat(F.lit("555123456"), number("d", 10_000_000)), F.concat_ws(".", F.lit("192.168"), number("d3", 255), number("d4", 255))), r("nk", 4) + 1), " "),
+        case(prose, F.concat(pick("site", ["www.example.com/2024/", "https://shop.example.org/", "static/img/", "/usr/share/"]), word("w1"), number("d", 1000), pick("ext", [".html", ".png", ".txt", "/index", ".min.js"])), " "),
+        case(prose, F.concat(word("w1"), F.lit("_"), word("w2"), pick("m2", ["_", "-", ""]), number("d", 2100)), " "),
+        case(F.concat(pick("an", ["Author: ", "author=", "user_name: ", "login ", "secretary: ", "by "])), F.concat(word("w1"), F.lit("_"), word("w2"), number("d", 2100)), " wrote it"),
+        case(F.concat(lead, pick("pn", [*names, *passes]), sign), pick("pv", ["${DB_PASSWORD1}", "{{ vault_token }}", "<your-token-here>", "********", "xxxxxxxxxxxx", "os.environ['KEY_1']", "process.env.API_KEY_2", "%(password)s", "$SECRET_KEY", "None", "null", "required", "undefined", "string"]), close),
+        case(F.concat(pick("tn", ["tokenizer=", "max_tokens=", "tokenizer: ", "author_token_count: ", "tokenization = ", "secretary="])), F.concat(word("w1"), F.lit("_"), word("w2"), F.lit("_"), number("d", 500), pick("ext2", ["", ".json", "k.json"])), "\n"),
+        case(prose, hexes("g2", 12, 16, 20), " "),
+        case(F.concat(pick("name", ["the password ", "a secret: ", "the token is "])), F.concat(word("w1"), F.lit(" ")), " of"),
+    ]
+    rows = spark.range(n).withColumn("label", F.col("id") % 2)
+    made = F.when(F.col("label") == 1, F.element_at(F.array(*secret), r("sk", len(secret)) + 1)).otherwise(F.element_at(F.array(*plain), r("hk", len(plain)) + 1))
+    path = F.when(F.col("label") == 1, pick("path", ["src/app.py", "config/settings.yml", "web", None])).otherwise(pick("path", ["src/app.py", "docs/index.html", "tests/fixtures/data.json", "package-lock.json", "web", None]))
+    return rows.withColumn("c", made).select("c.before", F.trim("c.value").alias("value"), "c.after", path.alias("path"), "label")
+
+
+def fit(labelled: DataFrame, words: DataFrame, max_rows: int = MAX_ROWS, trees: int = 30, depth: int = 8, seed: int = 11):
+    """(assembler, forest) learned from labelled findings; the one label, or null, where there are not two."""
+    rows = labelled.where(F.col("label").isin(0, 1)).select("before", "value", "after", "path", F.col("label").cast("double").alias("label"))
+    order = ["order", "value", "before", "after", "path"]
     # half of the bound for each label, so that rare secrets are learned
-    half = [rows.where(F.col("label") == x).orderBy("order", *FEATURES).limit(max_rows // 2) for x in (0.0, 1.0)]
-    sample = half[0].union(half[1]).repartition(8, "order").cache()
-    n = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
-    if len(n) < 2:
-        sample.unpersist()
-        return None
+    half = [rows.where(F.col("label") == x).withColumn("order", F.xxhash64("value", "before")).orderBy(*order).limit(max_rows // 2) for x in (0.0, 1.0)]
+    sample = saved(features(half[0].union(half[1]), words).select(*FEATURES, "label").repartition(4, "label", *FEATURES), "sample")
+    kinds = [r.label for r in sample.select("label").distinct().collect()]
+    if len(kinds) < 2:
+        return kinds[0] if kinds else None
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed)
-    model = forest.fit(assembler.transform(sample))
-    sample.unpersist()
-    return assembler, model
+    return assembler, forest.fit(assembler.transform(sample))
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """doc_id, n, start, value, score and is_secret of every candidate of every text."""
-    found = features(candidates(docs, id_col, text_col, path_col))
-    fitted = fit(found, labelled)
-    if fitted is None:
-        scored = found.withColumn("score", F.coalesce(_own_label(), F.lit(0.0)))
-    else:
+    words = lexicon(docs, text_col)
+    fitted = fit(examples(docs.sparkSession) if labelled is None else labelled, words)
+    found = features(candidates(docs, id_col, text_col, path_col), words)
+    if isinstance(fitted, tuple):
         assembler, model = fitted
-        scored = model.transform(assembler.transform(found)).withColumn("score", vector_to_array("probability")[1])
-        if labelled is None:
-            scored = scored.withColumn("score", F.when(_own_label() == 1, 1.0).otherwise(F.col("score")))
+        score = vector_to_array("probability")[1]
+        scored = model.transform(assembler.transform(found)).withColumn("score", F.when(F.col("f_format") == 1, 1.0).otherwise(score) if labelled is None else score)
+    else:
+        scored = found.withColumn("score", F.lit(fitted or 0.0))
     return scored.select("doc_id", "n", "start", "value", F.round("score", 6).alias("score"), (F.col("score") >= threshold).alias("is_secret"))
 
 
