@@ -1,6 +1,7 @@
 """Plain-Python versions of the contracts, for small tables."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -71,3 +72,45 @@ def near_duplicates(docs, percent=85):
         for s in sets[d]:
             by[s].append(d)
     return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+def _js(p, q):
+    keys = {*p, *q}
+    half = lambda a: sum(a.get(k, 0) * math.log2(a.get(k, 0) / ((p.get(k, 0) + q.get(k, 0)) / 2)) for k in keys if a.get(k, 0))
+    return math.sqrt(max(0.0, (half(p) + half(q)) / 2))
+
+
+def _kind(c):
+    o = ord(c)
+    return "a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "9" if "0" <= c <= "9" else " " if c in " \t\n\v\f\r" else "." if c in ".,;:!?'\"()-" else "high" if o > 127 else "other"
+
+
+def quality_verdicts(docs, min_reference=2000, lang_share=1 / 1000, common=1 / 200, max_class=0.28, word=0.15, slack=2.0):
+    """docs: (id, text, lang) -> {id: (kept, class distance, word distance)}"""
+    share = lambda c: {k: n / sum(c.values()) for k, n in c.items()}
+    words = lambda t: LETTER_WORDS.findall((t or "").translate(_LOWER))
+    classes, counts = defaultdict(Counter), defaultdict(Counter)
+    for _, t, lang in docs:
+        classes[lang].update(map(_kind, t or ""))
+        counts[lang].update(words(t))
+    total = sum(sum(c.values()) for c in counts.values())
+    refs = {}
+    for lang, c in counts.items():
+        n = sum(c.values())
+        if n >= max(min_reference, lang_share * total):
+            own = {w: k / n for w, k in c.items() if k >= common * n}
+            refs[lang] = (share(classes[lang]), own, max(0.0, 1 - sum(own.values())))
+    out = {}
+    for d, t, lang in docs:
+        w, failed = words(t), base_rules(t)[5]
+        most = word + slack / math.sqrt(max(1, len(w)))
+        near = (1.0, 1.0)
+        for cls, own, rest in refs.values():
+            hist = Counter(x if x in own else None for x in w)
+            a = _js(share(Counter(map(_kind, t or ""))), cls) if t else _js({}, cls)
+            b = _js({k: n / len(w) for k, n in hist.items()}, {**own, None: rest})
+            if a / max_class + b / most < near[0] / max_class + near[1] / most:
+                near = (a, b)
+        short = len(t or "") < 200 or len(SPACE_WORDS.findall(t or "")) < 40 or lang not in refs
+        out[d] = (not failed and (short or (near[0] <= max_class and near[1] <= most)), *near)
+    return out

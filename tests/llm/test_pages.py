@@ -40,8 +40,7 @@ def test_archive_round_trip(spark):
 
 
 def test_archive_holds_each_payload_once(spark, tmp_path):
-    recs = warc.deduplicated(warc.records(pages(spark, ROWS)))
-    warc.write(recs, f"file://{tmp_path}/w")
+    warc.write(warc.records(pages(spark, ROWS)), f"file://{tmp_path}/w")
     back = warc.read(spark, f"file://{tmp_path}/w").toPandas()
     full = back[back.record_type == "response"]
     assert sorted(map(bytes, full.payload)) == sorted((h or "").encode() for h in ["same", "other", "", ROWS[6][2], ROWS[7][2], ROWS[8][2], "line\nline\n", "twice", "twice"])
@@ -53,6 +52,26 @@ def test_small_payloads_stay_responses(spark):
     assert {r.record_type for r in got if r.payload_bytes < 5} == {"response"}
 
 
+def test_long_pages_and_a_hot_response(spark, tmp_path):
+    """Pages of many megabytes stand in files of their own; thousands of copies refer to one response."""
+    long = [(10_000 + i, f"http://l/{i}", ("é" * 2_000_000 if i % 2 else "<p>x " * 1_000_000) + str(i // 4)) for i in range(12)]
+    middle = [(20_000 + i, f"http://m/{i}", "m" * 200_000 + str(i)) for i in range(80)]
+    hot = [(i, f"http://h/{i}", "copied page") for i in range(3000)]
+    rows = [(*r, 9, "d") for r in [*long, *middle, *hot]]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string, n_bytes int, digest string")
+    got = {r.page_id: tuple(r)[1:] for r in warc.archive_pages(d, f"file://{tmp_path}/w").collect()}
+    top = {}
+    for i, _, h in [*long, *middle, *hot]:
+        top[h] = max(top.get(h, -1), i)
+    assert got == {i: (len(h.encode()), sha(h), *(("response", None) if top[h] == i else ("revisit", top[h]))) for i, _, h in [*long, *middle, *hot]}
+    back = warc.read(spark, f"file://{tmp_path}/w").where("id >= 10000 and record_type = 'response'").select("id", "n_bytes").collect()
+    assert len(back) == 80 + len({h for *_, h in long})
+    sizes = {}
+    for f in (tmp_path / "w").rglob("*.gz"):
+        sizes.setdefault(f.parent.name, []).append(sum(len(p) for _, p in warc.parse(__import__("gzip").open(f))))
+    assert max(sizes["files=1"]) <= 64 << 20 and len(sizes["files=2"]) == 12
+
+
 def test_archive_of_nothing(spark):
     assert warc.archive_pages(pages(spark, [])).count() == 0
 
@@ -68,6 +87,17 @@ def test_archive_of_given_pages(spark):
         assert got[r.page_id] == (len(r.html.encode()), sha(r.html), *(("response", None) if t == r.page_id else ("revisit", t)))
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_best_run_is_the_best_of_all(seed):
+    rng = random.Random(seed)
+    scores = [rng.choice([-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 1.5]) for _ in range(rng.randrange(0, 40))]
+    first, end = maintext.best_run(scores)
+    runs = {(i, j): sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)}
+    most = max([0.0, *runs.values()])
+    assert sum(scores[first:end]) == most
+    assert end == min([j for (_, j), x in runs.items() if x == most], default=0) if most else (first, end) == (0, 0)
+
+
 ARTICLE = "<article><h1>Ti&shy;tle</h1><p>First <b>bold</b>text &amp; more words of the\n article here.<br>Next line.<p>Second paragraph&nbsp;with enough words to count.</p><blockquote>Quoted words</blockquote></article>"
 TEXT = "Ti\xadtle\n\nFirst boldtext & more words of the article here. Next line.\n\nSecond paragraph with enough words to count.\n\nQuoted words"
 

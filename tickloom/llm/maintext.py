@@ -149,21 +149,29 @@ class Weights:
         return -min(4.0, max(0.01, 0.3 + math.log((b + 1) / (a + 1))))
 
 
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """First and end of the contiguous run with the highest sum above zero, the first such to end; (0, 0) if none."""
+    best, best_range, run, begin = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
+        run += score
+        if run > best:
+            best, best_range = run, (begin, i + 1)
+        if run <= 0:
+            run, begin = 0.0, i + 1
+    return best_range
+
+
 def main_text(source: str | None, weights: Weights) -> str:
     tokens = Page(source or "").tokens
-    best, best_range, run, begin = 0.0, (0, 0), 0.0, 0
     known: dict[str, float] = {}
-    for i, (key, text, _, _, _) in enumerate(tokens):
+    scores = []
+    for key, text, _, _, _ in tokens:
         w = known.get(key)
         if w is None:
             w = known[key] = weights.of(key)
-        run += w if text is None else w * len(text.split())
-        if run > best:
-            best, best_range = run, (begin, i + 1)
-        if run <= 0:
-            run, begin = 0.0, i + 1
+        scores.append(w if text is None else w * len(text.split()))
     out: dict[int, list[str]] = {}
-    first, last = best_range
+    first, last = best_run(scores)
     if last > first:  # whole blocks, and the whole of the content element that the run is in
         while first and tokens[first][4] and tokens[first - 1][4]:
             first -= 1

@@ -69,4 +69,40 @@ select page_id, host, path, rule,
                         or host like '%porn%' or host like '%xxx%' then 'block' else 'allow' end) as verdict
 from best
 """
-ORACLES: dict[str, str] = {"op7_url_filter": _OP7_SQL}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BASE32_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(d, {at}, 5))::int >> {shift}) & 31) + 1, 1)"
+_BASE32 = " || ".join(_BASE32_DIGIT.format(at=at, shift=shift) for at in range(1, 41, 5) for shift in (15, 10, 5, 0))
+_OP1_SQL = f"""
+with digests as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as d from pages),
+groups as (select d, max(page_id) as top from digests group by d)
+select page_id, payload_bytes, {_BASE32} as payload_digest, case when page_id = top then 'response' else 'revisit' end as record_type,
+       case when page_id <> top then top end as refers_to
+from digests join groups using (d)
+"""
+_LETTER_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_OP5_SQL = f"""
+with docs as (select doc_id, regexp_extract_all({_LOWER}, '{_LETTER_WORDS}') as w from documents),
+items as (select item_id::varchar as item, regexp_extract_all({_LOWER}, '{_LETTER_WORDS}') as w from benchmark),
+windows as (select distinct item, k, array_to_string(w[i:i + k - 1], ' ') as s
+            from (select item, w, least(13, len(w)) as k, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from items where len(w) > 0)),
+sizes as (select distinct k from windows),
+places as (select doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') as s from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from docs, sizes where len(w) >= k)),
+hits as (select doc_id, i, k, item from places join windows using (k, s)),
+covered as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + k)) as p from hits) group by doc_id),
+found as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as ids from (select distinct doc_id, item from hits) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(c.n, 0) as n_hit, coalesce(f.n, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(c.n, 0) > 0 and 20 * coalesce(c.n, 0) >= len(w) as contaminated
+from docs left join covered c using (doc_id) left join found f using (doc_id)
+"""
+_SPACE_WORDS = r"[^\x20\x09-\x0D]+"
+_OP10_SQL = f"""
+with recursive docs as (select doc_id, regexp_extract_all({_LOWER}, '{_SPACE_WORDS}') as w from documents),
+shingles as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s from (select doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) as i from docs where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as x, b.doc_id as y, count(*) as n from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (select x, y from common c join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * c.n >= 85 * (a.n + b.n - c.n)),
+reach as (select doc_id as x, doc_id as y from docs union select r.x, l.y from reach r join links l on r.y = l.x),
+groups as (select x as doc_id, min(y) as component_id from reach group by x)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from groups left join sizes using (doc_id)
+"""
+ORACLES: dict[str, str] = {"op1_warc_revisits": _OP1_SQL, "op5_decontamination": _OP5_SQL, "op7_url_filter": _OP7_SQL, "op10_near_duplicates": _OP10_SQL}

@@ -76,6 +76,18 @@ def _gain(with_pos, with_neg, pos, neg):
     return entropy(pos, neg) - entropy(with_pos, with_neg) - entropy(pos - with_pos, neg - with_neg)
 
 
+def gradients(bias: float, w: np.ndarray, v: np.ndarray, d: np.ndarray, c: np.ndarray, y: np.ndarray, l2: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Derivatives of the summed logistic loss of rows, and of l2 / 2 of all squares for each row, by the bias, the weights
+    and the factors. d, c: row and term number of every term of a row; y: labels of the rows."""
+    size, m, rank = len(y), len(w), v.shape[1]
+    sums = np.stack([np.bincount(d, v[c, f], size) for f in range(rank)], 1)
+    z = bias + np.bincount(d, w[c], size) + 0.5 * (sums**2 - np.stack([np.bincount(d, v[c, f] ** 2, size) for f in range(rank)], 1)).sum(1)
+    g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
+    dw = np.bincount(c, g[d], m) + l2 * w * size
+    dv = np.stack([np.bincount(c, g[d] * (sums[d, f] - v[c, f]), m) for f in range(rank)], 1) + l2 * v * size
+    return float(g.sum()), dw, dv
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 60, rate: float = 0.1, l2: float = 1e-4, least_gain: float = LEAST_GAIN, seed: int = 7) -> Machine:
     """rows: distinct terms of each training text; labels: 0 or 1."""
     y = np.asarray(labels, float)
@@ -104,19 +116,13 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 60, rate: floa
         place[order] = np.arange(n)
         for part in range(0, n, 256):
             own = np.flatnonzero((place[doc] >= part) & (place[doc] < part + 256))
-            d, c = place[doc[own]] - part, col[own]
-            size = min(256, n - part)
-            sums = np.stack([np.bincount(d, v[c, f], size) for f in range(RANK)], 1)
-            z = bias + np.bincount(d, w[c], size) + 0.5 * (sums**2 - np.stack([np.bincount(d, v[c, f] ** 2, size) for f in range(RANK)], 1)).sum(1)
-            g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[order[part : part + 256]]
-            dw = np.bincount(c, g[d], m) + l2 * w * len(g)
-            dv = np.stack([np.bincount(c, g[d] * (sums[d, f] - v[c, f]), m) for f in range(RANK)], 1) + l2 * v * len(g)
+            db, dw, dv = gradients(bias, w, v, place[doc[own]] - part, col[own], y[order[part : part + 256]], l2)
             gw += dw**2
             gv += dv**2
-            gb += g.sum() ** 2
+            gb += db**2
             w -= rate * 2 * dw / np.sqrt(gw)
             v -= rate * dv / np.sqrt(gv)
-            bias -= rate * 2 * g.sum() / np.sqrt(gb)
+            bias -= rate * 2 * db / np.sqrt(gb)
     return Machine(h[keep], float(bias), w, v)
 
 
