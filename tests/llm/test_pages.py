@@ -183,6 +183,18 @@ def test_url_rules(spark):
     assert urlfilter.judged(pages(spark, [(1, None, ""), (1, None, "")]).withColumn("host", F.lit("h"))).count() == 2
 
 
+def test_url_rules_of_tables(spark, monkeypatch):
+    """Ties go to the first row in order, repeated and null rows do not count, and large tables are refused."""
+    rules = spark.createDataFrame([("b.org", "/x", "block"), ("b.org", "/x", "allow"), ("b.org", "/x", "block"), ("org", "/xyz", "block"), (None, "/", "block"), ("c.net", "", "allow")], "host string, path string, verdict string")
+    globs = spark.createDataFrame([("*spam**", 1), (None, 2), ("*spam**", 3), ("?.net/*", 4)], "glob string, n int")
+    rows = [(1, "http://b.org/xyz", ""), (2, "http://a.org/xyz", ""), (3, "http://spam.c.net/", ""), (4, "http://spam.net/a", ""), (5, "http://d.net/a", ""), (6, "http://d.net/a/b", "")]
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judged(pages(spark, rows), rules, globs).collect()}
+    assert got == {1: ("b.org/x", "allow"), 2: ("org/xyz", "block"), 3: ("c.net", "allow"), 4: (None, "block"), 5: (None, "block"), 6: (None, "allow")}
+    monkeypatch.setattr(urlfilter, "MAX_BITS", 20)
+    with pytest.raises(ValueError, match="characters of rules"):
+        urlfilter.judged(pages(spark, rows), rules, globs)
+
+
 BODY = "Many plain words stand in this paragraph, which is the content of the page."
 
 

@@ -6,13 +6,16 @@ the character, or state & stay of the character. `*` stays on any character but
 All URLs of a batch are lanes that step together, the longest first, so memory is states times URLs.
 
 A rule (host, path) fits the host and its subdomains, where the URL's path starts with its own; it becomes two globs.
-The longest fitting rule decides, the earlier of equal ones; otherwise a URL that any blocked glob matches is blocked.
-Null URLs and those without :// have an empty host and path and are allowed unless a glob matches the empty string.
+The longest fitting rule decides, the earlier of equal ones (of equal ones in a table: the first by host, path and
+verdict); otherwise a URL that any blocked glob matches is blocked. Rules and globs may be given as tables; they go to
+every task, so that tables of more than MAX_BITS characters together are refused, not cut. Null rows of such tables are
+left out. Null URLs and those without :// have an empty host and path and are allowed unless a glob matches the empty
+string.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ from tickloom.cluster import ship
 from tickloom.llm import scan
 
 _U = np.uint64
+MAX_BITS = 1 << 18
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 #: Words of hosts that sell, bet or track.
 BLOCKED = ("*casino**", "*-bets**", "*pills**", "ads-**", "*.ads-**", "*porn**", "*xxx**")
@@ -104,9 +108,23 @@ def _judge_rows(rules: tuple[tuple[str, str, str], ...], blocked: tuple[str, ...
     return run
 
 
-def judged(pages: DataFrame, rules=RULES, blocked=BLOCKED, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """page_id, host, path, rule and verdict of every row of pages."""
+def _rows_of(table: DataFrame, columns: list[str]) -> list[tuple]:
+    """The distinct rows of a table of rules in order, after its size is asked."""
+    rows = table.select(*[F.col(c).cast("string").alias(c) for c in columns]).dropna().distinct()
+    size = rows.agg(F.sum(sum(F.length(c) + 1 for c in columns))).first()[0] or 0
+    if size > MAX_BITS:
+        raise ValueError(f"{size} characters of rules are more than {MAX_BITS}")
+    return sorted(map(tuple, rows.collect()))
+
+
+def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame = RULES, blocked: Sequence[str] | DataFrame = BLOCKED, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """page_id, host, path, rule and verdict of every row of pages. rules: (host, path, verdict), or a table with these
+    columns; blocked: globs, or a table with the column glob."""
     ship(pages.sparkSession)
+    if isinstance(rules, DataFrame):
+        rules = _rows_of(rules, ["host", "path", "verdict"])
+    if isinstance(blocked, DataFrame):
+        blocked = [g for (g,) in _rows_of(blocked, ["glob"])]
     part = lambda i: F.coalesce(F.regexp_extract(F.col(url_col), "(?s)^.*?://([^/?#]*)([^?#]*)", i), F.lit(""))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.translate(part(1), upper, lower).alias("host"), part(2).alias("path"))
