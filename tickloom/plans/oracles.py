@@ -109,7 +109,7 @@ OUTCOMES = """outcomes as (select symbol, case when n < 60 then 'skipped' when s
 LEDGER = """ledger as (
   select symbol, case when s % 5 = 0 then 'pending' when status = 'success' then 'completed' else status end as status, case when s % 5 <> 0 then input_rows end as input_rows,
          case when s % 5 <> 0 then output_rows end as output_rows, case when s % 5 <> 0 then seconds end as seconds, case when s % 5 <> 0 then reason end as error_message, 7 as batch_id from outcomes
-  union all select 'old' || symbol, 'pending', null, null, null, null, 6 from outcomes where s % 10 = 0)"""
+  union all select 'old' || symbol, 'pending', null, null, null, null, 6 from outcomes)"""
 SNAPSHOTS = """snapshots as (
   select 7 as batch_id, taken_at, count(*) filter (where s % 3 <= i) as done_symbols, count(*) filter (where s % 3 > i) as pending_symbols, sum(case when s % 3 <= i then output_rows else 0 end)::bigint as output_rows
   from outcomes, (values (0, timestamp '2024-02-01 00:00:00'), (1, timestamp '2024-02-01 00:10:00'), (2, timestamp '2024-02-01 00:30:00')) t(i, taken_at) group by taken_at),
