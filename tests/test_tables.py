@@ -190,3 +190,30 @@ def test_tickers_from_a_database(spark, tmp_path):
     out.write.jdbc(url, "tickers", properties={"driver": driver, "createTableColumnTypes": "symbol VARCHAR(64), callput VARCHAR(8), record_time VARCHAR(64)"})
     back = S.read_tickers_jdbc(spark, url, "tickers", "number", "0", "10", 2, driver=driver)
     assert back.columns == TICKERS.names and back.count() == n and back.rdd.getNumPartitions() == 2
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace as Fake
+
+    from tickloom.cluster import shared_dir
+
+    def session(master, folder):
+        conf = Fake(get=lambda key, default=None: folder if key == "spark.checkpoint.dir" and folder else default)
+        return Fake(sparkContext=Fake(master=master, getConf=lambda: conf), conf=Fake(get=lambda key, default=None: default, set=lambda key, value: None))
+
+    assert shared_dir(session("yarn", "hdfs://x/shared/")) == "hdfs://x/shared"
+    assert shared_dir(session("local[4]", None)).startswith("file://")
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(session("spark://host:7077", None))
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    from tickloom.cluster import has_files, saved, scratch
+
+    with scratch(spark) as save:
+        inner = save(kv(spark, [(1, 2, "x")]), "inner")
+        outer = saved(inner, "outer")
+        (file, *_) = inner.inputFiles()
+        assert has_files(spark, file)
+    assert not has_files(spark, file)
+    assert [tuple(r) for r in outer.collect()] == [(1, 2, "x")]
