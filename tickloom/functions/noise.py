@@ -14,7 +14,8 @@ def seconds(ts: str) -> Column:
 
 
 def digest(seed: int, part: int, symbol: str = "symbol", ts: str = "timestamp") -> Column:
-    return F.md5(F.concat_ws(",", F.lit(str(seed)), F.lit(str(part)), F.col(symbol), seconds(ts).cast("string")))
+    name = F.coalesce(F.concat(F.col(symbol), F.lit(",")), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed},{part},"), name, F.coalesce(seconds(ts).cast("string"), F.lit(""))))
 
 
 def uniform(digest_col: Column, i: int) -> Column:
