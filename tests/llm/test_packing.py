@@ -183,7 +183,7 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     before, after = held["toxicity"]
     assert {r.doc_id for r in after.collect()} == {d for d in before if not score[d]}
     before, after = held["near_dedup"]
-    assert {r.doc_id for r in after.collect()} == {d for d, (_, c) in brute.near_duplicates(list(before.items())).items() if d == c}
+    assert {r.doc_id for r in after.collect()} == {d for d, (_, c) in brute.near_duplicates(list(before.items()), percent=corpus_pipeline.NEAR_PERCENT).items() if d == c}
     before, after = held["decontamination"]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     assert {r.doc_id for r in after.collect()} == {d for d, w in brute.contamination(list(before.items()), items).items() if not w[4]}

@@ -61,6 +61,8 @@ _RUN = (
     rf"(?<![A-Za-z0-9_+/.@\-])(?=[A-Za-z_+/.@\-]*[0-9])(?![A-Za-z0-9_.\-]*?{_NAMED})[A-Za-z0-9_+/.@\-]{{{MIN_LENGTH},}}(?:={{1,2}}(?![A-Za-z0-9_+/=.@\-$\"'`]))?"
 )
 _CANDIDATE = f"{_ADDRESS_VALUE}|{_NAMED_VALUE}|{_RUN}"
+#: Words that stand for no value or for one that is elsewhere.
+NO_VALUES = "none|null|nil|true|false|undefined|required|optional|string|changeme|password|secret|token"
 TEST_PATHS = "test|spec|fixture|example|sample|mock|\\.lock$|lock\\.json$|min\\.js$"
 FEATURES = [
     "f_length", "f_digits", "f_upper", "f_hex", "f_runs", "f_distinct", "f_transition", "f_words", "f_secret_name", "f_harmless_name", "f_assigned", "f_quoted", "f_shape", "f_format", "f_test_path",
@@ -93,7 +95,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """token and weight: 1 of the common words of all texts, and of every pair of letters in them the log-likelihood of
     the second after the first."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("(?<![a-z])[a-z]{4,12}(?![a-z])"), F.lit(0))).alias("token"))
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z]{4,}"), F.lit(0))).alias("token")).where(F.length("token") <= 12)
     counts = saved(words.groupBy("token").agg(F.count("*").alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     words = counts.where(F.col("n") >= max(1, WORD_SHARE * total))
@@ -107,10 +109,9 @@ def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def _read(found: DataFrame, words: DataFrame) -> DataFrame:
     """found with f_transition and f_words."""
     keyed = saved(found.withColumn("__key", F.monotonically_increasing_id()), "findings")
-    low = F.lower("value")
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("value") - 1)), lambda i: F.substring(low, i, F.lit(2)))
+    pairs = F.regexp_extract_all(F.lower("value"), F.lit("(?=([a-z]{2}))"), F.lit(1))  # each letter starts one
     parts = F.split(F.lower(F.regexp_replace("value", "([a-z])([A-Z])", "$1 $2")), "[^a-z]+")
-    tokens = keyed.select("__key", F.explode(F.concat(F.filter(pairs, lambda x: x.rlike("^[a-z]{2}$")), F.filter(parts, lambda x: F.length(x) >= 4))).alias("token"))
+    tokens = keyed.select("__key", F.explode(F.concat(pairs, F.filter(parts, lambda x: F.length(x) >= 4))).alias("token"))
     is_pair = F.length("token") == 2
     rare = -F.log(F.lit(26.0))  # of pairs that no word has
     read = tokens.join(F.broadcast(words), "token", "left").groupBy("__key").agg(  # at most 1 / WORD_SHARE words and all pairs
@@ -128,7 +129,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     near = F.substring(name, -24, 24)
     shape = (
         F.when(v.rlike(r"^[0-9.:+\-]+$"), 1.0).when(v.rlike(r"^[^@]+@[^@]+\.[A-Za-z]{2,}\.?$"), 2.0).when(v.rlike(r"\.[a-z]{2,4}$"), 3.0)
-        .when(v.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}"), 4.0).when(v.rlike(r"[${}<>()%]|^(.)\1*$"), 5.0).otherwise(0.0)
+        .when(v.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}"), 4.0).when(v.rlike(r"[${}<>()%]|^(.)\1*$"), 5.0).when(v.rlike(f"(?i)^(?:{NO_VALUES})$"), 6.0).otherwise(0.0)
     )
     in_address = F.col("before").rlike(r"://[A-Za-z0-9_.\-]{1,32}:$") & F.col("after").startswith("@")
     return _read(found, words).select(
@@ -189,10 +190,10 @@ def examples(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
         case(prose, F.concat(pick("site", ["www.example.com/2024/", "https://shop.example.org/", "static/img/", "/usr/share/"]), word("w1"), number("d", 1000), pick("ext", [".html", ".png", ".txt", "/index", ".min.js"])), " "),
         case(prose, F.concat(word("w1"), F.lit("_"), word("w2"), pick("m2", ["_", "-", ""]), number("d", 2100)), " "),
         case(F.concat(pick("an", ["Author: ", "author=", "user_name: ", "login ", "secretary: ", "by "])), F.concat(word("w1"), F.lit("_"), word("w2"), number("d", 2100)), " wrote it"),
-        case(F.concat(lead, pick("pn", [*names, *passes]), sign), pick("pv", ["${DB_PASSWORD1}", "{{ vault_token }}", "<your-token-here>", "********", "xxxxxxxxxxxx", "os.environ['KEY_1']", "process.env.API_KEY_2", "%(password)s", "$SECRET_KEY", "None", "null", "required", "undefined", "string"]), close),
+        case(F.concat(lead, pick("pn", [*names, *passes]), sign), pick("pv", ["${DB_PASSWORD1}", "{{ vault_token }}", "<your-token-here>", "********", "xxxxxxxxxxxx", "os.environ['KEY_1']", "process.env.API_KEY_2", "%(password)s", "$SECRET_KEY", "None", "null", "required", "undefined", "string", "changeme"]), close),
         case(F.concat(pick("tn", ["tokenizer=", "max_tokens=", "tokenizer: ", "author_token_count: ", "tokenization = ", "secretary="])), F.concat(word("w1"), F.lit("_"), word("w2"), F.lit("_"), number("d", 500), pick("ext2", ["", ".json", "k.json"])), "\n"),
         case(prose, hexes("g2", 12, 16, 20), " "),
-        case(F.concat(pick("name", ["the password ", "a secret: ", "the token is "])), F.concat(word("w1"), F.lit(" ")), " of"),
+        case(F.concat(pick("name", ["the password ", "a secret of ", "the token is "])), F.concat(word("w1"), F.lit(" ")), " of"),
     ]
     rows = spark.range(n).withColumn("label", F.col("id") % 2)
     made = F.when(F.col("label") == 1, F.element_at(F.array(*secret), r("sk", len(secret)) + 1)).otherwise(F.element_at(F.array(*plain), r("hk", len(plain)) + 1))
