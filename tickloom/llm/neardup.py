@@ -43,8 +43,8 @@ BRANCH_SLACK = 0.03
 BOTH, LEFT, RIGHT, AGAIN = range(4)
 _U = np.uint64
 _RNG = np.random.default_rng(0xC05)
-_MUL = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64) * _U(2) + _U(1)
-_XOR = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64) * _U(2) + _RNG.integers(0, 2, COORDS, dtype=np.uint64)
+_MUL = _RNG.integers(0, 2**31, COORDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _RNG.integers(0, 2**32, COORDS, dtype=np.uint32)
 _SECOND, _PICK2 = _U(0xA24BAED4963EE407), _U(0x9FB21C651E98DF25)
 
 
@@ -70,10 +70,12 @@ def _sketch_rows(k: int):
                         fa[i], fb[i] = scan.mix(own).sum(), scan.mix(own ^ _PICK2).sum()
                 full = np.flatnonzero(n)
                 if len(full):
-                    starts = at[:-1][full]
+                    # 32 bits tell the shingles of a text apart well enough to order them
+                    starts, low = at[:-1][full], h.astype(np.uint32)
+                    order = np.empty_like(low)
                     for c in range(COORDS):
-                        least = np.minimum.reduceat((h ^ _XOR[c]) * _MUL[c], starts)
-                        sig[full, c] = (scan.mix(least) & _U(255)).astype(np.uint8)
+                        np.multiply(np.bitwise_xor(low, _XOR[c], out=order), _MUL[c], out=order)
+                        sig[full, c] = (scan.mix(np.minimum.reduceat(order, starts).astype(np.uint64)) & _U(255)).astype(np.uint8)
                 raw = sig.tobytes()
                 width = COORDS
                 yield pa.RecordBatch.from_arrays(
@@ -153,6 +155,8 @@ class _Forest:
 
 def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """In how many coordinates each row of x equals each row of y."""
+    if len(x) * len(y) <= 12_000:  # where the calls below would cost more
+        return (x[:, None, :] == y[None]).sum(2, dtype=np.uint16)
     x, y = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
     out = np.zeros((x.shape[1], y.shape[1]), np.uint16)
     for at in range(0, COORDS, 128):  # so many fit into one byte
@@ -267,6 +271,8 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b whose full sets have at least percent / 100 of their union in common."""
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = sets.join(ends, "id", "left_semi")  # where the pairs are few, no other set is shuffled
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("left")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("right")), "b")
     found = both.select("a", "b", "left", "right").mapInArrow(_confirm, "a long, b long, both long, either long")
     return found.where((F.col("both") * 100 >= F.col("either") * percent) & (F.col("both") > 0)).select("a", "b").distinct()
@@ -422,7 +428,7 @@ def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, pe
     groups = save(components(found, save=save), "groups")
     rows = save(_mixed(regrouped(rows, groups)), "rows")
     nodes_of = rows.groupBy("id").agg(F.collect_set("node").alias("keys"))  # at most its nodes in all trees
-    more = compared(rows.join(nodes_of, "id"), False).join(tried, ["a", "b"], "left_anti")
+    more = save(compared(rows.join(nodes_of, "id"), False).join(tried, ["a", "b"], "left_anti"), "pairs")
     return found.union(confirmed(more, sets, percent))
 
 
