@@ -75,7 +75,7 @@ def test_gradients_are_those_of_the_loss():
 
 
 def test_gain_in_spark_is_that_of_counts(spark):
-    rows = [(a, b) for a in range(0, 9) for b in range(0, 13)]
+    rows = [(float(a), float(b)) for a in range(9) for b in range(13)]
     got = spark.createDataFrame(rows, "pos double, neg double").select("pos", "neg", toxicity._gain_of(F.col("pos"), F.col("neg"), 8, 12).alias("g")).collect()
     for r in got:
         assert r.g == pytest.approx(float(toxicity._gain(np.array([r.pos]), np.array([r.neg]), 8, 12)[0]), abs=1e-9)
