@@ -49,6 +49,7 @@ def main() -> None:
         "densify": lambda: write(densify(users())),
         "bridge_basic": lambda: write(bridge(densify(users()))),
         "resample_5min": lambda: write(resample_candles(bridge(densify(users())))),
+        "bridge_trend": lambda: write(bridge(densify(users()), "trend_following")),
     }
     tickers(spark, sf).agg(F.count("*")).first()  # starts the executors
     rows = densify(users()).count()
@@ -58,7 +59,7 @@ def main() -> None:
         run()
         took[name] = round(time.time() - began, 3)
     total = round(sum(took.values()), 3)
-    rates = {k: round(rows / took[k]) for k in ("densify", "bridge_basic", "resample_5min")}
+    rates = {k: round(rows / took[k]) for k in ("densify", "bridge_basic", "resample_5min", "bridge_trend")}
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": took, "sf": Path(sf).name.removeprefix("sf"), "dense_rows": rows, "dense_rows_per_sec": rates}))
 
 
