@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontam, maintext, nbsvm, neardup, packing, quality_rules, secret_scan, toxicity, urlfilter, warc
+from tickloom.llm import centroids, chat, decontam, maintext, nbsvm, neardup, packing, phrases, quality_rules, secret_scan, toxicity, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +51,19 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_main_text, op3_toxicity, op4_secret_scan, op6_best_fit_packing, op7_url_filter, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates)}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.round_trip(_table(spark, sf_dir, "conversations"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_main_text, op3_toxicity, op4_secret_scan, op6_best_fit_packing, op7_url_filter, op8_quality_classifier, op5_decontamination, op9_quality_rules, op10_near_duplicates, op11_centroid_clustering, op12_chat_format, op13_phrase_collocations)}
 _OP7_SQL = """
 with parts as (
   select page_id,
@@ -105,4 +117,53 @@ reach as (select doc_id as x, doc_id as y from docs union select r.x, l.y from r
 groups as (select x as doc_id, min(y) as component_id from reach group by x)
 select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from groups left join sizes using (doc_id)
 """
-ORACLES: dict[str, str] = {"op1_warc_revisits": _OP1_SQL, "op5_decontamination": _OP5_SQL, "op7_url_filter": _OP7_SQL, "op10_near_duplicates": _OP10_SQL}
+_ROUND = """
+far{n} as materialized (
+  select vec_id, v, sq, c, sq + c_sq - 2 * list_sum(list_transform(list_zip(v, w), lambda p: p[1] * p[2])) as dist from vecs, (select c, w, list_sum(list_transform(w, lambda x: x * x)) as c_sq from cent{n})
+), near{n} as materialized (select vec_id, v, arg_min(c, (dist, c)) as c, min(dist) as dist from far{n} group by vec_id, v),
+"""
+_MOVE = """
+sums{n} as (select c, i, sum(x)::hugeint as s, count(*) as m from (select c, generate_subscripts(v, 1) as i, unnest(v) as x from near{n}) group by c, i),
+moved{n} as (select c, list(((s - ((s % m) + m) % m) // m)::bigint order by i) as w from sums{n} group by c),
+cent{next} as materialized (select k.c, coalesce(m.w, k.w) as w from cent{n} k left join moved{n} m using (c)),
+"""
+_OP11_SQL = (
+    """
+with kept as (select vec_id, embedding::double[] as e from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+vecs as materialized (select vec_id, list_transform(e, lambda x: floor(256 * x)::bigint) as v, list_sum(list_transform(e, lambda x: (floor(256 * x)::bigint) * (floor(256 * x)::bigint))) as sq from kept),
+cent0 as materialized (select row_number() over (order by sha256('2:' || vec_id), v) - 1 as c, v as w from vecs qualify c < 40),
+"""
+    + "".join(_ROUND.format(n=n) + (_MOVE.format(n=n, next=n + 1) if n < 5 else "") for n in range(6))
+    + """
+own as (select c, sum(dist) as s from near5 group by c)
+select vec_id, n.c::int as cluster, dist::bigint as distance, s::bigint as cluster_inertia, (select sum(dist) from near5)::bigint as inertia, sha256(array_to_string(w, ',')) as centroid_sha256
+from near5 n join own using (c) join cent5 k using (c)
+"""
+)
+_ESCAPED = "replace({x}, '\\', '\\\\')"
+for _c in chat.CONTROL:
+    _ESCAPED = f"replace({_ESCAPED}, '{_c}', '{_c[0]}\\:{_c[1:]}')"
+_OP12_SQL = f"""
+with every as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all values (-1, 0, 'user', '{chat.TRIAL}'), (-1, 1, 'assistant', '{chat.TRIAL}')),
+turns as (select *, '{chat.TURN}' || {_ESCAPED.format(x="role")} || '{chat.BODY}' || {_ESCAPED.format(x="text")} || '{chat.END}' as segment from every),
+joined as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, segment) as whole,
+                  coalesce(string_agg(text, '' order by turn nulls first, role, segment) filter (where role = 'assistant'), '') as loss, sum(length(segment)) as n from turns group by conv_id)
+select conv_id, n_turns, sha256(whole) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, n::bigint as formatted_chars, 0::bigint as n_attachments, 0::bigint as expanded_tokens from joined
+"""
+_OP13_SQL = f"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) as p from documents),
+words as (select lang, regexp_extract_all(p, '[^\\x20\\x09]+') as w from pieces),
+totals as (select lang, sum(len(w)) as n from words group by lang),
+grams as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from words, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k)),
+freq as materialized (select lang, k, phrase, string_split(phrase, ' ') as w, count(*) as f from grams group by lang, k, phrase having count(*) >= 30),
+cuts as (select lang, k, phrase, w, f as a, unnest(range(1, k)) as cut from freq where k > 1),
+scored as (select c.lang, c.phrase, c.a, c.cut, x.f as l, y.f as r, (2000000::hugeint * c.a) // (x.f + y.f) as score
+           from cuts c join freq x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.cut], ' ') join freq y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inner_ as (select lang, array_to_string(w[i:i + n - 1], ' ') as phrase, max(f) as most
+           from (select lang, w, f, n, unnest(range(1, k - n + 2)) as i from (select *, unnest(range(2, k)) as n from freq where k > 2)) group by all),
+kept as (select b.* from best b left join inner_ i on i.lang = b.lang and i.phrase = b.phrase where i.most is null or 100 * i.most < 80 * b.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from ranked join totals using (lang) where rank <= 2000
+"""
+ORACLES: dict[str, str] = {"op1_warc_revisits": _OP1_SQL, "op5_decontamination": _OP5_SQL, "op7_url_filter": _OP7_SQL, "op10_near_duplicates": _OP10_SQL, "op11_centroid_clustering": _OP11_SQL, "op12_chat_format": _OP12_SQL, "op13_phrase_collocations": _OP13_SQL}
