@@ -303,7 +303,7 @@ def _count_rows(upto: int, maps):
         for found, names in _blocks(batches, upto, maps.value):
             held.append((found, names))
             n += sum(map(len, found.h)) + len(names)
-            if n >= TASK_PHRASES // 2:
+            if n >= TASK_PHRASES // 4:
                 yield counted(held)
                 held, n = [], 0
         if held:
