@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import ledger as L
 from tickloom.operators import reports as R
-from tickloom.plans.pipeline import run_pipeline, synthetic_candles
+from tickloom.plans import pipeline
+from tickloom.plans.pipeline import batch_store, run_pipeline, synthetic_candles
 from tickloom.sources import schemas
-from tickloom.sources.schemas import TICKERS
 from tickloom.sources import tables as S
+from tickloom.sources.schemas import TICKERS
+from tickloom.sources.store import Store
 from tickloom.streaming.candles import read_upserted, stream_candles, upsert_stream
 
 T0 = datetime(2023, 3, 20)
@@ -71,13 +73,77 @@ def test_pipeline_and_tables(spark, tmp_path):
     assert {r.symbol: (r.status, r.output_rows) for r in out["candles"].collect()} == {"a": ("success", 40), "b": ("success", 40)}
     dense = S.read_interpolated(spark, f"{root}/dense", 3)
     assert dense.count() == 408 and S.read_interpolated(spark, f"{root}/dense", 4).isEmpty()
-    assert "PartitionFilters: [isnotnull(batch_id" in dense._jdf.queryExecution().executedPlan().toString()
+    # one batch's files only, and of one symbol the files of one bucket
+    assert all("/dense/batch_id=3/" in f for f in dense.inputFiles())
+    store = batch_store(spark, root, "dense", 3)
+    of_a = store.read_group("a")
+    assert of_a.count() == 204 and {f.split("__bucket=")[1].split("/")[0] for f in of_a.inputFiles()} < {f.split("__bucket=")[1].split("/")[0] for f in store.read().inputFiles()} | {"-"}
     # a second batch of one symbol: its rows are the newer ones
     run_pipeline(spark, sparse(spark, ("a",)), root, 4)
-    newest = S.latest_rows(spark.read.parquet(f"{root}/dense"))
+    newest = S.latest_rows(S.read_interpolated(spark, f"{root}/dense"))
     assert {(r.symbol, r.batch_id) for r in newest.select("symbol", "batch_id").distinct().collect()} == {("a", 4), ("b", 3)}
 
 
+TABLES = ("dense", "minute", "candles")
+
+
+def all_rows(spark, root, batch):
+    return {t: sorted(map(str, batch_store(spark, root, t, batch).read().collect())) for t in TABLES}
+
+
+def test_a_run_that_was_stopped_goes_on(spark, tmp_path, monkeypatch):
+    rows = sparse(spark, ("a", "b", "c"))
+    run_pipeline(spark, rows, f"file://{tmp_path}/whole", 3)
+    want = all_rows(spark, f"file://{tmp_path}/whole", 3)
+
+    class Stopped(Exception):
+        pass
+
+    def stopping(f, when):
+        def run(*args, **kw):
+            if when == "before":
+                raise Stopped
+            f(*args, **kw)
+            raise Stopped
+
+        return run
+
+    # each run ends at another place: before or after a stage's rows, or a ledger's closing
+    root = f"file://{tmp_path}/root"
+    for name, when in [("append_interpolated", "after"), ("closing_rows", "after"), ("bridge", "before"), ("_put", "after"), ("candle_outcomes", "after")]:
+        with monkeypatch.context() as m:
+            m.setattr(pipeline, name, stopping(getattr(pipeline, name), when))
+            with pytest.raises(Stopped):
+                run_pipeline(spark, rows, root, 3)
+    for _ in range(2):
+        out = run_pipeline(spark, rows, root, 3)
+        assert all_rows(spark, root, 3) == want
+    assert {(r.symbol, r.status, r.output_rows) for r in out["interpolation"].collect()} == {("a", "success", 204), ("b", "success", 204), ("c", "success", 204), ("few", "skipped", 0)}
+    # a complete batch is not computed again
+    with monkeypatch.context() as m:
+        for name in ("densify", "bridge", "resample_candles"):
+            m.setattr(pipeline, name, stopping(getattr(pipeline, name), "before"))
+        assert set(run_pipeline(spark, rows, root, 3)) == {"interpolation", "bridge", "candles"}
+    # nothing that a stopped run wrote is left
+    for t in TABLES:
+        s = batch_store(spark, root, t, 3)
+        live = {c for v in s.versions() for commits in s._load(v)["buckets"].values() for c in commits}
+        assert {p.name for p in (tmp_path / "root" / t / "batch_id=3" / "data").iterdir()} <= live
+
+
+def test_symbols_that_failed_or_are_new_run_again(spark, tmp_path, monkeypatch):
+    root, gate = f"file://{tmp_path}/root", pipeline.quality_gate
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "quality_gate", lambda c: gate(c).withColumns({"valid": F.col("symbol") != "b", "reason": F.when(F.col("symbol") == "b", "bad day")}))
+        out = run_pipeline(spark, sparse(spark), root, 3)
+    assert {r.symbol: (r.status, r.reason) for r in out["bridge"].collect()} == {"a": ("success", None), "b": ("error", "bad day")}
+    assert {r.symbol for r in out["candles"].collect()} == {"a"}
+    out = run_pipeline(spark, sparse(spark, ("a", "b", "c")), root, 3)
+    assert {r.symbol: r.status for r in out["candles"].collect()} == {"a": "success", "b": "success", "c": "success"}
+    run_pipeline(spark, sparse(spark, ("a", "b", "c")), f"file://{tmp_path}/whole", 3)
+    assert all_rows(spark, root, 3) == all_rows(spark, f"file://{tmp_path}/whole", 3)
+
+
 def test_pipeline_stops_without_a_success(spark, tmp_path):
     out = run_pipeline(spark, sparse(spark, ()), f"file://{tmp_path}/none", 1)
     assert list(out) == ["interpolation"]
@@ -175,9 +241,90 @@ def test_stream_upsert_writes_touched_buckets_only(spark, tmp_path):
         upsert_stream(spark.readStream.schema("k int, a int, b string").parquet(f"{source}/*"), f"file://{root}", ["k"], ["a"], buckets=8).awaitTermination()
     got = {r.k: (r.a, r.b) for r in read_upserted(spark, f"file://{root}").collect()}
     assert got == {k: (4, "d") if k == 1 else (1, "a") for k in range(40)} | {90: (1, "e")}
-    written = [sorted(p.name for p in (root / f"v={v}").glob("__bucket=*")) for v in range(4)]
-    assert len(written[0]) >= 6 and len(written[2]) == 1 and len(written[3]) <= 2
-    assert not written[1]  # older than the version before the last one
+    store = Store(spark, f"file://{root}")
+    before, last = (store._load(v)["buckets"] for v in store.versions()[-2:])
+    assert len(last) == 8 and sum(before.get(b) != c for b, c in last.items()) <= 2
+    # nothing is left but the table of two commits
+    names = {c for m in (before, last) for commits in m.values() for c in commits}
+    assert {p.name for p in (root / "data").iterdir()} == names
+
+
+def store(spark, tmp_path, name="t", **kw):
+    return Store(spark, f"file://{tmp_path}/{name}", kv(spark, []).schema, ("k",), buckets=4, **kw)
+
+
+def content(table, version=None):
+    return sorted(map(tuple, table.read(version).collect()))
+
+
+def test_readers_see_whole_commits_only(spark, tmp_path, monkeypatch):
+    table = store(spark, tmp_path)
+    table.upsert(kv(spark, [(k, 0, "a") for k in range(20)]))
+    seen, put = [], Store._put
+
+    def watched(self, manifest):
+        seen.append(content(Store(spark, table.root)))  # all files of the commit stand there
+        return put(self, manifest)
+
+    monkeypatch.setattr(Store, "_put", watched)
+    reader = table.read()
+    table.upsert(kv(spark, [(k, 1, "b") for k in range(10, 30)]))
+    monkeypatch.undo()
+    assert seen == [[(k, 0, "a") for k in range(20)]]
+    assert content(table) == [(k, 0, "a") for k in range(10)] + [(k, 1, "b") for k in range(10, 30)]
+    assert sorted(map(tuple, reader.collect())) == seen[0]  # a read that began before
+
+
+def test_a_writer_that_stops_leaves_the_table_and_then_nothing(spark, tmp_path, monkeypatch):
+    table = store(spark, tmp_path)
+    table.upsert(kv(spark, [(1, 1, "a"), (2, 1, "a")]), writer=("w", 1))
+
+    def stop(self, manifest):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_put", stop)
+        with pytest.raises(RuntimeError):
+            table.upsert(kv(spark, [(1, 2, "b")]), writer=("w", 2))
+    assert content(table) == [(1, 1, "a"), (2, 1, "a")]
+    assert table.upsert(kv(spark, [(1, 2, "b")]), writer=("w", 2))
+    assert not table.upsert(kv(spark, [(1, 9, "z")]), writer=("w", 2))  # taken already
+    assert content(table) == [(1, 2, "b"), (2, 1, "a")]
+    live = {c for v in table.versions() for commits in table._load(v)["buckets"].values() for c in commits}
+    assert {p.name for p in (tmp_path / "t" / "data").iterdir()} == live
+
+
+def test_of_two_writers_one_begins_again(spark, tmp_path, monkeypatch):
+    table, put, other = store(spark, tmp_path), Store._put, []
+
+    def raced(self, manifest):
+        if not other:
+            other.append(1)
+            store(spark, tmp_path).upsert(kv(spark, [(1, 5, "first"), (2, 5, "first")]))
+        return put(self, manifest)
+
+    monkeypatch.setattr(Store, "_put", raced)
+    table.upsert(kv(spark, [(1, 6, "second")]))
+    assert content(table) == [(1, 6, "second"), (2, 5, "first")]
+
+
+def test_groups_are_replaced_as_a_whole(spark, tmp_path):
+    table = store(spark, tmp_path)
+    table.replace(kv(spark, [(k, i, "a") for k in range(8) for i in range(3)]))
+    table.replace(kv(spark, [(1, 9, "b")]), kv(spark, [(1, 0, ""), (2, 0, ""), (77, 0, "")]))
+    want = sorted([(k, i, "a") for k in (0, *range(3, 8)) for i in range(3)] + [(1, 9, "b")])
+    assert content(table) == want
+    table.replace(kv(spark, [(1, 9, "b")]))
+    assert content(table) == want
+    for i in range(40):  # parts of a bucket are joined now and then
+        table.replace(kv(spark, [(100 + i, i, "c")]))
+    assert content(table) == sorted(want + [(100 + i, i, "c") for i in range(40)])
+    assert max(len(c) for c in table._newest()["buckets"].values()) <= 17
+    assert [tuple(r) for r in table.read_group(105).collect()] == [(105, 5, "c")]
+    table.replace(kv(spark, []), kv(spark, [(k, 0, "") for k in range(200)]))
+    assert content(table) == []
+    with pytest.raises(ValueError):
+        Store(spark, f"file://{tmp_path}/none")
 
 
 def test_tickers_from_a_database(spark, tmp_path):

@@ -52,17 +52,19 @@ def stage_totals(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def opening_rows(symbols: DataFrame, batch_id: int, kinds: dict[str, str]) -> DataFrame:
+    """A pending row, with the columns of kinds, for every symbol."""
+    values = {"symbol": F.col("symbol"), "status": F.lit("pending"), "batch_id": F.lit(batch_id)}
+    return symbols.select("symbol").distinct().select(*[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
+
+
 def open_batch(ledger: DataFrame, symbols: DataFrame, batch_id: int) -> DataFrame:
     """The ledger with every symbol pending in the new batch, times, rows and error cleared."""
-    kinds = dict(ledger.dtypes)
-    values = {"symbol": F.col("symbol"), "status": F.lit("pending"), "batch_id": F.lit(batch_id)}
-    fresh = symbols.select("symbol").distinct().select(*[values.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in ledger.columns])
-    return upsert(ledger, fresh, ["symbol"])
+    return upsert(ledger, opening_rows(symbols, batch_id, dict(ledger.dtypes)), ["symbol"])
 
 
-def close_batch(ledger: DataFrame, outcomes: DataFrame, batch_id: int, started: Column | None = None, completed: Column | None = None) -> DataFrame:
-    """The ledger with the outcomes (one row a symbol) of a batch: success is completed, error and skipped stay."""
-    kinds = dict(ledger.dtypes)
+def closing_rows(outcomes: DataFrame, batch_id: int, kinds: dict[str, str], started: Column | None = None, completed: Column | None = None) -> DataFrame:
+    """The outcomes (one row a symbol) as ledger rows: success is completed, error and skipped stay."""
     known = outcomes.columns
     values = {
         "symbol": F.col("symbol"),
@@ -73,7 +75,19 @@ def close_batch(ledger: DataFrame, outcomes: DataFrame, batch_id: int, started:
         "completed_at": completed if completed is not None else F.lit(None),
     }
     one = dedupe_last(outcomes, ["symbol"], ["status"])
-    return upsert(ledger, one.select(*[values.get(c, F.col(c) if c in known else F.lit(None)).cast(kinds[c]).alias(c) for c in ledger.columns]), ["symbol"])
+    return one.select(*[values.get(c, F.col(c) if c in known else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
+
+
+def close_batch(ledger: DataFrame, outcomes: DataFrame, batch_id: int, started: Column | None = None, completed: Column | None = None) -> DataFrame:
+    """The ledger with the outcomes of a batch."""
+    return upsert(ledger, closing_rows(outcomes, batch_id, dict(ledger.dtypes), started, completed), ["symbol"])
+
+
+def batch_outcomes(ledger: DataFrame, batch_id: int) -> DataFrame:
+    """The closed rows of a batch as outcomes: the way back from closing_rows()."""
+    done = ledger.where((F.col("batch_id") == batch_id) & (F.col("status") != "pending"))
+    status = F.when(F.col("status") == "completed", "success").otherwise(F.col("status"))
+    return done.select("symbol", status.alias("status"), F.col("error_message").alias("reason"), "input_rows", "output_rows")
 
 
 def latest_batch(ledger: DataFrame) -> DataFrame:

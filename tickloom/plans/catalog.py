@@ -16,10 +16,11 @@ from tickloom.operators import ledger as L
 from tickloom.operators import reports as R
 from tickloom.operators.densify import densify, ffill, split_points, symbol_gates
 from tickloom.plans import oracles
-from tickloom.plans.pipeline import run_pipeline, synthetic_candles
+from tickloom.plans.pipeline import batch_store, ledger_store, run_interpolation, run_pipeline, run_stage, synthetic_candles
 from tickloom.plans.views import tickers
 from tickloom.sources import schemas
 from tickloom.sources import tables as S
+from tickloom.sources.store import Store
 from tickloom.streaming.candles import read_upserted, stream_candles, upsert_stream, with_closing_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,19 +263,28 @@ def _sides(spark, d):
     return one("event_id % 2 = 0"), one("event_id % 2 = 1")
 
 
+def _upserted(spark, d, **how):
+    """The existing table in a Store, the others merged in."""
+    old, new = _sides(spark, d)
+    store = Store(spark, f"{shared_dir(spark)}/table-{uuid.uuid4().hex}", old.schema, ("symbol", "date"))
+    store.replace(old)
+    store.upsert(new, **how)
+    return store.read()
+
+
 @query
 def upsert_update(spark, d):
-    return S.upsert(*_sides(spark, d), ["symbol", "date"])
+    return _upserted(spark, d)
 
 
 @query
 def upsert_ignore(spark, d):
-    return S.upsert(*_sides(spark, d), ["symbol", "date"], "ignore")
+    return _upserted(spark, d, policy="ignore")
 
 
 @query
 def upsert_partial_columns(spark, d):
-    return S.upsert(*_sides(spark, d), ["symbol", "date"], update_cols=["iv"])
+    return _upserted(spark, d, update_cols=["iv"])
 
 
 @query
@@ -511,7 +521,7 @@ def _run(spark, d) -> str:
 
 @query
 def run_pipeline_end(spark, d):
-    return S.read_candles(spark, f"{_run(spark, d)}/candles/batch={BATCH}")
+    return batch_store(spark, _run(spark, d), "candles", BATCH).read().select(*S.CANDLE_COLUMNS)
 
 
 @query
@@ -521,6 +531,21 @@ def run_pipeline_outcomes(spark, d):
     return S.union_all([df.withColumn("stage", F.lit(name)) for name, df in out.items()])
 
 
+@query
+def run_pipeline_resumed(spark, d):
+    """The candles of a batch whose first run ended after half of the symbols were interpolated, whose second run ended
+    before its ledger knew of the rows that were written, and that then ran twice."""
+    root, rows = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}", tickers(spark, d)
+    names = rows.select("symbol").distinct()
+    half = names.where("symbol < 'login'")
+    ledger = ledger_store(spark, root, "interpolation")
+    run_stage(ledger, BATCH, half, lambda s: run_interpolation(rows.join(half, "symbol", "left_semi"), root, BATCH, s))
+    run_interpolation(rows, root, BATCH, names)
+    for _ in range(2):
+        run_pipeline(spark, rows, root, BATCH)
+    return batch_store(spark, root, "candles", BATCH).read().select(*S.CANDLE_COLUMNS)
+
+
 @query
 def init_tables(spark, d):
     """Tables made in an empty folder, with the number of symbols that each of them waits for."""

@@ -283,3 +283,4 @@ ORACLES: dict[str, str] = {
     "stream_upsert": _with(MANY) + "select symbol, date, round(iv, 6) as iv, strike as event_id from many qualify row_number() over (partition by symbol, date order by strike desc) = 1",
     "init_tables": "select t as \"table\", true as created, count(distinct event_type) as waiting from events, (values ('tickers'), ('dense'), ('minute'), ('candles'), ('ledger')) v(t) group by t",
 }
+ORACLES["run_pipeline_resumed"] = ORACLES["run_pipeline_end"]

@@ -1,7 +1,11 @@
-"""The whole run: tickers to dense rows to one-minute candles to N-minute candles, one write a stage."""
+"""The whole run: tickers to dense rows to one-minute candles to N-minute candles, one commit a stage, with a ledger from
+which a run that was stopped goes on."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,10 +14,14 @@ from tickloom.functions import noise
 from tickloom.operators.bridge import bridge, quality_gate
 from tickloom.operators.candles import frequency_minutes, resample_candles
 from tickloom.operators.densify import densify
-from tickloom.operators.ledger import bridge_outcomes, candle_outcomes, densify_outcomes
+from tickloom.operators.ledger import batch_outcomes, bridge_outcomes, candle_outcomes, closing_rows, densify_outcomes, opening_rows, resume_symbols
 from tickloom.sources.schemas import SPECS
+from tickloom.sources.store import Store
 from tickloom.sources.tables import append_interpolated, conform, enforce, read_interpolated, read_tickers
 
+#: Buckets of a stage's ledger, which has a row a symbol.
+LEDGER_BUCKETS = 16
+
 
 def synthetic_candles(spark: SparkSession, symbols: list[str] | DataFrame, start: str = "2023-03-20 09:00:00", hours: int = 24, seed: int = 42, base: float = 25_000.0) -> DataFrame:
     """One-minute random-walk candles of each symbol: open is the close before, closes add up hashed normal steps."""
@@ -34,41 +42,90 @@ def synthetic_candles(spark: SparkSession, symbols: list[str] | DataFrame, start
     )
 
 
-def run_interpolation(tickers: DataFrame, root: str, batch_id: int, **options) -> DataFrame:
-    """Appends the dense rows of a batch; outcomes by symbol."""
-    append_interpolated(densify(tickers, **options), f"{root}/dense", batch_id)
+def batch_store(spark: SparkSession, root: str, table: str, batch_id: int) -> Store:
+    """A stage's table of one batch, in buckets by symbol."""
+    spec = SPECS[table]
+    return Store(spark, f"{root}/{table}/batch_id={batch_id}", spec.schema, ("symbol",), spec.key[:2], int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ledger_store(spark: SparkSession, root: str, stage: str) -> Store:
+    """A stage's ledger: the last batch of every symbol."""
+    return Store(spark, f"{root}/ledger/{stage}", SPECS["ledger"].schema, ("symbol",), buckets=LEDGER_BUCKETS)
+
+
+def _of(rows: DataFrame, symbols: DataFrame | None) -> DataFrame:
+    return rows if symbols is None else rows.join(symbols, "symbol", "left_semi")
+
+
+def run_interpolation(tickers: DataFrame, root: str, batch_id: int, symbols: DataFrame | None = None, **options) -> DataFrame:
+    """The dense rows of a batch, or of some of its symbols, into the batch's table; outcomes by symbol."""
+    tickers = _of(tickers, symbols)
+    append_interpolated(densify(tickers, **options), f"{root}/dense", batch_id, tickers.select("symbol") if symbols is None else symbols)
     gates = {k: v for k, v in options.items() if k in ("min_points", "max_span_days", "max_points")}
-    return densify_outcomes(tickers, read_interpolated(tickers.sparkSession, f"{root}/dense", batch_id), **gates)
+    return densify_outcomes(tickers, _of(read_interpolated(tickers.sparkSession, f"{root}/dense", batch_id), symbols), **gates)
+
 
+def _put(rows: DataFrame, root: str, table: str, batch_id: int, symbols: DataFrame) -> DataFrame:
+    """The stage's table with rows in the place of all rows of symbols. Rows come from buckets by symbol and are written
+    as they come."""
+    store = batch_store(rows.sparkSession, root, table, batch_id)
+    store.replace(enforce(rows, SPECS[table])[0], symbols, dealt=True, writer=("stage", (store.taken("stage") or 0) + 1))
+    return store.read()
 
-def run_bridge(spark: SparkSession, root: str, batch_id: int, strategy: str = "basic", seed: int = 42) -> DataFrame:
+
+def run_bridge(spark: SparkSession, root: str, batch_id: int, strategy: str = "basic", seed: int = 42, symbols: DataFrame | None = None) -> DataFrame:
     """Candles of the batch, without symbols that fail the gate; outcomes by symbol."""
-    dense = read_interpolated(spark, f"{root}/dense", batch_id)
+    dense = _of(read_interpolated(spark, f"{root}/dense", batch_id), symbols)
     with scratch(spark) as save:
         candles = save(bridge(dense, strategy, seed, "timestamp"), "candles")
         gate = saved(quality_gate(candles), "gate")
-        good = candles.join(gate.where("valid"), "symbol", "left_semi")
-        enforce(conform(good, SPECS["minute"].schema, SPECS["minute"].defaults), SPECS["minute"])[0].write.mode("overwrite").parquet(f"{root}/minute/batch={batch_id}")
-    return bridge_outcomes(dense, spark.read.parquet(f"{root}/minute/batch={batch_id}"), gate)
+        good = candles.join(gate.where("not valid"), "symbol", "left_anti")
+        minute = _put(conform(good, SPECS["minute"].schema, SPECS["minute"].defaults), root, "minute", batch_id, dense.select("symbol") if symbols is None else symbols)
+    return bridge_outcomes(dense, _of(minute, symbols), gate)
 
 
-def run_candles(spark: SparkSession, root: str, batch_id: int, freq: str = "5min") -> DataFrame:
-    minute = spark.read.parquet(f"{root}/minute/batch={batch_id}")
+def run_candles(spark: SparkSession, root: str, batch_id: int, freq: str = "5min", symbols: DataFrame | None = None) -> DataFrame:
+    minute = _of(batch_store(spark, root, "minute", batch_id).read(), symbols)
     out = conform(resample_candles(minute, freq).withColumn("batch_id", F.lit(batch_id)), SPECS["candles"].schema)
-    enforce(out, SPECS["candles"])[0].write.mode("overwrite").parquet(f"{root}/candles/batch={batch_id}")
-    return candle_outcomes(minute, spark.read.parquet(f"{root}/candles/batch={batch_id}"), frequency_minutes(freq))
+    candles = _put(out, root, "candles", batch_id, minute.select("symbol") if symbols is None else symbols)
+    return candle_outcomes(minute, _of(candles, symbols), frequency_minutes(freq))
+
+
+def run_stage(ledger: Store, batch_id: int, symbols: DataFrame, work: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+    """Opens the batch for those of symbols that it does not have yet, lets work(symbols) process what is pending or
+    failed (None: all of them), closes these with its outcomes, and gives the outcomes of the whole batch. A batch that is
+    complete costs a look at the ledger. work replaces what it has written before, so that a run that ended between its
+    commit and the ledger's is repeated without a trace."""
+    began, kinds = _now(), {f.name: f.dataType.simpleString() for f in ledger.schema}
+    known = ledger.read().where(F.col("batch_id") == batch_id)
+    first = known.isEmpty()
+    ledger.upsert(opening_rows(symbols if first else symbols.join(known, "symbol", "left_anti"), batch_id, kinds))
+    todo = saved(resume_symbols(ledger.read(), batch_id), "resume")
+    if not todo.isEmpty():
+        outcomes = saved(work(None if first else todo), "outcomes")
+        ended = _now()
+        ledger.upsert(closing_rows(outcomes.withColumn("processing_time_seconds", F.lit((ended - began).total_seconds())), batch_id, kinds, F.lit(began), F.lit(ended)))
+    return batch_outcomes(ledger.read(), batch_id)
+
+
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
 
 
 def run_pipeline(spark: SparkSession, tickers: DataFrame | str, root: str, batch_id: int, strategy: str = "basic", freq: str = "5min", seed: int = 42, **options) -> dict[str, DataFrame]:
-    """Outcomes of each stage that ran; stops after the first stage without a success."""
+    """Outcomes of each stage that ran; stops after the first stage without a success. Each stage keeps a ledger below
+    root: a run of a batch that was stopped, or that left errors, goes on with the symbols that are not done, and ends
+    with the tables of a run that was never stopped."""
     tickers = read_tickers(spark, tickers) if isinstance(tickers, str) else tickers
-    out = {}
-    for name, stage in (
-        ("interpolation", lambda: run_interpolation(tickers, root, batch_id, **options)),
-        ("bridge", lambda: run_bridge(spark, root, batch_id, strategy, seed)),
-        ("candles", lambda: run_candles(spark, root, batch_id, freq)),
-    ):
-        out[name] = stage()
-        if out[name].where("status = 'success'").isEmpty():
+    stages = {
+        "interpolation": lambda s: run_interpolation(tickers, root, batch_id, s, **options),
+        "bridge": lambda s: run_bridge(spark, root, batch_id, strategy, seed, s),
+        "candles": lambda s: run_candles(spark, root, batch_id, freq, s),
+    }
+    out, symbols = {}, tickers.where("symbol is not null")
+    for name, stage in stages.items():
+        out[name] = run_stage(ledger_store(spark, root, name), batch_id, symbols, stage)
+        symbols = out[name].where("status = 'success'").select("symbol")
+        if symbols.isEmpty():
             break
     return out

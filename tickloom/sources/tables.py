@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from tickloom.cluster import has_files
 from tickloom.sources.schemas import SPECS, TICKERS, Spec
 
+CANDLE_COLUMNS = ("symbol", "timestamp", "open", "high", "low", "close", "volume")
+
 
 def read_tickers(spark: SparkSession, path: str) -> DataFrame:
     """The 13 columns of the source, whatever else the files hold."""
@@ -22,14 +24,25 @@ def read_tickers_jdbc(spark: SparkSession, url: str, table: str, column: str, lo
     return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper, numPartitions=partitions, properties={"fetchsize": "10000", **options}).select(*TICKERS.names)
 
 
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """The batches below path, each of which is a Store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+
 def read_interpolated(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
-    """Dense rows with their date as timestamp; of one batch if given (a partition of the folder)."""
-    df = spark.read.schema(SPECS["dense"].schema).parquet(path)
-    return (df if batch_id is None else df.where(F.col("batch_id") == batch_id)).withColumnRenamed("date", "timestamp")
+    """Dense rows with their date as timestamp; of one batch if given, which reads that batch's files only."""
+    from tickloom.sources.store import Store
+
+    found = [n for n in batches(spark, path) if batch_id in (None, n)]
+    rows = [Store(spark, f"{path}/batch_id={n}").read() for n in found] or [spark.createDataFrame([], SPECS["dense"].schema)]
+    return union_all(rows).withColumnRenamed("date", "timestamp")
 
 
 def read_candles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("symbol", "timestamp", "open", "high", "low", "close", "volume")
+    return spark.read.parquet(path).select(*CANDLE_COLUMNS)
 
 
 def latest_rows(df: DataFrame, batch: str = "batch_id") -> DataFrame:
@@ -58,10 +71,16 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, object | Co
     return df.select(*out)
 
 
-def append_interpolated(df: DataFrame, path: str, batch_id: int) -> None:
-    spec = SPECS["dense"]
+def append_interpolated(df: DataFrame, path: str, batch_id: int, symbols: DataFrame | None = None) -> None:
+    """Adds dense rows to a batch, in files clustered by symbol and date. Symbols (those of df, if not given) that the
+    batch has already are replaced, so that the same rows may be added again. Rows that are shuffled by symbol, as
+    densify's are, are written as they are dealt."""
+    from tickloom.sources.store import Store
+
+    spec, spark = SPECS["dense"], df.sparkSession
     rows = conform(df.withColumn("batch_id", F.lit(batch_id)), spec.schema, spec.defaults)
-    enforce(rows, spec)[0].write.mode("append").partitionBy("batch_id").parquet(path)
+    store = Store(spark, f"{path}/batch_id={batch_id}", spec.schema, ("symbol",), ("symbol", "date"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store.replace(enforce(rows, spec)[0], symbols, dealt=True, writer=("append", (store.taken("append") or 0) + 1))
 
 
 def _reason(spec: Spec) -> Column:
@@ -78,11 +97,17 @@ def _reason(spec: Spec) -> Column:
 
 def enforce(df: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
     """(rows that the table takes, rows that it rejects with the reason). Rows with values that do not fit their
-    decimal count as null there; of rows that share the key all but one (any) are rejected as duplicates."""
+    decimal count as null there; of rows that share the key all but one (the first that breaks no rule, by the other
+    columns) are rejected as duplicates. Keys are counted with map-side combine; only rows of a key that stands several
+    times are ranked."""
     rows = conform(df, spec.schema, spec.defaults).withColumn("reason", _reason(spec))
     if spec.key:
+        again = rows.groupBy(*[F.col(c).alias(f"__{c}") for c in spec.key]).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+        same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in spec.key])
         w = Window.partitionBy(*spec.key).orderBy(F.col("reason").isNotNull(), *[c for c in spec.schema.names if c not in spec.key])
-        rows = rows.withColumn("__n", F.row_number().over(w)).withColumn("reason", F.coalesce("reason", F.when(F.col("__n") > 1, "duplicate key"))).drop("__n")
+        several = rows.join(again, same, "left_semi").withColumn("__n", F.row_number().over(w))
+        several = several.withColumn("reason", F.coalesce("reason", F.when(F.col("__n") > 1, "duplicate key"))).drop("__n")
+        rows = rows.join(again, same, "left_anti").unionByName(several)
     return rows.where("reason is null").drop("reason"), rows.where("reason is not null")
 
 

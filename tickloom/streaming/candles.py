@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.cluster import delete, saved
 from tickloom.operators.candles import candle_aggregates, frequency_minutes
-from tickloom.sources.tables import dedupe_last, upsert
+from tickloom.sources.store import Store
 
 
 def stream_candles(stream: DataFrame, freq: str = "5min", watermark: str = "10 minutes") -> DataFrame:
@@ -25,43 +24,21 @@ def with_closing_row(minute: DataFrame, after: str = "1 day") -> DataFrame:
     return minute.unionByName(end, allowMissingColumns=True)
 
 
-def _versions(spark: SparkSession, root: str) -> dict[int, list[int]]:
-    """Versions of each bucket, the oldest first."""
-    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/__bucket=*")
-    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
-    out: dict[int, list[int]] = {}
-    for status in found or ():
-        path = status.getPath()
-        out.setdefault(int(path.getName().partition("=")[2]), []).append(int(path.getParent().getName().partition("=")[2]))
-    return {b: sorted(v) for b, v in out.items()}
-
-
-def _latest(spark: SparkSession, root: str, newest: dict[int, int]) -> DataFrame:
-    return spark.read.option("basePath", root).parquet(*[f"{root}/v={v}/__bucket={b}" for b, v in sorted(newest.items())]).drop("v", "__bucket")
-
-
-def upsert_stream(stream: DataFrame, root: str, keys: list[str], order: list[str], policy: str = "update", checkpoint: str | None = None, buckets: int = 64):
-    """A query that merges every micro-batch into the table below root. Keys fall into buckets by hash; micro-batch n
-    writes the buckets that it touches to root/v=n, from the version of each before it, and removes what is older than
-    that. A micro-batch that runs again finds the same versions before it and writes the same again."""
+def upsert_stream(stream: DataFrame, root: str, keys: list[str], order: list[str], policy: str = "update", checkpoint: str | None = None, buckets: int = 64, per_trigger: str | None = None):
+    """A query that merges every micro-batch into the Store below root, one commit a micro-batch. The commit names the
+    stream's checkpoint and the micro-batch, so that one that runs again is taken once; readers see whole micro-batches
+    only. Of rows with equal keys in a micro-batch the last by order counts; between micro-batches the later one.
+    per_trigger: a micro-batch each such interval; without it, all that is there and then an end."""
+    where = checkpoint or f"{root}/_stream"
+    store = Store(stream.sparkSession, root, stream.schema, tuple(keys), buckets=buckets)
 
     def merge(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        new = saved(dedupe_last(batch, keys, order), "batch")
-        touched = {r[0] for r in new.select(bucket).distinct().collect()}  # at most buckets
-        base = {b: [v for v in versions if v < n] for b, versions in _versions(spark, root).items() if b in touched}
-        base = {b: v for b, v in base.items() if v}
-        out = upsert(_latest(spark, root, {b: v[-1] for b, v in base.items()}), new, keys, policy) if base else new
-        out.withColumn("__bucket", bucket).repartition("__bucket").write.partitionBy("__bucket").mode("overwrite").parquet(f"{root}/v={n}")
-        for b, versions in base.items():
-            for v in versions[:-1]:
-                delete(spark, f"{root}/v={v}/__bucket={b}")
+        store.upsert(batch, policy, order=order, writer=(where, n))
 
-    writer = stream.writeStream.foreachBatch(merge).outputMode("update")
-    return writer.option("checkpointLocation", checkpoint or f"{root}/_stream").trigger(availableNow=True).start()
+    writer = stream.writeStream.foreachBatch(merge).outputMode("update").option("checkpointLocation", where)
+    return (writer.trigger(processingTime=per_trigger) if per_trigger else writer.trigger(availableNow=True)).start()
 
 
 def read_upserted(spark: SparkSession, root: str) -> DataFrame:
-    """The table below root: the newest version of each bucket."""
-    return _latest(spark, root, {b: v[-1] for b, v in _versions(spark, root).items()})
+    """The table below root, as the last micro-batch left it."""
+    return Store(spark, root).read()
