@@ -58,15 +58,17 @@ def test_the_rest_works_without_the_training_data_operators(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
 
 
-def test_stream_source_is_not_written_by_one_task(spark, monkeypatch):
+def test_stream_of_candles_has_many_micro_batches(spark, monkeypatch):
     from tickloom.plans import catalog
 
-    plans, stream = [], catalog._stream
+    ended, run = [], catalog.run_to_end
 
-    def watched(spark, df, name):
-        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
-        return stream(spark, df, name)
+    def watched(*args):
+        ended.append(run(*args))
 
-    monkeypatch.setattr(catalog, "_stream", watched)
-    assert not catalog.QUERIES["stream_candles_5min"](spark, SF).isEmpty()
-    assert plans and "RepartitionByExpression" not in plans[0]
+    monkeypatch.setattr(catalog, "run_to_end", watched)
+    found = catalog.QUERIES["stream_candles_5min"](spark, SF)
+    assert not found.isEmpty()
+    done = [p for p in ended[0].recentProgress if p.numInputRows]
+    assert len(done) >= 10 and not any(s.numRowsDroppedByWatermark for p in done for s in p.stateOperators)
+    assert any("rocksdb" in k.lower() for p in done for s in p.stateOperators for k in s.customMetrics)

@@ -81,3 +81,23 @@ def test_one_shuffle_by_symbol_and_none_of_dense_rows(spark):
 def test_row_count_is_the_span(spark, n):
     df = densify(rows(spark, [(60 * n * i, float(i)) for i in range(20)]))
     assert df.count() == 19 * n + 1
+
+
+def test_forward_fill_cuts_a_hot_symbol(spark):
+    import random
+
+    rng = random.Random(4)
+    made = [("hot" if i % 10 else rng.choice(["a", "b", None]), T0 + timedelta(seconds=i), rng.choice([None, None, None, float(i)]), None if i < 900 else "x" if i == 900 else None) for i in range(3000)]
+    df = spark.createDataFrame(rng.sample(made, len(made)), "symbol string, date timestamp_ntz, mark_price double, note string").repartition(3)
+    filled = ffill(df, ["mark_price", "note"], ["date"], pieces=12)
+    held, want = {}, set()
+    for symbol, date, mark, note in made:
+        old = held.get(symbol, (None, None))
+        held[symbol] = (mark if mark is not None else old[0], note if note is not None else old[1])
+        want.add((symbol, date, *held[symbol]))
+    got = filled.collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(made)
+    # the rows were dealt out by ranges, those of the hot symbol to many tasks
+    sizes = [len(p) for p in df.repartitionByRange(12, "symbol", "date").rdd.glom().collect()]
+    assert max(sizes) < 0.2 * len(made)
+    assert ffill(df.where("false"), ["mark_price"], ["date"]).collect() == []

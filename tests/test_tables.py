@@ -208,6 +208,13 @@ def test_synthetic_walk(spark):
     assert all(a.close == b.open for a, b in zip(rows, rows[1:]))
 
 
+def test_walk_in_blocks_is_the_walk_in_one(spark):
+    names = spark.createDataFrame([("x",), ("y",), ("x",)], "symbol string")
+    walk = lambda block: sorted(map(str, synthetic_candles(spark, names, hours=5, block=block).collect()))
+    whole = walk(10_000)
+    assert len(whole) == 600 and walk(7) == whole and walk(300) == whole
+
+
 def test_stream_of_candles_drops_late_rows(spark, tmp_path):
     schema = "symbol string, timestamp timestamp, open double, high double, low double, close double, volume double"
     row = lambda m: ("s", T0 + timedelta(minutes=m), 1.0 + m, 2.0 + m, 0.5 + m, 1.0 + m, 1.0)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.cluster import saved
+
 NUMERIC = ("iv", "underlying_price", "time_to_maturity")
 FILL = ("strike", "callput", "interest_rate", "mark_price", "index_price", "volume", "quote_volume", "record_time")
 REQUIRED = ("symbol", "iv", "underlying_price", "time_to_maturity")
@@ -32,10 +34,21 @@ def symbol_gates(df: DataFrame, min_points: int = 10, max_span_days: int = 30, m
     return stats.withColumn("gate", gate)
 
 
-def ffill(df: DataFrame, cols: list[str], order: list[str], partition: str = "symbol") -> DataFrame:
-    """cols with nulls replaced by the last value before them."""
-    w = Window.partitionBy(partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+def ffill(df: DataFrame, cols: list[str], order: list[str], partition: str = "symbol", pieces: int | None = None) -> DataFrame:
+    """cols with nulls replaced by the last value before them. Rows are dealt out by ranges of (partition, order), so that
+    pieces (shuffle partitions, if not given) are of about equal size however many rows a symbol has, and each is filled
+    by itself; what a piece does not know comes from the last values of the symbol's pieces before it. Rows of equal
+    order stand in one piece, in any order. The first piece's leading nulls stay."""
+    n = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    with_piece = df.repartitionByRange(n, partition, *order).withColumn("__piece", F.spark_partition_id())
+    rows = saved(with_piece, "pieces")  # the pieces stay as they are
+    at = F.struct(*order)
+    last = rows.groupBy(F.col(partition).alias("__of"), F.col("__piece").alias("__p")).agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v")))).alias(f"__{c}") for c in cols])
+    before = Window.partitionBy("__of").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # a row a piece
+    carried = last.select("__of", "__p", *[F.last(f"__{c}", ignorenulls=True).over(before)["v"].alias(f"__{c}") for c in cols])
+    own = Window.partitionBy(partition, "__piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.join(carried, F.col(partition).eqNullSafe(F.col("__of")) & (F.col("__piece") == F.col("__p")), "left")
+    return rows.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(own), f"__{c}") for c in cols}).select(*df.columns)
 
 
 def densify(df: DataFrame, numeric=NUMERIC, fill=FILL, min_points: int = 10, max_span_days: int = 30, max_points: int = 100_000, align: str = "exact") -> DataFrame:

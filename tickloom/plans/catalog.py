@@ -21,7 +21,7 @@ from tickloom.plans.views import tickers
 from tickloom.sources import schemas
 from tickloom.sources import tables as S
 from tickloom.sources.store import Store
-from tickloom.streaming.candles import read_upserted, stream_candles, upsert_stream, with_closing_row
+from tickloom.streaming.candles import read_upserted, run_to_end, stream_candles, upsert_stream, with_closing_row, write_in_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,9 +223,29 @@ def _broken(spark, d):
     )
 
 
+def _partly_mended(spark, d):
+    """The broken candles, those of 'view' mended: a symbol without faults beside some that have them."""
+    rows, view = _broken(spark, d), F.col("symbol") == "view"
+    mended = {"open": F.coalesce("open", "close"), "high": F.greatest("open", "high", "low", "close"), "low": F.least("open", "high", "low", "close"), "volume": F.abs("volume")}
+    return rows.withColumns({c: F.when(view, new).otherwise(F.col(c)) for c, new in mended.items()})
+
+
 @query
 def quality_gate(spark, d):
-    return B.quality_gate(_broken(spark, d).where("symbol <> 'view' or (high >= low and high >= open and high >= close and low <= open and low <= close)"))
+    return B.quality_gate(_partly_mended(spark, d))
+
+
+@query
+def required_columns(spark, d):
+    """What candles say of which required column they lack, and how many rows they have."""
+    rows, said = _broken(spark, d), []
+    for c in ("symbol", "timestamp", "open", "high", "low", "close", "volume"):
+        try:
+            C.resample_candles(rows.drop(c))
+        except ValueError as e:
+            said.append((c, str(e)))
+    lacking = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(m).alias("message")) for c, m in said]))
+    return rows.agg(F.count("*").alias("n_rows")).select(lacking.alias("x"), "n_rows").select("x.column", "x.message", "n_rows")
 
 
 @query
@@ -236,7 +256,7 @@ def cleanup_candles(spark, d):
 
 @query
 def validate_candles(spark, d):
-    return C.validate_candles(_broken(spark, d).where("symbol <> 'view' or (high >= low and low <= open and low <= close and high >= close and volume >= 0)"))
+    return C.validate_candles(_partly_mended(spark, d))
 
 
 @query
@@ -505,7 +525,7 @@ def greeks(spark, d):
 
 @query
 def greeks_legacy_rho(spark, d):
-    return _rounded(with_greeks(tickers(spark, d).where("callput = 'p'"), legacy_put_rho=True).select("symbol", "date", "rho"), 8)
+    return _rounded(with_greeks(tickers(spark, d), legacy_put_rho=True).select("symbol", "date", "rho"), 8)
 
 
 @query
@@ -577,12 +597,13 @@ def _folder(df: DataFrame, name: str) -> str:
 
 @query
 def stream_candles_5min(spark, d):
+    """In micro-batches of about one slice of three days each; the watermark is as long as a slice, and a closing row
+    takes it past the last window."""
     minute = _minute(spark, d).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    # all files are one micro-batch, before which there is no watermark: no row is late, in whatever order files come;
-    # a closing row takes the watermark past the last window
-    found = stream_candles(_stream(spark, with_closing_row(minute), "minute"), "5min")
-    found.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    out, slice_ = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", "3 days"
+    slices, files = write_in_order(with_closing_row(minute, "7 days"), f"{out}/in", slice_)
+    source = spark.readStream.schema(minute.schema).option("maxFilesPerTrigger", max(1, files // max(1, slices))).parquet(f"{out}/in")
+    run_to_end(stream_candles(source, "5min", slice_), f"{out}/data", f"{out}/state")
     return _rounded(spark.read.parquet(f"{out}/data"), 4).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 

@@ -99,6 +99,8 @@ HALF = """half as (select * from (select event_type as symbol, date_trunc('minut
 BROKEN = """broken as (select symbol, date as timestamp, case when event_id % 97 <> 0 then underlying_price end as open, case when event_id % 89 = 0 then underlying_price - 2 else underlying_price + 1 end as high,
   case when event_id % 83 = 0 then underlying_price + 0.5::double else underlying_price - 1 end as low, underlying_price + 0.25::double as close,
   case when event_id % 79 = 0 then -1::double else coalesce(volume, 0) end as volume, underlying_price as source_price from tickers)"""
+MENDED = """mended as (select symbol, timestamp, case when symbol = 'view' then coalesce(open, close) else open end as open, case when symbol = 'view' then greatest(open, high, low, close) else high end as high,
+  case when symbol = 'view' then least(open, high, low, close) else low end as low, close, case when symbol = 'view' then abs(volume) else volume end as volume, source_price from broken)"""
 WRONG = "coalesce(high < low or high < open or high < close or low > open or low > close, false)"
 SIDES = """rows_ as (select event_type as symbol, date_trunc('minute', ts)::timestamp as date, value / 100 as iv, value + 100 as underlying_price, event_id from events),
 old as (select * from rows_ where event_id % 2 = 0 qualify row_number() over (partition by symbol, date order by event_id desc) = 1),
@@ -207,14 +209,16 @@ ORACLES: dict[str, str] = {
     "bridge_trend": _with(T, D, _POINTS, _trend()) + f"""select symbol, timestamp, {_r("o", 4)} as open, {_r("greatest(o, cl) + abs(trend) * case when trend > 0 then 0.5::double else 0.2::double end", 4)} as high,
   {_r("least(o, cl) - abs(trend) * case when trend > 0 then 0.2::double else 0.5::double end", 4)} as low, cl as close, volume, b as source_price from (select *, b + trend * 0.6::double + e as o from p{TREND_PASSES})""",
     "volume_repair": _with(T) + f"select symbol, timestamp, {_VOLUME} as volume from (select symbol, date as timestamp, volume as v from tickers)",
-    "quality_gate": _with(T, BROKEN) + """select symbol, reason is null as valid, reason from (select symbol, case when bool_or(high < low) then 'high below low' when bool_or(high < open or high < close) then 'high below open or close'
+    "quality_gate": _with(T, BROKEN, MENDED) + """select symbol, reason is null as valid, reason from (select symbol, case when bool_or(high < low) then 'high below low' when bool_or(high < open or high < close) then 'high below open or close'
   when bool_or(low > open or low > close) then 'low above open or close' when bool_or((high - low) / source_price > 0.1) then 'spread too wide' when bool_or(least(open, high, low, close) <= 0) then 'price not above zero' end as reason
-  from broken where symbol <> 'view' or (high >= low and high >= open and high >= close and low <= open and low <= close) group by symbol)""",
+  from mended group by symbol)""",
+    "required_columns": _with(T) + """select c as "column", 'missing columns: ' || c as message, (select count(*) from tickers) as n_rows
+  from (values ('symbol'), ('timestamp'), ('open'), ('high'), ('low'), ('close'), ('volume')) v(c)""",
     "cleanup_candles": _with(T, BROKEN) + "select symbol, timestamp, round(open, 6) as open, round(close, 6) as close, round(volume, 6) as volume from broken where open is not null and symbol <> 'view'",
-    "validate_candles": _with(T, BROKEN) + f"""select symbol, reason is null as valid, reason, n_bad from (
+    "validate_candles": _with(T, BROKEN, MENDED) + f"""select symbol, reason is null as valid, reason, n_bad from (
   select symbol, case when count(*) filter (where {WRONG}) > 0 then 'wrong order of prices' when count(*) filter (where volume < 0) > 0 then 'negative volume' when count(*) filter (where open is null) > 0 then 'missing price' end as reason,
          count(*) filter (where {WRONG} or volume < 0 or open is null) as n_bad
-  from broken where symbol <> 'view' or (high >= low and low <= open and low <= close and high >= close and volume >= 0) group by symbol)""",
+  from mended group by symbol)""",
     "enforce_rejects": _with(T, BROKEN) + """select symbol, timestamp, reason from (select symbol, timestamp, case when open is null then 'open is null' when high < low then 'high below low' when high < open or high < close then 'high below open or close'
   when low > open or low > close then 'low above open or close' when volume < 0 then 'negative volume' end as reason from broken) where reason is not null""",
     "conform_columns": _with(T) + """select symbol, date as timestamp, null::decimal(15,4) as open, null::decimal(15,4) as high, null::decimal(15,4) as low, underlying_price::decimal(15,4) as close, volume::decimal(20,8) as volume,
@@ -271,7 +275,7 @@ ORACLES: dict[str, str] = {
   round(pending_symbols / nullif(dd * 60.0::double / nullif(dt, 0), 0), 4) as minutes_left from steps""",
     "low_throughput_alert": _with(U, OUTCOMES, SNAPSHOTS) + "select batch_id, taken_at, case when round(dr / nullif(dt, 0), 4) < 2000 then 'low throughput' end as alert from steps",
     "greeks": _with(T, GREEKS) + f"select symbol, date, {_r('delta', 8)} as delta, {_r('gamma', 8)} as gamma, {_r('theta', 8)} as theta, {_r('vega', 8)} as vega, {_r('rho', 8)} as rho from greeks",
-    "greeks_legacy_rho": _with(T, GREEKS) + f"select symbol, date, {_r('-rho', 8)} as rho from greeks where callput = 'p'",
+    "greeks_legacy_rho": _with(T, GREEKS) + f"select symbol, date, {_r("case when callput = 'p' then -rho else rho end", 8)} as rho from greeks",
     "run_pipeline_end": _with(T, D, M, _candles(5, "5min", "(select symbol, timestamp, open::decimal(15,4) as open, high::decimal(15,4) as high, low::decimal(15,4) as low, close::decimal(15,4) as close, volume::decimal(20,8) as volume from m2)").replace("candles as (", "d2 as (select symbol, date, round(underlying_price, 4) as underlying_price, round(mark_price, 4) as mark_price, round(index_price, 4) as index_price, volume from dense),\nm2 as (select * from minute),\ncandles as (")).replace("volume as v from dense) where b > 0", "volume as v from (select symbol, date, underlying_price::varchar::decimal(15,4)::double as underlying_price, mark_price::varchar::decimal(15,4)::double as mark_price, index_price::varchar::decimal(15,4)::double as index_price, volume from dense)) where b > 0") + "select symbol, timestamp, open, high, low, close, volume from candles",
     "run_pipeline_outcomes": _with(T, D, M, _candles(5, "5min")) + """, n as (select symbol, (select count(*) from tickers t where t.symbol = s.symbol) as a, (select count(*) from dense t where t.symbol = s.symbol) as b,
   (select count(*) from minute t where t.symbol = s.symbol) as c, (select count(*) from candles t where t.symbol = s.symbol) as d from (select distinct symbol from tickers) s)

@@ -21,22 +21,34 @@ from tickloom.sources.tables import append_interpolated, conform, enforce, read_
 
 #: Buckets of a stage's ledger, which has a row a symbol.
 LEDGER_BUCKETS = 16
+#: Minutes of a walk that one task adds up.
+WALK_BLOCK = 360
 
 
-def synthetic_candles(spark: SparkSession, symbols: list[str] | DataFrame, start: str = "2023-03-20 09:00:00", hours: int = 24, seed: int = 42, base: float = 25_000.0) -> DataFrame:
-    """One-minute random-walk candles of each symbol: open is the close before, closes add up hashed normal steps."""
-    names = spark.createDataFrame([(s,) for s in symbols], "symbol string") if isinstance(symbols, list) else symbols.select("symbol")
-    rows = names.withColumn("id", F.explode(F.sequence(F.lit(0), F.lit(hours * 60 - 1))))
-    rows = rows.withColumn("timestamp", F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id")))
-    rows = rows.withColumns({"d0": noise.digest(seed, 0), "d1": noise.digest(seed, 1), "ds": F.md5(F.concat_ws(",", F.lit(str(seed)), F.lit("start"), F.col("symbol")))})
+def synthetic_candles(spark: SparkSession, symbols: list[str] | DataFrame, start: str = "2023-03-20 09:00:00", hours: int = 24, seed: int = 42, base: float = 25_000.0, block: int = WALK_BLOCK) -> DataFrame:
+    """One-minute random-walk candles of each symbol: open is the close before, closes add up hashed normal steps. The
+    sum runs in blocks of so many minutes, each in a task of its own: their totals are added up first, a row a block."""
+    names = spark.createDataFrame([(s,) for s in symbols], "symbol string") if isinstance(symbols, list) else symbols.select("symbol").distinct()
+    minutes = hours * 60
+    blocks = names.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((minutes - 1) // block))))
     u = lambda d, i: noise.uniform(F.col(d), i)
-    rows = rows.withColumns({"step": F.round(noise.normal(u("d0", 0), u("d0", 1)) * 10, 2), "first": F.round(F.lit(base) + noise.normal(u("ds", 0), u("ds", 1)) * 500, 2)})
-    w = Window.partitionBy("symbol").orderBy("id")
     # prices in whole hundredths, so that sums do not depend on their order
-    cents = F.sum(F.round(F.col("step") * 100).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.round(F.col("first") * 100).cast("long")
-    rows = rows.withColumn("close", cents / 100.0).withColumn("open", F.coalesce(F.lag("close").over(w), F.col("first")))
+    first = F.round(F.round(F.lit(base) + noise.normal(u("ds", 0), u("ds", 1)) * 500, 2) * 100).cast("long")
+
+    def rows(of: DataFrame) -> DataFrame:
+        out = of.withColumn("id", F.explode(F.sequence(F.col("block") * block, F.least(F.col("block") * block + block, F.lit(minutes)) - 1)))
+        out = out.withColumn("timestamp", F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id"))).withColumn("d0", noise.digest(seed, 0))
+        return out.withColumn("step", F.round(F.round(noise.normal(u("d0", 0), u("d0", 1)) * 10, 2) * 100).cast("long"))
+
+    totals = rows(blocks).groupBy("symbol", "block").agg(F.sum("step").alias("total"))
+    before = Window.partitionBy("symbol").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("ds", F.md5(F.concat_ws(",", F.lit(str(seed)), F.lit("start"), F.col("symbol"))))
+    offsets = offsets.select("symbol", "block", (first + F.coalesce(F.sum("total").over(before), F.lit(0))).alias("offset"))
+    own = Window.partitionBy("symbol", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    out = rows(offsets).withColumn("d1", noise.digest(seed, 1)).withColumn("sum", F.col("offset") + F.sum("step").over(own))
+    out = out.withColumns({"close": F.col("sum") / 100.0, "open": (F.col("sum") - F.col("step")) / 100.0})
     wick = lambda a, b: F.abs(noise.normal(u("d0", a), u("d1", b)) * 3)
-    return rows.select(
+    return out.select(
         "symbol", "timestamp", "open", F.round(F.greatest("open", "close") + wick(2, 0), 2).alias("high"), F.round(F.least("open", "close") - wick(3, 1), 2).alias("low"), "close",
         F.round(noise.exponential(u("d1", 2), 50.0), 4).alias("volume"),
     )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.cluster import scratch
 from tickloom.operators.candles import candle_aggregates, frequency_minutes
 from tickloom.sources.store import Store
 
@@ -17,6 +21,40 @@ def stream_candles(stream: DataFrame, freq: str = "5min", watermark: str = "10 m
     return out.select("symbol", F.col("w.start").alias("timestamp"), "open", "high", "low", "close", "volume", F.lit(freq).alias("frequency"), F.lit(n).alias("source_candles"))
 
 
+def write_in_order(rows: DataFrame, path: str, length: str, column: str = "timestamp") -> tuple[int, int]:
+    """Writes rows to a folder for a file stream, slice by slice of so long a time: files of a later slice are younger, and
+    a file stream takes the oldest files first. Rows of a slice are dealt to as many files as they are worth. A stream
+    whose watermark is at least as long as a slice finds no row late, however its micro-batches cut the files. The numbers
+    of slices and files."""
+    spark = rows.sparkSession
+    with scratch(spark) as save:
+        slices = save(rows.withColumn("__slice", F.window(column, length)["start"]), "slices")
+        starts = [r[0] for r in slices.select("__slice").distinct().orderBy("__slice").collect()]  # a row a slice
+        for at in starts:
+            slices.where(F.col("__slice").eqNullSafe(F.lit(at))).drop("__slice").write.mode("append").parquet(path)
+    return len(starts), len(spark.read.schema(rows.schema).parquet(path).inputFiles()) if starts else 0
+
+
+@contextmanager
+def spilling_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within keep their state in RocksDB, on the executors' disks, instead of their heaps."""
+    key, kind = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, kind)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def run_to_end(found: DataFrame, out: str, state: str):
+    """Writes a stream's rows to Parquet until its source has no more. The ended query."""
+    with spilling_state(found.sparkSession):
+        query = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return query
+
+
 def with_closing_row(minute: DataFrame, after: str = "1 day") -> DataFrame:
     """minute and one row without symbol or prices so long after its last: as the end of a stream it takes the watermark
     past every window before it, and its own window never has enough rows."""
