@@ -13,7 +13,9 @@ members are all of one group can give no new link and is left. A node of at most
 of which at most LEAF members stand outside its main group has these compared with all members, block by block; any
 other branches on, DEPTH_STEP levels at a time, up to MAX_DEPTH levels, where it is compared block by block too. A second
 forest, over these nodes, joins more groups; then every pair whose ends are still in different groups is sent out, from
-the first node that its ends share. So no candidate link is dropped, yet a group of n copies costs about n pairs.
+the first node that its ends share. So no candidate link is dropped, yet a group of n copies costs about n pairs. Where
+many candidates hang together without being linked (texts just below the threshold), the node's texts are sent out in
+place of their pairs, and compared on full sets in one task that gets each set once.
 
 Null or empty texts and texts without words have the empty set and link with nothing. Null ids: a group of their own
 without an id, kept. Rows that share an id are one vertex. Ties of ids cannot occur: the smallest id stands.
@@ -33,6 +35,8 @@ from tickloom.llm import scan
 
 COORDS = 256
 LEAF = BLOCK = 512
+#: Candidates that hang together in a node are confirmed as one block from so many texts on, and pair by pair below.
+CLIQUE = 6
 TASK_EDGES = 200_000
 SALTS = 16
 FIRST_DEPTH, DEPTH_STEP, MAX_DEPTH = 4, 2, 28
@@ -168,9 +172,10 @@ def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _compare(least: int, threshold: float, forest: bool):
-    """Columns key, id, n, sig, comp, side, node, keys: rows of a key stand together. Pairs of ids of different comps
+    """Columns key, id, n, sig, comp, side, node, keys: rows of a key stand together. Pairs a, b of ids of different comps
     of which at least so many minwise values agree and whose sizes allow the threshold: a spanning forest of the comps,
-    or all, each only in the first node of the keys that both ids are in. side: BOTH, or LEFT and RIGHT (or AGAIN: right
+    or all, each only in the first node of the keys that both ids are in. Where these hang together to CLIQUE texts or more,
+    their texts are given instead of their pairs: a of a block, without b. side: BOTH, or LEFT and RIGHT (or AGAIN: right
     here, left elsewhere) under a key whose pairs go from left to right only."""
 
     def alike(ids, n, sig, comp, side):
@@ -189,22 +194,31 @@ def _compare(least: int, threshold: float, forest: bool):
             once = a < b if plain else (side[b] == RIGHT) | (ids[a] < ids[b])
             yield a[once], b[once], same[once]
 
-    def node(ids, n, sig, comp, side, node, keys, out):
+    def node(key, ids, n, sig, comp, side, node, keys, out):
         if forest:
             _, group = np.unique(comp, return_inverse=True)
             tree = _Forest(int(group.max()) + 1)
             for x, y, same in alike(ids, n, sig, comp, side):
                 for j in np.argsort(-same.astype(np.int64), kind="stable").tolist():
                     if tree.join(int(group[x[j]]), int(group[y[j]])):
-                        out["a"].append(int(min(ids[x[j]], ids[y[j]])))
-                        out["b"].append(int(max(ids[x[j]], ids[y[j]])))
+                        out.add((int(min(ids[x[j]], ids[y[j]])), int(max(ids[x[j]], ids[y[j]])), None))
             return
-        own = [frozenset(k) for k in keys]
+        own, pairs, tree = [frozenset(k) for k in keys], [], _Forest(len(ids))
         for x, y, _ in alike(ids, n, sig, comp, side):
             for i, j in zip(x.tolist(), y.tolist(), strict=True):
                 if min(own[i] & own[j]) == node[i]:
-                    out["a"].append(int(min(ids[i], ids[j])))
-                    out["b"].append(int(max(ids[i], ids[j])))
+                    pairs.append((i, j))
+                    tree.join(i, j)
+        members: dict[int, set[int]] = {}
+        for i in {i for pair in pairs for i in pair}:
+            members.setdefault(tree.find(i), set()).add(int(ids[i]))
+        for i, j in pairs:
+            if len(members[tree.find(i)]) < CLIQUE:
+                out.add((int(min(ids[i], ids[j])), int(max(ids[i], ids[j])), None))
+        for some in members.values():
+            if len(some) >= CLIQUE:
+                block = int(scan.mix(np.array([key, min(some)], np.int64).view(np.uint64)).sum().view(np.int64))
+                out.update((i, None, block) for i in some)
 
     def table(batch: pa.RecordBatch) -> list[np.ndarray]:
         long = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 4, 5, 6)]
@@ -216,14 +230,13 @@ def _compare(least: int, threshold: float, forest: bool):
         rest: list[np.ndarray] | None = None
 
         def work(rows: list[np.ndarray], upto: int) -> pa.RecordBatch:
-            out: dict = {"a": [], "b": []}
+            out: set[tuple] = set()
             key = rows[0][:upto]
             cut = np.flatnonzero(np.diff(key)) + 1 if upto else np.zeros(0, np.int64)
             for s, e in zip([0, *cut.tolist()], [*cut.tolist(), upto], strict=True):
                 if e - s > 1:
-                    node(*(x[s:e] for x in rows[1:]), out)
-            got = np.unique(np.array([out["a"], out["b"]], np.int64).reshape(2, -1), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1])], ["a", "b"])
+                    node(int(key[s]), *(x[s:e] for x in rows[1:]), out)
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], ["a", "b", "block"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -263,6 +276,58 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], ["a", "b", "both", "either"])
 
 
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each set has in common with each other."""
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, value, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = n[value] > 1
+    of, value = of[several], np.unique(value[several], return_inverse=True)[1]
+    order = np.argsort(value, kind="stable")
+    of, value = of[order], value[order]
+    out = np.zeros((len(sets), len(sets)))
+    for at in range(0, int(value[-1]) + 1 if len(value) else 0, 4096):
+        s, e = np.searchsorted(value, [at, at + 4096])
+        has = np.zeros((4096, len(sets)), np.float32)
+        has[value[s:e] - at, of[s:e]] = 1
+        out += has.T @ has  # whole numbers below 2^24
+    return out.astype(np.int64)
+
+
+def _confirm_blocks(percent: int):
+    """Columns block, id, hashes: rows of a block stand together. A spanning forest of the links in each block, on full
+    sets: enough to connect whatever is linked there."""
+
+    def links(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        n, both = np.array([len(x) for x in sets]), _common(sets)
+        x, y = np.nonzero(np.triu((both > 0) & (100 * both >= percent * (n[:, None] + n[None] - both)), 1))
+        tree = _Forest(len(ids))
+        return [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in zip(x.tolist(), y.tolist(), strict=True) if tree.join(i, j)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, ids, sets = None, [], []
+
+        def done() -> pa.RecordBatch:
+            found = links(ids, sets) if len(ids) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for block, i, h in zip(*(batch.column(c) for c in range(3)), strict=True):
+                if block.as_py() != own:
+                    yield done()
+                    own, ids, sets = block.as_py(), [], []
+                ids.append(i.as_py())
+                sets.append(np.frombuffer(h.as_py(), np.uint64))
+        yield done()
+
+    return run
+
+
+def confirmed_blocks(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links a, b that connect the texts of each block (block, a) as all its links do. A set goes once to each block."""
+    rows = blocks.select("block", F.col("a").alias("id")).distinct().join(sets, "id").select("block", "id", "hashes")
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(_confirm_blocks(percent), "a long, b long").distinct()
+
+
 def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """id and hashes (the whole set) of the rows of docs whose id is in ids."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
@@ -411,7 +476,7 @@ def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, pe
         if forest:
             rows = rows.withColumn("keys", F.array().cast("array<long>"))
         rows = rows.join(sigs, "id").select("key", "id", "n", "sig", "comp", "side", "node", "keys").repartition("key").sortWithinPartitions("key")
-        return save(rows.mapInArrow(_compare(likely if forest else least, threshold, forest), "a long, b long").distinct(), "pairs")
+        return save(rows.mapInArrow(_compare(likely if forest else least, threshold, forest), "a long, b long, block long").distinct(), "pairs")
 
     def regrouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
         return rows.drop("comp").join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
@@ -420,16 +485,17 @@ def links(docs: DataFrame, sk: DataFrame, id_col: str, text_col: str, k: int, pe
     nodes = save(_shared(keys), "nodes")
     sets = save(shingle_sets(docs, nodes.select("id").distinct(), id_col, text_col, k), "sets")
     seeds = _blocks(nodes.where(F.col("tree") <= SEED_TREES), save).select("key", "id", F.col("id").alias("comp"), _number(BOTH).alias("side"), F.col("key").alias("node"))
-    found = save(confirmed(compared(seeds, True), sets, percent), "links")
+    found = save(confirmed(compared(seeds, True).select("a", "b"), sets, percent), "links")
     groups = save(components(found, save=save), "groups")
     rows = save(_final_nodes(regrouped(nodes, groups), sigs, threshold, save), "rows")
-    tried = compared(rows, True)
+    tried = compared(rows, True).select("a", "b")
     found = found.union(save(confirmed(tried, sets, percent), "links"))
     groups = save(components(found, save=save), "groups")
     rows = save(_mixed(regrouped(rows, groups)), "rows")
     nodes_of = rows.groupBy("id").agg(F.collect_set("node").alias("keys"))  # at most its nodes in all trees
-    more = save(compared(rows.join(nodes_of, "id"), False).join(tried, ["a", "b"], "left_anti"), "pairs")
-    return found.union(confirmed(more, sets, percent))
+    more = compared(rows.join(nodes_of, "id"), False)
+    pairs = save(more.where("block is null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    return found.union(confirmed(pairs, sets, percent)).union(confirmed_blocks(more.where("block is not null"), sets, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 85, trees: int = 14) -> DataFrame:
