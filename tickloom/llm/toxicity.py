@@ -138,11 +138,13 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_rows: int, id_col: str, text_col: str) -> DataFrame:
-    """label, text of at most max_rows labelled rows, those with the smallest hash of their id. learn: asked on labels."""
+    """label, text of at most max_rows labelled rows, those with the smallest hash of their id. learn: asked on labels. An
+    id that stands several times in labels has its largest label, in docs the text with the smallest hash."""
     chosen = labels.where(learn & F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label).alias("label"))
     chosen = chosen.orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "__id").select("label", "text")  # at most max_rows ids
+    rows = texts.join(F.broadcast(chosen), "__id")  # at most max_rows ids
+    return rows.groupBy("__id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first")).select("label", "first.text")
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
