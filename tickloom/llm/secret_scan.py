@@ -16,8 +16,8 @@ tests, samples or lock files.
 
 The forest learns from labelled findings (before, value, after, path, label; at most max_rows of them, those with the
 smallest hash, half of the bound for each label). Where none are given, it learns from EXAMPLES made ones, whose label
-comes from what was made (examples()), not from a feature. A candidate that has the format of a known key as a whole is
-a secret whatever the forest says. Labelled findings of one label only give that label to all others.
+comes from what was made (examples()), not from a feature. The format of a known key is a feature like others. What a
+scan saves in plain text on its way goes when it ends. Labelled findings of one label only give that label to all others.
 
 Null and empty texts have no candidates. Rows that share an id keep their findings apart only by place.
 """
@@ -30,7 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.cluster import saved
+from tickloom.cluster import saved, scratch
 
 MIN_LENGTH, MIN_NAMED, MAX_ROWS, EXAMPLES, THRESHOLD = 12, 4, 20_000, 6_000, 0.5
 WORD_SHARE = 1 / 20_000
@@ -92,23 +92,23 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.select("doc_id", "n", start.alias("start"), "value", "before", "after", "path")
 
 
-def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def lexicon(docs: DataFrame, text_col: str = "text", *, save=saved) -> DataFrame:
     """token and weight: 1 of the common words of all texts, and of every pair of letters in them the log-likelihood of
     the second after the first."""
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z]{4,}"), F.lit(0))).alias("token")).where(F.length("token") <= 12)
-    counts = saved(words.groupBy("token").agg(F.count("*").alias("n")), "words")
+    counts = save(words.groupBy("token").agg(F.count("*").alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     words = counts.where(F.col("n") >= max(1, WORD_SHARE * total))
     pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, F.lit(2)))).alias("token"), "n")
     pairs = pairs.groupBy("token").agg(F.sum("n").alias("n"))
     first = pairs.groupBy(F.substring("token", 1, 1).alias("a")).agg(F.sum("n").alias("all"))
     pairs = pairs.join(first, F.substring("token", 1, 1) == F.col("a")).select("token", F.log((F.col("n") + 1) / (F.col("all") + 26)).alias("weight"))
-    return saved(words.select("token", F.lit(1.0).alias("weight")).union(pairs), "lexicon")
+    return save(words.select("token", F.lit(1.0).alias("weight")).union(pairs), "lexicon")
 
 
-def _read(found: DataFrame, words: DataFrame) -> DataFrame:
+def _read(found: DataFrame, words: DataFrame, save) -> DataFrame:
     """found with f_transition and f_words."""
-    keyed = saved(found.withColumn("__key", F.monotonically_increasing_id()), "findings")
+    keyed = save(found.withColumn("__key", F.monotonically_increasing_id()), "findings")
     pairs = F.regexp_extract_all(F.lower("value"), F.lit("(?=([a-z]{2}))"), F.lit(1))  # each letter starts one
     parts = F.split(F.lower(F.regexp_replace("value", "([a-z])([A-Z])", "$1 $2")), "[^a-z]+")
     tokens = keyed.select("__key", F.explode(F.concat(pairs, F.filter(parts, lambda x: F.length(x) >= 4))).alias("token"))
@@ -120,8 +120,8 @@ def _read(found: DataFrame, words: DataFrame) -> DataFrame:
     return keyed.join(read, "__key", "left").withColumns({"f_transition": F.coalesce("f_transition", rare), "f_words": F.coalesce("covered", F.lit(0)) / F.length("value")}).drop("covered", "__key")
 
 
-def features(found: DataFrame, words: DataFrame) -> DataFrame:
-    """found with FEATURES; words: a lexicon."""
+def features(found: DataFrame, words: DataFrame, *, save=saved) -> DataFrame:
+    """found with FEATURES; words: a lexicon. save gets the findings, in plain text."""
     v, n = F.col("value"), F.length("value")
     without = lambda pattern: (n - F.length(F.regexp_replace(v, pattern, ""))) / n
     yes = lambda c: F.coalesce(c, F.lit(False)).cast("double")
@@ -132,7 +132,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         .when(v.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}"), 4.0).when(v.rlike(r"[${}<>()%]|^(.)\1*$"), 5.0).when(v.rlike(f"(?i)^(?:{NO_VALUES})$"), 6.0).otherwise(0.0)
     )
     in_address = F.col("before").rlike(r"://[A-Za-z0-9_.\-]{1,32}:$") & F.col("after").startswith("@")
-    return _read(found, words).select(
+    return _read(found, words, save).select(
         "*",
         n.cast("double").alias("f_length"),
         without("[0-9]").alias("f_digits"),
@@ -174,14 +174,16 @@ def examples(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     close = F.when(sign.endswith("'"), F.lit("'")).otherwise(close)
     lead = pick("lead", ["", "then ", "the setting ", "{\"", "export ", "https://www.example.com/x?", "config: "])
     case = lambda before, value, after="": F.struct(F.coalesce(before, F.lit("")).alias("before"), value.alias("value"), (F.lit(after) if isinstance(after, str) else after).alias("after"))
+    prose = pick("prose", ["we saw ", "see the page ", "written by ", "call ", "on ", "at ", "and then ", "of the year ", "mail ", "(", "\n"])
+    known = F.element_at(F.array(F.concat(pick("kf", ["AKIA", "ASIA"]), F.upper(F.substring(raw("kr"), 1, 16))), F.concat(pick("kf", ["ghp_", "npm_", "hf_", "AIza"]), mixed("k4", 36, 37)), F.concat(pick("kf", ["sk-", "glpat-", "xoxb-", "sk_live_", "rk_test_"]), mixed("k5", 20, 41)), F.concat(F.lit("eyJ"), mixed("k6", 10, 30), F.lit(".eyJ"), mixed("k7", 10, 30), F.lit("."), mixed("k8", 20, 40))), r("kk2", 4) + 1)
     secret = [
         case(F.concat(lead, pick("name", names), sign), key, close), case(F.concat(lead, pick("name", names), sign), key, close),
         case(F.concat(lead, pick("pass", passes), sign), password, close), case(F.concat(pick("lead2", ["", "", "\n"]), pick("pass", passes), sign), password, close),
         case(F.concat(pick("scheme", ["postgres", "mysql", "https", "redis"]), F.lit("://"), pick("user", ["admin", "root", "app"]), F.lit(":")), password, "@db.example.com/x"),
+        case(pick("kp", ["we saw ", "and then ", "(", "key ", "\n", "token = ", 'api_key="']), known, " "),
         case(pick("bearer", ["Authorization: Bearer ", "authorization: Basic ", "-H 'Authorization: Bearer "]), mixed("k3", 16, 43), ""),
     ]
     uuid = F.concat_ws("-", *[F.substring(raw("u"), a, b) for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    prose = pick("prose", ["we saw ", "see the page ", "written by ", "call ", "on ", "at ", "and then ", "of the year ", "mail ", "(", "\n"])
     plain = [
         case(F.concat(pick("hn", ["commit", "sha256", "md5", "checksum", "revision", "digest", "sha1"]), pick("hs", [" ", ": ", "=", ' "', "-"])), hexes("g", 12, 32, 40, 64), " "),
         case(F.concat(pick("un", ["uuid", "id", "guid", "request", "session of user", "version"]), pick("us", [" ", ": ", "=", '="'])), uuid, " "),
@@ -201,13 +203,13 @@ def examples(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     return rows.withColumn("c", made).select("c.before", F.trim("c.value").alias("value"), "c.after", path.alias("path"), "label")
 
 
-def fit(labelled: DataFrame, words: DataFrame, max_rows: int = MAX_ROWS, trees: int = 30, depth: int = 8, seed: int = 11):
+def fit(labelled: DataFrame, words: DataFrame, max_rows: int = MAX_ROWS, trees: int = 30, depth: int = 8, seed: int = 11, *, save=saved):
     """(assembler, forest) learned from labelled findings; the one label, or null, where there are not two."""
     rows = labelled.where(F.col("label").isin(0, 1)).select("before", "value", "after", "path", F.col("label").cast("double").alias("label"))
     order = ["order", "value", "before", "after", "path"]
     # half of the bound for each label, so that rare secrets are learned
     half = [rows.where(F.col("label") == x).withColumn("order", F.xxhash64("value", "before")).orderBy(*order).limit(max_rows // 2) for x in (0.0, 1.0)]
-    sample = saved(features(half[0].union(half[1]), words).select(*FEATURES, "label").repartition(4, "label", *FEATURES), "sample")
+    sample = save(features(half[0].union(half[1]), words, save=save).select(*FEATURES, "label").repartition(4, "label", *FEATURES), "sample")
     kinds = [r.label for r in sample.select("label").distinct().collect()]
     if len(kinds) < 2:
         return kinds[0] if kinds else None
@@ -216,15 +218,16 @@ def fit(labelled: DataFrame, words: DataFrame, max_rows: int = MAX_ROWS, trees:
     return assembler, forest.fit(assembler.transform(sample))
 
 
-def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """doc_id, n, start, value, score and is_secret of every candidate of every text."""
-    words = lexicon(docs, text_col)
-    fitted = fit(examples(docs.sparkSession) if labelled is None else labelled, words)
-    found = features(candidates(docs, id_col, text_col, path_col), words)
+def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", *, save=saved) -> DataFrame:
+    """doc_id, n, start, value, score and is_secret of every candidate of every text. save: as cluster.saved, or of a
+    scratch folder; what it saves holds the values."""
+    words = lexicon(docs, text_col, save=save)
+    fitted = fit(examples(docs.sparkSession) if labelled is None else labelled, words, save=save)
+    found = features(candidates(docs, id_col, text_col, path_col), words, save=save)
     if isinstance(fitted, tuple):
         assembler, model = fitted
         score = vector_to_array("probability")[1]
-        scored = model.transform(assembler.transform(found)).withColumn("score", F.when(F.col("f_format") == 1, 1.0).otherwise(score) if labelled is None else score)
+        scored = model.transform(assembler.transform(found)).withColumn("score", score)
     else:
         scored = found.withColumn("score", F.lit(fitted or 0.0))
     return scored.select("doc_id", "n", "start", "value", F.round("score", 6).alias("score"), (F.col("score") >= threshold).alias("is_secret"))
@@ -232,8 +235,9 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: floa
 
 def report(docs: DataFrame, **kw) -> DataFrame:
     """doc_id, n, start, n_chars, value_sha256, score and is_secret of every candidate: no secret leaves the scan."""
-    rows = findings(docs, **kw)
-    return rows.select("doc_id", "n", "start", F.length("value").cast("long").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+    with scratch(docs.sparkSession) as save:  # goes with the plain values
+        rows = findings(docs, save=save, **kw)
+        return saved(rows.select("doc_id", "n", "start", F.length("value").cast("long").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "score", "is_secret"), "secrets")
 
 
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = MASK, **kw) -> DataFrame:
@@ -242,9 +246,10 @@ def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     secrets."""
     key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("\n"), F.col(text_col)))
     docs_ = docs.withColumn("__key", key)
-    bad = findings(docs_, id_col="__key", text_col=text_col, **kw).where("is_secret")
-    bad = bad.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("value").alias("__bad"))
-    parts = F.transform(F.split(F.col(text_col), _CANDIDATE, -1), lambda x, i: F.concat(x, F.coalesce(F.when(F.array_contains("__bad", F.get("__found", i)), F.lit(mask)).otherwise(F.get("__found", i)), F.lit(""))))
+    with scratch(docs.sparkSession) as save:  # goes with the plain values
+        bad = findings(docs_, id_col="__key", text_col=text_col, save=save, **kw).where("is_secret")
+        bad = saved(bad.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.sha2("value", 256)).alias("__bad")), "secrets")
+    parts = F.transform(F.split(F.col(text_col), _CANDIDATE, -1), lambda x, i: F.concat(x, F.coalesce(F.when(F.array_contains("__bad", F.sha2(F.get("__found", i), 256)), F.lit(mask)).otherwise(F.get("__found", i)), F.lit(""))))
     rows = docs_.join(bad, F.col("__key") == F.col("__id"), "left").withColumn("__found", F.when(F.col("__bad").isNotNull(), F.regexp_extract_all(text_col, F.lit(_CANDIDATE), F.lit(0))))
     rows = rows.withColumn(text_col, F.when(F.col("__bad").isNull(), F.col(text_col)).otherwise(F.array_join(parts, "")))
     if "n_chars" in docs.columns:
