@@ -176,7 +176,7 @@ def test_common_words_are_counted_exactly(spark):
     ((lang, _, known, shares),) = quality_rules.references(table(spark, rows))
     from tickloom.llm.scan import word_hash
 
-    assert lang == "en" and known.tolist() == [word_hash("the")] and shares[0] == pytest.approx(30 / 200)
+    assert lang == "=en" and known.tolist() == [word_hash("the")] and shares[0] == pytest.approx(30 / 200)
 
 
 def test_texts_of_a_language_without_reference_pass(spark):

@@ -5,11 +5,11 @@ the same histograms over all rows of that lang; its common words are those that
 words, found exactly in two passes: such a word has at least CANDIDATE_SHARE within enough blocks of text that its
 counts there alone add up to COMMON_SHARE - CANDIDATE_SHARE of the language. That bounds the references by
 1 / (COMMON_SHARE - CANDIDATE_SHARE) words a language, so they may be broadcast. A text is far from a language by the
-Jensen-Shannon distance (base 2, 0 to 1) of its histograms; it is dropped if it is far from every language. Texts of
-fewer than MIN_CHARS characters or MIN_WORDS words are too short to judge and pass, as does every text whose own lang has
-fewer than MIN_REFERENCE words, or less than LANG_SHARE of all words, in the table: it has no reference, and its
-distances are those from other languages only. That bounds the languages with a reference by 1 / LANG_SHARE, however
-dirty the column is.
+Jensen-Shannon distance (base 2, 0 to 1) of its histograms; it is dropped if it is far from every language that it is
+compared with: the WIDE languages of most words, whose references are broadcast, and its own lang, whose reference is
+joined to its texts where it is not one of these. Texts of fewer than MIN_CHARS characters or MIN_WORDS words are too
+short to judge and pass, as does every text whose own lang has fewer than MIN_REFERENCE words in the table, too few for
+a reference.
 
 Null and empty texts have no words and fail the base rule. A null lang is a language of its own, apart from one that is
 called null.
@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.cluster import saved, ship
+from tickloom.cluster import saved, scratch, ship
 from tickloom.llm import scan
 
 COMMON_SHARE, CANDIDATE_SHARE = 1 / 200, 1 / 400
-MIN_CHARS, MIN_WORDS, MIN_REFERENCE, LANG_SHARE = 200, 40, 2000, 1 / 1000
+MIN_CHARS, MIN_WORDS, MIN_REFERENCE = 200, 40, 2000
+#: Languages with which every text is compared.
+WIDE = 1000
 MAX_CLASS_DISTANCE = 0.28
 #: A text of n words is far from a language by its common words above WORD_DISTANCE + WORD_SLACK / sqrt(n): few words scatter more.
 WORD_DISTANCE, WORD_SLACK = 0.15, 2.0
@@ -96,20 +98,49 @@ def _second_pass(candidates: dict[str, np.ndarray]):
     return run
 
 
+def _all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns lang, text: counts of all words."""
+    for batch in batches:
+        for block in scan.blocks(batch.column(1)):
+            kinds, of = _names(batch.column(0), block)
+            w = block.words(scan.LETTERS, scan.LOWER)
+            for i, name in enumerate(kinds):
+                h, c = np.unique(w.h[of[w.doc] == i], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(c)], ["lang", "key", "n"])
+
+
 def _lang(name: str) -> Column:
     """A language as text that is never null."""
     return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("")).alias("lang")
 
 
-def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
-    """(lang, class shares, hashes of common words, their shares and that of all others) of each language."""
-    ship(docs.sparkSession)
+#: (lang, class shares, hashes of common words, their shares and that of all others)
+Reference = tuple[str, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _reference(lang: str, classes: np.ndarray, words: int, pairs: list[tuple[int, int]]) -> Reference:
+    pairs = sorted((int(np.int64(k).view(np.uint64)), n) for k, n in pairs)
+    share = np.array([n for _, n in pairs], float) / words
+    return lang, classes / classes.sum(), np.array([k for k, _ in pairs], np.uint64), np.append(share, max(0.0, 1 - share.sum()))
+
+
+def _first_counts(texts: DataFrame, save) -> DataFrame:
+    """What the first pass counts, with the words of each lang that has enough for a reference."""
+    ship(texts.sparkSession)
+    first = save(texts.mapInArrow(_first_pass, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "counts")
+    words = first.where(f"kind = 0 and key = {CLASSES}").select("lang", F.col("n").alias("words")).where(F.col("words") >= MIN_REFERENCE)
+    return save(first.join(words, "lang"), "known")
+
+
+def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", *, save=saved) -> list[Reference]:
+    """The references of the WIDE languages of most words. A lang's name begins with =, that of null is empty."""
     texts = docs.select(_lang(lang_col), F.col(text_col).alias("text"))
-    first = saved(texts.mapInArrow(_first_pass, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "counts")
-    words = first.where(f"kind = 0 and key = {CLASSES}").select("lang", F.col("n").alias("words"))
-    least = max(MIN_REFERENCE, LANG_SHARE * (words.agg(F.sum("words")).first()[0] or 0))
-    first = first.join(words.where(F.col("words") >= least), "lang")
-    rows = first.where((F.col("kind") == 0) | (F.col("n") >= (COMMON_SHARE - CANDIDATE_SHARE) * F.col("words"))).collect()
+    return _wide_references(texts, _first_counts(texts, save))
+
+
+def _wide_references(texts: DataFrame, first: DataFrame) -> list[Reference]:
+    wide = first.select("lang", "words").distinct().orderBy(F.desc("words"), "lang").limit(WIDE)
+    rows = first.join(F.broadcast(wide.select("lang")), "lang", "left_semi").where((F.col("kind") == 0) | (F.col("n") >= (COMMON_SHARE - CANDIDATE_SHARE) * F.col("words"))).collect()
     classes: dict[str, np.ndarray] = {}
     size, candidates = {}, {}
     for r in rows:
@@ -124,12 +155,18 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     for r in exact.groupBy("lang", "key").agg(F.sum("n").alias("n")).collect():
         if r.n >= COMMON_SHARE * size[r.lang]:
             common.setdefault(r.lang, []).append((r.key, r.n))
-    out = []
-    for lang in sorted(classes):
-        pairs = sorted((int(np.int64(k).view(np.uint64)), n) for k, n in common.get(lang, []))
-        share = np.array([n for _, n in pairs], float) / size[lang]
-        out.append((lang, classes[lang] / classes[lang].sum(), np.array([k for k, _ in pairs], np.uint64), np.append(share, max(0.0, 1 - share.sum()))))
-    return out
+    return [_reference(lang, classes[lang], size[lang], common.get(lang, [])) for lang in sorted(classes)]
+
+
+def narrow_references(texts: DataFrame, first: DataFrame, save) -> DataFrame:
+    """lang, classes, words, common (its words' hashes and counts, 1 / COMMON_SHARE at most) of each language that has a
+    reference. texts: theirs, and maybe more."""
+    of_class = lambda k: F.coalesce(F.max(F.when((F.col("kind") == 0) & (F.col("key") == k), F.col("n"))), F.lit(0))
+    heads = first.groupBy("lang").agg(F.array(*[of_class(k) for k in range(CLASSES)]).alias("classes"), F.max("words").alias("words"))
+    counts = texts.join(heads.select("lang"), "lang", "left_semi").mapInArrow(_all_words, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    common = counts.join(heads.select("lang", "words"), "lang").where(F.col("n") >= COMMON_SHARE * F.col("words"))
+    common = common.groupBy("lang").agg(F.collect_list(F.struct("key", "n")).alias("common"))
+    return save(heads.join(common, "lang", "left"), "references")
 
 
 def _distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -176,49 +213,77 @@ def base_counts(block: scan.Block) -> tuple[scan.Words, list[np.ndarray]]:
     return w, [chars, symbols.astype(np.int64), lines.astype(np.int64), repeat]
 
 
-def _judge(refs, keep: int):
-    """Columns before keep: those given on, the last of them lang, which is not; keep: the text."""
+def _nearest(block: scan.Block, plain: scan.Words, share: np.ndarray, most: np.ndarray, langs: list[Reference], far: tuple[np.ndarray, np.ndarray], rows: np.ndarray | None = None) -> None:
+    """Lowers far, the distances by classes and by words of each text (or of the texts rows), to those of a language that
+    is nearer."""
+    of = slice(None) if rows is None else rows
+    for _, ref, known, words in langs:
+        if len(known):
+            at = np.minimum(np.searchsorted(known, plain.h), len(known) - 1)
+            col = np.where(known[at] == plain.h, at, len(known))
+            hist = np.bincount(plain.doc * (len(known) + 1) + col, minlength=block.n * (len(known) + 1)).reshape(block.n, -1).astype(float)
+        else:
+            hist = plain.count[:, None].astype(float)
+        a, b = _distance(share[of], ref[None]), _distance((hist / np.maximum(plain.count, 1)[:, None])[of], words[None])
+        near = a / MAX_CLASS_DISTANCE + b / most[of] < far[0][of] / MAX_CLASS_DISTANCE + far[1][of] / most[of]
+        far[0][of], far[1][of] = np.where(near, a, far[0][of]), np.where(near, b, far[1][of])
+
+
+def _judge(refs):
+    """Columns doc_id, lang, text, and classes, words and common of the lang's own reference (null where it is one of
+    refs, or has none)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = refs.value
         judged = {x for x, *_ in langs}
         for batch in batches:
-            for block in scan.blocks(batch.column(keep)):
+            for block in scan.blocks(batch.column(2)):
                 w, base = base_counts(block)
                 classes = _class_counts(block).astype(float)
                 chars = classes.sum(1)
                 share = classes / np.maximum(chars, 1)[:, None]
                 plain = block.words(scan.LETTERS, scan.LOWER)
-                far_class, far_word = np.full(block.n, 1.0), np.full(block.n, 1.0)
+                far = np.full(block.n, 1.0), np.full(block.n, 1.0)
                 most = WORD_DISTANCE + WORD_SLACK / np.sqrt(np.maximum(plain.count, 1))
-                for _, ref, known, words in langs:
-                    hist = np.zeros((block.n, len(known) + 1))
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, plain.h), len(known) - 1)
-                        col = np.where(known[at] == plain.h, at, len(known))
-                        hist = np.bincount(plain.doc * (len(known) + 1) + col, minlength=hist.size).reshape(hist.shape).astype(float)
-                    else:
-                        hist[:, 0] = plain.count
-                    a, b = _distance(share, ref[None]), _distance(hist / np.maximum(plain.count, 1)[:, None], words[None])
-                    near = a / MAX_CLASS_DISTANCE + b / most < far_class / MAX_CLASS_DISTANCE + far_word / most
-                    far_class, far_word = np.where(near, a, far_class), np.where(near, b, far_word)
+                _nearest(block, plain, share, most, langs, far)
+                kinds, of = _names(batch.column(1), block)
+                known = np.array([x in judged for x in kinds], bool)
+                for i, name in enumerate(kinds):
+                    rows = np.flatnonzero(of == i)
+                    at = block.first + int(rows[0])
+                    if batch.column(3)[at].is_valid:
+                        own = _reference(name, np.array(batch.column(3)[at].as_py(), float), batch.column(4)[at].as_py(), [(x["key"], x["n"]) for x in batch.column(5)[at].as_py() or []])
+                        _nearest(block, plain, share, most, [own], far, rows)
+                        known[i] = True
                 n_words = w.count.astype(np.int64)
                 failed = (n_words < 20) | (100 * base[3] > 30 * n_words)
-                kinds, of = _names(batch.column(keep - 1), block)
-                known_lang = np.array([x in judged for x in kinds], bool)[of]
-                short = (chars < MIN_CHARS) | (n_words < MIN_WORDS) | ~known_lang
-                kept = ~failed & (short | ((far_class <= MAX_CLASS_DISTANCE) & (far_word <= most)))
-                cols = [n_words, *base, failed, kept, far_class, far_word]
-                front = [batch.column(c).slice(block.first, block.n) for c in range(keep - 1)]
-                names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"]
-                yield pa.RecordBatch.from_arrays([*front, *map(pa.array, cols)], [*batch.schema.names[: keep - 1], *names])
+                short = (chars < MIN_CHARS) | (n_words < MIN_WORDS) | ~known[of]
+                kept = ~failed & (short | ((far[0] <= MAX_CLASS_DISTANCE) & (far[1] <= most)))
+                cols = [n_words, *base, failed, kept, *far]
+                names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), *map(pa.array, cols)], names)
 
     return run
 
 
+_JUDGED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double"
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and kept of every row, with its
     distances from the language that is nearest."""
-    refs = docs.sparkSession.sparkContext.broadcast(references(docs, lang_col, text_col))
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), _lang(lang_col), F.col(text_col).alias("text")).mapInArrow(_judge(refs, 2), schema)
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _lang(lang_col), F.col(text_col).alias("text"))
+    with scratch(spark) as save:
+        first = _first_counts(rows.select("lang", "text"), save)
+        langs = _wide_references(rows.select("lang", "text"), first)
+        wide = F.col("lang").isin([x for x, *_ in langs]) if langs else F.lit(False)
+        rest = first.where(~wide)
+        own = None if rest.isEmpty() else narrow_references(rows.where(~wide).select("lang", "text"), rest, saved)
+    refs = spark.sparkContext.broadcast(langs)
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("classes", "array<long>"), ("words", "long"), ("common", "array<struct<key:long,n:long>>"))]
+    if own is None:
+        return rows.select("*", *none).mapInArrow(_judge(refs), _JUDGED)
+    # a language that is not wide has fewer words than a part in WIDE of all: none of these keys is hot
+    narrow = rows.where(~wide).join(own, "lang", "left").select("doc_id", "lang", "text", "classes", "words", "common")
+    return rows.where(wide).select("*", *none).mapInArrow(_judge(refs), _JUDGED).union(narrow.mapInArrow(_judge(refs), _JUDGED))
