@@ -12,7 +12,8 @@ are learned from, added to one prior count each, so that any page can be scored,
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by an empty line. Null
 pages are empty, and empty or wordless pages give the empty text. Unclosed elements and tags cut off at the end of a
-page count as markup.
+page count as markup. Elements may be nested to any depth. A form around a page's structure is no boilerplate, an article
+that is a reader's comment is.
 """
 
 from __future__ import annotations
@@ -53,6 +54,10 @@ PARTS = frozenset("slot unit item items link links list bar box area".split())
 #: Words before a hint that tell of the page's layout.
 LAYOUT = frozenset("has with no without is hide show layout".split())
 CONTENT = frozenset("article main".split())
+#: Words of class, id and role of readers' comments, which may be articles.
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
+#: A form that holds one of these wraps a page: it is no form of the page.
+STRUCTURE = frozenset("article main nav header footer section aside".split())
 
 
 def _hinted(name: str) -> bool:
@@ -63,16 +68,39 @@ def _hinted(name: str) -> bool:
     return words[-1] in HINTS or (len(words) == 2 and words[0] in HINTS and words[1] in PARTS)
 
 
+def _comment(name: str) -> bool:
+    return _hinted(name) and bool(COMMENTS.intersection(re.split(r"[^a-z0-9]+", name)))
+
+
 def _boilerplate(tag: str, attributes: str) -> bool:
     if tag in DROPPED:
         return True
     if not attributes or tag == "body":
         return False
-    if tag not in CONTENT and any(_hinted(name) for m in _HINT.finditer(attributes) for name in (m[1] or m[2] or m[3] or "").lower().split()):
+    of_tag = _comment if tag in CONTENT else _hinted
+    if any(of_tag(name) for m in _HINT.finditer(attributes) for name in (m[1] or m[2] or m[3] or "").lower().split()):
         return True
     return bool(_HIDDEN.search(_VALUE.sub("= ", attributes)) or _UNSEEN.search(attributes))
 
 
+def _wrappers(source: str) -> set[int]:
+    """Numbers, in page order, of the forms that wrap a page's structure."""
+    out, open_, n = set(), [], 0
+    if "<form" in source.lower():
+        for m in _TOKEN.finditer(source):
+            tag = (m[3] or "").lower()
+            if tag == "form":
+                if m[2] != "/":
+                    open_.append(n)
+                    n += 1
+                elif open_:
+                    open_.pop()
+            elif tag in STRUCTURE and m[2] != "/":
+                out.update(open_)
+                open_ = [-1] * len(open_)  # these are known
+    return out
+
+
 class Page:
     """Tokens of a page: (key, text, block, dropped, labelled). key: a tag with + or -, or the kind of a word's block;
     text: null for tags."""
@@ -82,6 +110,8 @@ class Page:
         self.labelled = False
         stack: list[tuple[str, bool, bool]] = []
         block, kind, at = 0, "body", 0
+        depth: Counter = Counter()  # open elements of each tag
+        wrappers, forms = _wrappers(source), 0
         for m in _TOKEN.finditer(source):
             dropped = bool(stack) and stack[-1][1]
             inside = bool(stack) and stack[-1][2]
@@ -99,12 +129,19 @@ class Page:
                 kind = "body" if close else tag
             if tag in SCOPES:
                 if not close:
-                    content = tag in CONTENT
+                    plain = tag == "form" and forms in wrappers
+                    forms += tag == "form"
+                    gone = dropped or (not plain and _boilerplate(tag, m[4] or ""))
+                    content = tag in CONTENT and not gone
                     self.labelled |= content
-                    stack.append((tag, dropped or _boilerplate(tag, m[4] or ""), inside or content))
-                elif any(s[0] == tag for s in stack):
-                    while stack.pop()[0] != tag:
-                        pass
+                    stack.append((tag, gone, inside or content))
+                    depth[tag] += 1
+                elif depth[tag]:
+                    while True:
+                        last = stack.pop()[0]
+                        depth[last] -= 1
+                        if last == tag:
+                            break
             elif not close and tag not in INLINE and m[4] and _boilerplate(tag, m[4]):
                 kind = "boilerplate"
             now = bool(stack) and stack[-1][2]
