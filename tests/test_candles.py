@@ -98,8 +98,8 @@ def test_names_of_strategies(spark):
 def draws(spark, n=60):
     from tickloom.functions import noise
 
-    df = dense(spark, n).withColumn("timestamp", F.col("date")).withColumns({"d0": noise.digest(42, 0), "d1": noise.digest(42, 1)})
-    return df.select("underlying_price", *[noise.uniform(F.col("d0"), i).alias(f"u{i}") for i in range(4)], noise.uniform(F.col("d1"), 1).alias("u5")).orderBy("timestamp").collect()
+    df = noise.with_state(dense(spark, n).withColumn("timestamp", F.col("date")), 42)
+    return df.select("underlying_price", *[noise.uniform(F.col("__r"), i).alias(f"u{i}") for i in (0, 1, 2, 3, 5)]).orderBy("timestamp").collect()
 
 
 def test_spread_simulation_is_the_whole_recursion(spark):
@@ -200,3 +200,28 @@ def test_greeks(spark, kind):
         assert zero[name] is None and none[name] is None
     legacy = with_greeks(df, legacy_put_rho=True).first()
     assert legacy.rho == pytest.approx(abs(want["rho"]))
+
+
+def test_draws_are_uniform_and_unlike_from_row_to_row(spark):
+    """Means, the share below a quarter, neighbours in time, draws of a row and symbols beside each other."""
+    import numpy as np
+
+    from tickloom.functions import noise
+
+    rows = spark.range(40_000).selectExpr("cast(id % 2 as string) as symbol", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id div 2 as int)) as timestamp")
+    rows = noise.with_state(rows, 7).select("symbol", *[noise.uniform(F.col("__r"), i).alias(f"u{i}") for i in range(10)]).where("true").orderBy("symbol", "timestamp")
+    got = rows.toPandas()
+    u = got[[f"u{i}" for i in range(10)]].to_numpy()
+    assert (u >= 0).all() and (u < 1).all() and abs(u.mean(0) - 0.5).max() < 0.01 and abs((u < 0.25).mean(0) - 0.25).max() < 0.015
+    one, two = u[:20_000], u[20_000:]
+    seen = [np.corrcoef(u.T) - np.eye(10), np.corrcoef(one[1:].T, one[:-1].T)[:10, 10:], np.corrcoef(one.T, two.T)[:10, 10:]]
+    assert max(abs(x).max() for x in seen) < 0.04
+    assert len(np.unique(u[:, 0])) > 39_900
+
+
+def test_draws_of_null_symbols_and_times(spark):
+    from tickloom.functions import noise
+
+    rows = spark.createDataFrame([(None, None), ("", None), (None, None)], "symbol string, timestamp timestamp_ntz")
+    got = [r.u for r in noise.with_state(rows, 7).select(noise.uniform(F.col("__r"), 0).alias("u")).collect()]
+    assert got[0] == got[2] and all(0 <= u < 1 for u in got)

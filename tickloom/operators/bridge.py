@@ -18,6 +18,8 @@ from tickloom.functions import noise
 MEMORY = 5
 #: Weight of the trend of the last closes in a close.
 TREND = 0.72
+#: Numbers of the draws beside the four of prices.
+DRAW_VOLUME, DRAW_WIDTH = 4, 5
 
 
 def choose_price(df: DataFrame, share: float = 0.8) -> DataFrame:
@@ -42,35 +44,35 @@ def repaired_volume(volume: Column, u: Column, mean: float = 50.0) -> Column:
 
 def volume_repair(df: DataFrame, seed: int = 42) -> DataFrame:
     """df with its volume repaired; timestamp names the draw."""
-    u = noise.uniform(noise.digest(seed, 1), 0)
-    return df.withColumn("volume", F.round(repaired_volume(F.col("volume").cast("double"), u), 6))
+    drawn = noise.uniform(F.col("__r"), DRAW_VOLUME)
+    return noise.with_state(df, seed).withColumn("volume", F.round(repaired_volume(F.col("volume").cast("double"), drawn), 6)).drop("__r")
 
 
-def _finish(df: DataFrame, seed: int, open_: Column, high: Column, low: Column, close: Column, noisy: bool = False) -> DataFrame:
+def _finish(df: DataFrame, open_: Column, high: Column, low: Column, close: Column, noisy: bool = False) -> DataFrame:
     """noisy: the prices hold noise, so that none lies half way between two roundings and binary rounding does."""
     r = (lambda c: F.floor(c * 10_000 + 0.5) / 10_000) if noisy else (lambda c: F.round(c, 4))
-    drawn = noise.uniform(noise.digest(seed, 1), 0)
+    drawn = noise.uniform(F.col("__r"), DRAW_VOLUME)
     return df.select(
         "symbol", "timestamp", r(open_).alias("open"), r(high).alias("high"), r(low).alias("low"), r(close).alias("close"), F.round(repaired_volume(F.col("__volume"), drawn), 6).alias("volume"), F.col("__b").alias("source_price")
     )
 
 
-def _basic(df: DataFrame, seed: int) -> DataFrame:
+def _basic(df: DataFrame) -> DataFrame:
     b, s = F.col("__b"), F.col("__b") * 0.001
     o, c = (b + noise.between(F.col(u), -s / 3, s / 3) for u in ("__u0", "__u1"))
     df = df.withColumns({"__o": o, "__c": c})
     o, c = F.col("__o"), F.col("__c")
-    return _finish(df, seed, o, F.greatest(o, c) + F.col("__u2") * s / 2, F.least(o, c) - F.col("__u3") * s / 2, c, True)
+    return _finish(df, o, F.greatest(o, c) + F.col("__u2") * s / 2, F.least(o, c) - F.col("__u3") * s / 2, c, True)
 
 
-def _midpoint(df: DataFrame, seed: int) -> DataFrame:
+def _midpoint(df: DataFrame) -> DataFrame:
     b, s = F.col("__b"), F.col("__b") * 0.001
-    return _finish(df, seed, b + noise.between(F.col("__u0"), -s / 4, s / 4), b + s / 2, b - s / 2, b + noise.between(F.col("__u1"), -s / 4, s / 4))
+    return _finish(df, b + noise.between(F.col("__u0"), -s / 4, s / 4), b + s / 2, b - s / 2, b + noise.between(F.col("__u1"), -s / 4, s / 4))
 
 
-def _simple(df: DataFrame, seed: int) -> DataFrame:
+def _simple(df: DataFrame) -> DataFrame:
     b, s = F.col("__b"), F.col("__b") * 0.001
-    return _finish(df, seed, b, b + s / 2, b - s / 2, b + noise.between(F.col("__u0"), -s / 2, s / 2))
+    return _finish(df, b, b + s / 2, b - s / 2, b + noise.between(F.col("__u0"), -s / 2, s / 2))
 
 
 def _recursion(step: Callable[[np.ndarray, np.ndarray], np.ndarray], names: list[str], out: list[str]):
@@ -137,10 +139,10 @@ def _trend_step(rows: np.ndarray, past: np.ndarray) -> np.ndarray:
     return _rounded(rows[:, 0] + trend(past) * TREND)
 
 
-def _spread(df: DataFrame, seed: int) -> DataFrame:
+def _spread(df: DataFrame) -> DataFrame:
     """close(t) = round(1.15 b + n - 0.15 close(t-1), 4)."""
     b, s = F.col("__b"), F.col("__s")
-    df = df.withColumn("__s", b * 0.002 * noise.between(noise.uniform(noise.digest(seed, 1), 1), 0.5, 1.5))
+    df = df.withColumn("__s", b * 0.002 * noise.between(noise.uniform(F.col("__r"), DRAW_WIDTH), 0.5, 1.5))
     df = df.withColumn("__n", noise.between(F.col("__u1"), -s / 3, s / 3)).drop("__u1")
     df = _with_closes(df, _spread_step, ["__b", "__n"], 1)
     bias = F.coalesce((b - F.col("__before1")) * 0.3, F.lit(0.0))
@@ -149,10 +151,10 @@ def _spread(df: DataFrame, seed: int) -> DataFrame:
     df = df.withColumns({"__h": F.greatest(o, c) + F.col("__u2") * s / 2, "__l": F.least(o, c) - F.col("__u3") * s / 2})
     narrow = F.col("__h") - F.col("__l") < b * 0.0005
     mid = (o + c) / 2
-    return _finish(df, seed, o, F.when(narrow, mid + b * 0.00025).otherwise(F.col("__h")), F.when(narrow, mid - b * 0.00025).otherwise(F.col("__l")), c)
+    return _finish(df, o, F.when(narrow, mid + b * 0.00025).otherwise(F.col("__h")), F.when(narrow, mid - b * 0.00025).otherwise(F.col("__l")), c)
 
 
-def _trend(df: DataFrame, seed: int) -> DataFrame:
+def _trend(df: DataFrame) -> DataFrame:
     """close(t) = round(b + 0.72 trend + e, 4), trend from the last five closes."""
     b, e = F.col("__b"), F.col("__e")
     df = df.withColumn("__e", noise.normal(F.col("__u0"), F.col("__u1")) * 0.001 * b).drop("__u0", "__u1", "__u2", "__u3")
@@ -162,10 +164,10 @@ def _trend(df: DataFrame, seed: int) -> DataFrame:
     df = df.withColumn("__trend", F.when(known < 2, 0.0).otherwise((past[0] - F.coalesce(*reversed(past))) / known))
     t, c = F.col("__trend"), F.col("__close")
     o, up = b + t * 0.6 + e, F.col("__trend") > 0
-    return _finish(df, seed, o, F.greatest(o, c) + F.abs(t) * F.when(up, 0.5).otherwise(0.2), F.least(o, c) - F.abs(t) * F.when(up, 0.2).otherwise(0.5), c)
+    return _finish(df, o, F.greatest(o, c) + F.abs(t) * F.when(up, 0.5).otherwise(0.2), F.least(o, c) - F.abs(t) * F.when(up, 0.2).otherwise(0.5), c)
 
 
-STRATEGIES: dict[str, Callable[[DataFrame, int], DataFrame]] = {
+STRATEGIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "basic": _basic,
     "price_midpoint": _midpoint,
     "price_as_midpoint": _midpoint,
@@ -180,8 +182,8 @@ def bridge(dense: DataFrame, strategy: str = "basic", seed: int = 42, ts_col: st
     time. An unknown strategy is simple_spread."""
     volume = F.col("volume").cast("double") if "volume" in dense.columns else F.lit(None).cast("double")
     rows = dense.select("symbol", F.col(ts_col).alias("timestamp"), base_price(dense).alias("__b"), volume.alias("__volume")).where("__b > 0 and timestamp is not null")
-    rows = rows.withColumn("__d0", noise.digest(seed, 0)).withColumns({f"__u{i}": noise.uniform(F.col("__d0"), i) for i in range(4)}).drop("__d0")
-    return STRATEGIES.get(strategy, _simple)(rows, seed)
+    rows = noise.with_state(rows, seed).withColumns({f"__u{i}": noise.uniform(F.col("__r"), i) for i in range(4)})
+    return STRATEGIES.get(strategy, _simple)(rows)
 
 
 def cleanup_candles(df: DataFrame) -> DataFrame:

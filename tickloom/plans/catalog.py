@@ -309,17 +309,17 @@ def upsert_partial_columns(spark, d):
 
 @query
 def resample_5min(spark, d):
-    return _rounded(_candles(spark, d), 4)
+    return _rounded(_candles(spark, d))
 
 
 @query
 def resample_15min(spark, d):
-    return _rounded(_candles(spark, d, "15min"), 4)
+    return _rounded(_candles(spark, d, "15min"))
 
 
 @query
 def resample_7min(spark, d):
-    return _rounded(_candles(spark, d, "7m"), 4)
+    return _rounded(_candles(spark, d, "7m"))
 
 
 @query
@@ -604,7 +604,7 @@ def stream_candles_5min(spark, d):
     slices, files = write_in_order(with_closing_row(minute, "7 days"), f"{out}/in", slice_)
     source = spark.readStream.schema(minute.schema).option("maxFilesPerTrigger", max(1, files // max(1, slices))).parquet(f"{out}/in")
     run_to_end(stream_candles(source, "5min", slice_), f"{out}/data", f"{out}/state")
-    return _rounded(spark.read.parquet(f"{out}/data"), 4).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return _rounded(spark.read.parquet(f"{out}/data")).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 @query

@@ -17,7 +17,9 @@ def _tickers(symbol: str = "event_type") -> str:
   from (select {symbol}::varchar as symbol, date_trunc('minute', ts)::timestamp as date, event_id, user_id, value,
                case when event_id % 11 <> 0 then json_extract_string(props, '$.k')::double end as volume
         from events
-        qualify row_number() over (partition by {symbol}, date_trunc('minute', ts) order by event_id desc) = 1))"""
+        qualify row_number() over (partition by {symbol}, date_trunc('minute', ts) order by event_id desc) = 1)),
+crcs as (select symbol, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(8 * strlen(symbol)), lambda i: (('0x' || substr(hex(symbol), 1 + 2 * (i // 8)::bigint, 2))::bigint >> (i % 8)::bigint) & 1)),
+         lambda s, b: xor(s >> 1, 3988292384 * (xor(s, b) & 1)))) as crc from (select distinct symbol from tickers))"""
 
 
 def _dense(source: str = "tickers", min_points: int = 10, days: int = 30, order: str = "date") -> str:
@@ -41,14 +43,54 @@ dense as (
   from (select *, greatest(gap, 1)::double as step, unnest(range(0, case when gap is null then date_diff('second', date, t1) // 60 else greatest(gap, 1) - 1 end + 1)) as k from anchors))"""
 
 
-def _u(part: int, i: int) -> str:
-    return f"(('0x' || substr(md5(concat_ws(',', '42', '{part}', symbol, epoch(timestamp)::bigint::varchar)), {1 + 8 * i}, 8))::bigint / 4294967296::double)"
+_WORD = 4294967295
 
 
-_VOLUME = f"round(greatest(case when v > 0 then v else -50::double * ln(1 - {_u(1, 0)}) end, 0), 6)"
+def _times(x: str, by: int) -> str:
+    return f"((({x})::hugeint * {by}) & {_WORD})::bigint"
+
+
+def _turned(x: str, n: int) -> str:
+    return f"((({x} << {n}) & {_WORD}) | ({x} >> {32 - n}))"
+
+
+def _taken(h: str, word: str) -> str:
+    """Murmur3's state h after one more word of 32 bits."""
+    key = _times(_turned(_times(word, 0xCC9E2D51), 15), 0x1B873593)
+    return f"((({_turned(f'xor({h}, {key})', 13)}) * 5 + {0xE6546B64}) & {_WORD})"
+
+
+def _ended(h: str, size: int) -> str:
+    h = f"xor({h}, {size})"
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = _times(f"xor({h}, {h} >> {shift})", by)
+    return f"xor({h}, {h} >> 16)"
+
+
+def _hashed(h: str, value: str, out: str, source: str) -> str:
+    """source with the column out: Spark's hash of a long, begun at h."""
+    steps = f"select *, {_taken(h, f'({value} & {_WORD})')} as h1 from {source}"
+    steps = f"select *, {_taken('h1', f'(({value} >> 32) & {_WORD})')} as h2 from ({steps})"
+    return f"(select * exclude (h1, h2), {_ended('h2', 8)} as {out} from ({steps}))"
+
+
+def _noised(source: str) -> str:
+    """The rows of source, a select with symbol and timestamp, with their states as the draws begin: xs of the symbol and rs of the row; seed 42."""
+    keys = f"(select s.*, crc, 42::bigint as ks, epoch(timestamp)::bigint as kt from ({source}) s left join crcs using (symbol))"
+    for h, value, out in (("42::bigint", "ks", "x0"), ("x0", "crc", "xa"), ("xa", "kt", "r")):
+        keys = _hashed(h, value, out, keys)
+    begun = ", ".join(f"{_ended(_taken('42::bigint', h), 4)} as {out}" for h, out in (("xa", "xs"), ("r", "rs")))
+    return f"(select * exclude (crc, ks, kt, x0, xa, r), {begun} from {keys})"
+
+
+def _u(i: int, state: str = "rs") -> str:
+    return f"({_ended(_taken(state, f'{i}::bigint'), 4)} / 4294967296::double)"
+
+
+_VOLUME = f"round(greatest(case when v > 0 then v else -50::double * ln(1 - {_u(4)}) end, 0), 6)"
 _POINTS = f"""points as (
-  select symbol, timestamp, b, v, {", ".join(f"{_u(0, i)} as u{i}" for i in range(4))}, {_u(1, 1)} as u5, {_VOLUME} as volume
-  from (select symbol, date as timestamp, coalesce(nullif(underlying_price, 0), nullif(mark_price, 0), index_price) as b, volume as v from dense) where b > 0)"""
+  select symbol, timestamp, b, v, {", ".join(f"{_u(i)} as u{i}" for i in (0, 1, 2, 3, 5))}, {_VOLUME} as volume
+  from {_noised("select symbol, date as timestamp, coalesce(nullif(underlying_price, 0), nullif(mark_price, 0), index_price) as b, volume as v from dense")} where b > 0)"""
 _SHAPES = {
     "basic": (
         "select *, b * 0.001::double as s from points",
@@ -89,7 +131,7 @@ T = _tickers()
 U = _tickers("user_id")
 D = _dense()
 M = _minute()
-CANDLE_COLUMNS = "symbol, timestamp, round(open, 4) as open, round(high, 4) as high, round(low, 4) as low, round(close, 4) as close, round(volume, 4) as volume, frequency, source_candles"
+CANDLE_COLUMNS = "symbol, timestamp, round(open, 4) as open, round(high, 4) as high, round(low, 4) as low, round(close, 4) as close, round(volume, 6) as volume, frequency, source_candles"
 MANY = """many as (select event_type as symbol, date_trunc('minute', ts)::timestamp as date, value / 100 as iv, value + 100 as underlying_price, value / 1000 as time_to_maturity, event_id as strike,
   'c' as callput, null as interest_rate, null as mark_price, null as index_price, null as volume, null as quote_volume, null as record_time from events)"""
 HALF = """half as (select * from (select event_type as symbol, date_trunc('minute', ts)::timestamp + case when second(ts) >= 30 then interval 30 seconds else interval 0 seconds end as date,
@@ -135,13 +177,12 @@ def _trend() -> str:
 
 def _walk() -> str:
     normal = lambda u, v: f"sqrt(-2 * ln(1 - {u})) * cos(2 * pi() * {v})"
-    start = lambda i: f"(('0x' || substr(md5('42,start,' || symbol), {1 + 8 * i}, 8))::bigint / 4294967296::double)"
     return f"""minutes as (select symbol, timestamp '2023-03-20 09:00:00' + to_minutes(id::int) as timestamp, id from (select distinct symbol from tickers), range(0, 1440) r(id)),
-draws as (select *, {_u(0, 0)} as a0, {_u(0, 1)} as a1, {_u(0, 2)} as a2, {_u(0, 3)} as a3, {_u(1, 0)} as b0, {_u(1, 1)} as b1, {_u(1, 2)} as b2, {start(0)} as s0, {start(1)} as s1 from minutes),
-steps as (select *, {_r(normal("a0", "a1") + " * 10", 2)} as step, {_r("25000::double + " + normal("s0", "s1") + " * 500", 2)} as first from draws),
+draws as (select *, {", ".join(f"{_u(i)} as u{i}" for i in range(7))}, {_u(8, "xs")} as s0, {_u(9, "xs")} as s1 from {_noised("select * from minutes")}),
+steps as (select *, {_r(normal("u0", "u1") + " * 10", 2)} as step, {_r("25000::double + " + normal("s0", "s1") + " * 500", 2)} as first from draws),
 closes as (select *, (sum(round(step * 100)::bigint) over (partition by symbol order by id) + round(first * 100)::bigint) / 100::double as close from steps),
 candles as (select *, coalesce(lag(close) over (partition by symbol order by id), first) as open from closes)
-select symbol, timestamp, open, {_r("greatest(open, close) + abs(" + normal("a2", "b0") + " * 3)", 2)} as high, {_r("least(open, close) - abs(" + normal("a3", "b1") + " * 3)", 2)} as low, close, {_r("-50::double * ln(1 - b2)", 4)} as volume from candles"""
+select symbol, timestamp, open, {_r("greatest(open, close) + abs(" + normal("u2", "u4") + " * 3)", 2)} as high, {_r("least(open, close) - abs(" + normal("u3", "u5") + " * 3)", 2)} as low, close, {_r("-50::double * ln(1 - u6)", 4)} as volume from candles"""
 
 
 def _upsert(update: str) -> str:
@@ -208,7 +249,7 @@ ORACLES: dict[str, str] = {
   round(case when h - l < b * 0.0005::double then mid - b * 0.00025::double else l end, 4) as low, round(cl, 4) as close, volume, b as source_price from f6""",
     "bridge_trend": _with(T, D, _POINTS, _trend()) + f"""select symbol, timestamp, {_r("o", 4)} as open, {_r("greatest(o, cl) + abs(trend) * case when trend > 0 then 0.5::double else 0.2::double end", 4)} as high,
   {_r("least(o, cl) - abs(trend) * case when trend > 0 then 0.2::double else 0.5::double end", 4)} as low, cl as close, volume, b as source_price from (select *, b + trend * 0.6::double + e as o from p{TREND_PASSES})""",
-    "volume_repair": _with(T) + f"select symbol, timestamp, {_VOLUME} as volume from (select symbol, date as timestamp, volume as v from tickers)",
+    "volume_repair": _with(T) + f"select symbol, timestamp, {_VOLUME} as volume from {_noised('select symbol, date as timestamp, volume as v from tickers')}",
     "quality_gate": _with(T, BROKEN, MENDED) + """select symbol, reason is null as valid, reason from (select symbol, case when bool_or(high < low) then 'high below low' when bool_or(high < open or high < close) then 'high below open or close'
   when bool_or(low > open or low > close) then 'low above open or close' when bool_or((high - low) / source_price > 0.1) then 'spread too wide' when bool_or(least(open, high, low, close) <= 0) then 'price not above zero' end as reason
   from mended group by symbol)""",
@@ -276,7 +317,7 @@ ORACLES: dict[str, str] = {
     "low_throughput_alert": _with(U, OUTCOMES, SNAPSHOTS) + "select batch_id, taken_at, case when round(dr / nullif(dt, 0), 4) < 2000 then 'low throughput' end as alert from steps",
     "greeks": _with(T, GREEKS) + f"select symbol, date, {_r('delta', 8)} as delta, {_r('gamma', 8)} as gamma, {_r('theta', 8)} as theta, {_r('vega', 8)} as vega, {_r('rho', 8)} as rho from greeks",
     "greeks_legacy_rho": _with(T, GREEKS) + f"select symbol, date, {_r("case when callput = 'p' then -rho else rho end", 8)} as rho from greeks",
-    "run_pipeline_end": _with(T, D, M, _candles(5, "5min", "(select symbol, timestamp, open::decimal(15,4) as open, high::decimal(15,4) as high, low::decimal(15,4) as low, close::decimal(15,4) as close, volume::decimal(20,8) as volume from m2)").replace("candles as (", "d2 as (select symbol, date, round(underlying_price, 4) as underlying_price, round(mark_price, 4) as mark_price, round(index_price, 4) as index_price, volume from dense),\nm2 as (select * from minute),\ncandles as (")).replace("volume as v from dense) where b > 0", "volume as v from (select symbol, date, underlying_price::varchar::decimal(15,4)::double as underlying_price, mark_price::varchar::decimal(15,4)::double as mark_price, index_price::varchar::decimal(15,4)::double as index_price, volume from dense)) where b > 0") + "select symbol, timestamp, open, high, low, close, volume from candles",
+    "run_pipeline_end": _with(T, D, M, _candles(5, "5min", "(select symbol, timestamp, open::decimal(15,4) as open, high::decimal(15,4) as high, low::decimal(15,4) as low, close::decimal(15,4) as close, volume::decimal(20,8) as volume from m2)").replace("candles as (", "d2 as (select symbol, date, round(underlying_price, 4) as underlying_price, round(mark_price, 4) as mark_price, round(index_price, 4) as index_price, volume from dense),\nm2 as (select * from minute),\ncandles as (")).replace("volume as v from dense", "volume as v from (select symbol, date, underlying_price::varchar::decimal(15,4)::double as underlying_price, mark_price::varchar::decimal(15,4)::double as mark_price, index_price::varchar::decimal(15,4)::double as index_price, volume from dense)") + "select symbol, timestamp, open, high, low, close, volume from candles",
     "run_pipeline_outcomes": _with(T, D, M, _candles(5, "5min")) + """, n as (select symbol, (select count(*) from tickers t where t.symbol = s.symbol) as a, (select count(*) from dense t where t.symbol = s.symbol) as b,
   (select count(*) from minute t where t.symbol = s.symbol) as c, (select count(*) from candles t where t.symbol = s.symbol) as d from (select distinct symbol from tickers) s)
   select symbol, 'success' as status, null::varchar as reason, a as input_rows, b as output_rows, 'interpolation' as stage from n union all select symbol, 'success', null, b, c, 'bridge' from n union all select symbol, 'success', null, c, d, 'candles' from n""".lstrip(),

@@ -31,26 +31,26 @@ def synthetic_candles(spark: SparkSession, symbols: list[str] | DataFrame, start
     names = spark.createDataFrame([(s,) for s in symbols], "symbol string") if isinstance(symbols, list) else symbols.select("symbol").distinct()
     minutes = hours * 60
     blocks = names.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((minutes - 1) // block))))
-    u = lambda d, i: noise.uniform(F.col(d), i)
+    u = lambda i: noise.uniform(F.col("state"), i)
     # prices in whole hundredths, so that sums do not depend on their order
-    first = F.round(F.round(F.lit(base) + noise.normal(u("ds", 0), u("ds", 1)) * 500, 2) * 100).cast("long")
+    first = F.round(F.round(F.lit(base) + noise.normal(u(8), u(9)) * 500, 2) * 100).cast("long")
 
     def rows(of: DataFrame) -> DataFrame:
         out = of.withColumn("id", F.explode(F.sequence(F.col("block") * block, F.least(F.col("block") * block + block, F.lit(minutes)) - 1)))
-        out = out.withColumn("timestamp", F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id"))).withColumn("d0", noise.digest(seed, 0))
-        return out.withColumn("step", F.round(F.round(noise.normal(u("d0", 0), u("d0", 1)) * 10, 2) * 100).cast("long"))
+        out = out.withColumn("timestamp", F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id")))
+        return noise.with_state(out, seed, "state").withColumn("step", F.round(F.round(noise.normal(u(0), u(1)) * 10, 2) * 100).cast("long"))
 
     totals = rows(blocks).groupBy("symbol", "block").agg(F.sum("step").alias("total"))
     before = Window.partitionBy("symbol").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("ds", F.md5(F.concat_ws(",", F.lit(str(seed)), F.lit("start"), F.col("symbol"))))
+    offsets = noise.with_state(totals, seed, "state", ts=None)
     offsets = offsets.select("symbol", "block", (first + F.coalesce(F.sum("total").over(before), F.lit(0))).alias("offset"))
     own = Window.partitionBy("symbol", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    out = rows(offsets).withColumn("d1", noise.digest(seed, 1)).withColumn("sum", F.col("offset") + F.sum("step").over(own))
+    out = rows(offsets).withColumn("sum", F.col("offset") + F.sum("step").over(own))
     out = out.withColumns({"close": F.col("sum") / 100.0, "open": (F.col("sum") - F.col("step")) / 100.0})
-    wick = lambda a, b: F.abs(noise.normal(u("d0", a), u("d1", b)) * 3)
+    wick = lambda a, b: F.abs(noise.normal(u(a), u(b)) * 3)
     return out.select(
-        "symbol", "timestamp", "open", F.round(F.greatest("open", "close") + wick(2, 0), 2).alias("high"), F.round(F.least("open", "close") - wick(3, 1), 2).alias("low"), "close",
-        F.round(noise.exponential(u("d1", 2), 50.0), 4).alias("volume"),
+        "symbol", "timestamp", "open", F.round(F.greatest("open", "close") + wick(2, 4), 2).alias("high"), F.round(F.least("open", "close") - wick(3, 5), 2).alias("low"), "close",
+        F.round(noise.exponential(u(6), 50.0), 4).alias("volume"),
     )
 
 
