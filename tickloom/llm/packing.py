@@ -5,8 +5,8 @@ checksums are kept. How many pieces there are of each length is all that the pla
 whatever the input. For every length from the largest down, the plan looks up the gap in the index of single lengths,
 then of pair sums, then of triple sums, and consumes the combination as often as counts allow; each step uses up one
 length, so there are at most `limit` of them. What is left is placed best-fit, largest first, again count by count.
-Pieces of one length are interchangeable: each takes its rank among them (counted within hash buckets and shifted by
-the buckets before, so no length is ranked in one task), and its rank says which sequence it goes to and where.
+Pieces of one length are interchangeable: each takes its rank among them (counted within hash buckets, at least
+as many as shuffle partitions, and shifted by the buckets before, so no length is ranked in one task), and its rank says which sequence it goes to and where.
 
 Null texts are empty and hold the end id alone. Rows that share an id are packed each for itself. Every sequence is
 filled from offset 0 without gaps.
@@ -18,6 +18,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -80,47 +81,72 @@ def _piece_rows(limit: int, end_id: int, vocabulary: str):
     return run
 
 
+class Sums:
+    """The sums of two and of three available lengths, by sum. Counts only fall, so what they cannot serve any more is
+    taken out of the index for good, and a look-up costs about what it takes out."""
+
+    def __init__(self, left: np.ndarray):
+        """left: counts of each length, which the plan goes on lowering."""
+        self.left, lengths = left, np.flatnonzero(left)
+        lengths = lengths[lengths > 0]
+        i, j = np.triu_indices(len(lengths))
+        small, total = lengths[i], lengths[i] + lengths[j]
+        order = np.lexsort((-small, total))
+        bounds = np.searchsorted(total[order], np.arange(len(left) + 1))
+        #: Of each sum the smaller length of its pairs, the smallest last.
+        self.pairs = [small[order[a:b]].tolist() for a, b in pairwise(bounds)]
+        #: Of each sum the lengths that leave the sum of a pair, the largest last.
+        self.triples = [[a for a in lengths.tolist() if a < total and self.pairs[total - a]] for total in range(len(left))]
+
+    def _fits(self, total: int, small: int) -> bool:
+        return self.left[small] > (2 * small == total) and self.left[total - small] > 0
+
+    def pair(self, total: int) -> list[int] | None:
+        found = self.pairs[total]
+        while found and not self._fits(total, found[-1]):
+            found.pop()
+        return [total - found[-1], found[-1]] if found else None
+
+    def triple(self, total: int) -> list[int] | None:
+        firsts = self.triples[total]
+        while firsts and not (self.left[firsts[-1]] > 0 and self.pair(total - firsts[-1])):
+            firsts.pop()
+        for a in reversed(firsts):
+            if self.left[a] <= 0:
+                continue
+            self.left[a] -= 1  # the pair must do without it, for this look-up only
+            small = next((x for x in reversed(self.pairs[total - a]) if self._fits(total - a, x)), None)
+            self.left[a] += 1
+            if small is not None:
+                return [a, total - a - small, small]
+        return None
+
+
 class Plan:
     """Which sequence and offset the piece with a given rank among those of its length has."""
 
     def __init__(self, counts: np.ndarray, limit: int = LIMIT):
         """counts: of each length from 0 to limit."""
         self.limit, self.left, self.used = limit, counts.astype(np.int64).copy(), np.zeros(limit + 1, np.int64)
-        self.n_sequences = 0
+        self.sums, self.n_sequences = Sums(self.left), 0
         self.slots: list[list[tuple[int, int, int]]] = [[] for _ in range(limit + 1)]  # first rank, first sequence, offset
         for size in range(limit, 0, -1):
             while self.left[size] and (rest := self._complement(size)) is not None:
                 parts = [size, *rest]
                 self._open(parts, min(self.left[x] // parts.count(x) for x in set(parts)))
+        del self.sums  # the plan is sent to the tasks
         self._residuals()
         self.edges = [(np.array([s[0] for s in x], np.int64), np.array([s[1] for s in x], np.int64), np.array([s[2] for s in x], np.int64)) for x in self.slots]
 
     def _complement(self, size: int) -> list[int] | None:
         """One, two or three lengths that fill what a piece of this length leaves, all available with it."""
-        gap, left = self.limit - size, self.left.copy()
-        left[size] -= 1
+        gap = self.limit - size
         if not gap:
             return []
-        if left[gap]:
-            return [gap]
-        if pair := self._pair(left, gap):
-            return pair
-        for a in range(gap - 2, 0, -1):
-            if left[a]:
-                left[a] -= 1
-                pair = self._pair(left, gap - a)
-                left[a] += 1
-                if pair:
-                    return [a, *pair]
-        return None
-
-    @staticmethod
-    def _pair(left: np.ndarray, total: int) -> list[int] | None:
-        if total < 2:
-            return None
-        small = np.arange(1, total // 2 + 1)
-        ok = np.flatnonzero((left[small] > 0) & (left[total - small] > (small * 2 == total)))
-        return [total - int(small[ok[0]]), int(small[ok[0]])] if len(ok) else None
+        self.left[size] -= 1
+        found = [gap] if self.left[gap] else self.sums.pair(gap) or self.sums.triple(gap)
+        self.left[size] += 1
+        return found
 
     def _put(self, size: int, sequence: int, offset: int, many: int) -> None:
         self.slots[size].append((int(self.used[size]), sequence, offset))
@@ -185,7 +211,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
     for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most `limit` rows
         counts[r.length] = r.n
     plan = spark.sparkContext.broadcast(Plan(counts, limit))
-    n_buckets = int(counts.max(initial=0) // BUCKET_ROWS + 1)
+    n_buckets = max(int(counts.max(initial=0) // BUCKET_ROWS + 1), int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_buckets)))
     before = rows.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = before.select("length", "bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"))
