@@ -88,7 +88,7 @@ def _u(i: int, state: str = "rs") -> str:
 
 
 _VOLUME = f"round(greatest(case when v > 0 then v else -50::double * ln(1 - {_u(4)}) end, 0), 6)"
-_POINTS = f"""points as (
+_POINTS = f"""points as materialized (
   select symbol, timestamp, b, v, {", ".join(f"{_u(i)} as u{i}" for i in (0, 1, 2, 3, 5))}, {_VOLUME} as volume
   from {_noised("select symbol, date as timestamp, coalesce(nullif(underlying_price, 0), nullif(mark_price, 0), index_price) as b, volume as v from dense")} where b > 0)"""
 _SHAPES = {
