@@ -6,8 +6,9 @@ that is rarest in the texts (counted over all texts, ties by hash). Texts join t
 shingle's place in the window gives the only possible start (positional bound), which must leave room for the whole
 window inside the text (length bound); every word of the window is then compared.
 
-The benchmark is the small side. It is taken in parts of at most PART_BYTES of text each, whose size is asked first;
-every part is broadcast on its own and adds to the hits of the parts before, so a benchmark of any size is joined.
+The benchmark is the small side. It is taken in parts of about PART_BYTES each (texts, ids and ITEM_BYTES an item), whose
+size is asked first; every part is broadcast on its own and adds to the hits of the parts before, so a benchmark of any
+size is joined and the driver holds one part at a time: about 40 bytes of arrays for a byte of text. Items are not cut.
 
 Null and empty texts have no words and no hits. An item without words has no window. A null item_id counts as the
 string null. Repeated items count once by id; rows of texts stay rows. Columns of the input besides the two used are
@@ -27,7 +28,7 @@ from tickloom.cluster import ship
 from tickloom.llm import scan
 
 WINDOW, SHINGLE = 13, 5
-PART_BYTES = 16 << 20
+PART_BYTES, ITEM_BYTES = 4 << 20, 64
 _FILTER = 1 << 20
 
 
@@ -55,19 +56,21 @@ class Windows:
         self.first, self.size, self.item, self.shingle = cat(first), cat(size), cat(item), shingle
 
     def shingles(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """By shingle length (five; the window's own length if that is less): window numbers, and for each of them the
-        places and hashes of its shingles, one row a window and place."""
+        """By shingle length (five; the window's own length if that is less): window numbers, and the places among all
+        words and the hashes of their shingles; windows that overlap share them."""
         out = {}
-        for k in np.unique(np.minimum(self.size, self.shingle)).tolist():
-            own = np.flatnonzero(np.minimum(self.size, self.shingle) == k)
-            n = self.size[own] - k + 1
-            win = np.repeat(own, n)
-            place = np.arange(len(win)) - np.repeat(np.cumsum(n) - n, n)
-            h = np.full(len(win), k, np.uint64)
+        length = np.minimum(self.size, self.shingle)
+        for k in np.unique(length).tolist():
+            own = np.flatnonzero(length == k)
+            edge = np.zeros(len(self.h) + 1, np.int64)
+            np.add.at(edge, self.first[own], 1)
+            np.add.at(edge, self.first[own] + self.size[own] - k + 1, -1)
+            at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+            h = np.full(len(at), k, np.uint64)
             for j in range(k):
-                h = (h ^ self.h[self.first[win] + place + j]) * scan._Q
+                h = (h ^ self.h[at + j]) * scan._Q
                 h ^= h >> np.uint64(29)
-            out[k] = (win, place, scan.mix(h))
+            out[k] = (own, at, scan.mix(h))
         return out
 
 
@@ -108,16 +111,29 @@ def _count_rows(known: dict[int, np.ndarray]):
 class Index:
     """The windows by their rarest shingle."""
 
-    def __init__(self, windows: Windows, counts: dict[tuple[int, int], int]):
+    def __init__(self, windows: Windows, counts: dict[int, tuple[np.ndarray, np.ndarray]]):
+        """counts: by shingle length the hashes of shingles that the texts hold, ascending, and how often they do."""
         self.w, self.by = windows, {}
-        for k, (win, place, h) in windows.shingles().items():
-            n = np.array([counts.get((k, x), 0) for x in h.view(np.int64).tolist()], np.int64)
-            order = np.lexsort((place, h, n, win))
-            keep = order[np.concatenate([[True], np.diff(win[order]) != 0])] if len(order) else order
-            keep = keep[np.argsort(h[keep], kind="stable")]
-            table = Lookup(h[keep])
-            lo = np.searchsorted(h[keep], table.known)
-            self.by[k] = (table, lo, np.diff(np.append(lo, len(keep))), win[keep], place[keep])
+        for k, (own, at, h) in windows.shingles().items():
+            known, many = counts.get(k, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+            n = np.zeros(len(h), np.int64)
+            if len(known):
+                i = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                n = np.where(known[i] == h, many[i], 0)
+            order = np.lexsort((at, h, n))  # the rarest first
+            rank = np.empty(len(at), np.int64)
+            rank[order] = np.arange(len(at))
+            slot, places = np.searchsorted(at, windows.first[own]), windows.size[own] - k + 1
+            best = rank[slot]
+            for j in range(1, int(places.max())):
+                more = np.flatnonzero(places > j)
+                best[more] = np.minimum(best[more], rank[slot[more] + j])
+            best = order[best]
+            by_hash = np.argsort(h[best], kind="stable")
+            win, best = own[by_hash], best[by_hash]
+            table = Lookup(h[best])
+            lo = np.searchsorted(h[best], table.known)
+            self.by[k] = (table, lo, np.diff(np.append(lo, len(best))), win, at[best] - windows.first[win])
 
     def occurrences(self, words: scan.Words) -> tuple[np.ndarray, np.ndarray]:
         """(first word, window) of every occurrence of a window."""
@@ -185,14 +201,23 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, keep: list[str], text_col:
     spark = docs.sparkSession
     ship(spark)
     items = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("t")).distinct()
-    parts = max(1, -(-(items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // part_bytes))
+    size = items.agg(F.sum(F.octet_length("t") + F.octet_length("i") + ITEM_BYTES)).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
     text = F.col(text_col).alias("__text")
     out = docs.select(*keep, text, F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hit_from"), F.array().cast("array<int>").alias("hit_to"), F.array().cast("array<string>").alias("item_ids"))
     for part in range(parts):
-        windows = Windows([(r.i, r.t) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part).collect()], window)
+        own = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part).toArrow()
+        windows = Windows(list(zip(own["i"].to_pylist(), own["t"].to_pylist(), strict=True)), window)
         known = {k: np.unique(h) for k, (_, _, h) in windows.shingles().items()}
-        counts = docs.select(text).mapInArrow(_count_rows(known), "k long, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n")).collect() if known else []
-        index = Index(windows, {(r.k, r.h): r.n for r in counts})
+        counts = {}
+        if known:  # at most the part's own shingles come back
+            found = docs.select(text).mapInArrow(_count_rows(known), "k long, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n")).toArrow()
+            k, h, n = (found[c].to_numpy() for c in ("k", "h", "n"))
+            for x in known:
+                mine = np.flatnonzero(k == x)
+                order = mine[np.argsort(h[mine].view(np.uint64))]
+                counts[x] = (h[order].view(np.uint64), n[order])
+        index = Index(windows, counts)
         out = out.mapInArrow(_hit_rows(spark.sparkContext.broadcast(index), len(keep)), out.schema)
     return out.withColumnRenamed("__text", text_col)
 
