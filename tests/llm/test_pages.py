@@ -213,3 +213,43 @@ BODY = "Many plain words stand in this paragraph, which is the content of the pa
 )
 def test_layout_classes_do_not_drop_the_content(page):
     assert maintext.main_text(page, maintext.Weights({}, {})) == BODY
+
+
+class Flat:
+    """One weight for all words and one for all tags."""
+
+    def of(self, key):
+        return 1.0 if key.startswith("word") else -0.01
+
+
+def test_learned_weights_decide():
+    """Where nothing marks the content, link lists and blocks with names from outside stay out by their scores alone."""
+    from collections import Counter
+
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(8)) + "</ul>"
+    teaser = "<div class='teaser box-7'><p>Read this other story</p></div>"
+    words = "<p>Plain words of the story itself stand here.</p>"
+    inner, outer = Counter(), Counter()
+    for _ in range(60):
+        i, o = maintext.counts(f"<body>{links}{teaser}<article class='story'><h1>Head</h1>{words * 3}</article>{links}</body>")
+        inner.update(i)
+        outer.update(o)
+    assert outer[".teaser"] == 60 and not inner[".teaser"] and inner[".story"] == 60
+    learned = maintext.Weights(inner, outer)
+    page = f"<body>{links}{teaser}<div class='story'>{words * 3}</div>{teaser}{links}</body>"
+    want = "\n\n".join(["Plain words of the story itself stand here."] * 3)
+    assert maintext.main_text(page, learned) == want
+    assert "Link 3" in maintext.main_text(page, Flat()) and "other story" in maintext.main_text(page, Flat())
+    # one name decides
+    del outer[".teaser"], outer[".box-7"]
+    outer["+div"] = outer["-div"] = 0
+    assert "other story" in maintext.main_text(page, maintext.Weights(inner, outer))
+
+
+def test_the_walk_is_bounded_by_score():
+    """An article goes on to its end past a cut-out advert and a short last block, but not where that outweighs the rest."""
+    flat = maintext.Weights({"word p": 50, "+p": 50}, {"+li": 400, "-li": 400, "+div": 90, "-div": 90})
+    page = f"<article><p>{BODY}</p><div class=ad>{'Buy this now. ' * 500}</div><div>End.</div></article>"
+    assert maintext.main_text(page, flat) == f"{BODY}\n\nEnd."
+    farm = "<article><p>A few words.</p><ul>" + "<li><a href=/>x</a></li>" * 300 + "</ul></article>"
+    assert maintext.main_text(farm, flat) == "A few words."

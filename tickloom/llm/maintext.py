@@ -1,11 +1,12 @@
 """Main text by the maximum-scoring subsequence.
 
 A page is a sequence of words and tags. Words score above zero where they stand in plain blocks and below zero in
-boilerplate (menus, headers, footers, sidebars, notices, adverts, forms, comments, known by element or by the words of
-class, id and role); tags score below zero. The weights are log ratios learned from labelled pages: how often a tag,
-or a word in a block of some kind, stands inside the labelled content and outside. One linear scan finds the
-contiguous run with the highest sum; where an end of it lies in an article or main element, it goes on to that
-element's end. Its blocks, without those in boilerplate, are the text.
+links; tags score below zero, and more so with a class, id or role that stands outside of content. Boilerplate (menus,
+headers, footers, sidebars, notices, adverts, forms, comments, known by element or by the words of class, id and role) is
+cut out and scores nothing. The weights are log ratios learned from labelled pages: how often a tag, a name, or a word in
+a block of some kind, stands inside the labelled content and outside. One linear scan finds the contiguous run with the
+highest sum; where an end of it lies in an article or main element, it goes on to that element's end if the sum stays
+above zero. Its blocks, without what is cut out, are the text.
 
 Pages that mark their content (article or main) label themselves; at most max_pages of them (smallest hash of the id)
 are learned from, added to one prior count each, so that any page can be scored, labelled or not.
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from tickloom.cluster import ship
 
 MAX_PAGES = 1000
+#: Keys of weights, the most frequent ones.
+MAX_KEYS = 4096
 RAW = "script|style|noscript|template|svg|iframe|object|canvas|title|select|textarea|button|math|audio|video"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"'=]|=\s*\"[^\"]*+\"|=\s*'[^']*+'|=|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<[a-z][^<>]*(?:>|\Z)",
@@ -60,6 +63,11 @@ COMMENTS = frozenset("comment comments disqus replies reply respond".split())
 STRUCTURE = frozenset("article main nav header footer section aside".split())
 
 
+def _names(attributes: str) -> list[str]:
+    """The words of class, id and role."""
+    return [name for m in _HINT.finditer(attributes) for name in (m[1] or m[2] or m[3] or "").lower().split()]
+
+
 def _hinted(name: str) -> bool:
     """Whether a class, id or role is a hint, ends with one, or begins with one and ends with a part of one."""
     words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
@@ -78,7 +86,7 @@ def _boilerplate(tag: str, attributes: str) -> bool:
     if not attributes or tag == "body":
         return False
     of_tag = _comment if tag in CONTENT else _hinted
-    if any(of_tag(name) for m in _HINT.finditer(attributes) for name in (m[1] or m[2] or m[3] or "").lower().split()):
+    if any(map(of_tag, _names(attributes))):
         return True
     return bool(_HIDDEN.search(_VALUE.sub("= ", attributes)) or _UNSEEN.search(attributes))
 
@@ -102,8 +110,8 @@ def _wrappers(source: str) -> set[int]:
 
 
 class Page:
-    """Tokens of a page: (key, text, block, dropped, labelled). key: a tag with + or -, or the kind of a word's block;
-    text: null for tags."""
+    """Tokens of a page: (key, text, block, dropped, labelled). key: a tag with + or -, a name of a tag with a point, or the
+    kind of a word's block; text: null for tags and names."""
 
     def __init__(self, source: str):
         self.tokens: list[tuple[str, str | None, int, bool, bool]] = []
@@ -145,7 +153,10 @@ class Page:
             elif not close and tag not in INLINE and m[4] and _boilerplate(tag, m[4]):
                 kind = "boilerplate"
             now = bool(stack) and stack[-1][2]
-            self.tokens.append((f"{'-' if close else '+'}{tag}", None, block, dropped, inside or now))
+            gone = dropped or kind == "boilerplate" or (bool(stack) and stack[-1][1])
+            self.tokens.append((f"{'-' if close else '+'}{tag}", None, block, gone, inside or now))
+            if m[4] and not close and tag not in INLINE:
+                self.tokens += [(f".{name}", None, block, gone, inside or now) for name in dict.fromkeys(_names(m[4]))]
         self._text(source[at:], kind, block, bool(stack) and stack[-1][1], bool(stack) and stack[-1][2], stack)
 
     def _text(self, raw: str, kind: str, block: int, dropped: bool, inside: bool, stack) -> None:
@@ -162,8 +173,8 @@ def counts(source: str) -> tuple[Counter, Counter] | None:
     if not page.labelled:
         return None
     inner, outer = Counter(), Counter()
-    for key, text, _, _, inside in page.tokens:
-        (inner if inside else outer)[key] += 1 if text is None else len(text.split())
+    for key, text, _, dropped, inside in page.tokens:
+        (inner if inside and not dropped else outer)[key] += 1 if text is None else len(text.split())
     return inner, outer
 
 
@@ -177,8 +188,8 @@ class Weights:
 
     def of(self, key: str) -> float:
         a, b = self.inner.get(key, 0), self.outer.get(key, 0)
-        if key == "word boilerplate":
-            return -1.0
+        if key.startswith("."):
+            return -min(12.0, max(0.0, 2 * math.log((b + 1) / (a + 1))))
         if key.startswith("word"):
             return min(2.0, max(0.1 if not key.endswith(" link") else -0.5, 0.5 + math.log((a + 1) / (b + 1)) / 4)) if not key.endswith(" link") else min(0.5, max(-0.5, math.log((a + 1) / (b + 1)) / 4))
         if key[1:] in INLINE:
@@ -202,18 +213,23 @@ def main_text(source: str | None, weights: Weights) -> str:
     tokens = Page(source or "").tokens
     known: dict[str, float] = {}
     scores = []
-    for key, text, _, _, _ in tokens:
+    for key, text, _, dropped, _ in tokens:
         w = known.get(key)
         if w is None:
             w = known[key] = weights.of(key)
-        scores.append(w if text is None else w * len(text.split()))
+        scores.append(0.0 if dropped else w if text is None else w * len(text.split()))
     out: dict[int, list[str]] = {}
     first, last = best_run(scores)
     if last > first:  # whole blocks, and the whole of the content element that the run is in
-        while first and tokens[first][4] and tokens[first - 1][4]:
-            first -= 1
-        while last < len(tokens) and tokens[last - 1][4] and tokens[last][4]:
-            last += 1
+        total, a, b = sum(scores[first:last]), first, last
+        while a and tokens[a][4] and tokens[a - 1][4]:
+            a -= 1
+        while b < len(tokens) and tokens[b - 1][4] and tokens[b][4]:
+            b += 1
+        if total + sum(scores[a:first]) > 0:
+            total, first = total + sum(scores[a:first]), a
+        if total + sum(scores[last:b]) > 0:
+            last = b
         one, end = tokens[first][2], tokens[last - 1][2]
         for _, text, block, dropped, _ in tokens:
             if text is not None and not dropped and one <= block <= end:
@@ -244,7 +260,8 @@ def learn(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", max
     marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]")).select(F.col(id_col).alias("__id"), F.xxhash64(id_col).alias("order"))
     chosen = marked.orderBy("order", "__id").limit(max_pages).select("__id").distinct()
     sample = pages.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"), "left_semi").select(F.col(html_col).alias("html"))
-    rows = sample.mapInArrow(_count_rows, "key string, inside long, outside long").groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()  # tags and kinds of blocks
+    rows = sample.mapInArrow(_count_rows, "key string, inside long, outside long").groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+    rows = rows.orderBy(F.desc(F.col("inside") + F.col("outside")), "key").limit(MAX_KEYS).collect()
     return Weights({r.key: r.inside for r in rows}, {r.key: r.outside for r in rows})
 
 
