@@ -1,10 +1,12 @@
 """Interpolation rules, one test a rule."""
 
+import functools
 from datetime import datetime, timedelta
 
 import pytest
 
-from tickloom.operators.densify import densify, ffill, split_points, symbol_gates
+from tickloom.operators.densify import dense_symbols, densify, ffill, split_points, symbol_gates
+from tickloom.operators.reports import pending_symbols
 
 SCHEMA = "symbol string, date timestamp_ntz, iv double, underlying_price double, time_to_maturity double, mark_price double, record_time string"
 T0 = datetime(2023, 3, 20)
@@ -125,3 +127,26 @@ def test_no_frame_is_read_anew_for_every_row(spark):
             value[i] = u if b in (None, a) else u + (points[order[b]][1] - u) / (pos[b] - pos[a]) * (pos[k] - pos[a])
     got = {int(r.record_time): r.iv for r in df.where("not is_interpolated").collect()}
     assert got.keys() == value.keys() and all(abs(got[i] - value[i]) < 1e-9 for i in got)
+
+
+def test_symbols_without_their_rows(spark):
+    """As the symbols of the dense rows, also where NaN and infinity take rows out; the grid is not made for them."""
+    inf, nan = float("inf"), float("nan")
+    cases = {
+        "plain": [(0, 1.0), (180, 2.0)], "nulls": [(0, None), (60, None)], "late": [(0, None), (180, 2.0)], "nan": [(0, nan), (180, nan)], "before nan": [(0, 1.0), (180, nan)],
+        "up": [(0, 1.0), (180, inf)], "up at once": [(0, 1.0), (60, inf), (120, nan)], "down": [(0, -inf), (60, nan)], "one": [(0, 1.0)], "off": [(0, None), (90, 2.0)],
+    }
+    df = functools.reduce(lambda a, b: a.union(b), [rows(spark, points, name) for name, points in cases.items()])
+    found = dense_symbols(df, min_points=1)
+    want = {r.symbol for r in densify(df, min_points=1).select("symbol").distinct().collect()}
+    assert {r.symbol for r in found.collect()} == want and "plain" in want and "nulls" not in want and "nan" not in want
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.symbol for r in dense_symbols(df, min_points=2).collect()} == want - {"one"}
+
+
+def test_pending_symbols_shuffle_a_row_a_symbol(spark):
+    done = densify(rows(spark, [(0, 1.0), (6000, 2.0)], "a"), min_points=1)
+    found = pending_symbols(rows(spark, [(0, 1.0)], "a").union(rows(spark, [(0, 1.0)], "b")), done)
+    assert [r.symbol for r in found.collect()] == ["b"]
+    right = found._jdf.queryExecution().optimizedPlan().children().apply(1).toString()
+    assert right.startswith("Aggregate")
