@@ -203,6 +203,18 @@ def examples(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
     return rows.withColumn("c", made).select("c.before", F.trim("c.value").alias("value"), "c.after", path.alias("path"), "label")
 
 
+def _saved_examples(spark: SparkSession, save) -> DataFrame:
+    """examples(), written once: their columns are a large plan that the driver would plan again for each use. As one stage's
+    code they take it more memory to compile than other steps of a scan, so this one job goes without."""
+    key = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return save(examples(spark), "examples")
+    finally:
+        spark.conf.set(key, before)
+
+
 def fit(labelled: DataFrame, words: DataFrame, max_rows: int = MAX_ROWS, trees: int = 30, depth: int = 8, seed: int = 11, *, save=saved):
     """(assembler, forest) learned from labelled findings; the one label, or null, where there are not two."""
     rows = labelled.where(F.col("label").isin(0, 1)).select("before", "value", "after", "path", F.col("label").cast("double").alias("label"))
@@ -222,7 +234,7 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: floa
     """doc_id, n, start, value, score and is_secret of every candidate of every text. save: as cluster.saved, or of a
     scratch folder; what it saves holds the values."""
     words = lexicon(docs, text_col, save=save)
-    fitted = fit(examples(docs.sparkSession) if labelled is None else labelled, words, save=save)
+    fitted = fit(_saved_examples(docs.sparkSession, save) if labelled is None else labelled, words, save=save)
     found = features(candidates(docs, id_col, text_col, path_col), words, save=save)
     if isinstance(fitted, tuple):
         assembler, model = fitted
