@@ -225,3 +225,31 @@ def test_draws_of_null_symbols_and_times(spark):
     rows = spark.createDataFrame([(None, None), ("", None), (None, None)], "symbol string, timestamp timestamp_ntz")
     got = [r.u for r in noise.with_state(rows, 7).select(noise.uniform(F.col("__r"), 0).alias("u")).collect()]
     assert got[0] == got[2] and all(0 <= u < 1 for u in got)
+
+
+def test_state_of_a_stream_has_as_many_partitions_as_its_rows_are_worth(spark, tmp_path, monkeypatch):
+    from tickloom.streaming import candles as X
+
+    key, path, cores = "spark.sql.shuffle.partitions", str(tmp_path / "in"), spark.sparkContext.defaultParallelism
+    before = spark.conf.get(key)
+    rows = spark.range(600).select(
+        F.concat(F.lit("s"), F.col("id") % 3).alias("symbol"), F.timestamp_seconds(F.col("id").cast("long") * 1200).alias("timestamp"), *[F.col("id").cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")]
+    ).withColumn("timestamp", F.explode(F.sequence("timestamp", F.expr("timestamp + interval 4 minutes"), F.expr("interval 1 minute"))))
+    try:
+        spark.conf.set(key, str(16 * cores))
+        slices, _ = X.write_in_order(X.with_closing_row(rows, "7 days"), path, "3 days")
+        n = X.state_partitions(rows, slices)
+        assert n == cores
+        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        ended = X.run_to_end(X.stream_candles(source, "5min", "3 days"), str(tmp_path / "out"), str(tmp_path / "state"), n)
+        assert spark.conf.get(key) == str(16 * cores)
+        monkeypatch.setattr(X, "STATE_ROWS", 100)
+        assert X.state_partitions(rows, slices) == -(-3000 // (slices * 100))
+        monkeypatch.setattr(X, "STATE_ROWS", 1)
+        assert X.state_partitions(rows, slices) == 16 * cores
+    finally:
+        spark.conf.set(key, before)
+    done = [s for p in ended.recentProgress for s in p.stateOperators]
+    assert done and all(s.numShufflePartitions == n and not s.numRowsDroppedByWatermark for s in done)
+    got, want = spark.read.parquet(str(tmp_path / "out")), C.resample_candles(rows)
+    assert want.count() == 600 and got.exceptAll(want.select(got.columns)).isEmpty() and got.count() == 600
