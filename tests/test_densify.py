@@ -150,3 +150,12 @@ def test_pending_symbols_shuffle_a_row_a_symbol(spark):
     assert [r.symbol for r in found.collect()] == ["b"]
     right = found._jdf.queryExecution().optimizedPlan().children().apply(1).toString()
     assert right.startswith("Aggregate")
+
+
+def test_rows_are_sorted_twice_and_a_window_is_computed_once(spark):
+    """By time, and from the other end; not back again, and not anew for each field of a neighbour."""
+    plan = densify(rows(spark, [(0, 1.0), (60, None), (240, 9.0)]), min_points=1)._jdf.queryExecution().sparkPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]  # the last is computed first
+    assert sum(w.count("last(") for w in windows) == 3 * 2 + 2  # three numbers from both ends, two fills
+    by_time = ["date" in w.rpartition("[")[2] for w in windows]
+    assert by_time == sorted(by_time) and {True, False} == set(by_time)
