@@ -144,6 +144,48 @@ def test_symbols_that_failed_or_are_new_run_again(spark, tmp_path, monkeypatch):
     assert all_rows(spark, root, 3) == all_rows(spark, f"file://{tmp_path}/whole", 3)
 
 
+def test_a_bucket_is_one_file_of_a_stage(spark, tmp_path):
+    """However many tasks a shuffle has: with a file for each task and symbol they grow as the product of both."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run_pipeline(spark, sparse(spark, tuple("abcdefgh")), root := f"file://{tmp_path}/root", 3)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for t in TABLES:
+        store = batch_store(spark, root, t, 3)
+        files = [f.split("__bucket=")[1].split("/")[0] for f in store.read().inputFiles()]
+        assert len(files) == len(set(files)) <= store.buckets, t
+
+
+def test_a_run_computes_its_tickers_once(spark, tmp_path):
+    """A view that counts its rows: stages and outcomes read what was kept."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = sparse(spark).coalesce(1)
+    n = rows.count()
+    out = run_pipeline(spark, rows.mapInArrow(count, rows.schema), f"file://{tmp_path}/root", 3)
+    assert {r.symbol: r.output_rows for r in out["bridge"].collect()} == {"a": 204, "b": 204}
+    assert seen.value == n
+
+
+def test_constraints_of_dealt_rows(spark):
+    """The same rows are taken and rejected, without a join."""
+    schema = "symbol string, timestamp timestamp_ntz, open double, high double, low double, close double, volume double"
+    nan = float("nan")
+    some = [(s, T0 + timedelta(minutes=i % 3), 1.0, 2.0, 0.5, 1.0 + i / 10, v) for s in ("a", "b") for i, v in enumerate((1.0, -1.0, nan, 2.0, 1.0, -2.0, 3.0))]
+    rows = spark.createDataFrame([*some, (None, T0, 1.0, 2.0, 0.5, 1.0, 1.0), some[0]], schema)
+    spec, told = schemas.SPECS["minute"], lambda df: sorted(map(str, df.collect()))
+    plain, dealt = S.enforce(rows, spec), S.enforce(rows.repartition("symbol"), spec, dealt=True)
+    plan = dealt[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert [told(df) for df in dealt] == [told(df) for df in plain] and all(told(df) for df in dealt)
+
+
 def test_pipeline_stops_without_a_success(spark, tmp_path):
     out = run_pipeline(spark, sparse(spark, ()), f"file://{tmp_path}/none", 1)
     assert list(out) == ["interpolation"]

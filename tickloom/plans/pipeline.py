@@ -78,10 +78,10 @@ def run_interpolation(tickers: DataFrame, root: str, batch_id: int, symbols: Dat
 
 
 def _put(rows: DataFrame, root: str, table: str, batch_id: int, symbols: DataFrame) -> DataFrame:
-    """The stage's table with rows in the place of all rows of symbols. Rows come from buckets by symbol and are written
-    as they come."""
+    """The stage's table with rows in the place of all rows of symbols. Rows are shuffled once, by symbol as the buckets
+    are: so a bucket is written by one task, and a key's rows stand in one."""
     store = batch_store(rows.sparkSession, root, table, batch_id)
-    store.replace(enforce(rows, SPECS[table])[0], symbols, dealt=True, writer=("stage", (store.taken("stage") or 0) + 1))
+    store.replace(enforce(rows.repartition("symbol"), SPECS[table], dealt=True)[0], symbols, dealt=True, writer=("stage", (store.taken("stage") or 0) + 1))
     return store.read()
 
 
@@ -127,8 +127,15 @@ def _now() -> datetime:
 def run_pipeline(spark: SparkSession, tickers: DataFrame | str, root: str, batch_id: int, strategy: str = "basic", freq: str = "5min", seed: int = 42, **options) -> dict[str, DataFrame]:
     """Outcomes of each stage that ran; stops after the first stage without a success. Each stage keeps a ledger below
     root: a run of a batch that was stopped, or that left errors, goes on with the symbols that are not done, and ends
-    with the tables of a run that was never stopped."""
-    tickers = read_tickers(spark, tickers) if isinstance(tickers, str) else tickers
+    with the tables of a run that was never stopped. tickers: the path of a table, which is read where it is, or rows,
+    which are computed once and kept until the run ends, as the first stage reads them several times."""
+    if not isinstance(tickers, str):
+        with scratch(spark) as save:
+            return _run_stages(spark, save(tickers, "tickers"), root, batch_id, strategy, freq, seed, **options)
+    return _run_stages(spark, read_tickers(spark, tickers), root, batch_id, strategy, freq, seed, **options)
+
+
+def _run_stages(spark: SparkSession, tickers: DataFrame, root: str, batch_id: int, strategy: str, freq: str, seed: int, **options) -> dict[str, DataFrame]:
     stages = {
         "interpolation": lambda s: run_interpolation(tickers, root, batch_id, s, **options),
         "bridge": lambda s: run_bridge(spark, root, batch_id, strategy, seed, s),
