@@ -72,7 +72,9 @@ def _of(rows: DataFrame, symbols: DataFrame | None) -> DataFrame:
 def run_interpolation(tickers: DataFrame, root: str, batch_id: int, symbols: DataFrame | None = None, **options) -> DataFrame:
     """The dense rows of a batch, or of some of its symbols, into the batch's table; outcomes by symbol."""
     tickers = _of(tickers, symbols)
-    append_interpolated(densify(tickers, **options), f"{root}/dense", batch_id, tickers.select("symbol") if symbols is None else symbols)
+    # as many tasks as buckets: sizes of sparse rows would say too few, as the dense rows are made after the shuffle
+    n = int(tickers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    append_interpolated(densify(tickers.repartition(n, "symbol"), **options), f"{root}/dense", batch_id, tickers.select("symbol") if symbols is None else symbols)
     gates = {k: v for k, v in options.items() if k in ("min_points", "max_span_days", "max_points")}
     return densify_outcomes(tickers, _of(read_interpolated(tickers.sparkSession, f"{root}/dense", batch_id), symbols), **gates)
 
