@@ -11,14 +11,14 @@ from tickloom.operators.densify import dense_symbols, densify, symbol_gates
 
 NONE = {"max_span_days": None, "max_points": None}
 #: Queries that leave out no symbol for its span.
-QUERIES = ["bridge_basic"]
+QUERIES = ["bridge_basic", "bridge_midpoint"]
 
 
 @pytest.fixture(scope="module")
 def folder(tmp_path_factory):
     """Events of a symbol over an hour, and of one over 75 days: 108,001 minutes."""
     path = str(tmp_path_factory.mktemp("events"))
-    minutes = "case when id % 2 = 0 then 9000 * id // 2 + 7 * (id % 3) * (id % 24 // 23) else id // 2 end"
+    minutes = "case when id % 2 = 0 then 9000 * id // 2 + 7 * (id % 3) * (id % 24 // 23) else 5 * (id // 2) end"
     duckdb.sql(f"""copy (select id as event_id, timestamp '2024-01-01' + to_minutes(({minutes})::int) + to_seconds(id % 5 * 7) as ts, id % 9 as user_id,
       case when id % 2 = 0 then 'long' else 'short' end as event_type, (1 + id % 13)::double as value, '{{"k": ' || id || '}}' as props from range(26) t(id)) to '{path}/events.parquet'""")
     return path
