@@ -11,7 +11,7 @@ from tickloom.operators.densify import dense_symbols, densify, symbol_gates
 
 NONE = {"max_span_days": None, "max_points": None}
 #: Queries that leave out no symbol for its span.
-QUERIES = ["bridge_basic", "bridge_midpoint", "bridge_simple", "bridge_spread", "candle_breakdown", "densify_duplicates", "densify_offgrid", "hourly_density", "is_interpolated_split", "resample_15min"]
+QUERIES = ["bridge_basic", "bridge_midpoint", "bridge_simple", "bridge_spread", "candle_breakdown", "densify_duplicates", "densify_offgrid", "hourly_density", "is_interpolated_split", "resample_15min", "resample_5min"]
 
 
 @pytest.fixture(scope="module")
